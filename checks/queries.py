@@ -478,8 +478,11 @@ def f6_graph_override(spark, sf):
 
 
 def fused(spark, sf, config: FusionConfig, with_classes: bool = False):
+    """Fuse the claims; preferred parts come from the file of an earlier run."""
+    path = scratch(spark)
+    saved = fx.run(spark, sf, fx.PREFERRED).select(F.col("uri").alias("canonical"))
+    canonical.save_canonical(saved, path)
     config = config.with_options(
-        preferred=(),
         score_property=f"{META}score",
         publisher_property=f"{META}publishedBy",
         publisher_score_property=f"{META}publisherScore",
@@ -490,7 +493,8 @@ def fused(spark, sf, config: FusionConfig, with_classes: bool = False):
     ]
     if with_classes:
         inputs.append(fx.quads(spark, sf, fx.CLASSES))
-    return fuse(inputs, fx.quads(spark, sf, fx.LINKS), metadata(spark, sf), config)
+    links = fx.quads(spark, sf, fx.LINKS)
+    return fuse(inputs, links, metadata(spark, sf), config, canonical_path=path)
 
 
 FUSE_CONFIG = strategies(
