@@ -251,7 +251,7 @@ ORACLES: dict[str, str] = {
         "SELECT a AS uri, min(b) AS canonical FROM walk GROUP BY a HAVING a <> min(b)",
         "chains",
         either="SELECT s AS a, o AS b FROM chains UNION SELECT o, s FROM chains",
-        walk="SELECT a, a AS b FROM both UNION SELECT w.a, e.b FROM walk w JOIN either e ON w.b = e.a",
+        walk="SELECT a, a AS b FROM either UNION SELECT w.a, e.b FROM walk w JOIN either e ON w.b = e.a",
     ),
     "c3_save_canonical": compose("SELECT DISTINCT canonical AS uri FROM mapping", "mapping"),
     "c4_map_terms": compose(

@@ -14,20 +14,18 @@ from quadweld.model import IGNORE, MANYVALUED, NESTED, RETURN_ALL, SINGLEVALUED
 from quadweld.operators import describe as describing
 from quadweld.operators import identity, sinks
 from quadweld.operators import policy as policies
-from quadweld.operators.members import conflict_members, to_cluster_rows, without_nulls
+from quadweld.operators.members import conflict_members, to_cluster_rows
 from quadweld.operators.resolve import (
+    REGISTRY,
     Clusters,
     Resolution,
     as_statements,
-    judge_values,
-    resolve_all,
-    resolve_best,
     source_lists,
     with_result_graph,
-    REGISTRY,
 )
 from quadweld.operators.scores import score_graphs, source_scores
-from quadweld.operators.stage import attach, scratch_dir
+from quadweld.operators.policy import Rules
+from quadweld.operators.stage import scratch_dir
 from quadweld.plans.config import FusionConfig, Strategy
 from quadweld.plans.fuse import fuse
 from quadweld.sources import canonical, quads as sources
@@ -84,8 +82,12 @@ def strategies(**functions: Strategy) -> FusionConfig:
     return FusionConfig(properties={f"{P}{k}": v for k, v in functions.items()})
 
 
-def single_policy(spark) -> DataFrame:
-    return strategies(**{p: Strategy(cardinality=SINGLEVALUED) for p in SINGLE}).policy(spark)
+def rules_for(spark, **functions: Strategy) -> Rules:
+    return Rules.read(strategies(**functions).policy(spark))
+
+
+def single_rules(spark) -> Rules:
+    return rules_for(spark, **{p: Strategy(cardinality=SINGLEVALUED) for p in SINGLE})
 
 
 def members(spark, sf, quads: DataFrame, merged: bool) -> DataFrame:
@@ -326,14 +328,16 @@ def e2_conflict_clusters(spark, sf):
 
 def all_resolved(spark, sf, merged: bool = True) -> Resolution:
     rows = members(spark, sf, claims(spark, sf), merged)
-    values = judge_values(rows, FusionConfig().policy(spark), False, AGREE)
-    found = resolve_all(Clusters(values, rows))
-    return Resolution(as_statements(found.statements), as_statements(found.support))
+    return REGISTRY["ALL"](Clusters(rows, rules_for(spark), AGREE))
+
+
+def statements(spark, sf, merged: bool = True) -> DataFrame:
+    return as_statements(all_resolved(spark, sf, merged).statements)
 
 
 @query
 def e3_sources(spark, sf):
-    return all_resolved(spark, sf).support.select("s", "p", "o", "g")
+    return as_statements(all_resolved(spark, sf).support).select("s", "p", "o", "g")
 
 
 @query
@@ -354,8 +358,7 @@ def e6_depends_on(spark, sf):
 
 @query
 def e7_result_graph(spark, sf):
-    statements = all_resolved(spark, sf).statements
-    return with_result_graph(statements, "http://ex/result/", "fused").select("s", "p", "o", "g")
+    return with_result_graph(statements(spark, sf), "http://ex/result/", "fused").select("s", "p", "o", "g")
 
 
 @query
@@ -370,7 +373,7 @@ def e9_source_quality(spark, sf):
 
 def judged(spark, sf, merged: bool) -> DataFrame:
     rows = members(spark, sf, claims(spark, sf), merged)
-    return judge_values(rows, single_policy(spark), True, AGREE).select(
+    return Clusters(rows, single_rules(spark), AGREE).values.select(
         F.col("res").alias("s"), "p", "o", rounded(F.col("quality")).alias("quality")
     )
 
@@ -398,7 +401,7 @@ def e11_distance(spark, sf):
 
 @query
 def e12_all(spark, sf):
-    return all_resolved(spark, sf).statements.select(
+    return statements(spark, sf).select(
         "s", "p", "o", "n_sources", rounded(F.col("quality")).alias("quality")
     )
 
@@ -406,8 +409,7 @@ def e12_all(spark, sf):
 @query
 def e13_best(spark, sf):
     rows = members(spark, sf, one_property(claims(spark, sf), "flag"), merged=False)
-    values = judge_values(rows, single_policy(spark), True, AGREE)
-    best = resolve_best(Clusters(values, rows)).statements
+    best = REGISTRY["BEST"](Clusters(rows, single_rules(spark), AGREE)).statements
     return best.select(
         F.col("res").alias("s"), "o", "n_sources", rounded(F.col("quality")).alias("quality")
     )
@@ -415,9 +417,8 @@ def e13_best(spark, sf):
 
 def averaged(spark, sf, agg_error: str) -> DataFrame:
     rows = members(spark, sf, one_property(claims(spark, sf), "qty"), merged=False)
-    table = strategies(qty=Strategy("AVG", SINGLEVALUED, agg_error)).policy(spark)
-    values = judge_values(rows, table, True, AGREE)
-    found = REGISTRY["AVG"](Clusters(values, rows)).statements
+    rules = rules_for(spark, qty=Strategy("AVG", SINGLEVALUED, agg_error)).only("function", "AVG")
+    found = REGISTRY["AVG"](Clusters(rows, rules, AGREE)).statements
     return found.select(
         F.col("res").alias("s"), "o", "n_sources", rounded(F.col("quality")).alias("quality")
     )
@@ -445,7 +446,7 @@ def e15_nested(spark, sf):
 
 @query
 def f1_write_data(spark, sf):
-    return sinks.write_data(all_resolved(spark, sf).statements, scratch(spark)).select(
+    return sinks.write_data(statements(spark, sf), scratch(spark)).select(
         "s", "p", "o", "g"
     )
 
@@ -454,14 +455,14 @@ def f1_write_data(spark, sf):
 def f2_write_with_metadata(spark, sf):
     found = all_resolved(spark, sf)
     plain = fx.quads(spark, sf, fx.CLASSES)
-    return sinks.write_with_metadata(
-        found.statements, found.support, scratch(spark), plain=plain
-    ).select("s", "p", "o", "g")
+    rows = found.statements.withColumnRenamed("res", "s")
+    support = found.support.withColumnRenamed("res", "s")
+    return sinks.write_with_metadata(rows, support, scratch(spark), plain=plain).select("s", "p", "o", "g")
 
 
 @query
 def f4_noop(spark, sf):
-    counted, seen = sources.observe_loaded(all_resolved(spark, sf).statements, uuid.uuid4().hex)
+    counted, seen = sources.observe_loaded(statements(spark, sf), uuid.uuid4().hex)
     sinks.write_nothing(counted)
     rows = claims(spark, sf).select("s", "p").distinct().agg(F.count(F.lit(1)).alias("clusters"))
     return rows.withColumn("n", F.lit(seen.get["n"]))
@@ -470,7 +471,7 @@ def f4_noop(spark, sf):
 @query
 def f6_graph_override(spark, sf):
     return sinks.write_data(
-        all_resolved(spark, sf, merged=False).statements, scratch(spark), data_graph="http://ex/out"
+        statements(spark, sf, merged=False), scratch(spark), data_graph="http://ex/out"
     ).select("s", "p", "o", "g")
 
 

@@ -31,24 +31,28 @@ def preferred_uris(
     return uris.distinct()
 
 
-def _node_report(edges: DataFrame, rows: int) -> tuple[bool, list[int]]:
+def _node_report(edges: DataFrame) -> tuple[bool, list[int]]:
     """Whether the edges form stars already, and the nodes with very many edges.
 
     A star forest has no root that is also a child and no child with two roots. At
     most ``2 / HEAVY_SHARE`` node hashes come back.
     """
-    limit = max(stage.HEAVY_FLOOR, int(rows * stage.HEAVY_SHARE))
     ends = edges.select(F.col("a").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).union(
         edges.select("b", F.lit(0), F.lit(1))
     )
     nodes = ends.groupBy("node").agg(F.sum("up").alias("up"), F.sum("down").alias("down"))
+    degree = F.col("up") + F.col("down")
     report = nodes.agg(
         F.max((F.col("up") > 1) | ((F.col("up") > 0) & (F.col("down") > 0))).alias("open"),
-        F.collect_list(
-            F.when(F.col("up") + F.col("down") > limit, key_hash(["node"]))
-        ).alias("heavy"),
+        F.sum("up").alias("edges"),
+        F.max(degree).alias("most"),
     ).first()
-    return bool(report["open"]), list(report["heavy"])
+    limit = max(stage.HEAVY_FLOOR, int((report["edges"] or 0) * stage.HEAVY_SHARE))
+    heavy = []
+    if (report["most"] or 0) > limit:
+        rows = nodes.where(degree > limit).select(key_hash(["node"]).alias("h")).collect()
+        heavy = [r["h"] for r in rows]
+    return bool(report["open"]), heavy
 
 
 def _link_to_least_neighbour(edges: DataFrame, heavy: list[int]) -> DataFrame:
@@ -87,7 +91,7 @@ def star_forest(links: DataFrame, max_rounds: int = MAX_ROUNDS) -> tuple[DataFra
         "links",
     )
     for _ in range(max_rounds):
-        unfinished, heavy = _node_report(edges, edges.count())
+        unfinished, heavy = _node_report(edges)
         if not unfinished:
             return edges, heavy
         relinked = _link_smaller_neighbours(_link_to_least_neighbour(edges, heavy), heavy)

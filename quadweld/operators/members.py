@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quadweld.model import DEFAULT_CARDINALITY, TERM
+from quadweld.model import MAX_DATE_DIFFERENCE, SINGLEVALUED
 from quadweld.operators.identity import map_terms
-from quadweld.operators.policy import assign_policy
+from quadweld.operators.policy import Rules, assign_policy
 from quadweld.operators.quality import (
     CLUSTER,
     VALUE,
+    opposed_quality,
     unopposed_quality,
-    value_quality,
 )
 from quadweld.operators.stage import lookup
 
@@ -39,18 +39,36 @@ def conflict_members(rows: DataFrame, keep_subject: bool = False) -> DataFrame:
     return rows.select(*MEMBER, *(["s"] if keep_subject else [])).distinct()
 
 
-def _quality(values: DataFrame, single: bool, agree: float, span: float) -> DataFrame:
-    return value_quality(values, agree, span) if single else unopposed_quality(values, agree)
+def judge_values(
+    values: DataFrame, rules: Rules, agree: float, span: float = MAX_DATE_DIFFERENCE
+) -> DataFrame:
+    """Values with the strategy of their property and their quality.
+
+    SINGLEVALUED and other properties are told apart by ``p``, so each side reads
+    only its own rows.
+    """
+    used = rules.used("cardinality")
+    is_single = rules.having("cardinality", SINGLEVALUED)
+    if SINGLEVALUED not in used:
+        judged = unopposed_quality(values, agree)
+    elif len(used) == 1:
+        judged = opposed_quality(values, agree, span)
+    else:
+        judged = unopposed_quality(values.where(~is_single), agree).unionByName(
+            opposed_quality(values.where(is_single), agree, span)
+        )
+    return assign_policy(judged, rules.table)
 
 
 def anchor_picks(
-    weighed: DataFrame, policy: DataFrame, anchors: list[str], single: bool, agree: float, span: float
+    weighed: DataFrame, rules: Rules, agree: float, span: float = MAX_DATE_DIFFERENCE
 ) -> DataFrame:
     """The one (subject, graph) per resource that its anchor property selects.
 
     The best-scored claim of the anchor's best value, by ordinary aggregates: the
     smallest ordering struct per value, then per cluster.
     """
+    anchors = sorted(rules.used("depends_on"))
     claims = (
         weighed.where(F.col("p").isin(anchors)).groupBy(*MEMBER, "w").agg(F.min("s").alias("s"))
     )
@@ -60,7 +78,7 @@ def anchor_picks(
         F.sum("w").alias("w_sum"),
         F.min(F.struct((-F.col("w")).alias("rank"), "g", "s")).alias("lead"),
     )
-    judged = _quality(assign_policy(values, policy).drop("params"), single, agree, span)
+    judged = judge_values(values, rules, agree, span)
     first = F.min(F.struct((-F.col("quality")).alias("rank"), F.col("lead"))).alias("first")
     return (
         judged.groupBy(*CLUSTER)
@@ -75,35 +93,16 @@ def anchor_picks(
 
 
 def follow_anchors(
-    weighed: DataFrame, policy: DataFrame, picks: DataFrame, heavy: list[int] | None = None
+    weighed: DataFrame, rules: Rules, picks: DataFrame, heavy: list[int] | None = None
 ) -> DataFrame:
     """Keep, for dependent properties, only the claims from the anchor's pick.
 
     A resource without any anchor claim keeps all its claims.
     """
-    ruled = assign_policy(weighed, policy)
+    ruled = assign_policy(weighed, rules.table)
     free = ruled.where(F.col("depends_on").isNull()).select(*weighed.columns)
     bound = ruled.where(F.col("depends_on").isNotNull()).select(*weighed.columns, "depends_on")
     met = lookup(bound, picks, ["res", "depends_on"], heavy)
     agrees: Column = (F.col("s") == F.col("_s")) & (F.col("g") == F.col("_g"))
     chosen = met.where(F.col("_s").isNull() | agrees).select(*weighed.columns)
     return free.unionByName(chosen)
-
-
-def has_cardinality(policy: DataFrame, cardinality: str) -> bool:
-    """Whether any strategy of the (small) policy table uses this cardinality."""
-    used = F.coalesce("cardinality", F.lit(DEFAULT_CARDINALITY))
-    return not policy.where(used == cardinality).isEmpty()
-
-
-__all__ = [
-    "MEMBER",
-    "TERM",
-    "anchor_picks",
-    "conflict_members",
-    "follow_anchors",
-    "has_cardinality",
-    "to_cluster_rows",
-    "with_nulls",
-    "without_nulls",
-]

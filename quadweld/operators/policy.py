@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from quadweld.model import (
@@ -16,6 +18,13 @@ from quadweld.operators.stage import attach
 PREFIX_PATTERN = r"^[A-Za-z_][A-Za-z0-9_.-]*$"
 IRI_PATTERN = r"^[A-Za-z][A-Za-z0-9+.-]*:[^\s<>\"{}|^`\\]*$"
 
+# The documented default of each field that has one.
+DEFAULTS = {
+    "function": DEFAULT_FUNCTION,
+    "cardinality": DEFAULT_CARDINALITY,
+    "agg_error": DEFAULT_AGG_ERROR,
+}
+
 STRATEGY_FIELDS = ["function", "cardinality", "agg_error", "depends_on", "params"]
 
 
@@ -67,6 +76,52 @@ def invalid_prefixes(prefixes: DataFrame) -> DataFrame:
     return prefixes.where(bad_name | bad_iri)
 
 
+@dataclass(frozen=True)
+class Rules:
+    """The policy on the driver: one row per configured property, and the default.
+
+    It turns a strategy field into a condition on ``p``, which reaches the scan as
+    an IN filter; a condition on a joined policy column would not.
+    """
+
+    table: DataFrame
+    named: dict[str, Row]
+    default: Row | None
+
+    @classmethod
+    def read(cls, policy: DataFrame) -> Rules:
+        rows = policy.collect()
+        table = policy.sparkSession.createDataFrame(rows, policy.schema)
+        default = next((r for r in rows if r["property"] is None), Row(**dict.fromkeys(STRATEGY_FIELDS)))
+        return cls(table, {r["property"]: r for r in rows if r["property"] is not None}, default)
+
+    def _value(self, row: Row, field: str) -> str | None:
+        return row[field] or DEFAULTS.get(field)
+
+    def used(self, field: str) -> set[str]:
+        rows = [*self.named.values(), *([self.default] if self.default else [])]
+        return {v for v in (self._value(r, field) for r in rows) if v is not None}
+
+    def having(self, field: str, value: str) -> Column:
+        """Condition on ``p``: its strategy has this value."""
+        hits = [p for p, r in self.named.items() if self._value(r, field) == value]
+        misses = [p for p in self.named if p not in hits]
+        if self.default is not None and self._value(self.default, field) == value:
+            return ~F.col("p").isin(misses) if misses else F.lit(True)
+        return F.col("p").isin(hits) if hits else F.lit(False)
+
+    def only(self, field: str, value: str) -> Rules:
+        """The strategies with this value, for rows that are already filtered by it."""
+        named = {p: r for p, r in self.named.items() if self._value(r, field) == value}
+        default = self.default
+        if default is not None and self._value(default, field) != value:
+            default = None
+        return Rules(self.table, named, default)
+
+    def properties(self, field: str, value: str) -> list[str]:
+        return sorted(p for p, r in self.named.items() if self._value(r, field) == value)
+
+
 def effective(field: str, default: str) -> Column:
     """A strategy's own field, else the documented default.
 

@@ -55,43 +55,55 @@ def agreement_quality(base: Column, conf: Column, others: Column, agree: float)
     return quantise(first + (F.lit(1.0) - first) * share)
 
 
-def value_quality(
+def unopposed_quality(values: DataFrame, agree: float) -> DataFrame:
+    """Quality of MANYVALUED values: other values are no conflict."""
+    others = F.col("w_sum") - F.col("w_max")
+    return values.withColumn(
+        "quality", agreement_quality(F.col("w_max"), F.lit(0.0), others, agree)
+    )
+
+
+def opposed_quality(
     values: DataFrame,
     agree: float,
     span: float = MAX_DATE_DIFFERENCE,
     heavy: list[int] | None = None,
     parts: int | None = None,
 ) -> DataFrame:
-    """Add ``quality`` to the rows of ``value_stats`` with their ``cardinality``.
+    """Quality of SINGLEVALUED values: distant values of the cluster lower it.
 
-    Only SINGLEVALUED clusters look at other values. Their rows are written once;
-    clusters that hold a large share of them (``heavy``, found when not given) are
-    summed over sorted ranges instead of one window.
+    The classed values are written once. Clusters that hold a large share of them
+    (``heavy``, found when not given) are summed over sorted ranges instead of one
+    window per cluster.
     """
-    is_single = F.col("cardinality") == SINGLEVALUED
-    single = materialize(values.where(is_single), "single")
+    single = materialize(_classed(values, span), "single")
+    classes = {r["cls"] for r in single.select("cls").distinct().collect()}
     if heavy is None:
         heavy = heavy_keys(single, CLUSTER)
-    clashing = with_clash(single, span, heavy, parts)
+    clashing = with_clash(single, classes, heavy, parts)
     conf = F.when(F.col("mass") > 0, F.col("clash") / F.col("mass")).otherwise(F.lit(0.0))
-    quality = agreement_quality(F.col("w_max"), conf, F.col("w_sum") - F.col("w_max"), agree)
-    alone = agreement_quality(
-        F.col("w_max"), F.lit(0.0), F.col("w_sum") - F.col("w_max"), agree
-    )
-    return (
-        values.where(~is_single)
-        .withColumn("quality", alone)
-        .unionByName(clashing.withColumn("quality", quality).select(*values.columns, "quality"))
+    others = F.col("w_sum") - F.col("w_max")
+    quality = agreement_quality(F.col("w_max"), conf, others, agree)
+    # The copy has forgotten which columns are never null; later joins rely on it.
+    return clashing.withColumn("quality", quality).select(
+        *[
+            F.coalesce(c, F.lit("")).alias(c) if c in ("o_dt", "o_lang") else F.col(c)
+            for c in [*values.columns, "quality"]
+        ]
     )
 
 
-def unopposed_quality(values: DataFrame, agree: float) -> DataFrame:
-    """Quality where no property is SINGLEVALUED: nothing counts as a conflict."""
-    return values.withColumn(
-        "quality",
-        agreement_quality(
-            F.col("w_max"), F.lit(0.0), F.col("w_sum") - F.col("w_max"), agree
-        ),
+def value_quality(
+    values: DataFrame,
+    agree: float,
+    span: float = MAX_DATE_DIFFERENCE,
+    heavy: list[int] | None = None,
+    parts: int | None = None,
+) -> DataFrame:
+    """Add ``quality`` to the rows of ``value_stats`` by their ``cardinality``."""
+    is_single = F.col("cardinality") == SINGLEVALUED
+    return unopposed_quality(values.where(~is_single), agree).unionByName(
+        opposed_quality(values.where(is_single), agree, span, heavy, parts)
     )
 
 
@@ -144,12 +156,16 @@ def _closed_clash() -> Column:
 
 def with_clash(
     single: DataFrame,
-    span: float = MAX_DATE_DIFFERENCE,
+    classes: set[str],
     heavy: list[int] | None = None,
     parts: int | None = None,
 ) -> DataFrame:
-    """Add ``mass`` (weight of the cluster) and ``clash`` (weighted distance)."""
-    rows = _classed(single, span).withColumns(
+    """Add ``mass`` (weight of the cluster) and ``clash`` (weighted distance).
+
+    ``classes`` are the classes of values that occur; sums that none of them needs
+    are left out of the plan.
+    """
+    rows = single.withColumns(
         {
             "_wx": F.when(F.col("at").isNotNull(), F.col("w_sum") * F.col("at")),
             "_wi": F.when(_signed(F.col("cls")), F.col("w_sum") / F.col("at")).otherwise(
@@ -158,49 +174,58 @@ def with_clash(
         }
     )
     if not heavy:
-        done = _clash_by_window(rows)
+        done = _clash_by_window(rows, classes)
     else:
         is_heavy = key_hash(CLUSTER).isin(heavy)
-        done = _clash_by_window(rows.where(~is_heavy)).unionByName(
+        done = _clash_by_window(rows.where(~is_heavy), classes).unionByName(
             _clash_by_ranges(rows.where(is_heavy), parts)
         )
     total = F.greatest(F.lit(0.0), F.col("inner")) + (F.col("mass") - F.col("cmass"))
     return done.withColumn("clash", total).select(*single.columns, "mass", "clash")
 
 
-def _clash_by_window(rows: DataFrame) -> DataFrame:
+def _clash_by_window(rows: DataFrame, classes: set[str]) -> DataFrame:
     """Clusters of bounded size: one shuffle by cluster, then running totals."""
     cluster = Window.partitionBy(*CLUSTER)
     same = Window.partitionBy(*CLUSTER, "cls")
-    sized = rows.withColumns(
-        {
-            "mass": F.sum("w_sum").over(cluster),
-            "cmass": F.sum("w_sum").over(same),
-            "_n": F.count(F.lit(1)).over(same),
-        }
-    )
-    texts = _clash_of_texts(sized.where(F.col("cls") == "text"))
+    columns = [*rows.columns, "mass", "cmass", "inner"]
+    if "text" in classes:
+        texts = rows.where(F.col("cls") == "text").withColumn(
+            "_n", F.count(F.lit(1)).over(cluster)
+        )
+        rows = (
+            rows.where(F.col("cls") != "text")
+            .withColumn("inner", F.lit(None).cast("double"))
+            .unionByName(_clash_of_texts(texts).drop("_n"))
+        )
+    else:
+        rows = rows.withColumn("inner", F.lit(None).cast("double"))
 
     upto = Window.unboundedPreceding
-    up = same.orderBy("at").rowsBetween(upto, Window.currentRow)
-    down = same.orderBy(F.desc("at")).rowsBetween(upto, Window.currentRow)
-    low = same.orderBy("at").rangeBetween(upto, -1)
-    high = same.orderBy("at").rangeBetween(upto, 1)
     nil = F.lit(0.0)
-    ordered = sized.where(F.col("cls") != "text").withColumns(
-        {
-            "w_up": F.sum("w_sum").over(up),
-            "wx_up": F.sum("_wx").over(up),
+    sums = {"mass": F.sum("w_sum").over(cluster), "cmass": F.sum("w_sum").over(same)}
+    inner = F.when(F.col("cls") == "text", F.col("inner")).when(
+        F.col("cls") == "node", F.col("cmass") - F.col("w_sum")
+    )
+    signed, timed = bool(classes & {"plus", "minus"}), "time" in classes
+    if signed or timed:
+        up = same.orderBy("at").rowsBetween(upto, Window.currentRow)
+        sums |= {"w_up": F.sum("w_sum").over(up), "wx_up": F.sum("_wx").over(up)}
+    if signed:
+        down = same.orderBy(F.desc("at")).rowsBetween(upto, Window.currentRow)
+        sums |= {"w_dn": F.sum("w_sum").over(down), "wi_dn": F.sum("_wi").over(down)}
+        inner = inner.when(_signed(F.col("cls")), _number_clash())
+    if timed:
+        low = same.orderBy("at").rangeBetween(upto, -1)
+        high = same.orderBy("at").rangeBetween(upto, 1)
+        sums |= {
             "w_lo": F.coalesce(F.sum("w_sum").over(low), nil),
             "wx_lo": F.coalesce(F.sum("_wx").over(low), nil),
             "w_hi": F.sum("w_sum").over(high),
             "wx_hi": F.sum("_wx").over(high),
-            "w_dn": F.sum("w_sum").over(down),
-            "wi_dn": F.sum("_wi").over(down),
         }
-    )
-    closed = ordered.withColumn("inner", _closed_clash())
-    return closed.select(*texts.columns).unionByName(texts)
+        inner = inner.when(F.col("cls") == "time", _time_clash(F.col("cmass")))
+    return rows.withColumns(sums).withColumn("inner", inner.otherwise(nil)).select(*columns)
 
 
 def _clash_by_ranges(rows: DataFrame, parts: int | None) -> DataFrame:
@@ -218,7 +243,7 @@ def _clash_by_ranges(rows: DataFrame, parts: int | None) -> DataFrame:
     )
     sized = materialize(sized, "heavy")
     texts = _clash_of_texts(sized.where(F.col("cls") == "text"))
-    kept = [c for c in sized.columns]
+    kept = sized.columns
 
     # A time also asks for the totals one span before and after it.
     probe = F.when(F.col("cls") == "time", F.array(F.lit(-1), F.lit(0), F.lit(1))).otherwise(
@@ -262,8 +287,12 @@ def _clash_by_ranges(rows: DataFrame, parts: int | None) -> DataFrame:
         "inner",
         F.when(F.col("cls") == "node", F.col("cmass") - F.col("w_sum")).otherwise(F.lit(0.0)),
     )
-    columns = texts.columns
-    return by_total.select(*columns).unionByName(flat.select(*columns)).unionByName(texts)
+    columns = [*rows.columns, "mass", "cmass", "inner"]
+    return (
+        by_total.select(*columns)
+        .unionByName(flat.select(*columns))
+        .unionByName(texts.select(*columns))
+    )
 
 
 def _clash_of_texts(texts: DataFrame) -> DataFrame:

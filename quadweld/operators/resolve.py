@@ -4,6 +4,8 @@ A resolution is two tables. ``statements`` has one row per result statement with
 quality and number of sources; ``support`` has one row per statement and source
 graph. Keeping the sources as rows means that a statement backed by millions of
 graphs never becomes one giant array; ``source_lists`` builds lists on request.
+
+Inside a resolution an absent datatype or language is '' (see ``without_nulls``).
 """
 
 from __future__ import annotations
@@ -29,41 +31,50 @@ from quadweld.model import (
     XSD_DOUBLE,
 )
 from quadweld.operators.lists import bounded_lists
-from quadweld.operators.members import MEMBER, with_nulls, without_nulls
-from quadweld.operators.policy import assign_policy
-from quadweld.operators.quality import (
-    CLUSTER,
-    VALUE,
-    agreement_quality,
-    unopposed_quality,
-    value_quality,
-    value_stats,
-)
-from quadweld.operators.stage import heavy_keys, lookup
+from quadweld.operators.members import MEMBER, judge_values, with_nulls, without_nulls
+from quadweld.operators.policy import Rules, assign_policy
+from quadweld.operators.quality import CLUSTER, VALUE, agreement_quality, value_stats
+from quadweld.operators.stage import heavy_keys, key_hash, lookup, materialize
 
 STATEMENT = [*VALUE, "quality", "n_sources"]
 
 
 class Resolution(NamedTuple):
+    """Result statements, their source rows, and the hashes of those statements
+    that may have very many sources."""
+
     statements: DataFrame
     support: DataFrame
+    heavy: list[int] = []
+
+    def plus(self, other: Resolution) -> Resolution:
+        return Resolution(
+            self.statements.unionByName(other.statements),
+            self.support.unionByName(other.support),
+            [*self.heavy, *other.heavy],
+        )
 
 
 @dataclass(frozen=True)
 class Clusters:
     """What a resolution function works on.
 
-    ``values``: the distinct values with weights, quality and strategy fields.
-    ``members``: their (value, graph, weight) rows. ``large`` says that the members
-    are many enough for heavy keys to matter.
+    ``members`` holds the (value, graph, weight) rows of the function's properties.
+    ``large`` says that they are many enough for heavy keys to matter; they should
+    then be a written table.
     """
 
-    values: DataFrame
     members: DataFrame
+    rules: Rules
     agree: float = 4.0
     span: float = MAX_DATE_DIFFERENCE
     large: bool = False
-    options: dict = field(default_factory=dict)
+    cache: dict = field(default_factory=dict, compare=False)
+
+    @cached_property
+    def values(self) -> DataFrame:
+        """Distinct values with weights, strategy fields and quality."""
+        return judge_values(value_stats(self.members), self.rules, self.agree, self.span)
 
     @cached_property
     def heavy_clusters(self) -> list[int]:
@@ -73,10 +84,35 @@ class Clusters:
     def heavy_values(self) -> list[int]:
         return heavy_keys(self.members, VALUE) if self.large else []
 
-    def supporters(self, chosen: DataFrame) -> DataFrame:
-        """Source rows of the chosen values."""
-        keys = chosen.select(*VALUE)
-        return lookup(self.members, keys, VALUE, self.heavy_values, "left_semi").select(*MEMBER)
+    def of_values(self, chosen: DataFrame) -> Resolution:
+        """The chosen values as statements, supported by the sources that claim them."""
+        support = lookup(
+            self.members, chosen.select(*VALUE), VALUE, self.heavy_values, "left_semi"
+        )
+        return Resolution(chosen.select(*STATEMENT), support.select(*MEMBER), self.heavy_values)
+
+    def of_clusters(self, computed: DataFrame, usable: Column) -> Resolution:
+        """One computed statement per cluster, supported by its usable members."""
+        graphs = self.members.where(usable).select(*CLUSTER, "g").distinct()
+        support = lookup(
+            graphs, computed.select(*VALUE), CLUSTER, self.heavy_clusters, "inner"
+        ).select(*MEMBER)
+        heavy = []
+        if self.heavy_clusters:
+            large = computed.where(key_hash(CLUSTER).isin(self.heavy_clusters))
+            heavy = [r["h"] for r in large.select(key_hash(VALUE).alias("h")).collect()]
+        return Resolution(computed.select(*STATEMENT), support, heavy)
+
+    def unusable(self, usable: Column) -> Resolution | None:
+        """What a mediating function cannot use, kept as by ALL unless IGNOREd.
+
+        The usual case, nothing unusable, is found by a filter on the members, and
+        then no quality has to be computed.
+        """
+        ignored = self.rules.having("agg_error", IGNORE)
+        if self.members.where(~usable & ~ignored).isEmpty():
+            return None
+        return self.of_values(self.values.where(~usable & ~ignored))
 
 
 Resolver = Callable[[Clusters], Resolution]
@@ -96,7 +132,9 @@ def register(name: str) -> Callable[[Resolver], Resolver]:
 @register("ALL")
 def resolve_all(clusters: Clusters) -> Resolution:
     """Every distinct value."""
-    return Resolution(clusters.values.select(*STATEMENT), clusters.members.select(*MEMBER))
+    return Resolution(
+        clusters.values.select(*STATEMENT), clusters.members.select(*MEMBER), clusters.heavy_values
+    )
 
 
 def first_value(values: DataFrame, *order: Column) -> DataFrame:
@@ -113,115 +151,100 @@ def first_value(values: DataFrame, *order: Column) -> DataFrame:
 @register("BEST")
 def resolve_best(clusters: Clusters) -> Resolution:
     """The value of the highest quality; then most sources, then smallest value."""
-    best = first_value(clusters.values, -F.col("quality"), -F.col("n_sources"))
-    return Resolution(best, clusters.supporters(best))
-
-
-def mean_text(exact: Column, double: Column) -> Column:
-    """Mean as text: six decimals when it was summed exactly, else the double."""
-    return F.coalesce(
-        exact.try_cast("decimal(38,10)").cast("decimal(38,6)").cast("string"),
-        double.cast("string"),
+    return clusters.of_values(
+        first_value(clusters.values, -F.col("quality"), -F.col("n_sources"))
     )
 
 
-def with_number(df: DataFrame) -> DataFrame:
-    return df.withColumn("x", as_number(F.col("o_kind"), F.col("o")))
+def number() -> Column:
+    """Double value of a numeric object, else null."""
+    return as_number(F.col("o_kind"), F.col("o"))
 
 
-def pass_through(clusters: Clusters, usable: Column) -> Resolution:
-    """What a mediating function cannot use, returned as by ALL unless IGNOREd."""
-    rest = clusters.values.where(~usable & (F.col("agg_error") != IGNORE))
-    return Resolution(rest.select(*STATEMENT), clusters.supporters(rest))
+def exact_or_double(exact: Column, double: Column) -> tuple[Column, Column]:
+    """Text and datatype of a computed number: six decimals when it is exact."""
+    text = F.coalesce(exact.cast("decimal(38,6)").cast("string"), double.cast("string"))
+    return text, F.when(exact.isNotNull(), F.lit(XSD_DECIMAL)).otherwise(F.lit(XSD_DOUBLE))
 
 
-def numeric_result(
-    clusters: Clusters, exact: Column, double: Column
-) -> DataFrame:
-    """Clusters with a number computed from their usable members.
+def number_totals(clusters: Clusters) -> DataFrame:
+    """Totals over the numeric members of each cluster, by way of totals per graph.
 
-    ``exact`` and ``double`` aggregate the per-graph sums ``k`` (values), ``sd``
-    (decimal sum) and ``sx`` (double sum).
+    ``n`` members from ``n_sources`` graphs, their sum as a double (``sum_x``) and,
+    if every literal fits, as a decimal (``sum_d``), and their mean weight (``base``).
     """
-    usable = with_number(clusters.members).where(F.col("x").isNotNull())
-    per_graph = usable.groupBy(*CLUSTER, "g").agg(
-        F.count(F.lit(1)).alias("k"),
-        # Null as soon as one literal does not fit, so exact sums are all or nothing.
-        F.when(
-            F.count(F.col("o").try_cast("decimal(28,10)")) == F.count(F.lit(1)),
-            F.try_sum(F.col("o").try_cast("decimal(28,10)")),
-        ).alias("sd"),
-        F.sum("x").alias("sx"),
-        F.max("w").alias("w"),
+    decimal = F.col("o").try_cast("decimal(28,10)")
+    per_graph = (
+        clusters.members.where(number().isNotNull())
+        .withColumns({"x": number(), "d": decimal})
+        .groupBy(*CLUSTER, "g")
+        .agg(
+            F.count(F.lit(1)).alias("n"),
+            F.when(F.count("d") == F.count(F.lit(1)), F.try_sum("d")).alias("d"),
+            F.sum("x").alias("x"),
+            F.max("w").alias("w"),
+        )
     )
+    # The explicit multiply keeps the mean weight a mean over members, not graphs.
     return per_graph.groupBy(*CLUSTER).agg(
         F.count(F.lit(1)).alias("n_sources"),
-        (F.sum(F.col("w") * F.col("k")) / F.sum("k")).alias("base"),
-        exact.alias("_exact"),
-        double.alias("mean"),
+        F.sum("n").alias("n"),
+        F.sum("x").alias("sum_x"),
+        F.when(F.count("d") == F.count(F.lit(1)), F.try_sum("d")).alias("sum_d"),
+        (F.sum(F.col("w") * F.col("n")) / F.sum("n")).alias("base"),
     )
 
 
-@register("AVG")
-def resolve_avg(clusters: Clusters) -> Resolution:
-    """Mean over the numeric members; the rest by the aggregation-error strategy.
+def computed_number(clusters: Clusters, exact: Column, double: Column) -> DataFrame:
+    """Statements with a number derived from the totals of each cluster.
 
-    Its conflict is measured from the mean to each contributing member.
+    The conflict is measured from that number to each contributing member.
     """
-    complete = F.count("sd") == F.count(F.lit(1))
-    means = numeric_result(
-        clusters,
-        F.when(complete, F.try_sum("sd") / F.sum("k").cast("decimal(19,0)")),
-        F.sum("sx") / F.sum("k"),
-    )
-    numbers = with_number(clusters.values).where(F.col("x").isNotNull())
-    met = lookup(numbers, means.withColumnRenamed("n_sources", "_n"), CLUSTER, clusters.heavy_clusters, "inner")
-    gap = number_distance(F.col("mean"), F.col("x"))
-    weight = F.sum("w_sum")
-    conf = F.when(
-        (F.max("cardinality") == SINGLEVALUED) & (weight > 0),
-        F.sum(F.col("w_sum") * gap) / weight,
-    ).otherwise(F.lit(0.0))
-    exact = F.max("_exact").cast("decimal(38,10)")
-    result = (
-        met.groupBy(*CLUSTER)
-        .agg(
-            F.max("base").alias("base"),
-            conf.alias("conf"),
-            F.max("_n").alias("n_sources"),
-            mean_text(exact, F.max("mean")).alias("o"),
-            F.when(F.max("_exact").isNotNull(), F.lit(XSD_DECIMAL))
-            .otherwise(F.lit(XSD_DOUBLE))
-            .alias("o_dt"),
+    text, datatype = exact_or_double(exact, double)
+    single = clusters.rules.having("cardinality", SINGLEVALUED)
+    result = number_totals(clusters).withColumns({"mid": double, "text": text, "dt": datatype})
+    conf = F.lit(0.0)
+    if SINGLEVALUED in clusters.rules.used("cardinality"):
+        weights = (
+            clusters.members.where(number().isNotNull() & single)
+            .groupBy(*CLUSTER, number().alias("x"))
+            .agg(F.sum("w").alias("w"))
         )
-        .select(
-            *CLUSTER,
-            F.lit(LITERAL).alias("o_kind"),
-            "o",
-            "o_dt",
-            F.lit("").alias("o_lang"),
-            agreement_quality(
-                F.col("base"), F.col("conf"), F.lit(0.0), clusters.agree
-            ).alias("quality"),
-            "n_sources",
+        gaps = lookup(
+            weights, result.select(*CLUSTER, "mid"), CLUSTER, clusters.heavy_clusters, "inner"
         )
-    )
-    graphs = (
-        with_number(clusters.members)
-        .where(F.col("x").isNotNull())
-        .select(*CLUSTER, "g")
-        .distinct()
-    )
-    support = lookup(
-        graphs, result.select(*VALUE), CLUSTER, clusters.heavy_clusters, "inner"
-    ).select(*MEMBER)
-    usable = as_number(F.col("o_kind"), F.col("o")).isNotNull()
-    rest = pass_through(clusters, usable)
-    return Resolution(
-        result.unionByName(rest.statements), support.unionByName(rest.support)
+        conflict = gaps.groupBy(*CLUSTER).agg(
+            F.sum(F.col("w") * number_distance(F.col("mid"), F.col("x"))).alias("gap"),
+            F.sum("w").alias("mass"),
+        )
+        result = result.join(conflict, CLUSTER, "left")
+        conf = F.when(F.col("mass") > 0, F.col("gap") / F.col("mass")).otherwise(F.lit(0.0))
+    return result.select(
+        *CLUSTER,
+        F.lit(LITERAL).alias("o_kind"),
+        F.col("text").alias("o"),
+        F.col("dt").alias("o_dt"),
+        F.lit("").alias("o_lang"),
+        agreement_quality(F.col("base"), conf, F.lit(0.0), clusters.agree).alias("quality"),
+        "n_sources",
     )
 
 
+def mediate(clusters: Clusters, computed: DataFrame, usable: Column) -> Resolution:
+    """A computed statement per cluster, and the rest by the error strategy."""
+    result = clusters.of_clusters(computed, usable)
+    rest = clusters.unusable(usable)
+    return result if rest is None else result.plus(rest)
+
+
+@register("AVG")
+def resolve_avg(clusters: Clusters) -> Resolution:
+    """Mean over the numeric members, exact where all literals are plain decimals."""
+    exact = (F.col("sum_d") / F.col("n").cast("decimal(19,0)")).cast("decimal(38,10)")
+    computed = computed_number(clusters, exact, F.col("sum_x") / F.col("n"))
+    return mediate(clusters, computed, number().isNotNull())
+
+
 @register(NESTED)
 def resolve_nested(clusters: Clusters) -> Resolution:
     """Values as by ALL; their quality is settled by ``nested_quality`` afterwards."""
@@ -246,68 +269,48 @@ def nested_quality(
     return met.withColumn("quality", F.coalesce(inner, F.col("quality"))).select(*nested.columns)
 
 
-def judge_values(
-    members: DataFrame,
-    policy: DataFrame,
-    single: bool,
-    agree: float,
-    span: float = MAX_DATE_DIFFERENCE,
-) -> DataFrame:
-    """Distinct values with the strategy of their property and their quality."""
-    values = assign_policy(value_stats(members), policy)
-    if not single:
-        return unopposed_quality(values, agree)
-    return value_quality(values, agree, span)
-
-
 def resolve(
-    values: DataFrame,
     members: DataFrame,
-    policy: DataFrame,
-    functions: set[str],
+    rules: Rules,
     agree: float,
     span: float = MAX_DATE_DIFFERENCE,
     large: bool = False,
 ) -> Resolution:
     """Apply each property's resolution function and put the results together.
 
-    ``functions`` are the names in use; every one of them must be registered.
+    Every function reads only the members of its own properties.
     """
-    missing = functions - REGISTRY.keys()
+    functions = sorted(rules.used("function"))
+    missing = [f for f in functions if f not in REGISTRY]
     if missing:
-        raise ValueError(f"unknown resolution function: {', '.join(sorted(missing))}")
-    ruled = assign_policy(members, policy) if len(functions) > 1 else members
-    plain: Resolution | None = None
-    nested: Resolution | None = None
-    for name in sorted(functions):
-        if len(functions) > 1:
-            own = F.col("function") == name
-            clusters = Clusters(values.where(own), ruled.where(own), agree, span, large)
-        else:
-            clusters = Clusters(values, members, agree, span, large)
-        part = REGISTRY[name](clusters)
-        if name == NESTED:
-            nested = part
-        elif plain is None:
-            plain = part
-        else:
-            plain = Resolution(
-                plain.statements.unionByName(part.statements),
-                plain.support.unionByName(part.support),
-            )
-    if nested is None:
-        assert plain is not None
-        return plain
-    everything = nested.statements
-    if plain is not None:
-        everything = everything.unionByName(plain.statements)
-    heavy = heavy_keys(nested.statements, ["o"]) if large else []
-    settled = nested_quality(nested.statements, everything, heavy)
-    if plain is None:
-        return Resolution(settled, nested.support)
-    return Resolution(
-        plain.statements.unionByName(settled), plain.support.unionByName(nested.support)
-    )
+        raise ValueError(f"unknown resolution function: {', '.join(missing)}")
+    done: dict[str, Resolution] = {}
+    for name in functions:
+        own = members.where(rules.having("function", name))
+        done[name] = REGISTRY[name](
+            Clusters(own, rules.only("function", name), agree, span, large)
+        )
+    if NESTED in done:
+        # Children can be resolved by any function, so all statements are read twice.
+        base = {
+            n: r._replace(statements=materialize(r.statements, "resolved"))
+            for n, r in done.items()
+        }
+        everything = None
+        for part in base.values():
+            rows = part.statements
+            everything = rows if everything is None else everything.unionByName(rows)
+        nested = base[NESTED]
+        heavy = heavy_keys(nested.statements, ["o"]) if large else []
+        base[NESTED] = nested._replace(
+            statements=nested_quality(nested.statements, everything, heavy)
+        )
+        done = base
+    parts = list(done.values())
+    whole = parts[0]
+    for part in parts[1:]:
+        whole = whole.plus(part)
+    return whole
 
 
 def as_statements(df: DataFrame) -> DataFrame:
@@ -315,16 +318,34 @@ def as_statements(df: DataFrame) -> DataFrame:
     return with_nulls(df.withColumnRenamed("res", "s"))
 
 
-def source_lists(
-    resolution: Resolution, limit: int | None = None, heavy: list[int] | None = None
-) -> DataFrame:
-    """Statements with sorted source names; very long lists take several rows."""
-    statements = without_nulls(resolution.statements)
-    rows = lookup(without_nulls(resolution.support), statements, ["s", "p", *TERM], heavy, "inner")
-    lists = bounded_lists(rows, statements.columns, "g", "sources", limit, size="n_sources")
-    return with_nulls(lists)
+def source_lists(resolution: Resolution, limit: int | None = None) -> DataFrame:
+    """Statements with sorted source names; very long lists take several rows.
+
+    Takes the inside form. The join and the grouping share one partitioning.
+    """
+    rows = lookup(resolution.support, resolution.statements, VALUE, resolution.heavy, "inner")
+    lists = bounded_lists(
+        rows, resolution.statements.columns, "g", "sources", limit, size="n_sources"
+    )
+    return as_statements(lists)
 
 
 def with_result_graph(statements: DataFrame, prefix: str, infix: str) -> DataFrame:
     """Name of the result graph: prefix, infix and a slash."""
     return statements.withColumn("g", F.lit(f"{prefix}{infix}/"))
+
+
+__all__ = [
+    "REGISTRY",
+    "STATEMENT",
+    "TERM",
+    "Clusters",
+    "Resolution",
+    "Rules",
+    "as_statements",
+    "assign_policy",
+    "register",
+    "resolve",
+    "source_lists",
+    "without_nulls",
+]
