@@ -416,3 +416,65 @@ ORACLES: dict[str, str] = {
         **FUSED_VALUES,
     ),
 }
+
+
+# Further functions: all over the unmerged claims, MANYVALUED, unusable values ignored.
+ALONE = f"SELECT *, {quality('w_max', '0.0::double', 'w_sum - w_max')} AS quality FROM vals"
+ROW = f"SELECT s, p, o, n_sources, {six('quality')} AS quality FROM"
+
+
+def first_by(order: str, where: str = "true", count: int = 1) -> str:
+    return compose(
+        f"{ROW} (SELECT * FROM judged WHERE {where} QUALIFY row_number() OVER "
+        f"(PARTITION BY s, p ORDER BY {order}) <= {count})",
+        "plain",
+        vals=values_part("plain"),
+        judged=ALONE,
+    )
+
+
+def computed(number: str) -> str:
+    return compose(
+        f"SELECT s, p, cast({number} AS decimal(38,6))::varchar AS o, count(DISTINCT g) AS n_sources, "
+        f"{six(steps('avg(w)'))} AS quality FROM plain WHERE {NUMERIC} "
+        "AND p IN ('http://ex/p/price', 'http://ex/p/qty') GROUP BY s, p",
+        "plain",
+    )
+
+
+def kept(where: str) -> str:
+    return compose(
+        f"{ROW} judged v WHERE {where}", "plain", vals=values_part("plain"), judged=ALONE
+    )
+
+
+MEASURES = "p IN ('http://ex/p/price', 'http://ex/p/qty')"
+
+ORACLES |= {
+    "e18_any": first_by("o"),
+    "e18_min": first_by("cast(o AS double), o", f"{MEASURES} AND {NUMERIC}"),
+    "e18_max": first_by("-cast(o AS double), o", f"{MEASURES} AND {NUMERIC}"),
+    "e18_median": computed("median(cast(o AS double))"),
+    "e18_sum": computed("sum(cast(o AS decimal(18,2)))"),
+    "e18_longest": first_by("-length(o), o"),
+    "e18_shortest": first_by("length(o), o"),
+    "e18_vote": first_by("-n_sources, o"),
+    "e18_weighted_vote": first_by(f"-{steps('w_sum')}, o"),
+    "e18_top_n": first_by("quality DESC, n_sources DESC, o", count=3),
+    "e18_threshold": kept("quality >= 0.8"),
+    "e18_choose_source": kept(
+        "EXISTS (SELECT 1 FROM plain c WHERE c.s = v.s AND c.p = v.p AND c.o = v.o "
+        "AND c.g = 'http://ex/g/3')"
+    ),
+    "e18_best_source": kept(
+        "EXISTS (SELECT 1 FROM plain c JOIN (SELECT s, p, g FROM plain QUALIFY row_number() OVER "
+        "(PARTITION BY s, p ORDER BY w DESC, g) = 1) b ON c.s = b.s AND c.p = b.p AND c.g = b.g "
+        "WHERE c.s = v.s AND c.p = v.p AND c.o = v.o)"
+    ),
+    "e18_most_recent": first_by("o DESC", "p = 'http://ex/p/shipped'"),
+    "e18_none": compose(
+        f"SELECT s, p, o, n_sources, {six(steps('w_max'))} AS quality FROM vals",
+        "plain",
+        vals=values_part("plain"),
+    ),
+}

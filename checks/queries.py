@@ -522,3 +522,44 @@ def g1_fuse_filtered(spark, sf):
     return fused(spark, sf, config, with_classes=True).statements.select(
         "s", "p", "o", "n_sources", rounded(F.col("quality")).alias("quality")
     )
+
+
+# Further functions ----------------------------------------------------------------
+
+
+def _fused_by(name: str, properties: tuple[str, ...], **params: str) -> Query:
+    """A registered function over all claims of some properties."""
+
+    def run(spark, sf):
+        quads = claims(spark, sf).where(F.col("p").isin([f"{P}{x}" for x in properties]))
+        rows = members(spark, sf, quads, merged=False)
+        strategy = Strategy(name, agg_error=IGNORE, params=params)
+        rules = rules_for(spark, **dict.fromkeys(properties, strategy)).only("function", name)
+        return as_statements(REGISTRY[name](Clusters(rows, rules, AGREE)).statements).select(
+            "s", "p", "o", "n_sources", rounded(F.col("quality")).alias("quality")
+        )
+
+    return run
+
+
+SOME_SOURCE = "http://ex/g/3"
+EVERY = ("price", "discount", "flag", "qty", "shipped")
+
+for _name, _properties, _params in (
+    ("ANY", EVERY, {}),
+    ("MIN", ("price", "qty"), {}),
+    ("MAX", ("price", "qty"), {}),
+    ("MEDIAN", ("price", "qty"), {}),
+    ("SUM", ("price", "qty"), {}),
+    ("LONGEST", EVERY, {}),
+    ("SHORTEST", EVERY, {}),
+    ("VOTE", EVERY, {}),
+    ("WEIGHTED_VOTE", EVERY, {}),
+    ("TOP_N", EVERY, {"n": "3"}),
+    ("THRESHOLD", EVERY, {"threshold": "0.8"}),
+    ("CHOOSE_SOURCE", EVERY, {"source": SOME_SOURCE}),
+    ("BEST_SOURCE", EVERY, {}),
+    ("MOST_RECENT", ("shipped", "flag"), {}),
+    ("NONE", EVERY, {}),
+):
+    QUERIES[f"e18_{_name.lower()}"] = _fused_by(_name, _properties, **_params)

@@ -1 +1,196 @@
-"""Further resolution functions of the registry."""
+"""Further resolution functions of the registry.
+
+All of them end in partial aggregates (``min`` of a struct, sums, counts), group
+limits or filters, so a cluster of any size is reduced where its rows are.
+"""
+
+from __future__ import annotations
+
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
+
+from quadweld.functions.terms import as_seconds, quantise
+from quadweld.operators.quality import CLUSTER, VALUE, value_stats
+from quadweld.operators.resolve import (
+    Clusters,
+    Resolution,
+    computed_number,
+    first_value,
+    mediate,
+    number,
+    number_totals,
+    register,
+)
+from quadweld.operators.running import cumulate
+from quadweld.operators.stage import lookup
+
+
+def _decided(clusters: Clusters, usable: Column, *order: Column) -> Resolution:
+    """The first usable value, and the rest by the error strategy."""
+    best = first_value(clusters.values.where(usable), *order)
+    rest = clusters.unusable(usable)
+    chosen = clusters.of_values(best)
+    return chosen if rest is None else chosen.plus(rest)
+
+
+def _always() -> Column:
+    return F.lit(True)
+
+
+@register("ANY")
+def resolve_any(clusters: Clusters) -> Resolution:
+    """One value; always the least term, so that reruns agree."""
+    return _decided(clusters, _always())
+
+
+@register("MIN")
+def resolve_min(clusters: Clusters) -> Resolution:
+    """The value with the least number."""
+    return _decided(clusters, number().isNotNull(), number())
+
+
+@register("MAX")
+def resolve_max(clusters: Clusters) -> Resolution:
+    """The value with the greatest number."""
+    return _decided(clusters, number().isNotNull(), -number())
+
+
+@register("LONGEST")
+def resolve_longest(clusters: Clusters) -> Resolution:
+    return _decided(clusters, _always(), -F.length("o"))
+
+
+@register("SHORTEST")
+def resolve_shortest(clusters: Clusters) -> Resolution:
+    return _decided(clusters, _always(), F.length("o"))
+
+
+@register("VOTE")
+def resolve_vote(clusters: Clusters) -> Resolution:
+    """The value with most sources."""
+    return _decided(clusters, _always(), -F.col("n_sources"))
+
+
+@register("WEIGHTED_VOTE")
+def resolve_weighted_vote(clusters: Clusters) -> Resolution:
+    """The value whose sources have the greatest total score."""
+    return _decided(clusters, _always(), -quantise(F.col("w_sum")))
+
+
+@register("MOST_RECENT")
+def resolve_most_recent(clusters: Clusters) -> Resolution:
+    """The value with the latest date."""
+    seconds = as_seconds(F.col("o_kind"), F.col("o"))
+    return _decided(clusters, seconds.isNotNull(), -seconds)
+
+
+@register("SUM")
+def resolve_sum(clusters: Clusters) -> Resolution:
+    """Sum over the numeric members."""
+    exact = F.col("sum_d").cast("decimal(38,10)")
+    computed = computed_number(
+        clusters, number_totals(clusters), exact, F.col("sum_x"), opposed=False
+    )
+    return mediate(clusters, computed, number().isNotNull())
+
+
+def _middle(clusters: Clusters) -> DataFrame:
+    """The middle number, or the two middle numbers, of each cluster."""
+    counted = (
+        clusters.members.where(number().isNotNull())
+        .groupBy(*CLUSTER, number().alias("x"))
+        .agg(
+            F.count(F.lit(1)).alias("n"),
+            F.min(F.col("o").try_cast("decimal(28,10)")).alias("d"),
+        )
+    )
+    placed = cumulate(counted, CLUSTER, ["x"], "n", "upto", clusters.heavy_clusters)
+    totals = counted.groupBy(*CLUSTER).agg(F.sum("n").alias("all"))
+    met = lookup(placed, totals, CLUSTER, clusters.heavy_clusters, "inner")
+
+    def holds(position: Column) -> Column:
+        return (F.col("upto") >= position) & (F.col("upto") - F.col("n") < position)
+
+    low = holds(F.floor((F.col("all") + 1) / 2))
+    high = holds(F.floor(F.col("all") / 2) + 1)
+    return met.groupBy(*CLUSTER).agg(
+        *[
+            F.max(F.when(side, F.col(c))).alias(f"{c}_{name}")
+            for name, side in (("low", low), ("high", high))
+            for c in ("x", "d")
+        ]
+    )
+
+
+@register("MEDIAN")
+def resolve_median(clusters: Clusters) -> Resolution:
+    """Median over the numeric members."""
+    totals = number_totals(clusters).join(_middle(clusters), CLUSTER)
+    half = F.lit(2).cast("decimal(1,0)")
+    # Exact only where every literal is a plain decimal, as in the sum.
+    exact = F.when(
+        F.col("sum_d").isNotNull(), (F.col("d_low") + F.col("d_high")) / half
+    ).cast("decimal(38,10)")
+    double = (F.col("x_low") + F.col("x_high")) / F.lit(2.0)
+    computed = computed_number(clusters, totals, exact, double)
+    return mediate(clusters, computed, number().isNotNull())
+
+
+@register("TOP_N")
+def resolve_top_n(clusters: Clusters) -> Resolution:
+    """The ``n`` values of the highest quality (parameter ``n``, 1 by default).
+
+    A row number compared with a constant becomes a group limit, which drops the
+    other rows before the shuffle.
+    """
+    ranked = Window.partitionBy(*CLUSTER).orderBy(
+        F.desc("quality"), F.desc("n_sources"), "o", "o_dt", "o_lang", "o_kind"
+    )
+    parts = [
+        clusters.values.where(has)
+        .withColumn("_rank", F.row_number().over(ranked))
+        .where(F.col("_rank") <= int(n))
+        .drop("_rank")
+        for n, has in clusters.parameter("n", "1").items()
+    ]
+    return clusters.of_values(reduce(DataFrame.unionByName, parts))
+
+
+@register("THRESHOLD")
+def resolve_threshold(clusters: Clusters) -> Resolution:
+    """Values whose quality reaches the parameter ``threshold`` (0 by default)."""
+    reached = F.lit(False)
+    for threshold, has in clusters.parameter("threshold", "0").items():
+        reached = reached | (has & (F.col("quality") >= F.lit(float(threshold))))
+    return clusters.of_values(clusters.values.where(reached))
+
+
+@register("CHOOSE_SOURCE")
+def resolve_choose_source(clusters: Clusters) -> Resolution:
+    """Values claimed by the graph named in the parameter ``source``."""
+    claimed = F.lit(False)
+    for source, has in clusters.parameter("source", "").items():
+        claimed = claimed | (has & (F.col("g") == source))
+    keys = clusters.members.where(claimed).select(*VALUE).distinct()
+    return clusters.of_values(lookup(clusters.values, keys, VALUE, None, "left_semi"))
+
+
+@register("BEST_SOURCE")
+def resolve_best_source(clusters: Clusters) -> Resolution:
+    """Values claimed by the best-scored graph of the cluster."""
+    best = clusters.members.groupBy(*CLUSTER).agg(
+        F.min(F.struct((-F.col("w")).alias("rank"), "g")).alias("_best")
+    )
+    graphs = best.select(*CLUSTER, F.col("_best.g").alias("_g"))
+    met = lookup(clusters.members, graphs, CLUSTER, clusters.heavy_clusters, "inner")
+    keys = met.where(F.col("g") == F.col("_g")).select(*VALUE).distinct()
+    return clusters.of_values(lookup(clusters.values, keys, VALUE, None, "left_semi"))
+
+
+@register("NONE")
+def resolve_none(clusters: Clusters) -> Resolution:
+    """Every value with the best score of its sources; nothing is weighed up."""
+    values = value_stats(clusters.members).withColumn("quality", quantise(F.col("w_max")))
+    return clusters.of_values(values)

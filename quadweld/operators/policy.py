@@ -118,6 +118,23 @@ class Rules:
             default = None
         return Rules(self.table, named, default)
 
+    def params(self, name: str, default: str) -> list[str]:
+        """Values of a strategy parameter over all strategies."""
+        rows = [*self.named.values(), *([self.default] if self.default else [])]
+        return sorted({(r["params"] or {}).get(name, default) for r in rows})
+
+    def having_param(self, name: str, value: str, default: str) -> Column:
+        """Condition on ``p``: its strategy has this parameter value."""
+
+        def has(row: Row) -> bool:
+            return (row["params"] or {}).get(name, default) == value
+
+        hits = [p for p, r in self.named.items() if has(r)]
+        misses = [p for p, r in self.named.items() if not has(r)]
+        if self.default is not None and has(self.default):
+            return ~F.col("p").isin(misses) if misses else F.lit(True)
+        return F.col("p").isin(hits) if hits else F.lit(False)
+
     def properties(self, field: str, value: str) -> list[str]:
         return sorted(p for p, r in self.named.items() if self._value(r, field) == value)
 

@@ -11,7 +11,7 @@ Inside a resolution an absent datatype or language is '' (see ``without_nulls``)
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from functools import cached_property
 from typing import NamedTuple
 
@@ -69,7 +69,6 @@ class Clusters:
     agree: float = 4.0
     span: float = MAX_DATE_DIFFERENCE
     large: bool = False
-    cache: dict = field(default_factory=dict, compare=False)
 
     @cached_property
     def values(self) -> DataFrame:
@@ -103,6 +102,10 @@ class Clusters:
             heavy = [r["h"] for r in large.select(key_hash(VALUE).alias("h")).collect()]
         return Resolution(computed.select(*STATEMENT), support, heavy)
 
+    def parameter(self, name: str, default: str) -> dict[str, Column]:
+        """Values of a strategy parameter, each with its condition on ``p``."""
+        return {v: self.rules.having_param(name, v, default) for v in self.rules.params(name, default)}
+
     def unusable(self, usable: Column) -> Resolution | None:
         """What a mediating function cannot use, kept as by ALL unless IGNOREd.
 
@@ -185,7 +188,7 @@ def number_totals(clusters: Clusters) -> DataFrame:
             F.max("w").alias("w"),
         )
     )
-    # The explicit multiply keeps the mean weight a mean over members, not graphs.
+    # A graph with several values counts once per value in the mean weight.
     return per_graph.groupBy(*CLUSTER).agg(
         F.count(F.lit(1)).alias("n_sources"),
         F.sum("n").alias("n"),
@@ -195,16 +198,19 @@ def number_totals(clusters: Clusters) -> DataFrame:
     )
 
 
-def computed_number(clusters: Clusters, exact: Column, double: Column) -> DataFrame:
+def computed_number(
+    clusters: Clusters, totals: DataFrame, exact: Column, double: Column, opposed: bool = True
+) -> DataFrame:
     """Statements with a number derived from the totals of each cluster.
 
-    The conflict is measured from that number to each contributing member.
+    The conflict is measured from that number to each contributing member, unless
+    the number is not on the members' scale (``opposed=False``).
     """
     text, datatype = exact_or_double(exact, double)
     single = clusters.rules.having("cardinality", SINGLEVALUED)
-    result = number_totals(clusters).withColumns({"mid": double, "text": text, "dt": datatype})
+    result = totals.withColumns({"mid": double, "text": text, "dt": datatype})
     conf = F.lit(0.0)
-    if SINGLEVALUED in clusters.rules.used("cardinality"):
+    if opposed and SINGLEVALUED in clusters.rules.used("cardinality"):
         weights = (
             clusters.members.where(number().isNotNull() & single)
             .groupBy(*CLUSTER, number().alias("x"))
@@ -241,7 +247,8 @@ def mediate(clusters: Clusters, computed: DataFrame, usable: Column) -> Resoluti
 def resolve_avg(clusters: Clusters) -> Resolution:
     """Mean over the numeric members, exact where all literals are plain decimals."""
     exact = (F.col("sum_d") / F.col("n").cast("decimal(19,0)")).cast("decimal(38,10)")
-    computed = computed_number(clusters, exact, F.col("sum_x") / F.col("n"))
+    mean = F.col("sum_x") / F.col("n")
+    computed = computed_number(clusters, number_totals(clusters), exact, mean)
     return mediate(clusters, computed, number().isNotNull())
 
 

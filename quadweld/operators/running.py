@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quadweld.operators.stage import materialize
+from quadweld.operators.stage import key_hash, materialize
 
 # monotonically_increasing_id keeps the row position in the low 33 bits.
 _POSITION_BITS = 33
@@ -88,3 +88,25 @@ def running_totals(
     for dst in sums:
         totals = totals.withColumn(dst, F.col(dst) + F.col(f"_c_{dst}"))
     return totals.drop("_part", *[f"_c_{dst}" for dst in sums])
+
+
+def cumulate(
+    df: DataFrame,
+    group: list[str],
+    order: list[str],
+    column: str,
+    out: str,
+    heavy: list[int] | None = None,
+) -> DataFrame:
+    """Inclusive running total of ``column``; heavy groups are summed over ranges."""
+    upto = (
+        Window.partitionBy(*group)
+        .orderBy(*order)
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    total = F.sum(column).over(upto).cast("double")
+    if not heavy:
+        return df.withColumn(out, total)
+    is_heavy = key_hash(group).isin(heavy)
+    ranged = running_totals(df.where(is_heavy), group, order, {out: column}, {})
+    return df.where(~is_heavy).withColumn(out, total).unionByName(ranged)
