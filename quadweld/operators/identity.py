@@ -161,12 +161,13 @@ def map_terms(
         nodes = quads.where(F.col("o_kind").isin(IRI, BNODE))
         others = quads.where(~F.col("o_kind").isin(IRI, BNODE))
         quads = _map_column(nodes, mapping, "o", spread=True).unionByName(others)
-    if "p" in columns:
-        used = quads.select(F.col("p").alias("uri")).distinct()
-        renamed = materialize(mapping.join(used, "uri", "left_semi"), "predicates")
-        quads = _map_column(quads, renamed, "p", spread=not is_small(renamed))
-    if "s" in columns:
-        quads = _map_column(quads, mapping, "s", spread=True)
+    for column in columns:
+        if column == "p":
+            used = quads.select(F.col("p").alias("uri")).distinct()
+            renamed = materialize(mapping.join(used, "uri", "left_semi"), "predicates")
+            quads = _map_column(quads, renamed, "p", spread=not is_small(renamed))
+        elif column != "o":
+            quads = _map_column(quads, mapping, column, spread=True)
     return quads
 
 

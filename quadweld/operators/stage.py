@@ -11,6 +11,7 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType
 
 # Tables below this many rows cannot hold a key worth splitting.
 HEAVY_FLOOR = 1_000_000
@@ -90,7 +91,10 @@ def lookup(
     if not heavy:
         return fact.join(dim, on, how)
     is_heavy = key_hash(on).isin(heavy)
-    others = [c for c in fact.columns if c not in on] or on
+    # Any other columns that can be hashed tell the rows of one key apart.
+    others = [
+        f.name for f in fact.schema if f.name not in on and not isinstance(f.dataType, MapType)
+    ] or on
     salted = fact.withColumn(
         "_salt",
         F.when(is_heavy, F.pmod(F.xxhash64(*others), F.lit(SALTS))).otherwise(F.lit(0)).cast("int"),
