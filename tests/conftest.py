@@ -7,8 +7,12 @@ from quadweld.operators import stage
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     session = (
-        SparkSession.builder.master("local[8]")
-        .config("spark.sql.shuffle.partitions", "4")
+        SparkSession.builder.master("local[4]")
+        # Tables of a few rows: compiling and re-planning would take most of the time.
+        .config("spark.sql.shuffle.partitions", "3")
+        .config("spark.sql.codegen.wholeStage", "false")
+        .config("spark.sql.codegen.factoryMode", "NO_CODEGEN")
+        .config("spark.sql.adaptive.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "4g")
