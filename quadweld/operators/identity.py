@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from quadweld.model import BNODE, IRI, URI_SCHEMA
 from quadweld.operators import stage
 from quadweld.operators.lists import bounded_lists
-from quadweld.operators.stage import attach, heavy_keys, is_small, key_hash, lookup, materialize
+from quadweld.operators.stage import heavy_keys, is_small, key_hash, lookup, materialize
 
 MAX_ROUNDS = 60
 

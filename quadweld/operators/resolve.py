@@ -26,13 +26,12 @@ from quadweld.model import (
     MAX_DATE_DIFFERENCE,
     NESTED,
     SINGLEVALUED,
-    TERM,
     XSD_DECIMAL,
     XSD_DOUBLE,
 )
 from quadweld.operators.lists import bounded_lists
-from quadweld.operators.members import MEMBER, judge_values, with_nulls, without_nulls
-from quadweld.operators.policy import Rules, assign_policy
+from quadweld.operators.members import MEMBER, judge_values, with_nulls
+from quadweld.operators.policy import Rules
 from quadweld.operators.quality import CLUSTER, VALUE, agreement_quality, value_stats
 from quadweld.operators.stage import heavy_keys, key_hash, lookup, materialize
 
@@ -340,19 +339,3 @@ def source_lists(resolution: Resolution, limit: int | None = None) -> DataFrame:
 def with_result_graph(statements: DataFrame, prefix: str, infix: str) -> DataFrame:
     """Name of the result graph: prefix, infix and a slash."""
     return statements.withColumn("g", F.lit(f"{prefix}{infix}/"))
-
-
-__all__ = [
-    "REGISTRY",
-    "STATEMENT",
-    "TERM",
-    "Clusters",
-    "Resolution",
-    "Rules",
-    "as_statements",
-    "assign_policy",
-    "register",
-    "resolve",
-    "source_lists",
-    "without_nulls",
-]
