@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
-from quadweld.llm import mixing, url_filters
+from quadweld.llm import decontaminate, mixing, simhash, url_filters
 from quadweld.llm.tables import read
 
 QUERIES = {
+    "op2_simhash": lambda spark, d: simhash.op2_simhash(read(spark, d, "documents")),
+    "op3_decontaminate": lambda spark, d: decontaminate.op3_decontaminate(
+        read(spark, d, "documents"), read(spark, d, "benchmark")
+    ),
     "op7_url_filters": lambda spark, d: url_filters.op7_url_filters(read(spark, d, "pages")),
     "op9_mixing": lambda spark, d: mixing.op9_mixing(read(spark, d, "documents")),
 }
 
 ORACLES = {
+    "op3_decontaminate": decontaminate.ORACLE,
     "op7_url_filters": url_filters.ORACLE,
     "op9_mixing": mixing.ORACLE,
 }
