@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from quadweld.llm import decontaminate, mixing, simhash, url_filters
+from quadweld.llm import decontaminate, mixing, recompression, simhash, url_filters
 from quadweld.llm.tables import read
 
 QUERIES = {
@@ -12,6 +12,7 @@ QUERIES = {
     ),
     "op7_url_filters": lambda spark, d: url_filters.op7_url_filters(read(spark, d, "pages")),
     "op9_mixing": lambda spark, d: mixing.op9_mixing(read(spark, d, "documents")),
+    "op10_recompression": lambda spark, d: recompression.op10_recompression(read(spark, d, "documents")),
 }
 
 ORACLES = {
