@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from quadweld.llm import decontaminate, mixing, recompression, simhash, url_filters
+from quadweld.llm import decontaminate, mixing, recompression, simhash, url_filters, warc
 from quadweld.llm.tables import read
 
 QUERIES = {
+    "op1_warc": lambda spark, d: warc.op1_warc(read(spark, d, "pages")),
     "op2_simhash": lambda spark, d: simhash.op2_simhash(read(spark, d, "documents")),
     "op3_decontaminate": lambda spark, d: decontaminate.op3_decontaminate(
         read(spark, d, "documents"), read(spark, d, "benchmark")
@@ -16,6 +17,7 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op1_warc": warc.ORACLE,
     "op3_decontaminate": decontaminate.ORACLE,
     "op7_url_filters": url_filters.ORACLE,
     "op9_mixing": mixing.ORACLE,
