@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from quadweld.llm import decontaminate, mixing, recompression, simhash, url_filters, warc
+from quadweld.llm import decontaminate, mixing, quality_rules, recompression, simhash, url_filters, warc
 from quadweld.llm.tables import read
 
 QUERIES = {
@@ -12,6 +12,7 @@ QUERIES = {
         read(spark, d, "documents"), read(spark, d, "benchmark")
     ),
     "op7_url_filters": lambda spark, d: url_filters.op7_url_filters(read(spark, d, "pages")),
+    "op8_quality_rules": lambda spark, d: quality_rules.op8_quality_rules(read(spark, d, "documents")),
     "op9_mixing": lambda spark, d: mixing.op9_mixing(read(spark, d, "documents")),
     "op10_recompression": lambda spark, d: recompression.op10_recompression(read(spark, d, "documents")),
 }
