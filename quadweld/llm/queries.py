@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from quadweld.llm import decontaminate, mixing, quality_rules, recompression, simhash, url_filters, warc
+from quadweld.llm import decontaminate, line_quality, mixing, quality_rules, recompression, simhash, toxicity, url_filters, warc
 from quadweld.llm.tables import read
 
 QUERIES = {
@@ -11,6 +11,8 @@ QUERIES = {
     "op3_decontaminate": lambda spark, d: decontaminate.op3_decontaminate(
         read(spark, d, "documents"), read(spark, d, "benchmark")
     ),
+    "op4_toxicity": lambda spark, d: toxicity.op4_toxicity(read(spark, d, "documents"), read(spark, d, "labels")),
+    "op6_line_quality": lambda spark, d: line_quality.op6_line_quality(read(spark, d, "documents"), read(spark, d, "labels")),
     "op7_url_filters": lambda spark, d: url_filters.op7_url_filters(read(spark, d, "pages")),
     "op8_quality_rules": lambda spark, d: quality_rules.op8_quality_rules(read(spark, d, "documents")),
     "op9_mixing": lambda spark, d: mixing.op9_mixing(read(spark, d, "documents")),
