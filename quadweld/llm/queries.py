@@ -2,7 +2,18 @@
 
 from __future__ import annotations
 
-from quadweld.llm import decontaminate, line_quality, mixing, quality_rules, recompression, simhash, toxicity, url_filters, warc
+from quadweld.llm import (
+    decontaminate,
+    html_text,
+    line_quality,
+    mixing,
+    quality_rules,
+    recompression,
+    simhash,
+    toxicity,
+    url_filters,
+    warc,
+)
 from quadweld.llm.tables import read
 
 QUERIES = {
@@ -12,6 +23,7 @@ QUERIES = {
         read(spark, d, "documents"), read(spark, d, "benchmark")
     ),
     "op4_toxicity": lambda spark, d: toxicity.op4_toxicity(read(spark, d, "documents"), read(spark, d, "labels")),
+    "op5_html_text": lambda spark, d: html_text.op5_html_text(read(spark, d, "pages")),
     "op6_line_quality": lambda spark, d: line_quality.op6_line_quality(read(spark, d, "documents"), read(spark, d, "labels")),
     "op7_url_filters": lambda spark, d: url_filters.op7_url_filters(read(spark, d, "pages")),
     "op8_quality_rules": lambda spark, d: quality_rules.op8_quality_rules(read(spark, d, "documents")),
