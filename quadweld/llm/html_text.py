@@ -31,8 +31,10 @@ STEPS, RATE, PENALTY = 200, 0.1, 0.5
 
 #: Elements of HTML by their role.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-SILENT = frozenset("head script style noscript template svg math iframe object select button textarea canvas audio video".split())
-RAW = frozenset("script style textarea title noscript iframe".split())
+SILENT = frozenset(
+    "head title script style noscript template svg math iframe object select button textarea canvas audio video".split()
+)
+RAW = {tag: re.compile(f"</{tag}\\b[^>]*>?", re.I) for tag in "script style textarea title noscript iframe".split()}
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q ruby rp rt s samp small span strike "
     "strong sub sup time tt u var wbr".split()
@@ -92,7 +94,7 @@ def parsed(page: str) -> tuple[list[Node], list[str]]:
     stack: list[tuple[str, int]] = [("html", 0)]  # open elements with their block element
     buffer: list[str] = []
     links = silent = 0
-    at, raw = 0, ""
+    at = 0
 
     def flush() -> None:
         if buffer:
@@ -121,13 +123,8 @@ def parsed(page: str) -> tuple[list[Node], list[str]]:
             silent -= tag in SILENT
             stack.pop()
 
-    for m in _TOKEN.finditer(page):
+    while m := _TOKEN.search(page, at):
         shut, tag, rest = (m[1], m[2], m[3]) if m[2] else (m[4], m[5], m[6])
-        if raw:
-            # Only its own end tag ends a script or style.
-            if not (tag and shut and tag.lower() == raw):
-                continue
-            raw = ""
         hear(page[at : m.start()])
         at = m.end()
         if not tag:
@@ -157,6 +154,11 @@ def parsed(page: str) -> tuple[list[Node], list[str]]:
                         break
                 elif stack[k][0] in SCOPES and stack[k][0] not in ends:
                     break
+        if tag in RAW:
+            # Only its own end tag ends a script or style, and none of these is heard.
+            end = RAW[tag].search(page, at)
+            at = end.end() if end else len(page)
+            continue
         if tag in INLINE or tag in SILENT:
             stack.append((tag, stack[-1][1]))
             links += tag == "a"
@@ -168,12 +170,9 @@ def parsed(page: str) -> tuple[list[Node], list[str]]:
             nodes.append(Node(tag, hints_of(rest), parent, marked[1] if marked else ""))
             nodes[parent].children += 1
             stack.append((tag, len(nodes) - 1))
-        if rest.endswith("/") and tag not in PLAIN and tag not in RAW:
+        if rest.endswith("/") and tag not in PLAIN:
             close(len(stack) - 1)
-        elif tag in RAW:
-            raw = tag
-    if not raw:
-        hear(page[at:])
+    hear(page[at:])
     close(0)
     return nodes, blocks
 

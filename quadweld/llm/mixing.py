@@ -109,10 +109,34 @@ def queue(sizes: DataFrame, targets: DataFrame) -> DataFrame:
     )
 
 
+def mixed_documents(docs: DataFrame, weights=WEIGHTS, budget=BUDGET, passes=PASSES) -> DataFrame:
+    """The documents that the mix takes, range-sorted by the virtual time of their first copy.
+
+    Columns of ``docs`` with ``size``, ``copies``, ``finish`` of the first copy and ``taken`` words. Rows with equal
+    doc_id, source and size come back as one, with the copies of all of them.
+    """
+    key = F.md5(F.to_json(F.struct(F.col("doc_id").alias("d"), F.col("source").alias("s"), F.col("size").alias("n"))))
+    taken = (
+        mix(docs, weights, budget, passes)
+        .where("taken")
+        .groupBy(key.alias("_key"))
+        .agg(F.count(F.lit(1)).alias("_copies"), F.min("finish").alias("_finish"), F.sum("size").alias("_taken"))
+    )
+    named = {"size": "_size", "copies": "_copies", "finish": "_finish", "taken": "_taken"}
+    rows = docs.drop(*named).withColumn("size", _size_of(F.col("text"))).withColumn("_key", key)
+    met = rows.withColumnRenamed("size", "_size").join(taken, "_key").dropDuplicates(["_key"])
+    columns = [c for c in docs.columns if c not in named]
+    return met.select(*columns, *[F.col(v).alias(k) for k, v in named.items()]).orderBy("finish", "doc_id")
+
+
+def _size_of(text: Column) -> Column:
+    return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
+
+
 def mix(docs: DataFrame, weights=WEIGHTS, budget=BUDGET, passes=PASSES) -> DataFrame:
     """One row per copy in the queues: doc_id, source, size, target, pass, finish, and whether the mix takes it."""
     sizes = materialize(
-        docs.select("doc_id", "source", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size")),
+        docs.select("doc_id", "source", _size_of(F.col("text")).alias("size")),
         "sizes",
     )
     targets = materialize(source_targets(sizes, weights, budget, passes), "targets")

@@ -208,9 +208,10 @@ def deduplicate(docs: DataFrame) -> DataFrame:
 
     Of rows with the same doc_id one stays. A component with null ids alone keeps one row.
     """
-    keepers = near_duplicates(docs).select(F.col("component_id").alias("_keeper")).distinct()
-    kept = docs.join(keepers, docs["doc_id"].eqNullSafe(keepers["_keeper"]))
-    return kept.dropDuplicates(["doc_id"]).select(*docs.columns)
+    key = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("none"))
+    keepers = near_duplicates(docs).select(key("component_id").alias("_keeper")).distinct()
+    kept = docs.withColumn("_keeper", key("doc_id")).join(keepers, "_keeper")
+    return kept.dropDuplicates(["_keeper"]).select(*docs.columns)
 
 
 def op2_simhash(docs: DataFrame) -> DataFrame:
