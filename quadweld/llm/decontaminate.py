@@ -20,10 +20,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from quadweld.llm.tables import fresh
+
 WINDOW = 10
 #: Words of test items in one automaton.
 BLOCK_WORDS = 100_000
@@ -182,13 +184,17 @@ _FOUND = "n_words long, spans array<struct<first:int,last:int>>, items array<str
 
 
 def match(docs: DataFrame, benchmark: DataFrame, keep: list[str], window: int = WINDOW, block_words: int = BLOCK_WORDS) -> DataFrame:
-    """Columns ``keep`` and text of ``docs`` with _n_words, hit word ranges (last excluded) and item names."""
+    """Columns ``keep`` and text of ``docs`` with the number of words, hit word ranges (last excluded) and item names.
+
+    These three come last; they are named _n_words, _spans and _items unless ``docs`` has such columns.
+    """
     spark = docs.sparkSession
     kept = [*dict.fromkeys([*keep, "text"])]
     rows = docs.select(*kept)
     found = StructType.fromDDL(_FOUND)
-    for field in found:
-        field.name = "_" + field.name
+    added = fresh(kept, *["_" + field.name for field in found])
+    for field, name in zip(found, added, strict=True):
+        field.name = name
     schema = StructType([*rows.schema.fields, *found.fields])
     for k, automaton in enumerate(automata(benchmark, window, block_words)):
         shared = spark.sparkContext.broadcast(automaton)
@@ -213,7 +219,7 @@ def match(docs: DataFrame, benchmark: DataFrame, keep: list[str], window: int =
                     items.append(sorted(names))
                 span = pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32())]))
                 made = [pa.array(counts, pa.int64()), pa.array(spans, span), pa.array(items, pa.list_(pa.string()))]
-                yield pa.RecordBatch.from_arrays([*columns, *made], names=[*kept, "_n_words", "_spans", "_items"])
+                yield pa.RecordBatch.from_arrays([*columns, *made], names=[*kept, *added])
 
         rows = rows.mapInArrow(run, schema)
     return rows
@@ -229,6 +235,10 @@ def without_spans(text: bytes, spans: list[tuple[int, int]]) -> bytes:
     return b"".join([*parts, text[at:]])
 
 
+def _n_hit(spans: str) -> Column:
+    return F.aggregate(spans, F.lit(0).cast("long"), lambda n, s: n + (s["last"] - s["first"]).cast("long"))
+
+
 def decontaminate(
     docs: DataFrame, benchmark: DataFrame, max_span: int = WINDOW - 1, max_coverage: float = 0.5, window: int = WINDOW
 ) -> DataFrame:
@@ -240,8 +250,8 @@ def decontaminate(
     """
     columns = docs.columns
     matched = match(docs, benchmark, columns, window)
-    hit = F.aggregate("_spans", F.lit(0).cast("long"), lambda n, s: n + (s["last"] - s["first"]).cast("long"))
-    left = matched.where(hit <= F.col("_n_words") * F.lit(max_coverage))
+    n_words, spans, _ = matched.columns[-3:]
+    left = matched.where(_n_hit(spans) <= F.col(n_words) * F.lit(max_coverage))
     at, spans_at, schema = columns.index("text"), len(columns) + 1, docs.schema
 
     def cut(batches):
@@ -262,7 +272,7 @@ def decontaminate(
 def op3_decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """What of every document stands in the benchmark."""
     items = F.array_sort("_items")
-    hit = F.aggregate("_spans", F.lit(0).cast("long"), lambda n, s: n + (s["last"] - s["first"]).cast("long"))
+    hit = _n_hit("_spans")
     return match(docs, benchmark, ["doc_id"]).select(
         "doc_id",
         F.col("_n_words").alias("n_words"),

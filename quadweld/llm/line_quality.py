@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quadweld.llm.labelled import fold_of, training_rows
+from quadweld.llm.tables import fresh
 
 #: Most labelled documents, and lines of one of them, that weights are learned from.
 TRAIN_DOCS, TRAIN_LINES = 3_000, 100
@@ -169,9 +170,10 @@ def qualities(chain: Chain | None, texts: list[bytes | None]) -> np.ndarray:
 
 
 def score(docs: DataFrame, chain: Chain | None, keep: list[str]) -> DataFrame:
-    """Columns ``keep`` of ``docs`` and the quality of the text as ``_quality``."""
+    """Columns ``keep`` of ``docs`` and the quality of the text, last, as ``_quality`` unless there is such a column."""
     shared = docs.sparkSession.sparkContext.broadcast(chain)
-    rows = docs.select(*keep, F.col("text").alias("_text"))
+    quality, text = fresh(docs.columns, "_quality", "_text")
+    rows = docs.select(*keep, F.col("text").alias(text))
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema[:-1])
 
     def run(batches, piece=500):
@@ -180,15 +182,15 @@ def score(docs: DataFrame, chain: Chain | None, keep: list[str]) -> DataFrame:
             found = [qualities(shared.value, texts[i : i + piece]) for i in range(0, len(texts), piece)]
             made = np.concatenate(found) if found else np.zeros(0)
             rest = [batch.column(i) for i in range(len(keep))]
-            yield pa.RecordBatch.from_arrays([*rest, pa.array(made)], names=[*keep, "_quality"])
+            yield pa.RecordBatch.from_arrays([*rest, pa.array(made)], names=[*keep, quality])
 
-    return rows.mapInArrow(run, f"{fields}, _quality double")
+    return rows.mapInArrow(run, f"{fields}, {quality} double")
 
 
 def good_documents(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """Documents of at least that quality; the columns of ``docs``."""
     scored = score(docs, learn(docs, labels), docs.columns)
-    return scored.where(F.col("_quality") >= threshold).select(*docs.columns)
+    return scored.where(F.col(scored.columns[-1]) >= threshold).select(*docs.columns)
 
 
 def op6_line_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quadweld.llm.tables import WORD, hex_digits, materialize
+from quadweld.llm.tables import WORD, fresh, hex_digits, materialize
 
 #: Weights in the order of the sources, budget and largest number of passes.
 WEIGHTS = (5, 2, 1)
@@ -115,18 +115,19 @@ def mixed_documents(docs: DataFrame, weights=WEIGHTS, budget=BUDGET, passes=PASS
     Columns of ``docs`` with ``size``, ``copies``, ``finish`` of the first copy and ``taken`` words. Rows with equal
     doc_id, source and size come back as one, with the copies of all of them.
     """
-    key = F.md5(F.to_json(F.struct(F.col("doc_id").alias("d"), F.col("source").alias("s"), F.col("size").alias("n"))))
+    named = ("size", "copies", "finish", "taken")
+    rows = docs.drop(*named)
+    held, *made = fresh(rows.columns, "_key", "_size", "_copies", "_finish", "_taken")
+    key = lambda size: F.md5(F.to_json(F.struct(F.col("doc_id").alias("d"), F.col("source").alias("s"), size.alias("n"))))
     taken = (
         mix(docs, weights, budget, passes)
         .where("taken")
-        .groupBy(key.alias("_key"))
-        .agg(F.count(F.lit(1)).alias("_copies"), F.min("finish").alias("_finish"), F.sum("size").alias("_taken"))
+        .groupBy(key(F.col("size")).alias(held))
+        .agg(F.count(F.lit(1)).alias(made[1]), F.min("finish").alias(made[2]), F.sum("size").alias(made[3]))
     )
-    named = {"size": "_size", "copies": "_copies", "finish": "_finish", "taken": "_taken"}
-    rows = docs.drop(*named).withColumn("size", _size_of(F.col("text"))).withColumn("_key", key)
-    met = rows.withColumnRenamed("size", "_size").join(taken, "_key").dropDuplicates(["_key"])
-    columns = [c for c in docs.columns if c not in named]
-    return met.select(*columns, *[F.col(v).alias(k) for k, v in named.items()]).orderBy("finish", "doc_id")
+    sized = rows.withColumn(made[0], _size_of(F.col("text")))
+    met = sized.withColumn(held, key(F.col(made[0]))).join(taken, held).dropDuplicates([held])
+    return met.select(*rows.columns, *[F.col(m).alias(n) for m, n in zip(made, named, strict=True)]).orderBy("finish", "doc_id")
 
 
 def _size_of(text: Column) -> Column:

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType
 
-from quadweld.llm.tables import materialize
+from quadweld.llm.tables import fresh, materialize
 
 WINDOW = 20
 #: Pair rounds; with four, some symbol of about six words is interior to nearly every window.
@@ -198,7 +198,7 @@ def settled(key, content, doc, place) -> pa.RecordBatch:
     head = np.flatnonzero(~again)
     group = np.cumsum(~again) - 1
     again &= (doc != doc[head][group]) | (place >> 8 != (place >> 8)[head][group]) if len(key) else again
-    slot = np.where(again, mix(doc.view(np.uint64) ^ place.view(np.uint64)), key).view(np.int64)
+    slot = np.where(again, mix(doc.view(np.uint64) ^ place.view(np.uint64)), key.view(np.uint64))
     return _batch([slot, key, content, doc, place, again.astype(np.int64)])
 
 
@@ -304,10 +304,11 @@ def _open(blobs: pa.Array) -> list[bytes | None]:
 
 def _met(docs: DataFrame, spans: DataFrame, how: str) -> DataFrame:
     """Documents with all their spans; a document has no more of them than words."""
-    listed = spans.groupBy(F.col("doc").alias("_doc")).agg(F.collect_list(F.struct("place", "content", "key")).alias("_spans"))
+    doc, held, place = fresh(docs.columns, "_doc", "_spans", "_order")
+    listed = spans.groupBy(F.col("doc").alias(doc)).agg(F.collect_list(F.struct("place", "content", "key")).alias(held))
     order = F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST))
     # The packed text is made before the exchange, the key to the spans is a plain column.
-    return _pack(docs).withColumn("_order", order).join(listed, F.col("_order") == F.col("_doc"), how).drop("_order", "_doc")
+    return _pack(docs).withColumn(place, order).join(listed, F.col(place) == F.col(doc), how).drop(place, doc)
 
 
 def _apply(spans: list[dict], chunk: Chunk, width: int, start: int = 0):
@@ -388,11 +389,13 @@ def without_repeats(docs: DataFrame) -> DataFrame:
 
 
 def _cut(text: bytes, gone: np.ndarray) -> bytes:
+    """``text`` less stretches of lost words and what stands between them."""
+    places = [m.span() for m in _WORD.finditer(text)]
+    edges = np.flatnonzero(np.diff(np.concatenate(([0], gone, [0]))))
     parts, at = [], 0
-    for word, lost in zip(_WORD.finditer(text), gone.tolist(), strict=True):
-        if lost:
-            parts.append(text[at : word.start()])
-            at = word.end()
+    for first, end in zip(edges[::2].tolist(), edges[1::2].tolist(), strict=True):
+        parts.append(text[at : places[first][0]])
+        at = places[end - 1][1]
     return b"".join([*parts, text[at:]]).strip()
 
 

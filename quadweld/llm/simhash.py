@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quadweld.llm.tables import materialize
+from quadweld.llm.tables import fresh, materialize
 from quadweld.operators.identity import star_forest
 
 SHINGLE, RADIUS, SEED = 4, 4, 42
@@ -209,9 +209,10 @@ def deduplicate(docs: DataFrame) -> DataFrame:
     Of rows with the same doc_id one stays. A component with null ids alone keeps one row.
     """
     key = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("none"))
-    keepers = near_duplicates(docs).select(key("component_id").alias("_keeper")).distinct()
-    kept = docs.withColumn("_keeper", key("doc_id")).join(keepers, "_keeper")
-    return kept.dropDuplicates(["_keeper"]).select(*docs.columns)
+    (keeper,) = fresh(docs.columns, "_keeper")
+    keepers = near_duplicates(docs).select(key("component_id").alias(keeper)).distinct()
+    kept = docs.withColumn(keeper, key("doc_id")).join(keepers, keeper)
+    return kept.dropDuplicates([keeper]).select(*docs.columns)
 
 
 def op2_simhash(docs: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from quadweld.operators.stage import is_small, materialize
 
-__all__ = ["read", "materialize", "maybe_broadcast", "hex_digits", "upper_to_lower", "WORD"]
+__all__ = ["WORD", "fresh", "hex_digits", "materialize", "maybe_broadcast", "read", "upper_to_lower"]
 
 #: A word of the contracts that split on white space.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -31,6 +31,16 @@ def maybe_broadcast(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if is_small(df, rows) else df
 
 
+def fresh(taken: list[str], *names: str) -> list[str]:
+    """``names``, with as many leading underscores as it takes to differ from all of ``taken``."""
+    used, out = {c.lower() for c in taken}, []
+    for name in names:
+        while name.lower() in used:
+            name = "_" + name
+        out.append(name)
+    return out
+
+
 def hex_digits(rows: int, per_bucket: int) -> int:
     """How many leading hex digits of a digest deal ``rows`` into buckets of that size."""
     return max(1, math.ceil(math.log(max(rows / per_bucket, 1), 16)))
