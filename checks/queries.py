@@ -10,22 +10,22 @@ from pyspark.sql import functions as F
 
 from checks import fixtures as fx
 from quadweld.functions.terms import distance
-from quadweld.model import IGNORE, MANYVALUED, NESTED, RETURN_ALL, SINGLEVALUED
+from quadweld.model import IGNORE, MANYVALUED, NESTED, QUALITY_PROPERTY, RETURN_ALL, SINGLEVALUED
 from quadweld.operators import describe as describing
 from quadweld.operators import identity, sinks
 from quadweld.operators import policy as policies
-from quadweld.operators.members import conflict_members, to_cluster_rows
+from quadweld.operators.members import conflict_members, to_cluster_rows, without_nulls
 from quadweld.operators.resolve import (
     REGISTRY,
     Clusters,
     Resolution,
     as_statements,
-    source_lists,
+    source_rows,
     with_result_graph,
 )
 from quadweld.operators.scores import score_graphs, source_scores
 from quadweld.operators.policy import Rules
-from quadweld.operators.stage import scratch_dir
+from quadweld.operators.stage import materialize, scratch_dir
 from quadweld.plans.config import FusionConfig, Strategy
 from quadweld.plans.fuse import fuse
 from quadweld.sources import canonical, quads as sources
@@ -39,6 +39,7 @@ UNKNOWN_SCORE, PUBLISHER_WEIGHT, AGREE = 1.0, 0.2, 4.0
 
 # How the properties of the claims are resolved in the checks that need a policy.
 SINGLE = ("price", "flag", "qty", "shipped")
+EVERY = ("price", "discount", "flag", "qty", "shipped")
 
 
 def query(function: Query) -> Query:
@@ -51,6 +52,13 @@ def rounded(value: Column) -> Column:
     return F.floor(value * F.lit(1e6) + F.lit(0.50005)) / F.lit(1e6)
 
 
+def number_text(column: str) -> Column:
+    """Millionths of a number as text; other texts as they are."""
+    number = F.col(column).try_cast("double")
+    millionths = F.floor(number * F.lit(1e6) + F.lit(0.50005)).cast("bigint").cast("string")
+    return F.coalesce(millionths, F.col(column))
+
+
 def scratch(spark: SparkSession) -> str:
     return f"{scratch_dir(spark)}/quadweld/check-{uuid.uuid4().hex}"
 
@@ -95,10 +103,6 @@ def members(spark, sf, quads: DataFrame, merged: bool) -> DataFrame:
     return score_graphs(conflict_members(rows), scores(spark, sf), UNKNOWN_SCORE)
 
 
-def one_property(quads: DataFrame, name: str) -> DataFrame:
-    return quads.where(F.col("p") == f"{P}{name}")
-
-
 # Sources ------------------------------------------------------------------------
 
 
@@ -236,9 +240,9 @@ def c4_map_terms(spark, sf):
 
 @query
 def c5_alternatives(spark, sf):
-    return identity.alternatives(mapping(spark, sf)).select(
-        "canonical", F.size("uris").alias("n"), F.array_join("uris", ",").alias("uris")
-    )
+    members = identity.cluster_members(mapping(spark, sf))
+    sizes = members.groupBy("canonical").agg(F.count(F.lit(1)).alias("n"))
+    return members.join(sizes, "canonical").select("canonical", "uri", "n")
 
 
 # Descriptions -------------------------------------------------------------------
@@ -342,9 +346,7 @@ def e3_sources(spark, sf):
 
 @query
 def e3_source_lists(spark, sf):
-    return source_lists(all_resolved(spark, sf)).select(
-        "s", "p", "o", F.array_join("sources", ",").alias("sources")
-    )
+    return as_statements(source_rows(all_resolved(spark, sf))).select("s", "p", "o", "n_sources", "g")
 
 
 @query
@@ -408,19 +410,20 @@ def e12_all(spark, sf):
 
 @query
 def e13_best(spark, sf):
-    rows = members(spark, sf, one_property(claims(spark, sf), "flag"), merged=False)
+    rows = members(spark, sf, claims(spark, sf), merged=False)
     best = REGISTRY["BEST"](Clusters(rows, single_rules(spark), AGREE)).statements
-    return best.select(
-        F.col("res").alias("s"), "o", "n_sources", rounded(F.col("quality")).alias("quality")
+    return as_statements(best).select(
+        "s", "p", "o", "n_sources", rounded(F.col("quality")).alias("quality")
     )
 
 
 def averaged(spark, sf, agg_error: str) -> DataFrame:
-    rows = members(spark, sf, one_property(claims(spark, sf), "qty"), merged=False)
-    rules = rules_for(spark, qty=Strategy("AVG", SINGLEVALUED, agg_error)).only("function", "AVG")
-    found = REGISTRY["AVG"](Clusters(rows, rules, AGREE)).statements
-    return found.select(
-        F.col("res").alias("s"), "o", "n_sources", rounded(F.col("quality")).alias("quality")
+    rows = materialize(members(spark, sf, claims(spark, sf), merged=False), "members")
+    strategy = Strategy("AVG", SINGLEVALUED, agg_error)
+    rules = rules_for(spark, **dict.fromkeys(EVERY, strategy)).only("function", "AVG")
+    found = REGISTRY["AVG"](Clusters(without_nulls(rows), rules, AGREE)).statements
+    return as_statements(found).select(
+        "s", "p", number_text("o").alias("o"), "n_sources", rounded(F.col("quality")).alias("quality")
     )
 
 
@@ -457,7 +460,10 @@ def f2_write_with_metadata(spark, sf):
     plain = fx.quads(spark, sf, fx.CLASSES)
     rows = found.statements.withColumnRenamed("res", "s")
     support = found.support.withColumnRenamed("res", "s")
-    return sinks.write_with_metadata(rows, support, scratch(spark), plain=plain).select("s", "p", "o", "g")
+    saved = sinks.write_with_metadata(rows, support, scratch(spark), plain=plain)
+    # The quality is a double of full length; only the comparison rounds it.
+    text = F.when(F.col("p") == QUALITY_PROPERTY, number_text("o")).otherwise(F.col("o"))
+    return saved.select("s", "p", text.alias("o"), "g")
 
 
 @query
@@ -510,9 +516,9 @@ def g1_fuse(spark, sf):
     return fused(spark, sf, FUSE_CONFIG).with_sources().select(
         "s",
         "p",
-        "o",
+        number_text("o").alias("o"),
         rounded(F.col("quality")).alias("quality"),
-        F.array_join("sources", ",").alias("sources"),
+        "g",
     )
 
 
@@ -520,46 +526,46 @@ def g1_fuse(spark, sf):
 def g1_fuse_filtered(spark, sf):
     config = FUSE_CONFIG.with_options(required_class="http://ex/class/ECONOMY", mapped_only=True)
     return fused(spark, sf, config, with_classes=True).statements.select(
-        "s", "p", "o", "n_sources", rounded(F.col("quality")).alias("quality")
+        "s", "p", number_text("o").alias("o"), "n_sources", rounded(F.col("quality")).alias("quality")
     )
 
 
 # Further functions ----------------------------------------------------------------
 
 
-def _fused_by(name: str, properties: tuple[str, ...], **params: str) -> Query:
-    """A registered function over all claims of some properties."""
+def _fused_by(name: str, **params: str) -> Query:
+    """A registered function over all claims; what it cannot use is ignored by policy."""
 
     def run(spark, sf):
-        quads = claims(spark, sf).where(F.col("p").isin([f"{P}{x}" for x in properties]))
-        rows = members(spark, sf, quads, merged=False)
+        rows = members(spark, sf, claims(spark, sf), merged=False)
         strategy = Strategy(name, agg_error=IGNORE, params=params)
-        rules = rules_for(spark, **dict.fromkeys(properties, strategy)).only("function", name)
-        return as_statements(REGISTRY[name](Clusters(rows, rules, AGREE)).statements).select(
-            "s", "p", "o", "n_sources", rounded(F.col("quality")).alias("quality")
+        rules = rules_for(spark, **dict.fromkeys(EVERY, strategy)).only("function", name)
+        found = as_statements(REGISTRY[name](Clusters(rows, rules, AGREE)).statements)
+        value = number_text("o") if name in ("SUM", "MEDIAN") else F.col("o")
+        return found.select(
+            "s", "p", value.alias("o"), "n_sources", rounded(F.col("quality")).alias("quality")
         )
 
     return run
 
 
 SOME_SOURCE = "http://ex/g/3"
-EVERY = ("price", "discount", "flag", "qty", "shipped")
 
-for _name, _properties, _params in (
-    ("ANY", EVERY, {}),
-    ("MIN", ("price", "qty"), {}),
-    ("MAX", ("price", "qty"), {}),
-    ("MEDIAN", ("price", "qty"), {}),
-    ("SUM", ("price", "qty"), {}),
-    ("LONGEST", EVERY, {}),
-    ("SHORTEST", EVERY, {}),
-    ("VOTE", EVERY, {}),
-    ("WEIGHTED_VOTE", EVERY, {}),
-    ("TOP_N", EVERY, {"n": "3"}),
-    ("THRESHOLD", EVERY, {"threshold": "0.8"}),
-    ("CHOOSE_SOURCE", EVERY, {"source": SOME_SOURCE}),
-    ("BEST_SOURCE", EVERY, {}),
-    ("MOST_RECENT", ("shipped", "flag"), {}),
-    ("NONE", EVERY, {}),
+for _name, _params in (
+    ("ANY", {}),
+    ("MIN", {}),
+    ("MAX", {}),
+    ("MEDIAN", {}),
+    ("SUM", {}),
+    ("LONGEST", {}),
+    ("SHORTEST", {}),
+    ("VOTE", {}),
+    ("WEIGHTED_VOTE", {}),
+    ("TOP_N", {"n": "3"}),
+    ("THRESHOLD", {"threshold": "0.8"}),
+    ("CHOOSE_SOURCE", {"source": SOME_SOURCE}),
+    ("BEST_SOURCE", {}),
+    ("MOST_RECENT", {}),
+    ("NONE", {}),
 ):
-    QUERIES[f"e18_{_name.lower()}"] = _fused_by(_name, _properties, **_params)
+    QUERIES[f"e18_{_name.lower()}"] = _fused_by(_name, **_params)

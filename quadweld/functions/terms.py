@@ -17,16 +17,20 @@ DATE_PATTERN = (
     r"([T ][0-9]{2}:[0-9]{2}:[0-9]{2}([.][0-9]+)?(Z|[+-][0-9]{2}:[0-9]{2})?)?$"
 )
 
-# Below this magnitude a reciprocal could overflow, so such a number is text.
-_SMALLEST = 1e-300
-_LARGEST = 1e300
+# Fixed pattern: a number that decimal(28,10) holds without rounding.
+EXACT_PATTERN = r"^[+-]?([0-9]{1,18}([.][0-9]{0,10})?|[.][0-9]{1,10})$"
 
 
 def as_number(kind: Column, text: Column) -> Column:
     """Double value of a numeric literal, else null."""
     value = F.when((kind == LITERAL) & text.rlike(NUMBER_PATTERN), text.try_cast("double"))
-    size = F.abs(value)
-    return F.when((size == 0) | size.between(_SMALLEST, _LARGEST), value)
+    # A text that no double holds is no number.
+    return F.when(F.abs(value) < F.lit(float("inf")), value)
+
+
+def as_decimal(text: Column) -> Column:
+    """The number itself as a decimal, else null."""
+    return F.when(text.rlike(EXACT_PATTERN), text.try_cast("decimal(28,10)"))
 
 
 def as_seconds(kind: Column, text: Column) -> Column:
@@ -45,9 +49,25 @@ def is_finite_number(kind: Column, text: Column) -> Column:
 
 
 def text_distance(a: Column, b: Column) -> Column:
-    """Edit distance over the longer length; 0 for two empty texts."""
-    longest = F.greatest(F.length(a), F.length(b))
-    return F.when(longest == 0, F.lit(0.0)).otherwise(F.levenshtein(a, b) / longest)
+    """One minus the cosine of the counts of character pairs, ends included.
+
+    This is for single pairs. Sums over a cluster need no pairs: vectors of one length add up, see
+    ``operators.quality``.
+    """
+
+    def dot(x: Column, y: Column) -> Column:
+        same = lambda g: F.size(F.filter(y, lambda h: h == g)).cast("double")
+        return F.aggregate(F.transform(x, same), F.lit(0.0), lambda s, n: s + n)
+
+    ga, gb = character_pairs(a), character_pairs(b)
+    cosine = dot(ga, gb) / F.sqrt(dot(ga, ga) * dot(gb, gb))
+    return F.when(a == b, F.lit(0.0)).otherwise(F.greatest(F.lit(0.0), F.lit(1.0) - cosine))
+
+
+def character_pairs(text: Column) -> Column:
+    """All neighbouring characters of a text between two marks, repeats included."""
+    marked = F.concat(F.lit("^"), text, F.lit("$"))
+    return F.transform(F.sequence(F.lit(1), F.length(text) + 1), lambda i: F.substring(marked, i, F.lit(2)))
 
 
 def number_distance(a: Column, b: Column) -> Column:
@@ -97,7 +117,6 @@ def quantise(value: Column) -> Column:
     return F.floor(value * F.lit(1e9) + F.lit(0.533713)) / F.lit(1e9)
 
 
-def plain_decimal(value: Column) -> Column:
-    """Fixed six-digit text of a number in [0, 1]."""
-    steps = F.floor(value * F.lit(1e6) + F.lit(0.50005)).cast("decimal(20,0)")
-    return (steps / F.lit(1_000_000).cast("decimal(10,0)")).cast("decimal(9,6)").cast("string")
+def short_decimal(value: Column) -> Column:
+    """Text of a decimal without closing zeros."""
+    return F.regexp_replace(F.regexp_replace(value.cast("string"), "([.][0-9]*?)0+$", "$1"), "[.]$", "")

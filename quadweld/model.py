@@ -29,10 +29,8 @@ QUADS_SCHEMA = T.StructType(
     ]
 )
 
-LINKS_SCHEMA = "s STRING, o STRING"
 MAPPING_SCHEMA = "uri STRING, canonical STRING"
 URI_SCHEMA = "uri STRING"
-PREFIX_SCHEMA = "prefix STRING, namespace STRING"
 POLICY_SCHEMA = (
     "property STRING, function STRING, cardinality STRING, agg_error STRING, "
     "depends_on STRING, params MAP<STRING,STRING>"
@@ -46,6 +44,11 @@ XSD_DECIMAL = "http://www.w3.org/2001/XMLSchema#decimal"
 
 # Names of the output graphs and the infix between graph name and number.
 DATA_GRAPH, METADATA_GRAPH, GRAPH_NUMBER_INFIX = "data", "metadata", "-"
+DEFAULT_GRAPH = "default"
+
+# Default predicates of the metadata graph.
+QUALITY_PROPERTY = "urn:quality:quality"
+SOURCE_PROPERTY = "urn:quality:sourceGraph"
 
 # Documented effective defaults of a strategy whose fields are not set.
 DEFAULT_FUNCTION, DEFAULT_CARDINALITY, DEFAULT_AGG_ERROR = "ALL", "MANYVALUED", "RETURN_ALL"
@@ -55,6 +58,3 @@ NESTED = "NestedResourceDescription"
 
 # Distance reaches its maximum of 1 for dates this many seconds apart (366 days).
 MAX_DATE_DIFFERENCE = 31_622_400
-
-# The name of the file that keeps canonical URIs between runs.
-CANONICAL_URIS_NAME = "fusion-canonical-uris.txt"

@@ -11,7 +11,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quadweld.functions.terms import as_seconds, quantise
+from quadweld.functions.terms import as_decimal, as_seconds, quantise
 from quadweld.operators.quality import CLUSTER, VALUE, value_stats
 from quadweld.operators.resolve import (
     Clusters,
@@ -90,9 +90,8 @@ def resolve_most_recent(clusters: Clusters) -> Resolution:
 def resolve_sum(clusters: Clusters) -> Resolution:
     """Sum over the numeric members."""
     exact = F.col("sum_d").cast("decimal(38,10)")
-    computed = computed_number(
-        clusters, number_totals(clusters), exact, F.col("sum_x"), opposed=False
-    )
+    double = F.coalesce(F.col("sum_d").cast("double"), F.col("sum_x"))
+    computed = computed_number(clusters, number_totals(clusters), exact, double, opposed=False)
     return mediate(clusters, computed, number().isNotNull())
 
 
@@ -103,7 +102,7 @@ def _middle(clusters: Clusters) -> DataFrame:
         .groupBy(*CLUSTER, number().alias("x"))
         .agg(
             F.count(F.lit(1)).alias("n"),
-            F.min(F.col("o").try_cast("decimal(28,10)")).alias("d"),
+            F.min(as_decimal(F.col("o"))).alias("d"),
         )
     )
     placed = cumulate(counted, CLUSTER, ["x"], "n", "upto", clusters.heavy_clusters)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from quadweld.model import BNODE, IRI, URI_SCHEMA
 from quadweld.operators import stage
 from quadweld.operators.lists import bounded_lists
-from quadweld.operators.stage import heavy_keys, is_small, key_hash, lookup, materialize
+from quadweld.operators.stage import heavy_columns, is_small, key_hash, lookup, materialize
 
 MAX_ROUNDS = 60
 
@@ -99,13 +99,15 @@ def star_forest(links: DataFrame, max_rounds: int = MAX_ROUNDS) -> tuple[DataFra
     raise RuntimeError(f"links did not converge in {max_rounds} rounds")
 
 
-def canonical_map(links: DataFrame, preferred: DataFrame | None = None) -> DataFrame:
+def canonical_map(
+    links: DataFrame, preferred: DataFrame | None = None, max_rounds: int = MAX_ROUNDS
+) -> DataFrame:
     """Non-canonical URIs with their canonical URI.
 
     The canonical member is the least preferred URI of the cluster, else its least
     URI, in binary string order.
     """
-    stars, heavy = star_forest(links)
+    stars, heavy = star_forest(links, max_rounds)
     members = stars.select(F.col("a").alias("uri"), F.col("b").alias("root")).unionByName(
         stars.select(F.col("b").alias("uri"), F.col("b").alias("root")).distinct()
     )
@@ -122,12 +124,14 @@ def canonical_map(links: DataFrame, preferred: DataFrame | None = None) -> DataF
     return materialize(mapped.where("uri <> canonical"), "mapping")
 
 
-def _map_column(quads: DataFrame, mapping: DataFrame, column: str, spread: bool) -> DataFrame:
+def _map_column(
+    quads: DataFrame, mapping: DataFrame, column: str, heavy: list[int] | None
+) -> DataFrame:
+    """One column mapped: by broadcast, or by shuffle if ``heavy`` keys are given."""
     names = mapping.select(F.col("uri").alias(column), F.col("canonical").alias("_c"))
-    heavy = heavy_keys(quads, [column]) if spread else None
     joined = (
         lookup(quads, names, [column], heavy)
-        if spread
+        if heavy is not None
         else quads.join(F.broadcast(names), [column], "left")
     )
     return joined.withColumn(column, F.coalesce("_c", column)).select(*quads.columns)
@@ -155,19 +159,22 @@ def map_terms(
                     .drop("_o", "_c")
                 )
             else:
-                quads = _map_column(quads, mapping, column, spread=False)
+                quads = _map_column(quads, mapping, column, None)
         return quads
+    # All heavy terms come from one pass over the rows as they were given.
+    heavy = heavy_columns(quads, {c: [c] for c in columns})
+    if "p" in columns:
+        used = quads.select(F.col("p").alias("uri")).distinct()
+        renamed = materialize(mapping.join(used, "uri", "left_semi"), "predicates")
     if "o" in columns:
         nodes = quads.where(F.col("o_kind").isin(IRI, BNODE))
         others = quads.where(~F.col("o_kind").isin(IRI, BNODE))
-        quads = _map_column(nodes, mapping, "o", spread=True).unionByName(others)
+        quads = _map_column(nodes, mapping, "o", heavy["o"]).unionByName(others)
     for column in columns:
         if column == "p":
-            used = quads.select(F.col("p").alias("uri")).distinct()
-            renamed = materialize(mapping.join(used, "uri", "left_semi"), "predicates")
-            quads = _map_column(quads, renamed, "p", spread=not is_small(renamed))
+            quads = _map_column(quads, renamed, "p", None if is_small(renamed) else heavy["p"])
         elif column != "o":
-            quads = _map_column(quads, mapping, column, spread=True)
+            quads = _map_column(quads, mapping, column, heavy[column])
     return quads
 
 
@@ -178,6 +185,6 @@ def cluster_members(mapping: DataFrame) -> DataFrame:
     )
 
 
-def alternatives(mapping: DataFrame, limit: int | None = None) -> DataFrame:
-    """Sorted member lists per canonical URI; very large clusters take several rows."""
+def alternatives(mapping: DataFrame, limit: int) -> DataFrame:
+    """Sorted member lists, keyed by canonical URI and part; ``cluster_members`` has them as rows."""
     return bounded_lists(cluster_members(mapping), ["canonical"], "uri", "uris", limit)

@@ -7,24 +7,21 @@ from pyspark.sql import functions as F
 
 from quadweld.operators.stage import attach
 
-MAX_LIST = 10_000
-
 
 def bounded_lists(
     rows: DataFrame,
     keys: list[str],
     item: str,
     out: str,
-    limit: int | None = None,
+    limit: int,
     size: str | None = None,
 ) -> DataFrame:
-    """Sorted list of ``item`` per key, about ``limit`` items at most per row.
+    """Sorted lists of ``item``, about ``limit`` items at most in a row; rows are keyed by (key, part).
 
-    A key with more items gets several rows, numbered by ``part`` and holding
-    disjoint shares of the list, so no task ever gathers an unbounded list. ``size``
+    A key with more items gets several rows with disjoint shares of its list, so no task ever
+    gathers an unbounded list. The caller chooses the limit and so knows the form. ``size``
     names a column that already holds the number of items of the key.
     """
-    limit = MAX_LIST if limit is None else limit
     if size is None:
         large = (
             rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_size")).where(F.col("_size") > limit)

@@ -92,17 +92,31 @@ def anchor_picks(
     )
 
 
+BOUND = ["res", "depends_on"]
+
+
+def bound_rows(weighed: DataFrame, rules: Rules) -> DataFrame:
+    """Claims about properties that follow an anchor, and which anchor."""
+    anchor = F.lit(None).cast("string")
+    for name in sorted(rules.used("depends_on")):
+        anchor = F.when(rules.having("depends_on", name), F.lit(name)).otherwise(anchor)
+    return weighed.withColumn("depends_on", anchor).where(F.col("depends_on").isNotNull())
+
+
 def follow_anchors(
     weighed: DataFrame, rules: Rules, picks: DataFrame, heavy: list[int] | None = None
 ) -> DataFrame:
     """Keep, for dependent properties, only the claims from the anchor's pick.
 
-    A resource without any anchor claim keeps all its claims.
+    A resource without any anchor claim keeps all its claims. ``heavy`` are hashes of the
+    columns ``BOUND``. Which claims are bound shows in ``p``, so no policy is joined.
     """
-    ruled = assign_policy(weighed, rules.table)
-    free = ruled.where(F.col("depends_on").isNull()).select(*weighed.columns)
-    bound = ruled.where(F.col("depends_on").isNotNull()).select(*weighed.columns, "depends_on")
-    met = lookup(bound, picks, ["res", "depends_on"], heavy)
+    bound = bound_rows(weighed, rules)
+    is_free = F.lit(True)
+    for name in sorted(rules.used("depends_on")):
+        is_free = is_free & ~rules.having("depends_on", name)
+    free = weighed.where(is_free)
+    met = lookup(bound, picks, BOUND, heavy)
     agrees: Column = (F.col("s") == F.col("_s")) & (F.col("g") == F.col("_g"))
     chosen = met.where(F.col("_s").isNull() | agrees).select(*weighed.columns)
     return free.unionByName(chosen)

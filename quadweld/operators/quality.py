@@ -15,8 +15,11 @@ For a value ``v`` with source weights ``w``::
 * dates have distance ``|a - b| / span`` up to 1, so running totals at ``t - span``,
   ``t`` and ``t + span`` give it;
 * distinct IRIs, and values of different classes, have distance 1;
-* other literals need every edit distance; they are compared block against block
-  inside array expressions, so no pair becomes a row.
+* texts have distance one minus the cosine of their character pairs. Vectors of length one
+  are summed over the cluster, pair of characters by pair, and each text meets that sum.
+
+Numbers are scaled by the greatest of their cluster and class first, which changes no distance and keeps
+reciprocals and products in range; what is over 1e290 times smaller counts as 1e-290.
 """
 
 from __future__ import annotations
@@ -24,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quadweld.functions.terms import as_number, as_seconds, quantise, text_distance
+from quadweld.functions.terms import as_number, as_seconds, character_pairs, quantise
 from quadweld.model import LITERAL, MAX_DATE_DIFFERENCE, SINGLEVALUED, TERM
 from quadweld.operators.running import running_totals
 from quadweld.operators.stage import heavy_keys, key_hash, materialize
@@ -32,9 +35,6 @@ from quadweld.operators.stage import heavy_keys, key_hash, materialize
 CLUSTER = ["res", "p"]
 VALUE = [*CLUSTER, *TERM]
 
-# About this many texts are compared with as many others by one row.
-TEXT_BLOCK = 256
-
 
 def value_stats(weighed: DataFrame) -> DataFrame:
     """Distinct values of every cluster with the weights of their sources.
@@ -165,48 +165,45 @@ def with_clash(
     ``classes`` are the classes of values that occur; sums that none of them needs
     are left out of the plan.
     """
-    rows = single.withColumns(
-        {
-            "_wx": F.when(F.col("at").isNotNull(), F.col("w_sum") * F.col("at")),
-            "_wi": F.when(_signed(F.col("cls")), F.col("w_sum") / F.col("at")).otherwise(
-                F.lit(0.0)
-            ),
-        }
-    )
     if not heavy:
-        done = _clash_by_window(rows, classes)
+        done = _clash_by_window(single, classes)
     else:
         is_heavy = key_hash(CLUSTER).isin(heavy)
-        done = _clash_by_window(rows.where(~is_heavy), classes).unionByName(
-            _clash_by_ranges(rows.where(is_heavy), parts)
+        done = _clash_by_window(single.where(~is_heavy), classes).unionByName(
+            _clash_by_ranges(single.where(is_heavy), parts)
         )
+    if "text" in classes:
+        is_text = F.col("cls") == "text"
+        done = done.where(~is_text).unionByName(_clash_of_texts(done.where(is_text)))
     total = F.greatest(F.lit(0.0), F.col("inner")) + (F.col("mass") - F.col("cmass"))
     return done.withColumn("clash", total).select(*single.columns, "mass", "clash")
 
 
+def _scaled(rows: DataFrame, top: Column) -> DataFrame:
+    """Magnitudes of numbers as shares of ``top``, and their products with the weight."""
+    share = F.greatest(F.col("at") / top, F.lit(1e-290))
+    return rows.withColumn("at", F.when(_signed(F.col("cls")), share).otherwise(F.col("at"))).withColumns(
+        {
+            "_wx": F.when(F.col("at").isNotNull(), F.col("w_sum") * F.col("at")),
+            "_wi": F.when(_signed(F.col("cls")), F.col("w_sum") / F.col("at")).otherwise(F.lit(0.0)),
+        }
+    )
+
+
 def _clash_by_window(rows: DataFrame, classes: set[str]) -> DataFrame:
     """Clusters of bounded size: one shuffle by cluster, then running totals."""
     cluster = Window.partitionBy(*CLUSTER)
     same = Window.partitionBy(*CLUSTER, "cls")
     columns = [*rows.columns, "mass", "cmass", "inner"]
-    if "text" in classes:
-        texts = rows.where(F.col("cls") == "text").withColumn(
-            "_n", F.count(F.lit(1)).over(cluster)
-        )
-        rows = (
-            rows.where(F.col("cls") != "text")
-            .withColumn("inner", F.lit(None).cast("double"))
-            .unionByName(_clash_of_texts(texts).drop("_n"))
-        )
+    if classes & {"plus", "minus"}:
+        rows = _scaled(rows, F.max("at").over(same))
     else:
-        rows = rows.withColumn("inner", F.lit(None).cast("double"))
+        rows = _scaled(rows, F.lit(1.0))
 
     upto = Window.unboundedPreceding
     nil = F.lit(0.0)
     sums = {"mass": F.sum("w_sum").over(cluster), "cmass": F.sum("w_sum").over(same)}
-    inner = F.when(F.col("cls") == "text", F.col("inner")).when(
-        F.col("cls") == "node", F.col("cmass") - F.col("w_sum")
-    )
+    inner = F.when(F.col("cls") == "node", F.col("cmass") - F.col("w_sum"))
     signed, timed = bool(classes & {"plus", "minus"}), "time" in classes
     if signed or timed:
         up = same.orderBy("at").rowsBetween(upto, Window.currentRow)
@@ -235,14 +232,13 @@ def _clash_by_ranges(rows: DataFrame, parts: int | None) -> DataFrame:
     class, a number bounded by the share that makes a cluster heavy.
     """
     by_class = rows.groupBy(*CLUSTER, "cls").agg(
-        F.sum("w_sum").alias("cmass"), F.count(F.lit(1)).alias("_n")
+        F.sum("w_sum").alias("cmass"), F.max("at").alias("_top")
     )
     by_cluster = by_class.groupBy(*CLUSTER).agg(F.sum("cmass").alias("mass"))
     sized = rows.join(F.broadcast(by_class), [*CLUSTER, "cls"]).join(
         F.broadcast(by_cluster), CLUSTER
     )
-    sized = materialize(sized, "heavy")
-    texts = _clash_of_texts(sized.where(F.col("cls") == "text"))
+    sized = materialize(_scaled(sized, F.col("_top")), "heavy")
     kept = sized.columns
 
     # A time also asks for the totals one span before and after it.
@@ -283,62 +279,33 @@ def _clash_by_ranges(rows: DataFrame, parts: int | None) -> DataFrame:
         at_probe("_idn", 0).alias("wi_dn"),
     )
     by_total = ordered.withColumn("inner", _closed_clash())
-    flat = sized.where(F.col("cls").isin("node", "zero")).withColumn(
+    flat = sized.where(F.col("cls").isin("node", "zero", "text")).withColumn(
         "inner",
         F.when(F.col("cls") == "node", F.col("cmass") - F.col("w_sum")).otherwise(F.lit(0.0)),
     )
     columns = [*rows.columns, "mass", "cmass", "inner"]
-    return (
-        by_total.select(*columns)
-        .unionByName(flat.select(*columns))
-        .unionByName(texts.select(*columns))
-    )
+    return by_total.select(*columns).unionByName(flat.select(*columns))
 
 
 def _clash_of_texts(texts: DataFrame) -> DataFrame:
-    """Weighted edit distances inside each cluster, block against block.
+    """``inner`` of texts: the weight of the others less the weighted cosines with them.
 
-    A cluster of n texts is cut into about ``n / TEXT_BLOCK`` blocks. Each row
-    holds two blocks, and the sums are taken inside array expressions; the number of
-    rows is (n / TEXT_BLOCK) squared, spread over tasks by block.
+    Work grows with the characters of the texts. A cluster's sum of vectors has one row per pair of characters
+    that occurs, and rows of one text are met by cluster and pair, so no cluster comes together.
     """
-    columns = texts.columns
-    blocks = F.ceil(F.col("_n") / F.lit(TEXT_BLOCK)).cast("int")
-    blocked = (
-        texts.withColumn("_blocks", blocks)
-        .withColumn("_block", F.pmod(F.xxhash64(*TERM), F.col("_blocks")).cast("int"))
-        .groupBy(*CLUSTER, "_blocks", "_block")
-        .agg(F.collect_list(F.struct(*columns)).alias("_rows"))
+    counted = texts.select(*VALUE, "w_sum", F.explode(character_pairs(F.col("o"))).alias("_pair"))
+    counts = counted.groupBy(*VALUE, "w_sum", "_pair").agg(F.count(F.lit(1)).cast("double").alias("_n"))
+    # A window holds the pairs of one text.
+    length = F.sqrt(F.sum(F.col("_n") * F.col("_n")).over(Window.partitionBy(*VALUE)))
+    vectors = materialize(counts.withColumn("_x", F.col("_n") / length).drop("_n"), "pairs")
+    sums = vectors.groupBy(*CLUSTER, "_pair").agg(F.sum(F.col("w_sum") * F.col("_x")).alias("_sum"))
+    cosines = (
+        vectors.join(sums, [*CLUSTER, "_pair"])
+        .groupBy(*VALUE)
+        .agg(F.sum(F.col("_x") * F.col("_sum")).alias("_cosines"))
     )
-
-    def against(other: Column) -> Column:
-        def one(v: Column) -> Column:
-            return F.aggregate(
-                other,
-                F.lit(0.0),
-                lambda total, u: total + u["w_sum"] * text_distance(v["o"], u["o"]),
-            )
-
-        return F.transform("_rows", lambda v: F.struct(v.alias("row"), one(v).alias("inner")))
-
-    alone = blocked.where(F.col("_blocks") == 1).select(
-        F.explode(against(F.col("_rows"))).alias("_r")
-    )
-    several = blocked.where(F.col("_blocks") > 1)
-    others = several.select(
-        *CLUSTER,
-        F.col("_block").alias("_to"),
-        F.transform(
-            "_rows", lambda u: F.struct(u["o"].alias("o"), u["w_sum"].alias("w_sum"))
-        ).alias("_others"),
-    )
-    met = several.withColumn(
-        "_to", F.explode(F.sequence(F.lit(0), F.col("_blocks") - F.lit(1)))
-    ).join(others, [*CLUSTER, "_to"])
-    partial = met.select(F.explode(against(F.col("_others"))).alias("_r"))
-    summed = (
-        partial.select("_r.row.*", F.col("_r.inner").alias("_part"))
-        .groupBy(*columns)
-        .agg(F.sum("_part").alias("inner"))
+    return (
+        texts.join(cosines, VALUE)
+        .withColumn("inner", F.col("cmass") - F.col("_cosines"))
+        .select(*texts.columns)
     )
-    return alone.select("_r.row.*", "_r.inner").unionByName(summed)

@@ -18,7 +18,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quadweld.functions.terms import as_number, number_distance, quantise
+from quadweld.functions.terms import as_decimal, as_number, number_distance, quantise, short_decimal
 from quadweld.model import (
     IGNORE,
     IRI,
@@ -30,7 +30,7 @@ from quadweld.model import (
     XSD_DOUBLE,
 )
 from quadweld.operators.lists import bounded_lists
-from quadweld.operators.members import MEMBER, judge_values, with_nulls
+from quadweld.operators.members import MEMBER, judge_values, with_nulls, without_nulls
 from quadweld.operators.policy import Rules
 from quadweld.operators.quality import CLUSTER, VALUE, agreement_quality, value_stats
 from quadweld.operators.stage import heavy_keys, key_hash, lookup, materialize
@@ -38,6 +38,11 @@ from quadweld.operators.stage import heavy_keys, key_hash, lookup, materialize
 STATEMENT = [*VALUE, "quality", "n_sources"]
 
 
+def written(df: DataFrame, label: str) -> DataFrame:
+    """A copy of rows whose datatype and language are never null; the copy forgets that."""
+    return without_nulls(materialize(df, label))
+
+
 class Resolution(NamedTuple):
     """Result statements, their source rows, and the hashes of those statements
     that may have very many sources."""
@@ -83,14 +88,17 @@ class Clusters:
         return heavy_keys(self.members, VALUE) if self.large else []
 
     def of_values(self, chosen: DataFrame) -> Resolution:
-        """The chosen values as statements, supported by the sources that claim them."""
-        support = lookup(
-            self.members, chosen.select(*VALUE), VALUE, self.heavy_values, "left_semi"
-        )
-        return Resolution(chosen.select(*STATEMENT), support.select(*MEMBER), self.heavy_values)
+        """The chosen values as statements, supported by the sources that claim them.
+
+        The statements are written, so that support and lists don't choose again.
+        """
+        kept = written(chosen.select(*STATEMENT), "resolved")
+        support = lookup(self.members, kept.select(*VALUE), VALUE, self.heavy_values, "left_semi")
+        return Resolution(kept, support.select(*MEMBER), self.heavy_values)
 
     def of_clusters(self, computed: DataFrame, usable: Column) -> Resolution:
         """One computed statement per cluster, supported by its usable members."""
+        computed = written(computed.select(*STATEMENT), "resolved")
         graphs = self.members.where(usable).select(*CLUSTER, "g").distinct()
         support = lookup(
             graphs, computed.select(*VALUE), CLUSTER, self.heavy_clusters, "inner"
@@ -99,7 +107,7 @@ class Clusters:
         if self.heavy_clusters:
             large = computed.where(key_hash(CLUSTER).isin(self.heavy_clusters))
             heavy = [r["h"] for r in large.select(key_hash(VALUE).alias("h")).collect()]
-        return Resolution(computed.select(*STATEMENT), support, heavy)
+        return Resolution(computed, support, heavy)
 
     def parameter(self, name: str, default: str) -> dict[str, Column]:
         """Values of a strategy parameter, each with its condition on ``p``."""
@@ -134,9 +142,8 @@ def register(name: str) -> Callable[[Resolver], Resolver]:
 @register("ALL")
 def resolve_all(clusters: Clusters) -> Resolution:
     """Every distinct value."""
-    return Resolution(
-        clusters.values.select(*STATEMENT), clusters.members.select(*MEMBER), clusters.heavy_values
-    )
+    statements = written(clusters.values.select(*STATEMENT), "resolved")
+    return Resolution(statements, clusters.members.select(*MEMBER), clusters.heavy_values)
 
 
 def first_value(values: DataFrame, *order: Column) -> DataFrame:
@@ -164,8 +171,8 @@ def number() -> Column:
 
 
 def exact_or_double(exact: Column, double: Column) -> tuple[Column, Column]:
-    """Text and datatype of a computed number: six decimals when it is exact."""
-    text = F.coalesce(exact.cast("decimal(38,6)").cast("string"), double.cast("string"))
+    """Text and datatype of a computed number: a decimal where that is exact, else the double."""
+    text = F.coalesce(short_decimal(exact), double.cast("string"))
     return text, F.when(exact.isNotNull(), F.lit(XSD_DECIMAL)).otherwise(F.lit(XSD_DOUBLE))
 
 
@@ -175,7 +182,7 @@ def number_totals(clusters: Clusters) -> DataFrame:
     ``n`` members from ``n_sources`` graphs, their sum as a double (``sum_x``) and,
     if every literal fits, as a decimal (``sum_d``), and their mean weight (``base``).
     """
-    decimal = F.col("o").try_cast("decimal(28,10)")
+    decimal = as_decimal(F.col("o"))
     per_graph = (
         clusters.members.where(number().isNotNull())
         .withColumns({"x": number(), "d": decimal})
@@ -244,10 +251,15 @@ def mediate(clusters: Clusters, computed: DataFrame, usable: Column) -> Resoluti
 
 @register("AVG")
 def resolve_avg(clusters: Clusters) -> Resolution:
-    """Mean over the numeric members, exact where all literals are plain decimals."""
-    exact = (F.col("sum_d") / F.col("n").cast("decimal(19,0)")).cast("decimal(38,10)")
-    mean = F.col("sum_x") / F.col("n")
-    computed = computed_number(clusters, number_totals(clusters), exact, mean)
+    """Mean over the numeric members, a decimal where ten digits hold it exactly."""
+    # These types leave quotient and remainder all their digits.
+    n, total = F.col("n").cast("decimal(12,0)"), F.col("sum_d").try_cast("decimal(28,10)")
+    unit = F.lit("0.0000000001").cast("decimal(10,10)")
+    exact = F.when(total % (n * unit) == 0, (total / n).try_cast("decimal(28,10)"))
+    # A sum of decimals does not depend on the order, so neither does this double.
+    mean = F.coalesce(F.col("sum_d").cast("double"), F.col("sum_x")) / F.col("n")
+    totals = materialize(number_totals(clusters), "totals")
+    computed = computed_number(clusters, totals, exact, mean)
     return mediate(clusters, computed, number().isNotNull())
 
 
@@ -258,7 +270,10 @@ def resolve_nested(clusters: Clusters) -> Resolution:
 
 
 def nested_quality(
-    nested: DataFrame, statements: DataFrame, heavy: list[int] | None = None
+    nested: DataFrame,
+    statements: DataFrame,
+    heavy: list[int] | None = None,
+    heavy_resources: list[int] | None = None,
 ) -> DataFrame:
     """Quality of a nested IRI value: the mean quality of its own statements.
 
@@ -266,7 +281,7 @@ def nested_quality(
     """
     children = nested.where(F.col("o_kind") == IRI).select(F.col("o").alias("res")).distinct()
     mean = (
-        statements.join(children, "res", "left_semi")
+        lookup(statements, children, ["res"], heavy_resources, "left_semi")
         .groupBy(F.col("res").alias("o"))
         .agg(quantise(F.avg("quality")).alias("_mean"))
     )
@@ -297,21 +312,19 @@ def resolve(
             Clusters(own, rules.only("function", name), agree, span, large)
         )
     if NESTED in done:
-        # Children can be resolved by any function, so all statements are read twice.
-        base = {
-            n: r._replace(statements=materialize(r.statements, "resolved"))
-            for n, r in done.items()
-        }
+        # Children can be resolved by any function, so all statements are read again.
         everything = None
-        for part in base.values():
+        for part in done.values():
             rows = part.statements
             everything = rows if everything is None else everything.unionByName(rows)
-        nested = base[NESTED]
+        nested = done[NESTED]
         heavy = heavy_keys(nested.statements, ["o"]) if large else []
-        base[NESTED] = nested._replace(
-            statements=nested_quality(nested.statements, everything, heavy)
+        heavy_resources = heavy_keys(everything, ["res"]) if large else []
+        done[NESTED] = nested._replace(
+            statements=written(
+                nested_quality(nested.statements, everything, heavy, heavy_resources), "nested"
+            )
         )
-        done = base
     parts = list(done.values())
     whole = parts[0]
     for part in parts[1:]:
@@ -324,12 +337,17 @@ def as_statements(df: DataFrame) -> DataFrame:
     return with_nulls(df.withColumnRenamed("res", "s"))
 
 
-def source_lists(resolution: Resolution, limit: int | None = None) -> DataFrame:
-    """Statements with sorted source names; very long lists take several rows.
+def source_rows(resolution: Resolution) -> DataFrame:
+    """Statements with one row per source graph ``g``."""
+    return lookup(resolution.support, resolution.statements, VALUE, resolution.heavy, "inner")
+
+
+def source_lists(resolution: Resolution, limit: int) -> DataFrame:
+    """Statements with sorted source names, keyed by the statement and ``part``.
 
     Takes the inside form. The join and the grouping share one partitioning.
     """
-    rows = lookup(resolution.support, resolution.statements, VALUE, resolution.heavy, "inner")
+    rows = source_rows(resolution)
     lists = bounded_lists(
         rows, resolution.statements.columns, "g", "sources", limit, size="n_sources"
     )

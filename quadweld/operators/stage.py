@@ -6,31 +6,57 @@ rows are spread over tasks.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import MapType
+from pyspark.sql.types import MapType, StringType
 
 # Tables below this many rows cannot hold a key worth splitting.
 HEAVY_FLOOR = 1_000_000
-# A key is heavy when it holds more than this share of all rows.
+# A key is heavy when it holds more than this share of all rows, or more rows than one task
+# should hold; a sketch of at most MOST_HEAVY keys finds them.
 HEAVY_SHARE = 1 / 5_000
+TASK_ROWS = 20_000_000
+MOST_HEAVY = 50_000
 # Copies made of the matching lookup row of a heavy key.
 SALTS = 64
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """Shared folder named by the session; a local session may make its own."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-    made = tempfile.mkdtemp(prefix="quadweld-")
-    spark.conf.set("spark.checkpoint.dir", made)
-    return made
+    """Shared folder named by the session, else the warehouse, which is shared as well."""
+    return spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+
+
+# Folders of the runs that are open, innermost last.
+_RUNS: list[str] = []
+
+
+def new_run(spark: SparkSession) -> str:
+    return f"{scratch_dir(spark)}/quadweld/run-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def writing_to(folder: str) -> Iterator[None]:
+    """Copies made inside go to ``folder``, whose owner removes it."""
+    _RUNS.append(folder)
+    try:
+        yield
+    finally:
+        _RUNS.pop()
+
+
+def file_system(spark: SparkSession, path: str):
+    """The Hadoop file system of a path, and the path as it wants it."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    store, place = file_system(spark, path)
+    store.delete(place, True)
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
@@ -40,7 +66,8 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     let Catalyst choose joins from real sizes.
     """
     spark = df.sparkSession
-    path = f"{scratch_dir(spark)}/quadweld/{label}-{uuid.uuid4().hex}"
+    top = _RUNS[-1] if _RUNS else f"{scratch_dir(spark)}/quadweld"
+    path = f"{top}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -57,22 +84,34 @@ def heavy_keys(
 ) -> list[int]:
     """Hashes of the keys that hold more than ``share`` of the rows.
 
-    One pass with a bounded heavy-hitter sketch; at most ``1/share`` hashes come
-    back. Meant for scans and written tables, where the pass reads only the key.
+    Meant for scans and written tables, where a pass reads only the key.
+    """
+    return heavy_columns(df, {"keys": keys}, share, floor)["keys"]
+
+
+def heavy_columns(
+    df: DataFrame,
+    keys: dict[str, list[str]],
+    share: float | None = None,
+    floor: int | None = None,
+) -> dict[str, list[int]]:
+    """Heavy hashes of several keys in one pass with bounded heavy-hitter sketches.
+
+    A share of None means ``HEAVY_SHARE``, or what one task should hold of very large tables.
     """
-    share = HEAVY_SHARE if share is None else share
     floor = HEAVY_FLOOR if floor is None else floor
+    n = df.count()
+    if n < floor:
+        return {name: [] for name in keys}
+    if share is None:
+        share = max(min(HEAVY_SHARE, TASK_ROWS / n), 1 / MOST_HEAVY)
     most = int(1 / share)
-    row = df.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.expr(
-            f"approx_top_k(xxhash64({', '.join(f'`{k}`' for k in keys)}), {most}, {8 * most})"
-        ).alias("top"),
-    ).first()
-    if row["n"] < floor:
-        return []
-    limit = max(1, int(row["n"] * share))
-    return [t["item"] for t in row["top"] or [] if t["count"] > limit]
+    tops = [
+        F.expr(f"approx_top_k(xxhash64({', '.join(f'`{k}`' for k in columns)}), {most}, {8 * most})").alias(name)
+        for name, columns in keys.items()
+    ]
+    row, limit = df.agg(*tops).first(), max(1, int(n * share))
+    return {name: [t["item"] for t in row[name] or [] if t["count"] > limit] for name in keys}
 
 
 def lookup(
@@ -104,14 +143,18 @@ def lookup(
     return salted.join(copied, [*on, "_salt"], how).drop("_salt")
 
 
-# A lookup table of at most this many rows may be broadcast.
+# A lookup table of at most this many rows and bytes of text may be broadcast.
 BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 64 << 20
 
 
 def is_small(df: DataFrame, rows: int | None = None) -> bool:
-    """Whether ``df`` has at most ``rows`` rows; reads no more than that."""
+    """Whether ``df`` has at most ``rows`` rows, and little text; reads no more rows than that."""
     rows = BROADCAST_ROWS if rows is None else rows
-    return df.limit(rows + 1).count() <= rows
+    texts = [F.coalesce(F.octet_length(f.name), F.lit(0)) for f in df.schema if isinstance(f.dataType, StringType)]
+    size = sum(texts, F.lit(0)).cast("long")
+    found = df.limit(rows + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(size).alias("bytes")).first()
+    return found["n"] <= rows and (found["bytes"] or 0) <= BROADCAST_BYTES
 
 
 def attach(fact: DataFrame, dim: DataFrame, on: list[str], how: str = "left") -> DataFrame:

@@ -11,10 +11,17 @@ from pyspark.sql import DataFrame, SparkSession
 
 from quadweld.model import (
     DATA_GRAPH,
+    DEFAULT_GRAPH,
+    IGNORE,
+    MANYVALUED,
     MAX_DATE_DIFFERENCE,
     METADATA_GRAPH,
     OWL_SAME_AS,
     POLICY_SCHEMA,
+    QUALITY_PROPERTY,
+    RETURN_ALL,
+    SINGLEVALUED,
+    SOURCE_PROPERTY,
 )
 
 # Fixed names: the one processing parameter and the sections of a configuration.
@@ -24,7 +31,10 @@ SECTIONS = ("Prefixes", "DataProcessing", "ConflictResolution")
 
 @dataclass(frozen=True)
 class Strategy:
-    """How conflicts of a property are resolved; unset fields take the defaults."""
+    """How conflicts of a property are resolved; unset fields take the defaults.
+
+    Cardinality and error strategy are one of a few names; anything else is an error.
+    """
 
     function: str | None = None
     cardinality: str | None = None
@@ -32,6 +42,15 @@ class Strategy:
     depends_on: str | None = None
     params: Mapping[str, str] = field(default_factory=dict)
 
+    def __post_init__(self) -> None:
+        _check("cardinality", self.cardinality, (MANYVALUED, SINGLEVALUED))
+        _check("error strategy", self.agg_error, (IGNORE, RETURN_ALL))
+
+
+def _check(what: str, value: str | None, known: tuple[str, ...]) -> None:
+    if value is not None and value not in known:
+        raise ValueError(f"unknown {what}: {value!r}; known are {', '.join(known)}")
+
 
 @dataclass(frozen=True)
 class FusionConfig:
@@ -43,6 +62,8 @@ class FusionConfig:
     max_output: int | None = None
     link_types: Sequence[str] = (OWL_SAME_AS,)
     preferred: Sequence[str] = ()
+    # Rounds of relinking before clustering gives up; they grow with the logarithm of the longest chain.
+    max_rounds: int = 60
     agree: float = 4.0
     unknown_score: float = 1.0
     publisher_weight: float = 0.2
@@ -53,6 +74,10 @@ class FusionConfig:
     write_metadata: bool = False
     data_graph: str = DATA_GRAPH
     metadata_graph: str = METADATA_GRAPH
+    quality_property: str = QUALITY_PROPERTY
+    source_property: str = SOURCE_PROPERTY
+    # Graph of quads without one, in inputs that declare no graphs.
+    default_graph: str = DEFAULT_GRAPH
 
     def with_options(self, **options: Any) -> FusionConfig:
         return replace(self, **options)
@@ -73,19 +98,20 @@ class FusionConfig:
             list(self.prefixes.items()), "prefix STRING, namespace STRING"
         )
 
-    def values_of(self, name: str, default: str) -> set[str]:
-        """Effective values of a strategy field over all strategies."""
-        return {
-            getattr(s, name) or default for s in [self.default, *self.properties.values()]
-        }
-
 
 def _expand(value: str, prefixes: Mapping[str, str]) -> str:
     head, colon, rest = value.partition(":")
     return prefixes[head] + rest if colon and head in prefixes else value
 
 
+# Settings of a strategy; only those of properties name properties.
+STRATEGY_KEYS = {"function", "cardinality", "agg_error", "depends_on", "params", "properties"}
+
+
 def _strategy(settings: Mapping[str, Any], prefixes: Mapping[str, str]) -> Strategy:
+    foreign = set(settings) - STRATEGY_KEYS
+    if foreign:
+        raise ValueError(f"unknown setting of a strategy: {', '.join(sorted(foreign))}")
     anchor = settings.get("depends_on")
     return Strategy(
         function=settings.get("function"),
@@ -143,11 +169,19 @@ def _read_strategy(element: ElementTree.Element) -> dict[str, Any]:
     if foreign:
         raise ValueError(f"unknown attribute of {element.tag}: {', '.join(sorted(foreign))}")
     settings: dict[str, Any] = {_ATTRIBUTES[k]: v for k, v in element.attrib.items()}
-    settings["params"] = {e.attrib["name"]: e.attrib["value"] for e in element.iter("Param")}
-    settings["properties"] = [e.attrib["id"] for e in element.iter("Property")]
+    known = ("Param", "Property") if element.tag == "ResolutionStrategy" else ("Param",)
+    children = [_child(e, known) for e in element]
+    settings["params"] = {e.attrib["name"]: e.attrib["value"] for e in children if e.tag == "Param"}
+    settings["properties"] = [e.attrib["id"] for e in children if e.tag == "Property"]
     return settings
 
 
+def _child(element: ElementTree.Element, known: tuple[str, ...]) -> ElementTree.Element:
+    if element.tag not in known:
+        raise ValueError(f"unknown element: {element.tag}")
+    return element
+
+
 def from_xml(text: str) -> FusionConfig:
     """Read the XML form of the settings; blank text gives the defaults."""
     if not text.strip():
@@ -159,9 +193,13 @@ def from_xml(text: str) -> FusionConfig:
             if section.tag not in SECTIONS:
                 raise ValueError(f"unknown section: {section.tag}")
             if section.tag == "Prefixes":
-                settings["prefixes"] = [(e.attrib["id"], e.attrib["namespace"]) for e in section]
+                settings["prefixes"] = [
+                    (e.attrib["id"], e.attrib["namespace"]) for e in (_child(x, ("Prefix",)) for x in section)
+                ]
             elif section.tag == "DataProcessing":
-                settings["processing"] = [(e.attrib["name"], e.attrib["value"]) for e in section]
+                settings["processing"] = [
+                    (e.attrib["name"], e.attrib["value"]) for e in (_child(x, ("Param",)) for x in section)
+                ]
             else:
                 for element in section:
                     if element.tag == "DefaultStrategy":

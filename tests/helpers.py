@@ -1,7 +1,5 @@
 from quadweld.model import LITERAL, QUADS_SCHEMA
 
-H = "http://"
-
 
 def quads(spark, rows):
     """Quads from (s, p, o, g) or (s, p, o_kind, o, g), or with datatype and language."""
