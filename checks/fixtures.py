@@ -7,8 +7,9 @@ table. It defines the inputs of the checks and is not part of the engine.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from quadweld.model import OWL_SAME_AS, RDF_TYPE
+from quadweld.model import OWL_SAME_AS, QUADS_SCHEMA, RDF_TYPE  # noqa: F401  the schema is for the queries
 
 PART = "'http://ex/part/' || cast(l_partkey AS string)"
 SOURCE = "'http://ex/g/' || cast(l_suppkey AS string)"
@@ -33,10 +34,39 @@ def claims_sql(where: str = "") -> str:
 
 CLAIMS = claims_sql()
 
+
+def claims(spark: SparkSession, sf_dir: str, where: str = "true") -> DataFrame:
+    """The claims in one scan of the items; DuckDB makes them from ``claims_sql``."""
+    money = lambda c: F.col(c).cast("decimal(18,2)").cast("string")
+    values = {
+        "price": money("l_extendedprice"),
+        "discount": money("l_discount"),
+        "flag": F.col("l_returnflag"),
+        "qty": F.when(F.col("l_linenumber") == 7, F.lit("n/a")).otherwise(money("l_quantity")),
+        "shipped": F.col("l_shipdate").cast("date").cast("string"),
+    }
+    pairs = F.array(
+        *[F.struct(F.lit(f"http://ex/p/{k}").alias("p"), v.alias("o")) for k, v in values.items()]
+    )
+    items = spark.read.parquet(f"{sf_dir}/lineitem.parquet").where(where)
+    return items.select(F.expr(PART).alias("s"), F.expr(SOURCE).alias("g"), F.explode(pairs).alias("c")).selectExpr(
+        "0 AS src", "s", "c.p", "'lit' AS o_kind", "c.o",
+        "cast(null AS string) AS o_dt", "cast(null AS string) AS o_lang", "g",
+    )
+
+
+# Links between parts, between customers (objects of orders) and between two properties.
 LINKS = f"""
 SELECT 'http://ex/part/' || cast(p_partkey AS string) AS s, '{OWL_SAME_AS}' AS p, 'iri' AS o_kind,
        'http://ex/part/' || cast(p_partkey + 1 AS string) AS o, 'http://ex/g/links' AS g
 FROM {{part}} WHERE p_partkey % 5 IN (0, 1)
+UNION ALL
+SELECT 'http://ex/customer/' || cast(c_custkey AS string), '{OWL_SAME_AS}', 'iri',
+       'http://ex/customer/' || cast(c_custkey + 2 AS string), 'http://ex/g/links'
+FROM {{customer}} WHERE c_custkey % 4 = 1
+UNION ALL
+SELECT 'http://ex/p/segment', '{OWL_SAME_AS}', 'iri', 'http://ex/p/branch', 'http://ex/g/links'
+FROM {{nation}} WHERE n_nationkey = 0
 """
 
 PREFERRED = """
@@ -71,6 +101,24 @@ SELECT 'http://ex/customer/' || cast(c_custkey AS string), 'http://ex/p/segment'
        'http://ex/g/crm' FROM {customer}
 """
 
+# Names with languages and datatypes: the same text in another language is another value.
+TAGGED = """
+SELECT 'http://ex/nation/' || cast(n_nationkey AS string) AS s, 'http://ex/p/name' AS p, 'lit' AS o_kind,
+       'name ' || cast(n_regionkey AS string) AS o, cast(null AS string) AS o_dt,
+       CASE WHEN n_nationkey % 3 = 0 THEN 'en' WHEN n_nationkey % 3 = 1 THEN 'fr' END AS o_lang,
+       'http://ex/g/nations' AS g FROM {nation}
+UNION ALL
+SELECT 'http://ex/nation/' || cast(s_nationkey AS string), 'http://ex/p/name', 'lit',
+       'name ' || cast(s_suppkey % 5 AS string),
+       CASE WHEN s_suppkey % 4 = 0 THEN 'http://www.w3.org/2001/XMLSchema#string' END,
+       CASE WHEN s_suppkey % 4 = 1 THEN 'en' END,
+       'http://ex/g/' || cast(s_suppkey AS string) FROM {supplier}
+UNION ALL
+SELECT 'http://ex/nation/' || cast(s_nationkey AS string), 'http://ex/p/office', 'bnode',
+       '_:b' || cast(s_suppkey % 7 AS string), cast(null AS string), cast(null AS string),
+       'http://ex/g/' || cast(s_suppkey AS string) FROM {supplier}
+"""
+
 CHAINS = """
 SELECT 'http://ex/customer/' || cast(c_custkey AS string) AS s,
        'http://ex/customer/' || cast(c_custkey + 1 AS string) AS o

@@ -271,9 +271,11 @@ ORACLES: dict[str, str] = {
     ),
     "c3_save_canonical": compose("SELECT DISTINCT canonical AS uri FROM mapping", "mapping"),
     "c4_map_terms": compose(
-        "SELECT coalesce(m.canonical, c.s) AS s, c.p, c.o, c.g "
-        "FROM claims c LEFT JOIN mapping m ON c.s = m.uri",
+        "SELECT coalesce(m.canonical, c.s) AS s, coalesce(n.canonical, c.p) AS p, coalesce(k.canonical, c.o) AS o, c.g "
+        "FROM (SELECT * FROM claims UNION ALL SELECT * FROM visits) c LEFT JOIN mapping m ON c.s = m.uri "
+        "LEFT JOIN mapping n ON c.p = n.uri LEFT JOIN mapping k ON c.o = k.uri AND c.o_kind = 'iri'",
         "claims",
+        "visits",
         "mapping",
     ),
     "c5_alternatives": compose(
@@ -282,9 +284,12 @@ ORACLES: dict[str, str] = {
     ),
     "d1_describe": compose("SELECT * FROM sizes", "sizes"),
     "d2_nest": compose(
-        "SELECT s AS res, s, p, o FROM visits UNION ALL SELECT r.s, c.s, c.p, c.o FROM "
-        "(SELECT DISTINCT s, o FROM visits WHERE p = 'http://ex/p/placedBy') r JOIN visits c ON r.o = c.s",
+        "SELECT res, s, p, o FROM placed UNION ALL SELECT r.res, c.s, c.p, c.o FROM "
+        "(SELECT DISTINCT p.res, coalesce(m.canonical, p.o) AS child FROM placed p LEFT JOIN mapping m ON p.o = m.uri "
+        "WHERE p.p = 'http://ex/p/placedBy') r JOIN placed c ON r.child = c.res WHERE r.res <> r.child",
         "visits",
+        "mapping",
+        placed="SELECT coalesce(m.canonical, v.s) AS res, v.* FROM visits v LEFT JOIN mapping m ON v.s = m.uri",
     ),
     "d3_require_class": compose(
         "SELECT * FROM sizes WHERE res IN (SELECT res FROM economy)", "sizes", "economy"
@@ -318,6 +323,9 @@ ORACLES: dict[str, str] = {
         "SELECT s, p, count(*) AS n_members, count(DISTINCT o) AS n_values FROM merged GROUP BY s, p",
         "merged",
     ),
+    "e2_tagged_values": "SELECT s, p, CASE WHEN o_kind = 'bnode' THEN '_:' || input || ':' || substr(o, 3) ELSE o END AS o, "
+    f"o_dt, o_lang, count(DISTINCT g) AS n_sources FROM ({fx.duck(fx.TAGGED)}) t, (VALUES ('1'), ('2')) i(input) "
+    "GROUP BY ALL",
     "e3_sources": compose("SELECT DISTINCT s, p, o, g FROM merged", "merged"),
     "e3_source_lists": compose(
         "SELECT s, p, o, count(*) OVER (PARTITION BY s, p, o) AS n_sources, g FROM merged", "merged"
@@ -385,8 +393,16 @@ ORACLES: dict[str, str] = {
         f"(SELECT s, {steps('avg(quality)')} AS q FROM vals GROUP BY s) k "
         "ON v.p = 'http://ex/p/placedBy' AND v.o = k.s",
         "visits",
+        "clusters",
+        # Customer 3 is preferred, and so is its property's own strategy.
+        names="SELECT c.uri, CASE WHEN r.uri IS NULL THEN c.root ELSE r.uri END AS canonical FROM clusters c "
+        "LEFT JOIN (SELECT root, uri FROM clusters WHERE uri IN ('http://ex/customer/3', 'http://ex/p/placedBy')) r "
+        "ON c.root = r.root",
+        placed="SELECT coalesce(m.canonical, v.s) AS s, coalesce(n.canonical, v.p) AS p, coalesce(k.canonical, v.o) AS o, v.g "
+        "FROM visits v LEFT JOIN names m ON v.s = m.uri LEFT JOIN names n ON v.p = n.uri "
+        "LEFT JOIN names k ON v.o = k.uri AND v.o_kind = 'iri'",
         vals=f"SELECT *, {quality('0.5::double', '0.0::double', '0.5::double * n - 0.5::double')} AS quality "
-        "FROM (SELECT s, p, o, count(DISTINCT g) AS n FROM visits GROUP BY s, p, o)",
+        "FROM (SELECT s, p, o, count(DISTINCT g) AS n FROM placed GROUP BY s, p, o)",
     ),
     "f1_write_data": compose("SELECT DISTINCT s, p, o, 'data' AS g FROM merged", "merged"),
     "f2_write_with_metadata": compose(

@@ -14,7 +14,7 @@ from quadweld.model import IGNORE, MANYVALUED, NESTED, QUALITY_PROPERTY, RETURN_
 from quadweld.operators import describe as describing
 from quadweld.operators import identity, sinks
 from quadweld.operators import policy as policies
-from quadweld.operators.members import conflict_members, to_cluster_rows, without_nulls
+from quadweld.operators.members import conflict_members, to_cluster_rows, with_nulls, without_nulls
 from quadweld.operators.resolve import (
     REGISTRY,
     Clusters,
@@ -64,7 +64,7 @@ def scratch(spark: SparkSession) -> str:
 
 
 def claims(spark, sf) -> DataFrame:
-    return fx.quads(spark, sf, fx.CLAIMS)
+    return fx.claims(spark, sf)
 
 
 def metadata(spark, sf) -> DataFrame:
@@ -119,8 +119,8 @@ def a1_scan_quads(spark, sf):
 
 @query
 def a2_union_inputs(spark, sf):
-    odd = fx.quads(spark, sf, fx.claims_sql(" WHERE l_linenumber % 2 = 1"))
-    even = fx.quads(spark, sf, fx.claims_sql(" WHERE l_linenumber % 2 = 0"))
+    odd = fx.claims(spark, sf, "l_linenumber % 2 = 1")
+    even = fx.claims(spark, sf, "l_linenumber % 2 = 0")
     return sources.union_inputs(odd, None, even).select("s", "p", "o", "g")
 
 
@@ -235,7 +235,8 @@ def c3_save_canonical(spark, sf):
 
 @query
 def c4_map_terms(spark, sf):
-    return identity.map_terms(claims(spark, sf), mapping(spark, sf)).select("s", "p", "o", "g")
+    quads = claims(spark, sf).unionByName(fx.quads(spark, sf, fx.ORDERS))
+    return identity.map_terms(quads, mapping(spark, sf)).select("s", "p", "o", "g")
 
 
 @query
@@ -266,9 +267,9 @@ def d1_describe(spark, sf):
 
 @query
 def d2_nest(spark, sf):
-    nothing = spark.createDataFrame([], "uri string, canonical string")
-    rows = describing.describe(fx.quads(spark, sf, fx.ORDERS), nothing)
-    return describing.nest(rows, [f"{P}placedBy"], nothing).select("res", "s", "p", "o")
+    found = mapping(spark, sf)
+    rows = describing.describe(fx.quads(spark, sf, fx.ORDERS), found)
+    return describing.nest(rows, [f"{P}placedBy"], found).select("res", "s", "p", "o")
 
 
 @query
@@ -330,6 +331,16 @@ def e2_conflict_clusters(spark, sf):
     )
 
 
+@query
+def e2_tagged_values(spark, sf):
+    """Values that differ by language or datatype alone, and blank nodes of two inputs."""
+    inputs = [fx.run(spark, sf, fx.TAGGED).withColumn("src", F.lit(0)).select(*fx.QUADS_SCHEMA.names)] * 2
+    rows = conflict_members(to_cluster_rows(sources.concat_inputs(*inputs), None))
+    return with_nulls(rows).groupBy(F.col("res").alias("s"), "p", "o", "o_dt", "o_lang").agg(
+        F.count(F.lit(1)).alias("n_sources")
+    )
+
+
 def all_resolved(spark, sf, merged: bool = True) -> Resolution:
     rows = members(spark, sf, claims(spark, sf), merged)
     return REGISTRY["ALL"](Clusters(rows, rules_for(spark), AGREE))
@@ -440,7 +451,8 @@ def e14_avg_return_all(spark, sf):
 @query
 def e15_nested(spark, sf):
     config = strategies(placedBy=Strategy(NESTED)).with_options(unknown_score=0.5)
-    result = fuse([fx.quads(spark, sf, fx.ORDERS)], config=config)
+    config = config.with_options(preferred=["http://ex/customer/3"])
+    result = fuse([fx.quads(spark, sf, fx.ORDERS)], fx.quads(spark, sf, fx.LINKS), config=config)
     return result.statements.select("s", "p", "o", rounded(F.col("quality")).alias("quality"))
 
 
@@ -495,8 +507,8 @@ def fused(spark, sf, config: FusionConfig, with_classes: bool = False):
         publisher_score_property=f"{META}publisherScore",
     )
     inputs = [
-        fx.quads(spark, sf, fx.claims_sql(" WHERE l_linenumber % 2 = 1")),
-        fx.quads(spark, sf, fx.claims_sql(" WHERE l_linenumber % 2 = 0")),
+        fx.claims(spark, sf, "l_linenumber % 2 = 1"),
+        fx.claims(spark, sf, "l_linenumber % 2 = 0"),
     ]
     if with_classes:
         inputs.append(fx.quads(spark, sf, fx.CLASSES))
