@@ -27,6 +27,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -202,20 +203,17 @@ def settled(key, content, doc, place) -> pa.RecordBatch:
     return _batch([slot, key, content, doc, place, again.astype(np.int64)])
 
 
-def _texts(column: pa.Array) -> list[list[bytes]]:
-    return [t.split() if t else [] for t in column.cast(pa.binary()).to_pylist()]
-
-
-def _chunks(texts: list[list[bytes]]):
-    """Ranges of documents of about ``CHUNK_WORDS`` words."""
-    at = size = 0
-    for i, words in enumerate(texts):
-        size += len(words)
+def _chunks(column: pa.Array, ids: np.ndarray):
+    """The documents of a batch in chunks of about ``CHUNK_WORDS`` words; one chunk is split into words at a time."""
+    texts, size, at = [], 0, 0
+    for i, text in enumerate(column.cast(pa.binary())):
+        texts.append((text.as_py() or b"").split())
+        size += len(texts[-1])
         if size >= CHUNK_WORDS:
-            yield at, i + 1
-            at, size = i + 1, 0
-    if at < len(texts):
-        yield at, len(texts)
+            yield Chunk(texts, ids[at : i + 1])
+            texts, size, at = [], 0, i + 1
+    if texts:
+        yield Chunk(texts, ids[at:])
 
 
 def _ids(column: pa.Array) -> np.ndarray:
@@ -224,8 +222,7 @@ def _ids(column: pa.Array) -> np.ndarray:
 
 def _file(batches):
     for batch in batches:
-        texts, ids = _texts(batch.column(1)), _ids(batch.column(0))
-        found = [occurrences(Chunk(texts[a:b], ids[a:b])) for a, b in _chunks(texts)]
+        found = [occurrences(chunk) for chunk in _chunks(batch.column(1), _ids(batch.column(0)))]
         if found:
             key, content, doc, place, more = (np.concatenate(c) for c in zip(*found, strict=True))
             yield settled(key, content, doc, packed(place, more))
@@ -297,9 +294,12 @@ def _pack(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, StructType(fields))
 
 
-def _open(blobs: pa.Array) -> list[bytes | None]:
+def _open(blobs: pa.Array) -> Iterator[bytes | None]:
+    """The texts of packed ones, one at a time."""
     unpack = zstandard.ZstdDecompressor().decompress
-    return [None if b is None else unpack(b) for b in blobs.to_pylist()]
+    for blob in blobs:
+        packed_text = blob.as_py()
+        yield None if packed_text is None else unpack(packed_text)
 
 
 def _met(docs: DataFrame, spans: DataFrame, how: str) -> DataFrame:
@@ -328,7 +328,8 @@ def _in_part(docs: DataFrame, firsts: DataFrame) -> DataFrame:
     def run(batches):
         for batch in batches:
             ids, found = _ids(batch.column(0)), []
-            for doc, text, spans in zip(ids, _open(batch.column(1)), batch.column(2).to_pylist(), strict=True):
+            for doc, text, listed in zip(ids, _open(batch.column(1)), batch.column(2), strict=True):
+                spans = listed.as_py()
                 chunk = Chunk([text.split() if text else []], np.array([doc]))
                 first, more, fits = _apply(spans, chunk, WINDOW)
                 keys = np.array([s["key"] for s in spans], np.int64)[fits]
@@ -371,18 +372,19 @@ def without_repeats(docs: DataFrame) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            texts, kept = _open(batch.column(at)), []
-            for i, spans in enumerate(batch.column(len(columns)).to_pylist()):
-                if spans:
-                    words, gone = covered(texts[i], spans)
+            texts, kept = [], []
+            for i, (text, spans) in enumerate(zip(_open(batch.column(at)), batch.column(len(columns)), strict=True)):
+                if spans.is_valid:
+                    words, gone = covered(text, spans.as_py())
                     if len(words) and gone.all():
                         continue
                     if gone.any():
-                        texts[i] = _cut(texts[i], gone)
+                        text = _cut(text, gone)
                 kept.append(i)
-            made = [batch.column(i) for i in range(len(columns))]
+                texts.append(text)
+            made = [batch.column(i).take(pa.array(kept, pa.int64())) for i in range(len(columns))]
             made[at] = pa.array(texts, pa.binary()).cast(pa.string())
-            yield pa.RecordBatch.from_arrays(made, names=columns).take(pa.array(kept, pa.int64()))
+            yield pa.RecordBatch.from_arrays(made, names=columns)
 
     cleaned = met.mapInArrow(run, docs.schema)
     return cleaned.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in columns else cleaned
@@ -415,8 +417,8 @@ def op10_recompression(docs: DataFrame) -> DataFrame:
     def run(batches):
         for batch in batches:
             counts, removed, digests = [], [], []
-            for text, spans in zip(_open(batch.column(1)), batch.column(2).to_pylist(), strict=True):
-                words, gone = covered(text, spans)
+            for text, spans in zip(_open(batch.column(1)), batch.column(2), strict=True):
+                words, gone = covered(text, spans.as_py())
                 counts.append(len(words))
                 removed.append(int(gone.sum()))
                 kept = [w for w, lost in zip(words, gone.tolist(), strict=True) if not lost] if removed[-1] else words
