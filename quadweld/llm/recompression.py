@@ -189,8 +189,11 @@ def _batch(columns: list[np.ndarray], names: list[str] = _NAMES) -> pa.RecordBat
     return pa.RecordBatch.from_arrays([pa.array(c.view(np.int64)) for c in columns], names=names)
 
 
-def settled(key, content, doc, place) -> pa.RecordBatch:
-    """All but the first of equal occurrences of a batch are known to repeat."""
+def settled(key, content, doc, place, by_key: bool = True) -> pa.RecordBatch:
+    """All but the first of equal occurrences of a batch are known to repeat.
+
+    The slot deals rows out: by key where contents of a key have to meet, else by key and content.
+    """
     order = np.lexsort((place, doc, content, key))
     key, content, doc, place = key[order], content[order], doc[order], place[order]
     again = np.zeros(len(key), bool)
@@ -199,7 +202,8 @@ def settled(key, content, doc, place) -> pa.RecordBatch:
     head = np.flatnonzero(~again)
     group = np.cumsum(~again) - 1
     again &= (doc != doc[head][group]) | (place >> 8 != (place >> 8)[head][group]) if len(key) else again
-    slot = np.where(again, mix(doc.view(np.uint64) ^ place.view(np.uint64)), key.view(np.uint64))
+    together = key if by_key else named(key.view(np.uint64), content.view(np.uint64))
+    slot = np.where(again, mix(doc.view(np.uint64) ^ place.view(np.uint64)), together.view(np.uint64))
     return _batch([slot, key, content, doc, place, again.astype(np.int64)])
 
 
@@ -338,7 +342,7 @@ def _in_part(docs: DataFrame, firsts: DataFrame) -> DataFrame:
                 found.append((keys[each], chunk.contents.of(start, start + WINDOW).view(np.int64), np.full(len(start), doc), start))
             if found:
                 key, content, doc, place = (np.concatenate(c) for c in zip(*found, strict=True))
-                yield settled(key, content, doc, packed(place, np.zeros_like(place)))
+                yield settled(key, content, doc, packed(place, np.zeros_like(place)), by_key=False)
 
     return met.mapInArrow(run, _ROW)
 
