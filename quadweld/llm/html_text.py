@@ -25,6 +25,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quadweld.llm.labelled import least_hashes
+
 #: Given pages that are read for labels at most, and their largest size.
 TRAIN_PAGES, TRAIN_CHARS = 200, 20_000
 STEPS, RATE, PENALTY = 200, 0.1, 0.5
@@ -381,12 +383,8 @@ def learn(pages: DataFrame, at_most: int = TRAIN_PAGES) -> Tree:
     """Weights from the layouts and from given pages with an article element, chosen by a digest."""
     own = [parsed(p) for p in labelled_layouts()]
     held = [(f, labels_of(f[0])) for f in own]
-    sample = (
-        pages.where(F.length("html").between(1, TRAIN_CHARS) & F.lower("html").contains("<article"))
-        .select("html")
-        .orderBy(F.xxhash64("html"), "html")
-        .limit(at_most)
-    )
+    marked = pages.where(F.length("html").between(1, TRAIN_CHARS) & F.lower("html").contains("<article")).select("html")
+    sample = least_hashes(marked, F.xxhash64("html"), at_most, "html")
     for row in sample.collect():
         found = parsed(row["html"])
         label = labels_by_landmark(found[0])
