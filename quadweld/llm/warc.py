@@ -35,6 +35,7 @@ SHARD_BYTES, MIN_SHARDS = 64 << 20, 64
 ROLL_BYTES = 32 << 20
 DATE = "2020-01-01T00:00:00Z"
 READ_BYTES = 1 << 16
+READ_TASKS = 10_000
 
 _RECORDS = "page_id long, url string, record_type string, payload_bytes long, payload_digest string, refers_to long, payload binary"
 
@@ -303,7 +304,9 @@ def _records(rows: list[tuple]) -> pa.RecordBatch:
 def read_archive(spark: SparkSession, folder: str) -> DataFrame:
     """All page records of a committed archive, digests verified."""
     manifest = spark.read.schema(_FILES).parquet(f"{folder}/_manifest")
-    return manifest.select("name").repartition("name").mapInArrow(_reader(folder), _RECORDS)
+    # Names are short, what they stand for is long: a given number of tasks keeps them apart.
+    files = max(1, min(manifest.count(), READ_TASKS))
+    return manifest.select("name").repartition(files, "name").mapInArrow(_reader(folder), _RECORDS)
 
 
 def op1_warc(pages: DataFrame) -> DataFrame:
