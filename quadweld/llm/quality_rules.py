@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quadweld.llm.tables import WORD, materialize
+from quadweld.llm.tables import WORD, materialize, maybe_broadcast
 
 MIN_WORDS, MAX_REPEATED, SPAN = 20, 30, 8
 #: Share of a group's rows that the estimate rests on, and steps of concentration.
@@ -30,6 +30,8 @@ SUPPORT, STEPS = 0.75, 6
 CUTOFF = 2 * 35.9
 #: Least standard deviation of a statistic, in thousandths.
 FLOOR = 60
+#: Estimates of up to this many groups are sent to every task.
+BROADCAST_GROUPS = 100_000
 #: Slices of distance in a factor of e.
 SLICES = 64
 
@@ -183,12 +185,20 @@ def distances(stats: DataFrame, support: float = SUPPORT, steps: int = STEPS) ->
     # The first centre is the middle of each statistic, in slices of its own: robust from the start.
     estimate = materialize(_first(rows, support), "estimate")
     for _ in range(steps):
-        measured = rows.join(estimate, "group").withColumn("d2", _distance())
+        measured = rows.join(_per_group(estimate), "group").withColumn("d2", _distance())
         sliced = measured.withColumn("slice", F.floor(F.log(F.col("d2") + 0.01) * SLICES).cast("int"))
-        within = _least(sliced, "slice", support)
+        within = _per_group(materialize(_least(sliced, "slice", support), "within"))
         estimate = materialize(_estimate(sliced.join(within, "group").where(F.col("slice") <= F.col("most"))), "estimate")
     columns = [*stats.columns, "d2"]
-    return rows.join(estimate, "group").withColumn("d2", _distance()).select(*columns)
+    return rows.join(_per_group(estimate), "group").withColumn("d2", _distance()).select(*columns)
+
+
+def _per_group(table: DataFrame) -> DataFrame:
+    """A written table with one row per group, sent to every task if there are few groups.
+
+    Rows of a hot group then stay where they are; beyond the bound the join is a shuffle.
+    """
+    return maybe_broadcast(table, BROADCAST_GROUPS)
 
 
 def _least(rows: DataFrame, slice_column: str, support: float) -> DataFrame:
@@ -209,8 +219,10 @@ def _first(rows: DataFrame, support: float) -> DataFrame:
     middles = held.withColumn("half", half).where("half").groupBy("group", "i").agg((F.min("bin") * 5).alias("x"))
     centre = middles.groupBy("group").agg(*[F.max(F.when(F.col("i") == i, F.col("x"))).alias(f"m{i}") for i in _DIMS])
     far = sum((F.abs(F.col(x) - F.col(f"m{i}")) for i, x in enumerate(STATS)), F.lit(0))
+    centre = _per_group(materialize(centre, "centre"))
     placed = rows.join(centre, "group").withColumn("slice", F.floor(F.log(far + 1) * SLICES).cast("int"))
-    return _estimate(placed.join(_least(placed, "slice", support), "group").where(F.col("slice") <= F.col("most")))
+    within = _per_group(materialize(_least(placed, "slice", support), "within"))
+    return _estimate(placed.join(within, "group").where(F.col("slice") <= F.col("most")))
 
 
 def judge(docs: DataFrame, cutoff: float = CUTOFF) -> DataFrame:
