@@ -26,8 +26,9 @@ from math import comb
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from quadweld.llm.tables import fresh, materialize
 from quadweld.operators.identity import star_forest
@@ -65,18 +66,18 @@ def fingerprint(text: bytes | None, width: int = SHINGLE) -> int:
     return int.from_bytes(np.packbits(bits, bitorder="little").tobytes(), "little")
 
 
-def fingerprints(docs: DataFrame, width: int = SHINGLE) -> DataFrame:
-    """doc_id and fingerprint (as a signed long) of every row."""
-    rows = docs.select("doc_id", "text")
-    id_type = rows.schema["doc_id"].dataType.simpleString()
+def fingerprints(docs: DataFrame, width: int = SHINGLE, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """The columns ``keep`` and fingerprint (as a signed long) of every row."""
+    rows = docs.select(*keep, "text")
+    n = len(keep)
 
     def run(batches):
         for batch in batches:
-            texts = batch.column(1).cast(pa.binary()).to_pylist()
+            texts = batch.column(n).cast(pa.binary()).to_pylist()
             found = np.array([fingerprint(t, width) for t in texts], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found)], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:n], pa.array(found)], names=[*keep, "fp"])
 
-    return rows.mapInArrow(run, f"doc_id {id_type}, fp long")
+    return rows.mapInArrow(run, StructType([*rows.schema.fields[:n], StructField("fp", LongType())]))
 
 
 def cell_masks(n: int, radius: int = RADIUS, bits: int = 64) -> list[int]:
@@ -186,13 +187,18 @@ def links(nodes: DataFrame, n: int, radius: int = RADIUS, tile: int = TILE) -> D
     return units(nodes, n, radius, tile).mapInArrow(run, "s long, o long").distinct()
 
 
-def components(marked: DataFrame, radius: int = RADIUS, tile: int = TILE) -> DataFrame:
-    """doc_id, fp and component_id for every row of doc_id and fp."""
-    nodes = materialize(marked.groupBy("fp").agg(F.min("doc_id").alias("first")), "fingerprints")
+def _rooted(nodes: DataFrame, radius: int = RADIUS, tile: int = TILE) -> DataFrame:
+    """The distinct fingerprints of a written table with the root of their component."""
     stars, _ = star_forest(links(nodes.select("fp"), nodes.count(), radius, tile))
-    rooted = nodes.join(stars.select(F.col("a").alias("fp"), F.col("b").alias("up")), "fp", "left").withColumn(
+    return nodes.join(stars.select(F.col("a").alias("fp"), F.col("b").alias("up")), "fp", "left").withColumn(
         "root", F.coalesce("up", "fp")
     )
+
+
+def components(marked: DataFrame, radius: int = RADIUS, tile: int = TILE) -> DataFrame:
+    """doc_id, fp and component_id for every row of doc_id and fp."""
+    nodes = materialize(marked.groupBy("fp").agg(F.min("doc_id").alias("first")), "fingerprints")
+    rooted = _rooted(nodes, radius, tile)
     least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
     named = materialize(rooted.join(least, "root").select("fp", "component_id"), "components")
     return marked.join(named, "fp").select("doc_id", "fp", "component_id")
@@ -203,16 +209,26 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     return components(materialize(fingerprints(docs), "marked"))
 
 
+def _row_key(docs: DataFrame) -> Column:
+    """A digest of the whole row; rows of one key are equal."""
+    others = F.to_json(F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]))
+    text = F.coalesce(F.sha2(F.col("text").cast("binary"), 256), F.lit("none"))
+    return F.sha2(F.concat_ws("/", text, others).cast("binary"), 256)
+
+
 def deduplicate(docs: DataFrame) -> DataFrame:
-    """One document of each component, that with the smallest doc_id; the columns of ``docs``.
+    """One document of each component; the columns of ``docs``.
 
-    Of rows with the same doc_id one stays. A component with null ids alone keeps one row.
+    That with the smallest doc_id stays, null ids last, and of equal ids that with the least digest of its row.
     """
-    key = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("none"))
-    (keeper,) = fresh(docs.columns, "_keeper")
-    keepers = near_duplicates(docs).select(key("component_id").alias(keeper)).distinct()
-    kept = docs.withColumn(keeper, key("doc_id")).join(keepers, keeper)
-    return kept.dropDuplicates([keeper]).select(*docs.columns)
+    (held,) = fresh(docs.columns, "_key")
+    keyed = docs.withColumn(held, _row_key(docs))
+    marked = materialize(fingerprints(keyed, keep=("doc_id", held)), "marked")
+    # The least row of each fingerprint, then of each component; both by partial aggregates.
+    order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", F.col(held).alias("key"))
+    nodes = materialize(marked.groupBy("fp").agg(F.min(order).alias("first")), "fingerprints")
+    keepers = _rooted(nodes).groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.key").alias(held))
+    return keyed.join(materialize(keepers, "keepers"), held).dropDuplicates([held]).select(*docs.columns)
 
 
 def op2_simhash(docs: DataFrame) -> DataFrame:

@@ -103,6 +103,13 @@ def test_one_document_of_each_component_stays(spark):
     assert simhash.op2_simhash(frame(spark, [])).count() == 0
 
 
+def test_components_without_ids_or_with_one_id_keep_a_row_each(spark):
+    texts = [" ".join(f"{c}{k}" for k in range(40)) for c in "abcde"]
+    rows = [(None, texts[0]), (None, texts[1]), (None, texts[1]), (4, texts[2]), (4, texts[3]), (None, texts[2]), (6, texts[3]), (None, texts[4])]
+    kept = simhash.deduplicate(frame(spark, rows)).collect()
+    assert sorted((r.text, r.doc_id) for r in kept) == [(t, i) for t, i in zip(texts, [None, None, 4, 4, None], strict=True)]
+
+
 def removed_by_brute_force(rows):
     order = lambda i: (i is None, i or 0)
     first, out = {}, defaultdict(list)
