@@ -19,7 +19,8 @@ window of ``WINDOW`` words if that stretch lies within, and equal windows have e
 
 "First" goes by doc_id, then by start; a null doc_id comes after all others. Rows with the same doc_id
 count as the same document: words that start at the same place in two of them don't
-remove each other. A span carries the hash of its words and is applied only to texts that have them there. Null,
+remove each other. Spans belong to rows, not to ids: a hash of id and text tells rows of one id apart, and equal
+rows share their spans. A span carries the hash of its words and is applied only to texts that have them there. Null,
 empty and short texts have no window and stay as they are. Whole texts are read. Other columns pass through.
 """
 
@@ -33,7 +34,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType
 
@@ -142,7 +143,7 @@ def anchors(name, start, end, lo, hi, windows: np.ndarray, width: int = WINDOW)
 class Chunk:
     """Some documents as one sequence of word hashes."""
 
-    def __init__(self, texts: list[list[bytes]], ids: np.ndarray):
+    def __init__(self, texts: list[list[bytes]], ids: np.ndarray, rows: np.ndarray):
         self.sizes = np.array([len(w) for w in texts], np.int64)
         total = int(self.sizes.sum())
         digest = xxhash.xxh3_64_intdigest
@@ -150,7 +151,7 @@ class Chunk:
         self.ends = np.cumsum(self.sizes)
         self.starts = self.ends - self.sizes
         self.doc = np.repeat(np.arange(len(texts)), self.sizes)
-        self.ids = ids
+        self.ids, self.rows = ids, rows
         self.contents = Contents(self.words)
 
     def windows(self, width: int = WINDOW) -> np.ndarray:
@@ -158,10 +159,10 @@ class Chunk:
 
 
 def occurrences(chunk: Chunk, width: int = WINDOW, rounds: int = ROUNDS):
-    """Columns key, content, doc_id, place and number of windows less one of all occurrences."""
+    """Columns key, content, doc_id, row, place and number of windows less one of all occurrences."""
     windows = chunk.windows(width)
     if not len(windows):
-        return [np.empty(0, t) for t in (np.uint64, np.uint64, np.int64, np.int64, np.int64)]
+        return [np.empty(0, t) for t in (np.uint64, np.uint64, np.int64, np.int64, np.int64, np.int64)]
     name, start, end, lo, hi = parse(chunk.words, chunk.doc, rounds)
     anchor = anchors(name, start, end, lo, hi, windows, width)
     new = np.ones(len(windows), bool)
@@ -172,7 +173,7 @@ def occurrences(chunk: Chunk, width: int = WINDOW, rounds: int = ROUNDS):
     content = chunk.contents.of(s, e + width)
     held = anchor[first]
     key = np.where(held >= 0, name[held], content)
-    return [key, content, chunk.ids[chunk.doc[s]], s - chunk.starts[chunk.doc[s]], e - s]
+    return [key, content, chunk.ids[chunk.doc[s]], chunk.rows[chunk.doc[s]], s - chunk.starts[chunk.doc[s]], e - s]
 
 
 def packed(place: np.ndarray, more: np.ndarray) -> np.ndarray:
@@ -180,8 +181,8 @@ def packed(place: np.ndarray, more: np.ndarray) -> np.ndarray:
     return place << 8 | more
 
 
-#: kind 0: to be compared, 1: known to repeat, 2: the first of one of several contents.
-_ROW = "slot long, key long, content long, doc long, place long, kind long"
+#: kind 0: to be compared, 1: known to repeat, 2: the first of one of several contents, or at the place of a first.
+_ROW = "slot long, key long, content long, doc long, row long, place long, kind long"
 _NAMES = [c.split()[0] for c in _ROW.split(", ")]
 
 
@@ -189,13 +190,13 @@ def _batch(columns: list[np.ndarray], names: list[str] = _NAMES) -> pa.RecordBat
     return pa.RecordBatch.from_arrays([pa.array(c.view(np.int64)) for c in columns], names=names)
 
 
-def settled(key, content, doc, place, by_key: bool = True) -> pa.RecordBatch:
+def settled(key, content, doc, row, place, by_key: bool = True) -> pa.RecordBatch:
     """All but the first of equal occurrences of a batch are known to repeat.
 
     The slot deals rows out: by key where contents of a key have to meet, else by key and content.
     """
     order = np.lexsort((place, doc, content, key))
-    key, content, doc, place = key[order], content[order], doc[order], place[order]
+    key, content, doc, row, place = key[order], content[order], doc[order], row[order], place[order]
     again = np.zeros(len(key), bool)
     again[1:] = (key[1:] == key[:-1]) & (content[1:] == content[:-1])
     # Of rows at one and the same place none is earlier.
@@ -203,21 +204,21 @@ def settled(key, content, doc, place, by_key: bool = True) -> pa.RecordBatch:
     group = np.cumsum(~again) - 1
     again &= (doc != doc[head][group]) | (place >> 8 != (place >> 8)[head][group]) if len(key) else again
     together = key if by_key else named(key.view(np.uint64), content.view(np.uint64))
-    slot = np.where(again, mix(doc.view(np.uint64) ^ place.view(np.uint64)), together.view(np.uint64))
-    return _batch([slot, key, content, doc, place, again.astype(np.int64)])
+    slot = np.where(again, mix(row.view(np.uint64) ^ place.view(np.uint64)), together.view(np.uint64))
+    return _batch([slot, key, content, doc, row, place, again.astype(np.int64)])
 
 
-def _chunks(column: pa.Array, ids: np.ndarray):
+def _chunks(column: pa.Array, ids: np.ndarray, rows: np.ndarray):
     """The documents of a batch in chunks of about ``CHUNK_WORDS`` words; one chunk is split into words at a time."""
     texts, size, at = [], 0, 0
     for i, text in enumerate(column.cast(pa.binary())):
         texts.append((text.as_py() or b"").split())
         size += len(texts[-1])
         if size >= CHUNK_WORDS:
-            yield Chunk(texts, ids[at : i + 1])
+            yield Chunk(texts, ids[at : i + 1], rows[at : i + 1])
             texts, size, at = [], 0, i + 1
     if texts:
-        yield Chunk(texts, ids[at:])
+        yield Chunk(texts, ids[at:], rows[at:])
 
 
 def _ids(column: pa.Array) -> np.ndarray:
@@ -226,30 +227,30 @@ def _ids(column: pa.Array) -> np.ndarray:
 
 def _file(batches):
     for batch in batches:
-        found = [occurrences(chunk) for chunk in _chunks(batch.column(1), _ids(batch.column(0)))]
+        found = [occurrences(chunk) for chunk in _chunks(batch.column(1), _ids(batch.column(0)), batch.column(2).to_numpy())]
         if found:
-            key, content, doc, place, more = (np.concatenate(c) for c in zip(*found, strict=True))
-            yield settled(key, content, doc, packed(place, more))
+            key, content, doc, row, place, more = (np.concatenate(c) for c in zip(*found, strict=True))
+            yield settled(key, content, doc, row, packed(place, more))
 
 
 def _compare(batches):
     """Reads rows sorted by key, content, doc and place; keeps the last first occurrence back."""
-    held = None  # key, content, doc, place, whether it is known that its key has several contents
+    held = None  # key, content, doc, row, place, whether it is known that its key has several contents
     for batch in batches:
-        rows = [batch.column(i).to_numpy() for i in range(1, 6)]
-        known = rows[4] > 0
+        rows = [batch.column(i).to_numpy() for i in range(1, 7)]
+        known = rows[5] > 0
         if known.any():
-            out = [c[known] for c in rows[:4]]
+            out = [c[known] for c in rows[:5]]
             yield _batch([np.zeros(len(out[0]), np.int64), *out, np.ones(len(out[0]), np.int64)])
-        key, content, doc, place = (c[~known] for c in rows[:4])
+        key, content, doc, row, place = (c[~known] for c in rows[:5])
         if not len(key):
             continue
         several = np.zeros(len(key), bool)
         if held is not None:
-            key, content, doc, place = (
-                np.append(np.array([h], np.int64), c) for h, c in zip(held[:4], (key, content, doc, place), strict=True)
+            key, content, doc, row, place = (
+                np.append(np.array([h], np.int64), c) for h, c in zip(held[:5], (key, content, doc, row, place), strict=True)
             )
-            several = np.append(np.array([held[4]]), several)
+            several = np.append(np.array([held[5]]), several)
         new_key = np.ones(len(key), bool)
         new_key[1:] = key[1:] != key[:-1]
         new = new_key.copy()
@@ -264,16 +265,17 @@ def _compare(batches):
         mates[:-1] |= same
         mates |= several[head]
         if later.any():
-            out = [c[later] for c in (key, content, doc, place)]
+            out = [c[later] for c in (key, content, doc, row, place)]
             yield _batch([np.zeros(len(out[0]), np.int64), *out, np.ones(len(out[0]), np.int64)])
         h = head[-1]
-        held = (key[h], content[h], doc[h], place[h], bool(mates[-1]))
-        give = head[:-1][mates[:-1]]
+        held = (key[h], content[h], doc[h], row[h], place[h], bool(mates[-1]))
+        # Other rows of the same id have the first at the same place; its windows are looked for in them as well.
+        give = np.concatenate([head[:-1][mates[:-1]], np.flatnonzero(~new & ~later & (row != row[head][group]))])
         if len(give):
-            out = [c[give] for c in (key, content, doc, place)]
+            out = [c[give] for c in (key, content, doc, row, place)]
             yield _batch([np.zeros(len(give), np.int64), *out, np.full(len(give), 2, np.int64)])
-    if held is not None and held[4]:
-        yield _batch([np.array([x], np.int64) for x in (0, *held[:4], 2)])
+    if held is not None and held[5]:
+        yield _batch([np.array([x], np.int64) for x in (0, *held[:5], 2)])
 
 
 def _compared(rows: DataFrame) -> DataFrame:
@@ -306,13 +308,17 @@ def _open(blobs: pa.Array) -> Iterator[bytes | None]:
         yield None if packed_text is None else unpack(packed_text)
 
 
+def _row_key() -> Column:
+    """Tells rows of different ids or texts apart, the same wherever it is made."""
+    return F.xxhash64(F.col("doc_id").cast("long"), F.col("doc_id").isNull(), F.col("text"))
+
+
 def _met(docs: DataFrame, spans: DataFrame, how: str) -> DataFrame:
-    """Documents with all their spans; a document has no more of them than words."""
-    doc, held, place = fresh(docs.columns, "_doc", "_spans", "_order")
-    listed = spans.groupBy(F.col("doc").alias(doc)).agg(F.collect_list(F.struct("place", "content", "key")).alias(held))
-    order = F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST))
-    # The packed text is made before the exchange, the key to the spans is a plain column.
-    return _pack(docs).withColumn(place, order).join(listed, F.col(place) == F.col(doc), how).drop(place, doc)
+    """Documents with all their spans; a row has no more of them than words, as equal rows share theirs."""
+    row, held, mine = fresh(docs.columns, "_row", "_spans", "_mine")
+    listed = spans.groupBy(F.col("row").alias(row)).agg(F.collect_set(F.struct("place", "content", "key")).alias(held))
+    # The text is packed before the exchange; the key to the spans is made of the text itself.
+    return _pack(docs.withColumn(mine, _row_key())).join(listed, F.col(mine) == F.col(row), how).drop(mine, row)
 
 
 def _apply(spans: list[dict], chunk: Chunk, width: int, start: int = 0):
@@ -327,31 +333,33 @@ def _apply(spans: list[dict], chunk: Chunk, width: int, start: int = 0):
 
 def _in_part(docs: DataFrame, firsts: DataFrame) -> DataFrame:
     """Windows of the first occurrences whose symbol stands in other contents too."""
-    met = _met(docs.select("doc_id", "text"), firsts, "inner")
+    rows = docs.select("doc_id", "text")
+    met = _met(rows.withColumn("row", _row_key()), firsts, "inner")
 
     def run(batches):
         for batch in batches:
             ids, found = _ids(batch.column(0)), []
-            for doc, text, listed in zip(ids, _open(batch.column(1)), batch.column(2), strict=True):
+            for doc, text, row, listed in zip(ids, _open(batch.column(1)), batch.column(2).to_numpy(), batch.column(3), strict=True):
                 spans = listed.as_py()
-                chunk = Chunk([text.split() if text else []], np.array([doc]))
+                chunk = Chunk([text.split() if text else []], np.array([doc]), np.array([row]))
                 first, more, fits = _apply(spans, chunk, WINDOW)
                 keys = np.array([s["key"] for s in spans], np.int64)[fits]
                 each = np.repeat(np.arange(len(first)), more + 1)
                 start = first[each] + np.arange(len(each)) - np.repeat(np.cumsum(more + 1) - more - 1, more + 1)
-                found.append((keys[each], chunk.contents.of(start, start + WINDOW).view(np.int64), np.full(len(start), doc), start))
+                content = chunk.contents.of(start, start + WINDOW).view(np.int64)
+                found.append((keys[each], content, np.full(len(start), doc), np.full(len(start), row), start))
             if found:
-                key, content, doc, place = (np.concatenate(c) for c in zip(*found, strict=True))
-                yield settled(key, content, doc, packed(place, np.zeros_like(place)), by_key=False)
+                key, content, doc, row, place = (np.concatenate(c) for c in zip(*found, strict=True))
+                yield settled(key, content, doc, row, packed(place, np.zeros_like(place)), by_key=False)
 
     return met.mapInArrow(run, _ROW)
 
 
 def repeats(docs: DataFrame) -> DataFrame:
-    """Spans of documents whose words stand earlier too: doc, place, content, key."""
-    compared = materialize(_compared(docs.select("doc_id", "text").mapInArrow(_file, _ROW)), "occurrences")
+    """Spans of rows whose words stand earlier too: row, place, content, key."""
+    compared = materialize(_compared(docs.select("doc_id", "text", _row_key().alias("row")).mapInArrow(_file, _ROW)), "occurrences")
     partial = _compared(_in_part(docs, compared.where("kind = 2")))
-    columns = ["doc", "place", "content", "key"]
+    columns = ["row", "place", "content", "key"]
     return compared.where("kind = 1").select(*columns).unionByName(partial.where("kind = 1").select(*columns))
 
 
@@ -360,7 +368,7 @@ def covered(text: bytes | None, spans: list[dict] | None, width: int = WINDOW) -
     words = text.split() if text else []
     gone = np.zeros(len(words) + 1, np.int64)
     if spans and words:
-        first, more, _ = _apply(spans, Chunk([words], np.zeros(1, np.int64)), width)
+        first, more, _ = _apply(spans, Chunk([words], np.zeros(1, np.int64), np.zeros(1, np.int64)), width)
         np.add.at(gone, first, 1)
         np.add.at(gone, first + more + width, -1)
     return words, np.cumsum(gone[:-1]) > 0

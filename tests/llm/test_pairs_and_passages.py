@@ -137,6 +137,23 @@ def test_words_of_repeated_windows_go(spark, seed):
     assert {i: sorted(v) for i, v in got.items()} == removed_by_brute_force(rows)
 
 
+@pytest.mark.parametrize("seed", [3, 4])
+def test_rows_of_one_id_meet_their_own_spans_alone(spark, seed):
+    rng = random.Random(seed)
+    rows = [(rng.choice([None, 5, i]), t) for i, t in mixed_rows(seed)]
+    base = [f"b{k}" for k in range(90)]
+    rows += [(None, " ".join(base[k : k + 40] + [f"n{k}"])) for k in range(0, 50, 3)] + [(2, " ".join(base[30:70]))]
+    docs = frame(spark, rows)
+    got = defaultdict(list)
+    for r in recompression.op10_recompression(docs).collect():
+        got[r.doc_id].append((r.n_words, r.n_removed, r.kept_sha256))
+    assert {i: sorted(v) for i, v in got.items()} == removed_by_brute_force(rows)
+    plain = docs.select("doc_id", "text")
+    met = recompression._met(plain, recompression.repeats(plain), "inner").collect()
+    widths = [len(recompression.zstandard.ZstdDecompressor().decompress(r[1]).split()) for r in met]
+    assert met and all(len({s["place"] >> 8 for s in r[2]}) == len({s["place"] for s in r[2]}) <= n for r, n in zip(met, widths, strict=True))
+
+
 def test_texts_without_repeats_stay_byte_for_byte(spark):
     passage = " ".join(f"w{k}" for k in range(60))
     rows = [(1, "Head \n " + passage + "\n tail  end "), (2, passage), (3, "before  it " + passage + " after"), (4, None), (5, "")]
