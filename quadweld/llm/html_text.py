@@ -10,7 +10,7 @@ Weights are learned by gradient ascent on the exact likelihood, from two sets of
 pages: layouts listed below, filled with words, and a bounded sample of the given pages that mark their article themselves.
 
 A null or empty html gives an empty text, as does a page without content. Markup may be broken: tags that are
-not closed end with their parent. Whole pages are read. A page's own text of every element is kept
+not closed end with their parent, a head with the first thing that may not stand in one. Whole pages are read. A page's own text of every element is kept
 or dropped as a whole. Rows with the same html get the same text. Other columns are ignored.
 """
 
@@ -37,6 +37,8 @@ SILENT = frozenset(
     "head title script style noscript template svg math iframe object select button textarea canvas audio video".split()
 )
 RAW = {tag: re.compile(f"</{tag}\\b[^>]*>?", re.I) for tag in "script style textarea title noscript iframe".split()}
+#: What may stand in a head; anything else ends one that is open.
+IN_HEAD = frozenset("base basefont bgsound head link meta noframes noscript script style template title".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q ruby rp rt s samp small span strike "
     "strong sub sup time tt u var wbr".split()
@@ -125,13 +127,19 @@ def parsed(page: str) -> tuple[list[Node], list[str]]:
             silent -= tag in SILENT
             stack.pop()
 
+    def leave_head(due: bool) -> None:
+        if due and stack[-1][0] == "head":
+            close(len(stack) - 1)
+
     while m := _TOKEN.search(page, at):
         shut, tag, rest = (m[1], m[2], m[3]) if m[2] else (m[4], m[5], m[6])
+        leave_head(page[at : m.start()].strip() != "")
         hear(page[at : m.start()])
         at = m.end()
         if not tag:
             continue
         tag = tag.lower()
+        leave_head(tag in ("html", "body", "br") if shut else tag not in IN_HEAD and tag != "html")
         if shut:
             for k in range(len(stack) - 1, 0, -1):
                 if stack[k][0] == tag:
@@ -174,6 +182,7 @@ def parsed(page: str) -> tuple[list[Node], list[str]]:
             stack.append((tag, len(nodes) - 1))
         if rest.endswith("/") and tag not in PLAIN:
             close(len(stack) - 1)
+    leave_head(page[at:].strip() != "")
     hear(page[at:])
     close(0)
     return nodes, blocks

@@ -119,6 +119,25 @@ def test_main_text(tree, page, text):
     assert html_text.main_texts(tree, [page]) == [text]
 
 
+@pytest.mark.parametrize(
+    "top",
+    [
+        "<!DOCTYPE html><html><head><title>T</title><meta charset=utf-8><style>p{}</style><body>",
+        "<html><head><title>T</title><link rel=x href=y>",
+        "<head><script>var a = '<p>';</script></body>",
+        "<head><template><p>not this</p></template><title>T</title><body>",
+    ],
+)
+def test_an_open_head_ends_where_the_body_starts(tree, top):
+    assert html_text.main_texts(tree, [f"{top}<article><h1>Head</h1><p>{LONG}</article>"]) == [f"Head\n{LONG}"]
+
+
+def test_text_ends_an_open_head():
+    assert html_text.parsed(f"<head><title>T</title> {LONG}")[1] == [LONG]
+    assert html_text.parsed(f"<head><title>T</title>{LONG}<b>more</b>")[1] == [f"{LONG}more"]
+    assert html_text.parsed("<head><meta name=x> <noscript>n</noscript></head>")[1] == []
+
+
 def test_whole_pages_of_any_size(spark, tree):
     words = "<p>" + " ".join(["word"] * 200_000) + ".</p>"
     rows = [(1, "u", f"<article>{words}</article>"), (1, "u", f"<article>{words}</article>"), (2, None, None), (None, "v", "")]
