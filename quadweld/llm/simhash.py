@@ -16,6 +16,12 @@ are then found by relinking rounds over written tables.
 A null text or one without words has fingerprint zero and links like any other. Rows with a null
 doc_id get a fingerprint; the component_id ignores them unless a component has no other.
 Repeated rows come back as often as they came in. Other columns are ignored.
+
+``deduplicate`` has a measure of its own: texts are linked whose sets of five-word shingles have a Jaccard
+similarity of 0.8 or more. That is about ten of 64 bits on average and up to seventeen, and cells for such a radius
+would share a few bits only, so candidates come from bands of minima of the same shingle hashes instead: a pair of
+similarity 0.8 shares none of the bands with a chance of 6e-5. Every candidate is checked on the texts themselves
+before a document goes. Of the candidates of a band those are checked that are not linked yet.
 """
 
 from __future__ import annotations
@@ -26,35 +32,50 @@ from math import comb
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+import zstandard
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
 from quadweld.llm.tables import fresh, materialize
 from quadweld.operators.identity import star_forest
+from quadweld.operators.stage import heavy_keys, lookup
 
 SHINGLE, RADIUS, SEED = 4, 4, 42
 #: Fingerprints in a tile, and the side of a block of comparisons within it.
 TILE, SIDE = 2_048, 1_024
 #: Shingles counted at once.
 CHUNK = 1 << 16
+#: Near duplicates of the pipeline: words of a shingle and least Jaccard similarity, as a fraction.
+NEAR_SHINGLE, NEAR = 5, (4, 5)
+#: Bands of that many minima each.
+BANDS, DEPTH = 32, 6
 
 _SHIFTS = np.arange(8, dtype=np.uint64)
 _LOW_BITS = np.uint64(0x0101010101010101)
 
 
-def fingerprint(text: bytes | None, width: int = SHINGLE) -> int:
-    """SimHash of the word shingles, repeats included; zero without words."""
-    joined = b" ".join(text.lower().split()) if text else b""
-    if not joined:
-        return 0
+def _joined(text: bytes | None) -> bytes:
+    return b" ".join(text.lower().split()) if text else b""
+
+
+def _shingles(joined: bytes, width: int) -> np.ndarray:
+    """Hashes of the word shingles, repeats included; of all words if they are fewer than a shingle has."""
     spaces = np.flatnonzero(np.frombuffer(joined, np.uint8) == 32).tolist()
     starts, ends = [0, *[s + 1 for s in spaces]], [*spaces, len(joined)]
     digest = xxhash.xxh64_intdigest
     if len(starts) < width:
-        return digest(joined, SEED)
+        return np.array([digest(joined, SEED)], np.uint64)
     pairs = zip(starts, ends[width - 1 :], strict=False)
-    hashes = np.fromiter((digest(joined[a:b], SEED) for a, b in pairs), np.uint64, len(starts) - width + 1)
+    return np.fromiter((digest(joined[a:b], SEED) for a, b in pairs), np.uint64, len(starts) - width + 1)
+
+
+def fingerprint(text: bytes | None, width: int = SHINGLE) -> int:
+    """SimHash of the word shingles, repeats included; zero without words."""
+    joined = _joined(text)
+    if not joined:
+        return 0
+    hashes = _shingles(joined, width)
     counts = np.zeros((8, 8), np.int64)
     for at in range(0, len(hashes), CHUNK):
         # Eight byte-wide counters in a word hold up to 255 each.
@@ -66,18 +87,18 @@ def fingerprint(text: bytes | None, width: int = SHINGLE) -> int:
     return int.from_bytes(np.packbits(bits, bitorder="little").tobytes(), "little")
 
 
-def fingerprints(docs: DataFrame, width: int = SHINGLE, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """The columns ``keep`` and fingerprint (as a signed long) of every row."""
-    rows = docs.select(*keep, "text")
-    n = len(keep)
+def fingerprints(docs: DataFrame, width: int = SHINGLE) -> DataFrame:
+    """doc_id and fingerprint (as a signed long) of every row."""
+    rows = docs.select("doc_id", "text")
+    id_type = rows.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
         for batch in batches:
-            texts = batch.column(n).cast(pa.binary()).to_pylist()
+            texts = batch.column(1).cast(pa.binary()).to_pylist()
             found = np.array([fingerprint(t, width) for t in texts], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([*batch.columns[:n], pa.array(found)], names=[*keep, "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found)], names=["doc_id", "fp"])
 
-    return rows.mapInArrow(run, StructType([*rows.schema.fields[:n], StructField("fp", LongType())]))
+    return rows.mapInArrow(run, f"doc_id {id_type}, fp long")
 
 
 def cell_masks(n: int, radius: int = RADIUS, bits: int = 64) -> list[int]:
@@ -187,18 +208,18 @@ def links(nodes: DataFrame, n: int, radius: int = RADIUS, tile: int = TILE) -> D
     return units(nodes, n, radius, tile).mapInArrow(run, "s long, o long").distinct()
 
 
-def _rooted(nodes: DataFrame, radius: int = RADIUS, tile: int = TILE) -> DataFrame:
-    """The distinct fingerprints of a written table with the root of their component."""
-    stars, _ = star_forest(links(nodes.select("fp"), nodes.count(), radius, tile))
-    return nodes.join(stars.select(F.col("a").alias("fp"), F.col("b").alias("up")), "fp", "left").withColumn(
-        "root", F.coalesce("up", "fp")
+def _rooted(nodes: DataFrame, found: DataFrame, name: str = "fp") -> DataFrame:
+    """``nodes`` with the root of their component under the links ``found``."""
+    stars, _ = star_forest(found)
+    return nodes.join(stars.select(F.col("a").alias(name), F.col("b").alias("up")), name, "left").withColumn(
+        "root", F.coalesce("up", name)
     )
 
 
 def components(marked: DataFrame, radius: int = RADIUS, tile: int = TILE) -> DataFrame:
     """doc_id, fp and component_id for every row of doc_id and fp."""
     nodes = materialize(marked.groupBy("fp").agg(F.min("doc_id").alias("first")), "fingerprints")
-    rooted = _rooted(nodes, radius, tile)
+    rooted = _rooted(nodes, links(nodes.select("fp"), nodes.count(), radius, tile))
     least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
     named = materialize(rooted.join(least, "root").select("fp", "component_id"), "components")
     return marked.join(named, "fp").select("doc_id", "fp", "component_id")
@@ -216,18 +237,116 @@ def _row_key(docs: DataFrame) -> Column:
     return F.sha2(F.concat_ws("/", text, others).cast("binary"), 256)
 
 
-def deduplicate(docs: DataFrame) -> DataFrame:
-    """One document of each component; the columns of ``docs``.
+def bands(hashes: np.ndarray, n_bands: int = BANDS, depth: int = DEPTH) -> np.ndarray:
+    """Keys of the bands of minima of a set of shingle hashes; the number of the band is part of the key."""
+    factors = np.random.default_rng(SEED).integers(1 << 63, size=n_bands * depth, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    least = np.full(n_bands * depth, np.iinfo(np.uint64).max)
+    for at in range(0, len(hashes), 512):
+        np.minimum(least, (factors[:, None] * hashes[None, at : at + 512]).min(axis=1), out=least)
+    keys = np.arange(1, n_bands + 1, dtype=np.uint64)
+    for column in least.reshape(n_bands, depth).T:
+        keys = (keys ^ column) * np.uint64(0xBF58476D1CE4E5B9)
+        keys ^= keys >> np.uint64(29)
+    return keys
+
+
+def _banded(docs: DataFrame, keep: list[str], width: int) -> DataFrame:
+    """The columns ``keep``, a digest of the words, and the bands of every row; none without words."""
+    rows = docs.select(*keep, "text")
+    n = len(keep)
+
+    def run(batches):
+        for batch in batches:
+            nodes, keys = [], []
+            for text in batch.column(n).cast(pa.binary()):
+                joined = _joined(text.as_py())
+                nodes.append(xxhash.xxh3_64_intdigest(joined, SEED) if joined else 0)
+                keys.append(bands(np.unique(_shingles(joined, width))).view(np.int64) if joined else [])
+            made = [pa.array(np.array(nodes, np.uint64).view(np.int64)), pa.array(keys, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:n], *made], names=[*keep, "node", "bands"])
+
+    more = [StructField("node", LongType()), StructField("bands", ArrayType(LongType()))]
+    return rows.mapInArrow(run, StructType([*rows.schema.fields[:n], *more]))
+
+
+def _alike(pairs: DataFrame, texts: DataFrame, width: int, share: tuple[int, int]) -> DataFrame:
+    """The pairs (s, o) of a written table whose texts have that Jaccard similarity at least."""
+    one = lambda c: texts.select(F.col("node").alias(c), F.col("text").alias(f"text_{c}"))
+    met = pairs.join(one("o"), "o")
+    met = lookup(met, one("s"), ["s"], heavy_keys(pairs, ["s"]), "inner").select("s", "o", "text_s", "text_o")
+
+    def run(batches):
+        unpack = zstandard.ZstdDecompressor().decompress
+        of = lambda blob: np.unique(_shingles(_joined(unpack(blob.as_py())), width))
+        last, mine = None, None
+        for batch in batches:
+            good = []
+            for s, a, b in zip(batch.column(0).to_pylist(), batch.column(2), batch.column(3), strict=True):
+                if s != last:
+                    last, mine = s, of(a)
+                theirs = of(b)
+                both = len(np.intersect1d(mine, theirs, assume_unique=True))
+                good.append(both * share[1] >= (len(mine) + len(theirs) - both) * share[0])
+            yield batch.select(["s", "o"]).filter(pa.array(good, pa.bool_()))
+
+    return met.mapInArrow(run, "s long, o long")
 
-    That with the smallest doc_id stays, null ids last, and of equal ids that with the least digest of its row.
+
+def _packed_texts(docs: DataFrame) -> DataFrame:
+    """node and compressed text."""
+
+    def run(batches):
+        press = zstandard.ZstdCompressor(level=3).compress
+        for batch in batches:
+            texts = [press(t.as_py()) for t in batch.column(1).cast(pa.binary())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.binary())], names=["node", "text"])
+
+    return docs.select("node", "text").mapInArrow(run, "node long, text binary")
+
+
+def similar(keyed: DataFrame, marked: DataFrame, nodes: DataFrame, held: str, width: int, share: tuple[int, int]) -> DataFrame:
+    """``nodes`` with the root of their component.
+
+    In every band the least node is held against all others, then the next two of those not linked, then four, until
+    all are linked or have met: many alike are linked by the first, so few pairs are left to be looked at.
+    """
+    spark = marked.sparkSession
+    buckets = materialize(marked.select("node", F.explode("bands").alias("band")).distinct(), "bands")
+    shared = buckets.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("band")
+    left = materialize(buckets.join(shared, "band"), "buckets")
+    wanted = left.select("node").distinct().join(nodes.select("node", F.col("first.key").alias(held)), "node")
+    texts = materialize(_packed_texts(keyed.join(wanted, held)).dropDuplicates(["node"]), "texts")
+    found = spark.createDataFrame([], "s long, o long")
+    rooted, leaders = left.withColumn("root", F.col("node")), 1
+    while not left.isEmpty():
+        ranked = rooted.withColumn("rank", F.row_number().over(Window.partitionBy("band").orderBy("node")))
+        ranked = materialize(ranked, "ranked")
+        first = ranked.where(F.col("rank") <= leaders).select("band", F.col("node").alias("s"), F.col("root").alias("up"))
+        pairs = ranked.join(first, "band").where("s < node AND up <> root").select("s", F.col("node").alias("o")).distinct()
+        found = found.unionByName(materialize(_alike(materialize(pairs, "pairs"), texts, width, share), "alike"))
+        # The leaders have met all of their band. A band whose nodes are in one component has nothing more to tell.
+        rest = _rooted(ranked.where(F.col("rank") > leaders).select("band", "node"), found, "node").select("band", "node", "root")
+        rest = materialize(rest, "rest")
+        mixed = rest.groupBy("band").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a <> b").select("band")
+        left = rooted = materialize(rest.join(mixed, "band"), "buckets")
+        leaders *= 2
+    return _rooted(nodes, found, "node")
+
+
+def deduplicate(docs: DataFrame, width: int = NEAR_SHINGLE, share: tuple[int, int] = NEAR) -> DataFrame:
+    """One document of each component of texts of a Jaccard similarity of ``share`` or more; the columns of ``docs``.
+
+    That with the smallest doc_id stays, null ids last, and of equal ids that with the least digest of its row. Texts
+    without words are alike.
     """
     (held,) = fresh(docs.columns, "_key")
     keyed = docs.withColumn(held, _row_key(docs))
-    marked = materialize(fingerprints(keyed, keep=("doc_id", held)), "marked")
-    # The least row of each fingerprint, then of each component; both by partial aggregates.
+    marked = materialize(_banded(keyed, ["doc_id", held], width), "marked")
+    # The least row of each text, then of each component; both by partial aggregates.
     order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", F.col(held).alias("key"))
-    nodes = materialize(marked.groupBy("fp").agg(F.min(order).alias("first")), "fingerprints")
-    keepers = _rooted(nodes).groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.key").alias(held))
+    nodes = materialize(marked.groupBy("node").agg(F.min(order).alias("first")), "nodes")
+    rooted = similar(keyed, marked, nodes, held, width, share)
+    keepers = rooted.groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.key").alias(held))
     return keyed.join(materialize(keepers, "keepers"), held).dropDuplicates([held]).select(*docs.columns)
 
 

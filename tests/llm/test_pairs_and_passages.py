@@ -110,6 +110,32 @@ def test_components_without_ids_or_with_one_id_keep_a_row_each(spark):
     assert sorted((r.text, r.doc_id) for r in kept) == [(t, i) for t, i in zip(texts, [None, None, 4, 4, None], strict=True)]
 
 
+def test_of_texts_of_a_similarity_of_four_fifths_one_stays(spark):
+    rng = random.Random(11)
+    word = lambda: f"w{rng.randint(0, 10**6)}"
+    rows = []
+    for size in (12, 30, 60, 150, 400) * 4:
+        base = [word() for _ in range(size)]
+        for k in range(5):
+            # Changed stretches at the end or spread, so that similarities lie on both sides of the limit.
+            copy, n = base[:], round(size * 0.06 * k)
+            if k % 2:
+                copy[size - n :] = [word() for _ in range(n)]
+            else:
+                for at in rng.sample(range(size), n // 5):
+                    copy[at] = word()
+            rows.append((len(rows), " ".join(copy)))
+    sets = [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in (t.split() for _, t in rows)]
+    root = list(range(len(rows)))
+    for i in root[:]:
+        for j in range(i):
+            if 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j]):
+                a, b = root[i], root[j]
+                root = [min(a, b) if x in (a, b) else x for x in root]
+    got = {r.doc_id for r in simhash.deduplicate(frame(spark, rows)).collect()}
+    assert got == set(root) and len(got) < len(rows)
+
+
 def removed_by_brute_force(rows):
     order = lambda i: (i is None, i or 0)
     first, out = {}, defaultdict(list)
