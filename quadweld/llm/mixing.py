@@ -91,7 +91,7 @@ def queue(sizes: DataFrame, targets: DataFrame) -> DataFrame:
     )
     named = keyed.withColumn("source_key", F.struct(F.col("source").isNull(), F.coalesce("source", F.lit(""))))
     before = _before(named, ["source_key"], "bucket", "size")
-    order = [F.col("digest"), F.col("doc_id"), F.col("size")]
+    order = [F.col(c) for c in ("digest", "doc_id", "size", "text_key") if c in sizes.columns or c == "digest"]
     # The place in the bucket tells equal rows apart.
     within = named.withColumn(
         "place", F.row_number().over(Window.partitionBy("source_key", "bucket").orderBy(*order))
@@ -113,31 +113,39 @@ def mixed_documents(docs: DataFrame, weights=WEIGHTS, budget=BUDGET, passes=PASS
     """The documents that the mix takes, range-sorted by the virtual time of their first copy.
 
     Columns of ``docs`` with ``size``, ``copies``, ``finish`` of the first copy and ``taken`` words. Rows with equal
-    doc_id, source and size come back as one, with the copies of all of them.
+    doc_id, source and text come back as one, with the copies of all of them.
     """
     named = ("size", "copies", "finish", "taken")
     rows = docs.drop(*named)
     held, *made = fresh(rows.columns, "_key", "_size", "_copies", "_finish", "_taken")
-    key = lambda size: F.md5(F.to_json(F.struct(F.col("doc_id").alias("d"), F.col("source").alias("s"), size.alias("n"))))
+    key = lambda size, text: F.md5(F.to_json(F.struct(F.col("doc_id").alias("d"), F.col("source").alias("s"), size.alias("n"), text.alias("t"))))
     taken = (
-        mix(docs, weights, budget, passes)
+        mix(docs, weights, budget, passes, by_text=True)
         .where("taken")
-        .groupBy(key(F.col("size")).alias(held))
+        .groupBy(key(F.col("size"), F.col("text_key")).alias(held))
         .agg(F.count(F.lit(1)).alias(made[1]), F.min("finish").alias(made[2]), F.sum("size").alias(made[3]))
     )
     sized = rows.withColumn(made[0], _size_of(F.col("text")))
-    met = sized.withColumn(held, key(F.col(made[0]))).join(taken, held).dropDuplicates([held])
+    met = sized.withColumn(held, key(F.col(made[0]), _text_key())).join(taken, held).dropDuplicates([held])
     return met.select(*rows.columns, *[F.col(m).alias(n) for m, n in zip(made, named, strict=True)]).orderBy("finish", "doc_id")
 
 
+def _text_key() -> Column:
+    return F.coalesce(F.sha2(F.col("text").cast("binary"), 256), F.lit("none"))
+
+
 def _size_of(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def mix(docs: DataFrame, weights=WEIGHTS, budget=BUDGET, passes=PASSES) -> DataFrame:
-    """One row per copy in the queues: doc_id, source, size, target, pass, finish, and whether the mix takes it."""
+def mix(docs: DataFrame, weights=WEIGHTS, budget=BUDGET, passes=PASSES, by_text: bool = False) -> DataFrame:
+    """One row per copy in the queues: doc_id, source, size, target, pass, finish, and whether the mix takes it.
+
+    With ``by_text`` also a digest of the text, which orders rows that are equal otherwise.
+    """
+    text_key = [_text_key().alias("text_key")] if by_text else []
     sizes = materialize(
-        docs.select("doc_id", "source", _size_of(F.col("text")).alias("size")),
+        docs.select("doc_id", "source", _size_of(F.col("text")).alias("size"), *text_key),
         "sizes",
     )
     targets = materialize(source_targets(sizes, weights, budget, passes), "targets")

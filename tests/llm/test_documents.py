@@ -207,6 +207,12 @@ def test_mixed_documents(spark):
         assert empty(docs(spark, [])).count() == 0
 
 
+def test_rows_of_one_id_source_and_size_keep_their_texts(spark):
+    texts = [f"{a} {b}" for a in "abc" for b in "xyz"]
+    mixed = mixing.mixed_documents(docs(spark, [(None, t, "en", "a") for t in texts]), budget=(2, 1)).collect()
+    assert sorted(r.text for r in mixed) == texts
+
+
 def test_pipeline_stages_follow_on_each_other(spark, corpus):
     assert [name for name, _ in corpus_pipeline.STAGES][1] == "SimHash near-dedup"
     one, labels = corpus[0].where("doc_id < 240 OR doc_id > 900").drop("size", "finish", "label", "d2"), corpus[1]
