@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 from quadweld.llm import (
+    collocations,
+    conversations,
     decontaminate,
     html_text,
     line_quality,
     mixing,
+    packing,
     quality_rules,
     recompression,
     simhash,
@@ -29,6 +32,9 @@ QUERIES = {
     "op8_quality_rules": lambda spark, d: quality_rules.op8_quality_rules(read(spark, d, "documents")),
     "op9_mixing": lambda spark, d: mixing.op9_mixing(read(spark, d, "documents")),
     "op10_recompression": lambda spark, d: recompression.op10_recompression(read(spark, d, "documents")),
+    "op11_packing": lambda spark, d: packing.op11_packing(read(spark, d, "documents")),
+    "op12_collocations": lambda spark, d: collocations.op12_collocations(read(spark, d, "documents")),
+    "op13_repair": lambda spark, d: conversations.op13_repair(read(spark, d, "conversations")),
 }
 
 ORACLES = {
@@ -36,4 +42,6 @@ ORACLES = {
     "op3_decontaminate": decontaminate.ORACLE,
     "op7_url_filters": url_filters.ORACLE,
     "op9_mixing": mixing.ORACLE,
+    "op12_collocations": collocations.ORACLE,
+    "op13_repair": conversations.ORACLE,
 }
