@@ -6,9 +6,10 @@ at the ends of pieces. The count of a shorter phrase is its flow: the sum of all
 through which all flow goes from one edge to one other are compacted, so that a passage that is repeated as a whole is
 one path with one count.
 
-Only phrases of ``min_count`` matter, and no phrase counts more than the pairs in it. A first pass therefore counts hashes of
-pairs, and pieces end wherever a pair is rare. The set of frequent pairs is a filter of fixed size: what it lets through
-wrongly costs time, never exactness. All counts are those of whole records.
+Only phrases of ``min_count`` matter, and no phrase counts more than the words and pairs in it. First passes therefore count
+hashes of words, then of pairs of frequent words, and pieces end wherever a pair is rare; rare words are counted together. The sets of
+frequent words and pairs are filters of fixed size: what they let through wrongly costs time, never exactness. All counts are
+those of whole records.
 
 Null texts are empty, a null language is ``und``; rows without words give nothing, equal rows count each time, other
 columns are ignored. An empty table gives no phrases. Long texts are walked in slices, so memory does not grow with them.
@@ -18,6 +19,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +36,7 @@ DROP_SHARE = (80, 100)
 FIRST = 2_000
 SCALE = 2_000_000
 
-#: Bytes of text whose words are held at once, words whose hashes are kept, bits of the filter of pairs.
+#: Bytes of text whose words are held at once, words whose hashes are kept, bits of a filter.
 SLICE = 4 << 20
 KEPT_WORDS = 200_000
 SIEVE_BITS = 1 << 26
@@ -116,78 +118,103 @@ def _mixed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
-def _pair_hashes(words: list[bytes], index: np.ndarray, langs: list[str], hashes: _Hashes) -> tuple[np.ndarray, np.ndarray]:
-    """The hash of each word with the next one in its language, and where there is such a pair."""
+class Hashed(NamedTuple):
+    """Per word of a stretch: its hash in its language, whether it is a word, the hash of it and the next one, whether they are two words."""
+
+    word: np.ndarray
+    is_word: np.ndarray
+    pair: np.ndarray
+    is_pair: np.ndarray
+
+
+def _hashed(words: list[bytes], index: np.ndarray, langs: list[str], hashes: _Hashes) -> Hashed:
     if len(hashes) > KEPT_WORDS:
         hashes.clear()
     codes = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
     of_lang = np.array([xxhash.xxh3_64_intdigest(lang.encode()) for lang in langs], np.uint64)
-    after = np.append(codes[1:], np.uint64(0))
     # Context words belong to the language of the words before them.
     known = np.maximum.accumulate(np.where(index >= 0, np.arange(len(index)), 0))
-    return _mixed(_mixed(of_lang[np.maximum(index[known], 0)], codes), after), (codes != 0) & (after != 0)
+    word = _mixed(of_lang[np.maximum(index[known], 0)], codes)
+    after = np.append(codes[1:], np.uint64(0))
+    return Hashed(word, codes != 0, _mixed(word, after), (codes != 0) & (after != 0))
+
 
+def _frequent(hashed: np.ndarray, cells: np.ndarray) -> np.ndarray:
+    """Which hashes a filter lets through: both of their places are set."""
+    out = np.ones(len(hashed), bool)
+    for shift in (0, 32):
+        bit = (hashed >> np.uint64(shift)) & np.uint64(SIEVE_BITS - 1)
+        out &= (cells[(bit >> np.uint64(6)).astype(np.int64)] >> (bit & np.uint64(63))) & np.uint64(1) != 0
+    return out
 
-def _count_pairs(batches) -> Iterator[pa.RecordBatch]:
-    hashes = _Hashes()
-    for words, index, langs in _stretches(batches):
-        pairs, is_pair = _pair_hashes(words, index, langs, hashes)
-        found, n = np.unique(pairs[is_pair & (index >= 0)], return_counts=True)
-        yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(n)], ["pair", "c"])
 
+def _pairs_of_frequent(hashed: Hashed, words: np.ndarray) -> np.ndarray:
+    """Where two frequent words follow each other."""
+    frequent = hashed.is_word & _frequent(hashed.word, words)
+    return hashed.is_pair & frequent & np.append(frequent[1:], False)
 
-def _bits(pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Two places of the filter."""
-    most = np.uint64(SIEVE_BITS - 1)
-    return (pairs & most).astype(np.int64), ((pairs >> np.uint64(32)) & most).astype(np.int64)
 
+def _count_hashes(word_filter=None):
+    """A function that counts hashes of words, or with their filter those of pairs of frequent words."""
+
+    def apply(batches) -> Iterator[pa.RecordBatch]:
+        hashes, cells = _Hashes(), word_filter and np.frombuffer(word_filter.value, np.uint64)
+        for words, index, langs in _stretches(batches):
+            hashed = _hashed(words, index, langs, hashes)
+            if cells is None:
+                chosen = hashed.word[hashed.is_word & (index >= 0)]
+            else:
+                chosen = hashed.pair[_pairs_of_frequent(hashed, cells) & (index >= 0)]
+            found, n = np.unique(chosen, return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(n)], ["hash", "c"])
 
-def _sieve(docs: DataFrame, min_count: int) -> bytes:
-    """The filter of pairs that occur ``min_count`` times; its size is fixed, whatever the corpus holds."""
+    return apply
+
+
+def _filter(docs: DataFrame, min_count: int, word_filter=None):
+    """A broadcast filter of the hashes that occur ``min_count`` times; its size is fixed, whatever the corpus holds."""
     most = SIEVE_BITS - 1
     frequent = (
-        docs.mapInArrow(_count_pairs, "pair long, c long")
-        .groupBy("pair")
+        docs.mapInArrow(_count_hashes(word_filter), "hash long, c long")
+        .groupBy("hash")
         .agg(F.sum("c").alias("c"))
         .where(F.col("c") >= min_count)
     )
-    places = F.explode(F.array(F.col("pair").bitwiseAND(most), F.shiftrightunsigned("pair", 32).bitwiseAND(most))).alias("bit")
-    # Bits are put together in the tasks: the driver gets 1/64 of the filter's bits as rows at most.
+    places = F.array(F.col("hash").bitwiseAND(most), F.shiftrightunsigned("hash", 32).bitwiseAND(most))
+    # Bits are put together in the tasks: the driver gets a row for each 64 bits of the filter at most.
     cells = (
-        frequent.select(places)
+        frequent.select(F.explode(places).alias("bit"))
         .groupBy(F.shiftright("bit", 6).alias("cell"))
         .agg(F.expr("bit_or(shiftleft(1L, cast(bit & 63 as int)))").alias("bits"))
         .toArrow()
     )
-    sieve = np.zeros(SIEVE_BITS // 64, np.uint64)
-    sieve[cells.column("cell").to_numpy()] = cells.column("bits").to_numpy().view(np.uint64)
-    return sieve.tobytes()
+    bits = np.zeros(SIEVE_BITS // 64, np.uint64)
+    bits[cells.column("cell").to_numpy()] = cells.column("bits").to_numpy().view(np.uint64)
+    return docs.sparkSession.sparkContext.broadcast(bits.tobytes())
 
 
-def _records(sieve):
+def _records(word_filter, pair_filter):
     """A function that counts the records of a partition, stretch by stretch."""
 
-    def apply(batches):
-        cells = np.frombuffer(sieve.value, np.uint64)
-
-        def has(bit):
-            return (cells[bit >> 6] >> (bit & 63).astype(np.uint64)) & np.uint64(1) != 0
-
+    def apply(batches) -> Iterator[pa.RecordBatch]:
+        of_words, of_pairs = (np.frombuffer(x.value, np.uint64) for x in (word_filter, pair_filter))
         hashes = _Hashes()
         for words, index, langs in _stretches(batches):
-            pairs, follows = _pair_hashes(words, index, langs, hashes)
-            first, second = _bits(pairs)
-            follows &= has(first) & has(second)
-            yield from _counted(words, index, langs, follows)
+            hashed = _hashed(words, index, langs, hashes)
+            follows = _pairs_of_frequent(hashed, of_words) & _frequent(hashed.pair, of_pairs)
+            yield from _counted(words, index, langs, follows, _frequent(hashed.word, of_words))
 
     return apply
 
 
-def _counted(words: list[bytes], index: np.ndarray, langs: list[str], follows: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """Records of a stretch with their counts. Equal records are found by numbers, not by hashes."""
+def _counted(words: list[bytes], index: np.ndarray, langs: list[str], follows: np.ndarray, frequent: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Records of a stretch with their counts, and rare words as records of none. Equal records are found by numbers, not by hashes."""
     numbers = _Numbers()
     codes = np.fromiter(map(numbers.__getitem__, words), np.int64, len(words))
-    at = np.flatnonzero((index >= 0) & (codes != 0))
+    started = (index >= 0) & (codes != 0)
+    rare = np.bincount(index[started & ~frequent], minlength=len(langs))
+    yield _batch([(lang, "", 0, n) for lang, n in zip(langs, rare.tolist(), strict=True) if n])
+    at = np.flatnonzero(started & frequent)
     ids = index[at]
     for length in range(1, LONGEST + 1):
         # What is told apart so far, and the next word.
@@ -196,26 +223,26 @@ def _counted(words: list[bytes], index: np.ndarray, langs: list[str], follows: n
         n = np.bincount(ids[~goes_on], minlength=len(keys))
         ending = np.flatnonzero(n)
         starts = at[first[ending]]
-        if len(starts):
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([langs[i] for i in index[starts]], pa.string()),
-                    pa.array([b" ".join(words[i : i + length]).decode() for i in starts], pa.string()),
-                    pa.array(np.full(len(starts), length, np.int32)),
-                    pa.array(n[ending].astype(np.int64)),
-                ],
-                ["lang", "gram", "k", "c"],
-            )
+        grams = (b" ".join(words[i : i + length]).decode() for i in starts)
+        yield _batch([(langs[i], gram, length, c) for i, gram, c in zip(index[starts], grams, n[ending].tolist(), strict=True)])
         at, ids = at[goes_on], ids[goes_on]
 
 
+def _batch(rows: list[tuple]) -> pa.RecordBatch:
+    columns = list(zip(*rows, strict=True)) or [()] * 4
+    types = (pa.string(), pa.string(), pa.int32(), pa.int64())
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], ["lang", "gram", "k", "c"])
+
+
 def records(docs: DataFrame, min_count: int = MIN_COUNT) -> DataFrame:
-    """Lang, gram, its number of words k and how many words of the corpus start it; written once."""
+    """Lang, gram, its number of words k and how many words of the corpus start it; k is 0 for all rare words. Written once."""
     texts = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.col("text"))
-    sieve = docs.sparkSession.sparkContext.broadcast(_sieve(texts, min_count))
-    counted = texts.mapInArrow(_records(sieve), "lang string, gram string, k int, c long")
+    words = _filter(texts, min_count)
+    pairs = _filter(texts, min_count, words)
+    counted = texts.mapInArrow(_records(words, pairs), "lang string, gram string, k int, c long")
     written = materialize(counted.groupBy("lang", "gram", "k").agg(F.sum("c").alias("c")), "records")
-    sieve.destroy()
+    words.destroy()
+    pairs.destroy()
     return written
 
 
@@ -225,7 +252,7 @@ def _first(gram: str | Column, words: int | Column) -> Column:
 
 def flows(found: DataFrame, min_count: int = MIN_COUNT) -> DataFrame:
     """Phrases of one to four words with their counts f, those of ``min_count``: records that begin with them, summed."""
-    begun = found.select("lang", "gram", "k", "c", F.explode(F.sequence(F.lit(1), "k")).alias("words"))
+    begun = found.where("k > 0").select("lang", "gram", "k", "c", F.explode(F.sequence(F.lit(1), "k")).alias("words"))
     summed = (
         begun.select("lang", F.when(F.col("words") == F.col("k"), F.col("gram")).otherwise(F.expr("substring_index(gram, ' ', words)")).alias("gram"), F.col("words").alias("k"), "c")
         .groupBy("lang", "gram", "k")

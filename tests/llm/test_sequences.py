@@ -88,7 +88,7 @@ def test_long_texts_are_walked_in_slices(monkeypatch):
     found = Counter()
     for words, index, langs in collocations._stretches([batch]):
         follows = np.array([w != b"." and x != b"." for w, x in itertools.pairwise([*words, b"."])])
-        for part in collocations._counted(words, index, langs, follows):
+        for part in collocations._counted(words, index, langs, follows, np.ones(len(words), bool)):
             found.update({(r["lang"], r["gram"]): r["c"] for r in part.to_pylist()})
     expected = Counter()
     for lang, text in zip(batch.column(0).to_pylist(), texts, strict=True):
