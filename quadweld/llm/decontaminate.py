@@ -6,7 +6,7 @@ also stands in an item. A sequence of ``window`` words or more (or a whole item
 shorter) makes its words hits, and the states passed name the items.
 
 Items are taken in blocks of at most ``BLOCK_WORDS`` words, one automaton each, so an
-automaton has a bounded size; items longer than a block are cut into pieces that overlap by a
+automaton has a bounded size, and a task unpacks one at a time; items longer than a block are cut into pieces that overlap by a
 window less one word. Documents pass the automata one after another within one task, without a
 shuffle. Texts are read whole. A null text or one without words has no hits. Items
 without words match nothing; a null item_id is written as an empty string. Repeated
@@ -15,6 +15,7 @@ rows are judged alike. Columns of the input other than the asked ones are ignore
 
 from __future__ import annotations
 
+import pickle
 import re
 from collections.abc import Iterator
 
@@ -24,11 +25,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from quadweld.llm.tables import fresh
+from quadweld.llm.tables import fresh, parts_of, tidy
 
 WINDOW = 10
 #: Words of test items in one automaton.
 BLOCK_WORDS = 100_000
+#: Words of a passage that is cut out of a text.
+LEAST_SPAN = 5
 
 #: Letters, digits and everything beyond ASCII are parts of words; A-Z becomes a-z.
 _FOLD = bytes(
@@ -100,11 +103,11 @@ class SuffixAutomaton:
         for name, ids in self.pieces:
             v = 0
             for at, w in enumerate(ids, 1):
-                v = self.next[v][w]
+                v = self._of_length(self.next[v][w], min(at, self.window))
                 if at >= self.window:
-                    self.held.setdefault(self._of_length(v, self.window), set()).add(name)
+                    self.held.setdefault(v, set()).add(name)
             if ids and len(ids) < self.window:
-                self.whole.setdefault(self._of_length(v, len(ids)), []).append((len(ids), name))
+                self.whole.setdefault(v, []).append((len(ids), name))
                 least = min(least, len(ids))
         # The nearest state along the links that stands for a whole short item.
         self.short = [-1] * len(self.next)
@@ -115,6 +118,7 @@ class SuffixAutomaton:
         return self
 
     def _of_length(self, v: int, n: int) -> int:
+        """The state for the last ``n`` words of what ``v`` stands for."""
         while self.length[self.link[v]] >= n:
             v = self.link[v]
         return v
@@ -134,15 +138,20 @@ class SuffixAutomaton:
     def _stream(self, ids: list[int], offset: int, found: list, names: set[str]) -> None:
         following, link, length, window = self.next, self.link, self.length, self.window
         v = matched = 0
+        # ``near`` follows ``v``, but stands for a window at most: it never has far to go along the links.
+        near = 0
         for at, w in enumerate(ids, offset + 1):
             while v and w not in following[v]:
                 v = link[v]
                 matched = length[v]
+            # A shorter match ends in the same words.
+            near = near if matched >= window else v
             v = following[v].get(w, 0)
             matched = matched + 1 if v else 0
+            near = self._of_length(following[near].get(w, 0), min(matched, window)) if v else 0
             if matched >= window:
                 found.append((at - matched, at))
-                names |= self.held[self._of_length(v, window)]
+                names |= self.held[near]
             u = self.short[v]
             while u > 0:
                 for n, name in self.whole[u]:
@@ -188,41 +197,46 @@ def match(docs: DataFrame, benchmark: DataFrame, keep: list[str], window: int =
 
     These three come last; they are named _n_words, _spans and _items unless ``docs`` has such columns.
     """
-    spark = docs.sparkSession
     kept = [*dict.fromkeys([*keep, "text"])]
     rows = docs.select(*kept)
     found = StructType.fromDDL(_FOUND)
     added = fresh(kept, *["_" + field.name for field in found])
     for field, name in zip(found, added, strict=True):
         field.name = name
-    schema = StructType([*rows.schema.fields, *found.fields])
-    for k, automaton in enumerate(automata(benchmark, window, block_words)):
-        shared = spark.sparkContext.broadcast(automaton)
-
-        def run(batches, first=k == 0, shared=shared, at=kept.index("text"), width=len(kept)):
-            matcher = shared.value
-            for batch in batches:
-                texts = batch.column(at).cast(pa.binary()).to_pylist()
-                columns = [batch.column(i) for i in range(width)]
-                before = [None] * len(texts) if first else list(
-                    zip(batch.column(width + 1).to_pylist(), batch.column(width + 2).to_pylist(), strict=True)
-                )
-                counts, spans, items = [], [], []
-                for text, old in zip(texts, before, strict=True):
-                    words = words_of(text)
-                    ranges, names = matcher.hits(words)
-                    if old:
-                        ranges = merged(ranges + [(r["first"], r["last"]) for r in old[0]])
-                        names |= set(old[1])
-                    counts.append(len(words))
-                    spans.append([{"first": a, "last": b} for a, b in ranges])
-                    items.append(sorted(names))
-                span = pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32())]))
-                made = [pa.array(counts, pa.int64()), pa.array(spans, span), pa.array(items, pa.list_(pa.string()))]
-                yield pa.RecordBatch.from_arrays([*columns, *made], names=[*kept, *added])
-
-        rows = rows.mapInArrow(run, schema)
-    return rows
+    matched = _matches(docs, benchmark, kept.index("text"), window, block_words)
+
+    def run(batches):
+        for part, counts, spans, items in matched(batches):
+            spans = [[{"first": a, "last": b} for a, b in ranges] for ranges in spans]
+            span = pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32())]))
+            made = [pa.array(counts, pa.int64()), pa.array(spans, span), pa.array(items, pa.list_(pa.string()))]
+            yield pa.RecordBatch.from_arrays([*part.columns, *made], names=[*kept, *added])
+
+    return rows.mapInArrow(tidy(run), StructType([*rows.schema.fields, *found.fields]))
+
+
+def _matches(docs: DataFrame, benchmark: DataFrame, at: int, window: int, block_words: int):
+    """A function over record batches: parts of them with the number of words, hit ranges and item names of every text.
+
+    A task holds one automaton at a time; of several, each is unpacked for every part.
+    """
+    context = docs.sparkSession.sparkContext
+    blocks = [context.broadcast(pickle.dumps(a)) for a in automata(benchmark, window, block_words)]
+
+    def run(batches):
+        only = pickle.loads(blocks[0].value) if len(blocks) == 1 else None
+        for part in parts_of(batches, at, *([] if only else [100_000, 32 << 20])):
+            words = [words_of(t.as_buffer().to_pybytes() if t.is_valid else None) for t in part.column(at)]
+            spans, items = [[] for _ in words], [set() for _ in words]
+            for block in blocks:
+                matcher = only or pickle.loads(block.value)
+                for i, text in enumerate(words):
+                    ranges, names = matcher.hits(text)
+                    spans[i] = merged(spans[i] + ranges)
+                    items[i] |= names
+            yield part, [len(w) for w in words], spans, [sorted(x) for x in items]
+
+    return run
 
 
 def without_spans(text: bytes, spans: list[tuple[int, int]]) -> bytes:
@@ -240,32 +254,30 @@ def _n_hit(spans: str) -> Column:
 
 
 def decontaminate(
-    docs: DataFrame, benchmark: DataFrame, max_span: int = WINDOW - 1, max_coverage: float = 0.5, window: int = WINDOW
+    docs: DataFrame, benchmark: DataFrame, least_span: int = LEAST_SPAN, max_coverage: float = 0.5, window: int = WINDOW
 ) -> DataFrame:
     """Documents without leaked passages.
 
-    Hit ranges of more than ``max_span`` words are cut out of the text; a document with more than
-    ``max_coverage`` of its words hit goes altogether. Texts without a cut stay
-    byte for byte, null ones null. Returns the columns of ``docs``, n_chars updated if it exists.
+    Hit ranges of ``least_span`` words or more are cut out of the text, so whole items of fewer words than a window too, but not
+    those of one or two words, which clean texts hold as well; a document with more than ``max_coverage`` of its words hit goes altogether.
+    Texts without a cut stay byte for byte, null ones null. Returns the columns of ``docs``, n_chars updated if it exists.
     """
-    columns = docs.columns
-    matched = match(docs, benchmark, columns, window)
-    n_words, spans, _ = matched.columns[-3:]
-    left = matched.where(_n_hit(spans) <= F.col(n_words) * F.lit(max_coverage))
-    at, spans_at, schema = columns.index("text"), len(columns) + 1, docs.schema
-
-    def cut(batches):
-        for batch in batches:
-            texts = batch.column(at).cast(pa.binary()).to_pylist()
-            for i, spans in enumerate(batch.column(spans_at).to_pylist()):
-                long = [(s["first"], s["last"]) for s in spans if s["last"] - s["first"] > max_span]
-                if long:
-                    texts[i] = without_spans(texts[i], long)
-            made = [batch.column(i) for i in range(len(columns))]
-            made[at] = pa.array(texts, pa.binary()).cast(pa.string())
-            yield pa.RecordBatch.from_arrays(made, names=columns)
-
-    cleaned = left.mapInArrow(cut, schema)
+    columns, at = docs.columns, docs.columns.index("text")
+    matched = _matches(docs, benchmark, at, window, BLOCK_WORDS)
+
+    def run(batches):
+        for part, counts, spans, _ in matched(batches):
+            hit = [sum(b - a for a, b in ranges) for ranges in spans]
+            stays = [h <= n * max_coverage for h, n in zip(hit, counts, strict=True)]
+            texts = part.column(at)
+            if any(hit):
+                cuts = [[r for r in ranges if r[1] - r[0] >= least_span] for ranges in spans]
+                left = [without_spans(t.as_buffer().to_pybytes(), c).decode() if c else t.as_py() for t, c in zip(texts, cuts, strict=True)]
+                texts = pa.array(left, pa.string())
+            made = [texts if i == at else column for i, column in enumerate(part.columns)]
+            yield pa.RecordBatch.from_arrays(made, names=columns).filter(pa.array(stays))
+
+    cleaned = docs.mapInArrow(tidy(run), docs.schema)
     return cleaned.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in columns else cleaned
 
 

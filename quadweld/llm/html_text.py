@@ -96,6 +96,7 @@ def parsed(page: str) -> tuple[list[Node], list[str]]:
     """Block elements in page order, parents first, and the text blocks; nodes list the blocks they own."""
     nodes, blocks = [Node("html", frozenset(), -1)], []
     stack: list[tuple[str, int]] = [("html", 0)]  # open elements with their block element
+    places: dict[str, list[int]] = {}  # where in the stack the open elements of a tag are
     buffer: list[str] = []
     links = silent = 0
     at = 0
@@ -126,43 +127,54 @@ def parsed(page: str) -> tuple[list[Node], list[str]]:
             links -= tag == "a"
             silent -= tag in SILENT
             stack.pop()
+            places[tag].pop()
+
+    def push(tag: str, node: int) -> None:
+        if tag not in places:
+            places[tag] = []
+        places[tag].append(len(stack))
+        stack.append((tag, node))
+
+    def innermost(tags) -> int:
+        """Where the innermost open element of the tags is; 0 without any."""
+        return max((places[t][-1] for t in tags if places.get(t)), default=0)
 
     def leave_head(due: bool) -> None:
         if due and stack[-1][0] == "head":
             close(len(stack) - 1)
 
-    while m := _TOKEN.search(page, at):
+    # No tag ends after the last ">".
+    tags_end = page.rfind(">") + 1
+    while m := _TOKEN.search(page, at, tags_end):
         shut, tag, rest = (m[1], m[2], m[3]) if m[2] else (m[4], m[5], m[6])
         leave_head(page[at : m.start()].strip() != "")
         hear(page[at : m.start()])
         at = m.end()
         if not tag:
+            if at == tags_end and m[0].startswith("<!--") and not m[0].endswith("-->"):
+                at = len(page)
             continue
         tag = tag.lower()
         leave_head(tag in ("html", "body", "br") if shut else tag not in IN_HEAD and tag != "html")
         if shut:
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k][0] == tag:
-                    close(k)
-                    break
-                if stack[k][0] in SCOPES and tag in INLINE:
-                    break
+            k = innermost((tag,))
+            if k and (tag not in INLINE or k > innermost(SCOPES)):
+                close(k)
             continue
         if tag in ("html", "body"):
             continue
         if tag == "br" or tag in VOID:
-            buffer.append(" " if tag in INLINE or silent else "")
+            # Only a line break parts words.
+            buffer.append(" " if tag == "br" else "")
             if tag == "hr":
                 flush()
             continue
         if tag in CLOSES_P or tag in CLOSED_BY:
             ends = CLOSED_BY.get(tag, frozenset()) | (frozenset({"p"}) if tag in CLOSES_P else frozenset())
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k][0] in ends:
-                    close(k)
-                    if tag != "tr":
-                        break
-                elif stack[k][0] in SCOPES and stack[k][0] not in ends:
+            barriers = [t for t in SCOPES if t not in ends]
+            while (k := innermost(ends)) > innermost(barriers):
+                close(k)
+                if tag != "tr":
                     break
         if tag in RAW:
             # Only its own end tag ends a script or style, and none of these is heard.
@@ -170,7 +182,7 @@ def parsed(page: str) -> tuple[list[Node], list[str]]:
             at = end.end() if end else len(page)
             continue
         if tag in INLINE or tag in SILENT:
-            stack.append((tag, stack[-1][1]))
+            push(tag, stack[-1][1])
             links += tag == "a"
             silent += tag in SILENT
         else:
@@ -179,12 +191,14 @@ def parsed(page: str) -> tuple[list[Node], list[str]]:
             marked = re.search(r"data-label=(\w)", rest)
             nodes.append(Node(tag, hints_of(rest), parent, marked[1] if marked else ""))
             nodes[parent].children += 1
-            stack.append((tag, len(nodes) - 1))
+            push(tag, len(nodes) - 1)
         if rest.endswith("/") and tag not in PLAIN:
             close(len(stack) - 1)
-    leave_head(page[at:].strip() != "")
-    hear(page[at:])
-    close(0)
+    rest = page[at:].partition("<!--")[0]
+    leave_head(rest.strip() != "")
+    hear(rest)
+    close(1)
+    flush()
     return nodes, blocks
 
 
@@ -298,8 +312,8 @@ def forest(trees: list[list[Node]]) -> tuple[np.ndarray, list[np.ndarray]]:
             parent.append(v.parent + offset if v.parent >= 0 else -1)
             depth.append(0 if v.parent < 0 else depth[base + v.parent] + 1)
         offset += len(nodes)
-    depths = np.array(depth)
-    return np.array(parent), [np.flatnonzero(depths == k) for k in range(int(depths.max(initial=0)) + 1)]
+    depths = np.array(depth, np.int64)
+    return np.array(parent), np.split(np.argsort(depths, kind="stable"), np.cumsum(np.bincount(depths))[:-1])
 
 
 def main_texts(tree: Tree, pages: list[str | None]) -> list[str]:

@@ -14,6 +14,7 @@ same text get the same quality.
 from __future__ import annotations
 
 from collections import Counter
+from collections.abc import Iterable, Iterator
 from operator import eq
 
 import numpy as np
@@ -22,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quadweld.llm.labelled import fold_of, training_rows
-from quadweld.llm.tables import fresh
+from quadweld.llm.tables import fresh, parts_of, tidy
 
 #: Most labelled documents, and lines of one of them, that weights are learned from.
 TRAIN_DOCS, TRAIN_LINES = 3_000, 100
@@ -61,18 +62,31 @@ def line_features(line: bytes, times: int) -> list[float]:
     ]
 
 
-def document_lines(text: bytes | None) -> tuple[np.ndarray, np.ndarray]:
-    """Features (with those of both neighbours) and lengths of the lines that have words."""
+#: Lines whose features are held at once, and lines of documents that pass through the chain together.
+LINES, LINES_TOGETHER = 4_096, 50_000
+
+
+def document_lines(text: bytes | None, at_most: int | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Features (with those of both neighbours) and lengths of the lines that have words, some thousand lines at a time."""
     lines = [x for x in text.split(b"\n") if x.split()] if text else []
-    if not lines:
-        return np.empty((0, 3 * WIDTH + 1)), np.empty(0)
     times = Counter(lines)
-    own = np.array([line_features(x, times[x]) for x in lines])
-    edge = np.zeros((1, WIDTH))
-    return (
-        np.hstack([own, np.vstack([edge, own[:-1]]), np.vstack([own[1:], edge]), np.ones((len(own), 1))]),
-        np.array([len(x) for x in lines], float),
-    )
+    end = len(lines) if at_most is None else min(at_most, len(lines))
+    for first in range(0, end, LINES):
+        last = min(first + LINES, end)
+        # One line more on either side, or an empty edge.
+        own = np.zeros((last - first + 2, WIDTH))
+        for k in range(max(first - 1, 0), min(last + 1, len(lines))):
+            own[k - first + 1] = line_features(lines[k], times[lines[k]])
+        features = np.hstack([own[1:-1], own[:-2], own[2:], np.ones((last - first, 1))])
+        yield features, np.array([len(x) for x in lines[first:last]], float)
+
+
+def all_lines(text: bytes | None, at_most: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """The same in one piece, for the first ``at_most`` lines."""
+    parts = list(document_lines(text, at_most))
+    if not parts:
+        return np.empty((0, 3 * WIDTH + 1)), np.empty(0)
+    return np.vstack([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
 
 
 class Chain:
@@ -81,14 +95,17 @@ class Chain:
     def __init__(self, dims: int):
         self.w, self.t = np.zeros(dims), np.zeros((2, 2))
 
-    def marginals(self, x: np.ndarray, starts: np.ndarray, sizes: np.ndarray):
+    def potentials(self, x: np.ndarray) -> np.ndarray:
+        """What the features of lines say for good."""
+        return np.clip(x @ self.w, -30, 30)
+
+    def marginals(self, u: np.ndarray, starts: np.ndarray, sizes: np.ndarray):
         """Probability of good for every line, and the expected steps between labels.
 
-        Documents are rows ``starts[i] : starts[i] + sizes[i]`` of ``x``; all go forward, then back, together.
+        Documents are the potentials ``u[starts[i] : starts[i] + sizes[i]]``; all go forward, then back, together.
         """
         order = np.argsort(-sizes, kind="stable")
         starts, sizes = starts[order], sizes[order]
-        u = np.clip(x @ self.w, -30, 30)
         local = np.stack([1 / (1 + np.exp(u)), 1 / (1 + np.exp(-u))], axis=1)
         step = np.exp(self.t)
         alpha, beta = np.empty_like(local), np.ones_like(local)
@@ -119,7 +136,7 @@ class Chain:
         np.add.at(seen, (y[at - 1], y[at]), 1)
         mean, square = np.zeros(len(self.w) + 4), np.zeros(len(self.w) + 4)
         for k in range(1, steps + 1):
-            good, pairs = self.marginals(x, starts, sizes)
+            good, pairs = self.marginals(self.potentials(x), starts, sizes)
             theta = np.concatenate([self.w, self.t.ravel()])
             gradient = np.concatenate([x.T @ (y - good), (seen - pairs).ravel()]) - penalty * theta
             gradient /= len(y)
@@ -137,7 +154,7 @@ def learn(docs: DataFrame, labels: DataFrame, at_most: int = TRAIN_DOCS) -> Chai
     def run(batches):
         for batch in batches:
             texts = batch.column(1).cast(pa.binary()).to_pylist()
-            found = [document_lines(t)[0][:TRAIN_LINES].astype(np.float32).ravel() for t in texts]
+            found = [all_lines(t, TRAIN_LINES)[0].astype(np.float32).ravel() for t in texts]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(2), pa.array([f.tobytes() for f in found], pa.binary())],
                 names=["doc_id", "label", "x"],
@@ -154,19 +171,32 @@ def learn(docs: DataFrame, labels: DataFrame, at_most: int = TRAIN_DOCS) -> Chai
     return Chain(3 * WIDTH + 1).fit(np.vstack([p for p, _ in held]), y, np.cumsum(sizes) - sizes, sizes)
 
 
-def qualities(chain: Chain | None, texts: list[bytes | None]) -> np.ndarray:
-    """Quality of each text; lines of all of them pass through the chain together."""
-    parts = [document_lines(t) for t in texts]
-    sizes = np.array([len(length) for _, length in parts], np.int64)
-    out = np.zeros(len(texts))
-    if not sizes.sum():
-        return out
-    starts = np.cumsum(sizes) - sizes
-    length = np.concatenate([p[1] for p in parts])
-    good = np.ones(len(length)) if chain is None else chain.marginals(np.vstack([p[0] for p in parts]), starts, sizes)[0]
-    some = np.flatnonzero(sizes)
-    out[some] = np.add.reduceat(good * length, starts[some]) / np.add.reduceat(length, starts[some])
-    return out
+def qualities(chain: Chain | None, texts: Iterable[bytes | None]) -> Iterator[float]:
+    """Quality of each text; the lines of many pass through the chain together, with one potential a line."""
+    potentials, lengths, sizes, held = [np.empty(0)], [np.empty(0)], [], 0
+
+    def flush() -> list[float]:
+        size = np.array(sizes, np.int64)
+        u, length = np.concatenate(potentials), np.concatenate(lengths)
+        starts = np.cumsum(size) - size
+        good = np.ones(len(u)) if chain is None else chain.marginals(u, starts, size)[0]
+        out, some = np.zeros(len(size)), np.flatnonzero(size)
+        if len(some):
+            out[some] = np.add.reduceat(good * length, starts[some]) / np.add.reduceat(length, starts[some])
+        return out.tolist()
+
+    for text in texts:
+        n = 0
+        for features, length in document_lines(text):
+            potentials.append(np.zeros(len(length)) if chain is None else chain.potentials(features))
+            lengths.append(length)
+            n += len(length)
+        sizes.append(n)
+        held += n
+        if held >= LINES_TOGETHER or len(sizes) >= LINES_TOGETHER:
+            yield from flush()
+            potentials, lengths, sizes, held = [np.empty(0)], [np.empty(0)], [], 0
+    yield from flush()
 
 
 def score(docs: DataFrame, chain: Chain | None, keep: list[str]) -> DataFrame:
@@ -175,16 +205,15 @@ def score(docs: DataFrame, chain: Chain | None, keep: list[str]) -> DataFrame:
     quality, text = fresh(docs.columns, "_quality", "_text")
     rows = docs.select(*keep, F.col("text").alias(text))
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema[:-1])
+    at = len(keep)
 
-    def run(batches, piece=500):
-        for batch in batches:
-            texts = batch.column(len(keep)).cast(pa.binary()).to_pylist()
-            found = [qualities(shared.value, texts[i : i + piece]) for i in range(0, len(texts), piece)]
-            made = np.concatenate(found) if found else np.zeros(0)
-            rest = [batch.column(i) for i in range(len(keep))]
-            yield pa.RecordBatch.from_arrays([*rest, pa.array(made)], names=[*keep, quality])
+    def run(batches):
+        for part in parts_of(batches, at):
+            texts = (t.as_buffer().to_pybytes() if t.is_valid else None for t in part.column(at))
+            made = pa.array(list(qualities(shared.value, texts)), pa.float64())
+            yield pa.RecordBatch.from_arrays([*part.columns[:at], made], names=[*keep, quality])
 
-    return rows.mapInArrow(run, f"{fields}, {quality} double")
+    return rows.mapInArrow(tidy(run), f"{fields}, {quality} double")
 
 
 def good_documents(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:

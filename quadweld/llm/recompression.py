@@ -38,7 +38,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType
 
-from quadweld.llm.tables import fresh, materialize
+from quadweld.llm.tables import fresh, materialize, tidy
 
 WINDOW = 20
 #: Pair rounds; with four, some symbol of about six words is interior to nearly every window.
@@ -280,7 +280,7 @@ def _compare(batches):
 
 def _compared(rows: DataFrame) -> DataFrame:
     spread = rows.repartition("slot").sortWithinPartitions("key", "content", "doc", "place")
-    return spread.mapInArrow(_compare, _ROW).drop("slot")
+    return spread.mapInArrow(tidy(_compare), _ROW).drop("slot")
 
 
 def _pack(docs: DataFrame) -> DataFrame:
@@ -293,11 +293,11 @@ def _pack(docs: DataFrame) -> DataFrame:
         press = zstandard.ZstdCompressor(level=3).compress
         for batch in batches:
             made = list(batch.columns)
-            texts = batch.column(at).cast(pa.binary()).to_pylist()
-            made[at] = pa.array([None if t is None else press(t) for t in texts], pa.binary())
+            texts = [press(t.as_buffer()) if t.is_valid else None for t in batch.column(at)]
+            made[at] = pa.array(texts, pa.binary())
             yield pa.RecordBatch.from_arrays(made, names=columns)
 
-    return docs.mapInArrow(run, StructType(fields))
+    return docs.mapInArrow(tidy(run), StructType(fields))
 
 
 def _open(blobs: pa.Array) -> Iterator[bytes | None]:
@@ -352,12 +352,12 @@ def _in_part(docs: DataFrame, firsts: DataFrame) -> DataFrame:
                 key, content, doc, row, place = (np.concatenate(c) for c in zip(*found, strict=True))
                 yield settled(key, content, doc, row, packed(place, np.zeros_like(place)), by_key=False)
 
-    return met.mapInArrow(run, _ROW)
+    return met.mapInArrow(tidy(run), _ROW)
 
 
 def repeats(docs: DataFrame) -> DataFrame:
     """Spans of rows whose words stand earlier too: row, place, content, key."""
-    compared = materialize(_compared(docs.select("doc_id", "text", _row_key().alias("row")).mapInArrow(_file, _ROW)), "occurrences")
+    compared = materialize(_compared(docs.select("doc_id", "text", _row_key().alias("row")).mapInArrow(tidy(_file), _ROW)), "occurrences")
     partial = _compared(_in_part(docs, compared.where("kind = 2")))
     columns = ["row", "place", "content", "key"]
     return compared.where("kind = 1").select(*columns).unionByName(partial.where("kind = 1").select(*columns))
@@ -398,7 +398,7 @@ def without_repeats(docs: DataFrame) -> DataFrame:
             made[at] = pa.array(texts, pa.binary()).cast(pa.string())
             yield pa.RecordBatch.from_arrays(made, names=columns)
 
-    cleaned = met.mapInArrow(run, docs.schema)
+    cleaned = met.mapInArrow(tidy(run), docs.schema)
     return cleaned.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in columns else cleaned
 
 
@@ -438,4 +438,4 @@ def op10_recompression(docs: DataFrame) -> DataFrame:
             made = [pa.array(counts, pa.int64()), pa.array(removed, pa.int64()), pa.array(digests, pa.string())]
             yield pa.RecordBatch.from_arrays([batch.column(0), *made], names=schema.names)
 
-    return met.mapInArrow(run, schema)
+    return met.mapInArrow(tidy(run), schema)

@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
-from quadweld.llm.tables import fresh, materialize
+from quadweld.llm.tables import fresh, materialize, parts_of, tidy
 from quadweld.operators.identity import star_forest
 from quadweld.operators.stage import heavy_keys, lookup
 
@@ -93,12 +93,12 @@ def fingerprints(docs: DataFrame, width: int = SHINGLE) -> DataFrame:
     id_type = rows.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
-        for batch in batches:
+        for batch in parts_of(batches, 1):
             texts = batch.column(1).cast(pa.binary()).to_pylist()
             found = np.array([fingerprint(t, width) for t in texts], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found)], names=["doc_id", "fp"])
 
-    return rows.mapInArrow(run, f"doc_id {id_type}, fp long")
+    return rows.mapInArrow(tidy(run), f"doc_id {id_type}, fp long")
 
 
 def cell_masks(n: int, radius: int = RADIUS, bits: int = 64) -> list[int]:
@@ -205,7 +205,7 @@ def links(nodes: DataFrame, n: int, radius: int = RADIUS, tile: int = TILE) -> D
                 [pa.array(ends[:, 0].copy()), pa.array(ends[:, 1].copy())], names=["s", "o"]
             )
 
-    return units(nodes, n, radius, tile).mapInArrow(run, "s long, o long").distinct()
+    return units(nodes, n, radius, tile).mapInArrow(tidy(run), "s long, o long").distinct()
 
 
 def _rooted(nodes: DataFrame, found: DataFrame, name: str = "fp") -> DataFrame:
@@ -256,7 +256,7 @@ def _banded(docs: DataFrame, keep: list[str], width: int) -> DataFrame:
     n = len(keep)
 
     def run(batches):
-        for batch in batches:
+        for batch in parts_of(batches, n):
             nodes, keys = [], []
             for text in batch.column(n).cast(pa.binary()):
                 joined = _joined(text.as_py())
@@ -266,7 +266,7 @@ def _banded(docs: DataFrame, keep: list[str], width: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns[:n], *made], names=[*keep, "node", "bands"])
 
     more = [StructField("node", LongType()), StructField("bands", ArrayType(LongType()))]
-    return rows.mapInArrow(run, StructType([*rows.schema.fields[:n], *more]))
+    return rows.mapInArrow(tidy(run), StructType([*rows.schema.fields[:n], *more]))
 
 
 def _alike(pairs: DataFrame, texts: DataFrame, width: int, share: tuple[int, int]) -> DataFrame:
@@ -289,7 +289,7 @@ def _alike(pairs: DataFrame, texts: DataFrame, width: int, share: tuple[int, int
                 good.append(both * share[1] >= (len(mine) + len(theirs) - both) * share[0])
             yield batch.select(["s", "o"]).filter(pa.array(good, pa.bool_()))
 
-    return met.mapInArrow(run, "s long, o long")
+    return met.mapInArrow(tidy(run), "s long, o long")
 
 
 def _packed_texts(docs: DataFrame) -> DataFrame:
@@ -297,11 +297,11 @@ def _packed_texts(docs: DataFrame) -> DataFrame:
 
     def run(batches):
         press = zstandard.ZstdCompressor(level=3).compress
-        for batch in batches:
+        for batch in parts_of(batches, 1):
             texts = [press(t.as_py()) for t in batch.column(1).cast(pa.binary())]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.binary())], names=["node", "text"])
 
-    return docs.select("node", "text").mapInArrow(run, "node long, text binary")
+    return docs.select("node", "text").mapInArrow(tidy(run), "node long, text binary")
 
 
 def similar(keyed: DataFrame, marked: DataFrame, nodes: DataFrame, held: str, width: int, share: tuple[int, int]) -> DataFrame:

@@ -17,6 +17,8 @@ from __future__ import annotations
 import math
 import re
 import unicodedata
+from bisect import bisect_right
+from itertools import accumulate
 
 import ahocorasick
 import numpy as np
@@ -25,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quadweld.llm.labelled import fold_of, training_rows
+from quadweld.llm.tables import parts_of, tidy
 
 #: Most labelled documents that weights are learned from.
 TRAIN_DOCS = 12_000
@@ -56,10 +59,24 @@ EXCEPTIONS = (
 )
 
 _WORD = re.compile(r"[^\W_]+")
-_MIXED = re.compile(r"(?=[\w@$]*[^\W\d_])(?=[\w@$]*[0-9@$])[\w@$]*[0-9@$][\w@$]*[^\W\d_]|[^\W\d_][\w@$]*[0-9@$][\w@$]*")
+#: A run of letters, digits and signs with a digit or sign; it is looked for from the start of runs only.
+_SIGNED = re.compile(r"(?<![\w@$])[^\W0-9]*+[0-9@$][\w@$]*+")
+_SIGN = re.compile(r"[0-9@$]")
+_LETTER = re.compile(r"[^\W\d_]")
 _SPELLED = re.compile(r"\b[^\W\d_](?:([.\-_*])[^\W\d_](?:\1[^\W\d_])+)\b")
 
 
+def _written_out(match: re.Match) -> str:
+    """The run with letters for digits and signs: those before its last letter, or else those behind it."""
+    run, last = match[0], -1
+    for last in (m.start() for m in _LETTER.finditer(run)):
+        pass
+    if last < 0:
+        return run
+    end = last + 1 if _SIGN.search(run, 0, last) else len(run)
+    return run[:end].translate(DIGITS) + run[end:]
+
+
 def fold(text: str) -> str:
     """Lower case with look-alikes replaced and disguised words written out."""
     text = text.lower()
@@ -70,7 +87,7 @@ def fold(text: str) -> str:
             text = unicodedata.normalize("NFKC", text).lower()
         text = text.replace("​", "").replace("­", "")
     if any(c in text for c in "0134578@$"):
-        text = _MIXED.sub(lambda m: m[0].translate(DIGITS), text)
+        text = _SIGNED.sub(_written_out, text)
     if _SPELLED.search(text):
         text = _SPELLED.sub(lambda m: re.sub(r"[.\-_*]", "", m[0]), text)
     return text
@@ -158,7 +175,14 @@ class Lexicon:
                 hits.append((end - size + 1, end, weight))
             else:
                 spared.append((end - size + 1, end))
-        total = sum(w for a, b, w in hits if not any(s <= a and b <= e for s, e in spared))
+        # Of the spared spans that begin before a hit, the one that ends last covers it or none does.
+        spared.sort()
+        starts, ends = [s for s, _ in spared], list(accumulate((e for _, e in spared), max))
+        total = 0.0
+        for a, b, weight in hits:
+            k = bisect_right(starts, a)
+            if not k or ends[k - 1] < b:
+                total += weight
         return total, 100 * total / (len(words) + 50), len(words)
 
     def score(self, totals: np.ndarray) -> np.ndarray:
@@ -209,14 +233,14 @@ def _measured(rows: DataFrame, lexicon: Lexicon, keep: list[str]) -> DataFrame:
     def run(batches):
         lexicon = shared.value
         automaton = lexicon.automaton()
-        for batch in batches:
-            found = [lexicon.features(automaton, t) for t in batch.column(0).to_pylist()]
+        for batch in parts_of(batches, 0):
+            found = [lexicon.features(automaton, t.as_py()) for t in batch.column(0)]
             totals = np.array([f[:2] for f in found], float).reshape(-1, 2)
             made = [pa.array(totals[:, 0].copy()), pa.array(totals[:, 1].copy()), pa.array(lexicon.score(totals))]
             rest = [batch.column(i) for i in range(1, batch.num_columns)]
             yield pa.RecordBatch.from_arrays([*rest, *made], names=[*keep, "total", "rate", "score"])
 
-    return kept.mapInArrow(run, f"{fields}, total double, rate double, score double")
+    return kept.mapInArrow(tidy(run), f"{fields}, total double, rate double, score double")
 
 
 def score(docs: DataFrame, lexicon: Lexicon, keep: list[str]) -> DataFrame:
