@@ -18,10 +18,12 @@ doc_id get a fingerprint; the component_id ignores them unless a component has n
 Repeated rows come back as often as they came in. Other columns are ignored.
 
 ``deduplicate`` has a measure of its own: texts are linked whose sets of five-word shingles have a Jaccard
-similarity of 0.8 or more. That is about ten of 64 bits on average and up to seventeen, and cells for such a radius
-would share a few bits only, so candidates come from bands of minima of the same shingle hashes instead: a pair of
-similarity 0.8 shares none of the bands with a chance of 6e-5. Every candidate is checked on the texts themselves
-before a document goes. Of the candidates of a band those are checked that are not linked yet.
+similarity of 0.8 or more. Fingerprints of 256 bits tell such texts apart; they differ in about 39 bits at 0.8, and the radius is ``WIDE_RADIUS``.
+For it cells of shared bits would hold nearly everything, so the cells are bands of minima of the same shingle hashes:
+a pair of similarity 0.8 shares none of the bands with a chance of 6e-5. In each cell, tile against tile, a least spanning
+forest by the number of differing bits is grown, and its links, fewer than fingerprints in the cell, are checked on the texts. Whatever
+is nearer than some pair connects that pair in the forest, so what the check refuses are links that are too wide anyway.
+Texts are told apart by 64 bits of a digest of their words.
 """
 
 from __future__ import annotations
@@ -33,7 +35,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
@@ -50,6 +52,8 @@ CHUNK = 1 << 16
 NEAR_SHINGLE, NEAR = 5, (4, 5)
 #: Bands of that many minima each.
 BANDS, DEPTH = 32, 6
+#: 64-bit words of a wide fingerprint, most differing bits of a candidate pair, fingerprints in a tile of a band.
+WIDE, WIDE_RADIUS, WIDE_TILE = 4, 56, 1_024
 
 _SHIFTS = np.arange(8, dtype=np.uint64)
 _LOW_BITS = np.uint64(0x0101010101010101)
@@ -76,6 +80,11 @@ def fingerprint(text: bytes | None, width: int = SHINGLE) -> int:
     if not joined:
         return 0
     hashes = _shingles(joined, width)
+    return int(_majority(hashes))
+
+
+def _majority(hashes: np.ndarray) -> np.uint64:
+    """The bits that are set in over half the hashes."""
     counts = np.zeros((8, 8), np.int64)
     for at in range(0, len(hashes), CHUNK):
         # Eight byte-wide counters in a word hold up to 255 each.
@@ -84,7 +93,18 @@ def fingerprint(text: bytes | None, width: int = SHINGLE) -> int:
         counts += sums.astype("<u8").view(np.uint8).reshape(-1, 8, 8).sum(axis=0, dtype=np.int64)
     # counts[k, j] belongs to bit 8 j + k.
     bits = (2 * counts.T.reshape(-1) > len(hashes)).astype(np.uint8)
-    return int.from_bytes(np.packbits(bits, bitorder="little").tobytes(), "little")
+    return np.packbits(bits, bitorder="little").view("<u8")[0]
+
+
+def wide_fingerprint(hashes: np.ndarray) -> list[int]:
+    """SimHash of a set of shingle hashes in ``WIDE`` signed words, each from other bits of theirs."""
+    words = []
+    for k in range(1, WIDE + 1):
+        x = hashes * np.uint64(0x9E3779B97F4A7C15 + 2 * k) + np.uint64(k)
+        x ^= x >> np.uint64(31)
+        x *= np.uint64(0xBF58476D1CE4E5B9)
+        words.append(int(_majority(x ^ (x >> np.uint64(27))).view(np.int64)))
+    return words
 
 
 def fingerprints(docs: DataFrame, width: int = SHINGLE) -> DataFrame:
@@ -292,45 +312,90 @@ def _alike(pairs: DataFrame, texts: DataFrame, width: int, share: tuple[int, int
     return met.mapInArrow(tidy(run), "s long, o long")
 
 
-def _packed_texts(docs: DataFrame) -> DataFrame:
-    """node and compressed text."""
+def _packed_texts(docs: DataFrame, width: int) -> DataFrame:
+    """node, compressed text and wide fingerprint."""
 
     def run(batches):
         press = zstandard.ZstdCompressor(level=3).compress
         for batch in parts_of(batches, 1):
-            texts = [press(t.as_py()) for t in batch.column(1).cast(pa.binary())]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.binary())], names=["node", "text"])
+            texts = [t.as_buffer().to_pybytes() for t in batch.column(1)]
+            wide = [wide_fingerprint(np.unique(_shingles(_joined(t), width))) for t in texts]
+            made = [pa.array(map(press, texts), pa.binary()), pa.array(wide, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *made], names=["node", "text", "wide"])
 
-    return docs.select("node", "text").mapInArrow(tidy(run), "node long, text binary")
+    return docs.select("node", F.col("text").cast("string").alias("text")).mapInArrow(tidy(run), "node long, text binary, wide array<long>")
 
 
-def similar(keyed: DataFrame, marked: DataFrame, nodes: DataFrame, held: str, width: int, share: tuple[int, int]) -> DataFrame:
-    """``nodes`` with the root of their component.
+def least_forest(wide: np.ndarray, side: np.ndarray, radius: int = WIDE_RADIUS) -> list[tuple[int, int]]:
+    """Links of the least spanning forest of fingerprints by differing bits, up to ``radius``.
 
-    In every band the least node is held against all others, then the next two of those not linked, then four, until
-    all are linked or have met: many alike are linked by the first, so few pairs are left to be looked at.
+    If there are two sides, links run between them only. Fingerprints whose population counts differ by more than the radius are not compared.
     """
-    spark = marked.sparkSession
-    buckets = materialize(marked.select("node", F.explode("bands").alias("band")).distinct(), "bands")
+    pops = np.bitwise_count(wide).sum(axis=1, dtype=np.int64)
+    order = np.argsort(pops, kind="stable")
+    wide, pops, side = wide[order], pops[order], side[order]
+    both = side.any() and not side.all()
+    if both and (pops[side == 0].min() - pops[side == 1].max() > radius or pops[side == 1].min() - pops[side == 0].max() > radius):
+        return []
+    far = radius + 1
+    best, near = np.full(len(wide), far), np.full(len(wide), -1)
+    out, found = np.zeros(len(wide), bool), []
+    for _ in range(len(wide)):
+        i = int(np.where(out, far + 1, best).argmin())
+        out[i] = True
+        if best[i] <= radius:
+            found.append((int(order[i]), int(order[near[i]])))
+        lo, hi = np.searchsorted(pops, [pops[i] - radius, pops[i] + far])
+        bits = np.bitwise_count(wide[lo:hi] ^ wide[i]).sum(axis=1, dtype=np.int64)
+        closer = ~out[lo:hi] & (bits < best[lo:hi])
+        if both:
+            closer &= side[lo:hi] != side[i]
+        at = lo + np.flatnonzero(closer)
+        best[at], near[at] = bits[closer], i
+    return found
+
+
+def _wide_units(buckets: DataFrame, tile: int = WIDE_TILE) -> DataFrame:
+    """Units of comparison: a tile of a band, or two; lists of (node, side, wide) whose size the tiles bound."""
+    counts = buckets.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    dealt = buckets.join(counts, "band").withColumn("tiles", F.ceil(F.col("n") / tile).cast("int"))
+    dealt = dealt.withColumn("mine", F.pmod(F.xxhash64("node", "band"), F.col("tiles")).cast("int"))
+    met = dealt.withColumn("theirs", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
+    member = F.struct("node", (F.col("mine") > F.col("theirs")).cast("int").alias("side"), "wide")
+    return met.groupBy("band", F.least("mine", "theirs").alias("a"), F.greatest("mine", "theirs").alias("b")).agg(
+        F.collect_list(member).alias("members")
+    )
+
+
+def candidates(buckets: DataFrame, radius: int = WIDE_RADIUS, tile: int = WIDE_TILE) -> DataFrame:
+    """Pairs (s, o) of nodes that connect what lies within the radius in a band, from (node, band, wide)."""
+
+    def run(batches):
+        for batch in batches:
+            found = []
+            for members in batch.column(0):
+                rows = members.values
+                node = rows.field("node").to_numpy()
+                wide = rows.field("wide").flatten().to_numpy().view(np.uint64).reshape(len(node), -1)
+                found += [(node[i], node[j]) for i, j in least_forest(wide, rows.field("side").to_numpy(), radius)]
+            ends = np.sort(np.array(found, np.int64).reshape(-1, 2), axis=1)
+            yield pa.RecordBatch.from_arrays([pa.array(ends[:, 0].copy()), pa.array(ends[:, 1].copy())], names=["s", "o"])
+
+    units = _wide_units(buckets, tile).select("members")
+    return units.mapInArrow(tidy(run), "s long, o long").distinct()
+
+
+def similar(keyed: DataFrame, marked: DataFrame, nodes: DataFrame, held: str, width: int, share: tuple[int, int]) -> DataFrame:
+    """``nodes`` with the root of their component: candidates of the bands, checked on the texts."""
+    # One row for each text and band; equal texts are one node.
+    bands_of = marked.groupBy("node").agg(F.first("bands").alias("bands"))
+    buckets = materialize(bands_of.select("node", F.explode("bands").alias("band")), "bands")
     shared = buckets.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("band")
     left = materialize(buckets.join(shared, "band"), "buckets")
     wanted = left.select("node").distinct().join(nodes.select("node", F.col("first.key").alias(held)), "node")
-    texts = materialize(_packed_texts(keyed.join(wanted, held)).dropDuplicates(["node"]), "texts")
-    found = spark.createDataFrame([], "s long, o long")
-    rooted, leaders = left.withColumn("root", F.col("node")), 1
-    while not left.isEmpty():
-        ranked = rooted.withColumn("rank", F.row_number().over(Window.partitionBy("band").orderBy("node")))
-        ranked = materialize(ranked, "ranked")
-        first = ranked.where(F.col("rank") <= leaders).select("band", F.col("node").alias("s"), F.col("root").alias("up"))
-        pairs = ranked.join(first, "band").where("s < node AND up <> root").select("s", F.col("node").alias("o")).distinct()
-        found = found.unionByName(materialize(_alike(materialize(pairs, "pairs"), texts, width, share), "alike"))
-        # The leaders have met all of their band. A band whose nodes are in one component has nothing more to tell.
-        rest = _rooted(ranked.where(F.col("rank") > leaders).select("band", "node"), found, "node").select("band", "node", "root")
-        rest = materialize(rest, "rest")
-        mixed = rest.groupBy("band").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a <> b").select("band")
-        left = rooted = materialize(rest.join(mixed, "band"), "buckets")
-        leaders *= 2
-    return _rooted(nodes, found, "node")
+    texts = materialize(_packed_texts(keyed.join(wanted, held).dropDuplicates(["node"]), width), "texts")
+    pairs = materialize(candidates(left.join(texts.select("node", "wide"), "node")), "pairs")
+    return _rooted(nodes, materialize(_alike(pairs, texts, width, share), "alike"), "node")
 
 
 def deduplicate(docs: DataFrame, width: int = NEAR_SHINGLE, share: tuple[int, int] = NEAR) -> DataFrame:

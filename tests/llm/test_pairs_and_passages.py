@@ -5,8 +5,10 @@ import random
 import re
 from collections import defaultdict
 
+import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from quadweld.llm import decontaminate, recompression, simhash
 
@@ -231,3 +233,45 @@ def test_leaks_are_cut_and_mostly_leaked_documents_go(spark):
     empty = spark.createDataFrame([], "item_id long, text string")
     assert decontaminate.op3_decontaminate(docs, empty).where("contaminated").count() == 0
     assert decontaminate.op3_decontaminate(frame(spark, []), benchmark).count() == 0
+
+
+def test_least_forests_join_what_is_near():
+    draw = np.random.default_rng(4)
+    centres = draw.integers(1 << 63, size=(5, 4), dtype=np.uint64)
+    wide = centres[draw.integers(5, size=60)] ^ (np.uint64(1) << draw.integers(64, size=(60, 4)).astype(np.uint64))
+    for side in (np.zeros(60, int), draw.integers(2, size=60)):
+        apart = np.bitwise_count(wide[:, None] ^ wide[None]).sum(axis=2)
+        met = (apart <= 10) & ((side[:, None] != side[None]) if side.any() else True)
+        roots, forest = list(range(60)), list(range(60))
+
+        def find(of, x):
+            while of[x] != x:
+                x = of[x]
+            return x
+
+        for i, j in zip(*np.nonzero(met), strict=True):
+            roots[find(roots, i)] = find(roots, j)
+        found = simhash.least_forest(wide, side, 10)
+        for i, j in found:
+            assert met[i, j] and find(forest, i) != find(forest, j)
+            forest[find(forest, i)] = find(forest, j)
+        assert len(found) == 60 - len({find(roots, x) for x in range(60)})
+
+
+def test_unlike_texts_of_one_template_give_few_candidates(spark):
+    draw = random.Random(1)
+    base = [f"b{k}" for k in range(120)]
+    rows = []
+    for i in range(1_500):
+        words = list(base)
+        for at in range(0, 120, 15):
+            words[at + draw.randrange(5)] = f"x{draw.randrange(10**9)}"
+        rows.append((i, " ".join(words)))
+    docs = frame(spark, rows)
+    marked = simhash._banded(docs.withColumn("_key", F.col("doc_id").cast("string")), ["doc_id", "_key"], 5)
+    wide = [(int(np.int64(i)), simhash.wide_fingerprint(np.unique(simhash._shingles(simhash._joined(t.encode()), 5)))) for i, t in rows]
+    fingerprints = spark.createDataFrame(wide, "doc_id long, wide array<long>")
+    buckets = marked.select("doc_id", "node", F.explode("bands").alias("band")).join(fingerprints, "doc_id").select("node", "band", "wide")
+    n = buckets.groupBy("band").count().where("count > 1").agg(F.sum("count")).first()[0] or 0
+    assert simhash.candidates(buckets, tile=100).count() <= 20 * max(n, 1)
+    assert len(simhash.deduplicate(docs).collect()) == len(rows)
