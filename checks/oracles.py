@@ -141,6 +141,10 @@ def judged(values: str, single: str) -> str:
     )
 
 
+#: Parts that many others read.
+ONCE = {"clusters", "mapping", "merged", "described", "economy"}
+
+
 def compose(final: str, *needs: str, **local: str) -> str:
     """WITH clause holding the named parts, their needs and local parts in order."""
     order: list[str] = []
@@ -153,7 +157,7 @@ def compose(final: str, *needs: str, **local: str) -> str:
 
     for name in needs:
         visit(name)
-    texts = [f"{n} AS ({PARTS[n][1]})" for n in order]
+    texts = [f"{n} AS {'MATERIALIZED ' * (n in ONCE)}({PARTS[n][1]})" for n in order]
     texts += [f"{n} AS ({text})" for n, text in local.items()]
     return f"WITH RECURSIVE {', '.join(texts)} {final}" if texts else final
 

@@ -55,19 +55,40 @@ def text_distance(a: Column, b: Column) -> Column:
     ``operators.quality``.
     """
 
-    def dot(x: Column, y: Column) -> Column:
-        same = lambda g: F.size(F.filter(y, lambda h: h == g)).cast("double")
-        return F.aggregate(F.transform(x, same), F.lit(0.0), lambda s, n: s + n)
-
-    ga, gb = character_pairs(a), character_pairs(b)
-    cosine = dot(ga, gb) / F.sqrt(dot(ga, ga) * dot(gb, gb))
-    return F.when(a == b, F.lit(0.0)).otherwise(F.greatest(F.lit(0.0), F.lit(1.0) - cosine))
+    def tagged(text: Column, side: int) -> Column:
+        return F.transform(character_pairs(text), lambda pair: F.struct(pair.alias("pair"), F.lit(side).alias("side")))
+
+    def told(now: Column) -> dict[str, Column]:
+        """The three products, with those of the pair that was counted last."""
+        return {
+            "aa": now["aa"] + now["a"] * now["a"],
+            "bb": now["bb"] + now["b"] * now["b"],
+            "ab": now["ab"] + now["a"] * now["b"],
+        }
+
+    def step(now: Column, pair: Column) -> Column:
+        same = now["pair"] == pair["pair"]
+        in_a, in_b = (F.when(pair["side"] == side, 1.0).otherwise(0.0) for side in (0, 1))
+        counts = {"a": F.when(same, now["a"]).otherwise(0.0) + in_a, "b": F.when(same, now["b"]).otherwise(0.0) + in_b}
+        sums = {name: F.when(same, now[name]).otherwise(total) for name, total in told(now).items()}
+        fields = {"pair": pair["pair"], **counts, **sums}
+        return F.struct(*[c.alias(name) for name, c in fields.items()])
+
+    def cosine(now: Column) -> Column:
+        sums = told(now)
+        return sums["ab"] / F.sqrt(sums["aa"] * sums["bb"])
+
+    # Equal pairs of both texts come together once all are sorted.
+    start = F.struct(F.lit("").alias("pair"), *[F.lit(0.0).alias(c) for c in ("a", "b", "aa", "bb", "ab")])
+    cosine_of_both = F.aggregate(F.array_sort(F.concat(tagged(a, 0), tagged(b, 1))), start, step, cosine)
+    return F.when(a == b, F.lit(0.0)).otherwise(F.greatest(F.lit(0.0), F.lit(1.0) - cosine_of_both))
 
 
 def character_pairs(text: Column) -> Column:
     """All neighbouring characters of a text between two marks, repeats included."""
-    marked = F.concat(F.lit("^"), text, F.lit("$"))
-    return F.transform(F.sequence(F.lit(1), F.length(text) + 1), lambda i: F.substring(marked, i, F.lit(2)))
+    characters = F.filter(F.split(text, ""), lambda c: c != "")
+    before, after = F.concat(F.array(F.lit("^")), characters), F.concat(characters, F.array(F.lit("$")))
+    return F.zip_with(before, after, lambda x, y: F.concat(x, y))
 
 
 def number_distance(a: Column, b: Column) -> Column:

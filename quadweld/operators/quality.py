@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from quadweld.functions.terms import as_number, as_seconds, character_pairs, quantise
 from quadweld.model import LITERAL, MAX_DATE_DIFFERENCE, SINGLEVALUED, TERM
 from quadweld.operators.running import running_totals
-from quadweld.operators.stage import heavy_keys, key_hash, materialize
+from quadweld.operators.stage import heavy_keys, key_hash, lookup, materialize
 
 CLUSTER = ["res", "p"]
 VALUE = [*CLUSTER, *TERM]
@@ -287,25 +287,30 @@ def _clash_by_ranges(rows: DataFrame, parts: int | None) -> DataFrame:
     return by_total.select(*columns).unionByName(flat.select(*columns))
 
 
+def _digest(*columns: str) -> Column:
+    """128 bits that stand for the values of some columns."""
+    return F.md5(F.concat(*[F.md5(F.coalesce(F.col(c), F.lit("")).cast("binary")) for c in columns]).cast("binary"))
+
+
 def _clash_of_texts(texts: DataFrame) -> DataFrame:
     """``inner`` of texts: the weight of the others less the weighted cosines with them.
 
-    Work grows with the characters of the texts. A cluster's sum of vectors has one row per pair of characters
-    that occurs, and rows of one text are met by cluster and pair, so no cluster comes together.
+    Work grows with the characters of the texts. Their pairs carry digests of the value and of the cluster, never the
+    text, and are counted where they are made. A cluster's sum of vectors is made by partial sums and has one row per pair of characters;
+    pairs that many texts of a cluster share are salted when they meet it.
     """
-    counted = texts.select(*VALUE, "w_sum", F.explode(character_pairs(F.col("o"))).alias("_pair"))
-    counts = counted.groupBy(*VALUE, "w_sum", "_pair").agg(F.count(F.lit(1)).cast("double").alias("_n"))
+    keyed = texts.withColumns({"_value": _digest(*VALUE), "_cluster": _digest(*CLUSTER)})
+    pairs = keyed.select("_value", "_cluster", "w_sum", F.explode(character_pairs(F.col("o"))).alias("_pair"))
+    counts = pairs.groupBy("_value", "_cluster", "w_sum", "_pair").agg(F.count(F.lit(1)).cast("double").alias("_n"))
     # A window holds the pairs of one text.
-    length = F.sqrt(F.sum(F.col("_n") * F.col("_n")).over(Window.partitionBy(*VALUE)))
+    length = F.sqrt(F.sum(F.col("_n") * F.col("_n")).over(Window.partitionBy("_value")))
     vectors = materialize(counts.withColumn("_x", F.col("_n") / length).drop("_n"), "pairs")
-    sums = vectors.groupBy(*CLUSTER, "_pair").agg(F.sum(F.col("w_sum") * F.col("_x")).alias("_sum"))
-    cosines = (
-        vectors.join(sums, [*CLUSTER, "_pair"])
-        .groupBy(*VALUE)
-        .agg(F.sum(F.col("_x") * F.col("_sum")).alias("_cosines"))
-    )
+    shared = ["_cluster", "_pair"]
+    sums = vectors.groupBy(*shared).agg(F.sum(F.col("w_sum") * F.col("_x")).alias("_sum"))
+    met = lookup(vectors, sums, shared, heavy_keys(vectors, shared), "inner")
+    cosines = met.groupBy("_value").agg(F.sum(F.col("_x") * F.col("_sum")).alias("_cosines"))
     return (
-        texts.join(cosines, VALUE)
+        keyed.join(cosines, "_value")
         .withColumn("inner", F.col("cmass") - F.col("_cosines"))
         .select(*texts.columns)
     )

@@ -180,28 +180,57 @@ def number_totals(clusters: Clusters) -> DataFrame:
     """Totals over the numeric members of each cluster, by way of totals per graph.
 
     ``n`` members from ``n_sources`` graphs, their sum as a double (``sum_x``) and,
-    if every literal fits, as a decimal (``sum_d``), and their mean weight (``base``).
+    if every literal fits, as a decimal (``sum_d``), and their mean weight (``base``). No sum depends on the order.
     """
-    decimal = as_decimal(F.col("o"))
-    per_graph = (
-        clusters.members.where(number().isNotNull())
-        .withColumns({"x": number(), "d": decimal})
-        .groupBy(*CLUSTER, "g")
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.when(F.count("d") == F.count(F.lit(1)), F.try_sum("d")).alias("d"),
-            F.sum("x").alias("x"),
-            F.max("w").alias("w"),
-        )
+    numbers = clusters.members.where(number().isNotNull()).withColumns({"x": number(), "d": as_decimal(F.col("o"))})
+    per_graph = numbers.groupBy(*CLUSTER, "g").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.when(F.count("d") == F.count(F.lit(1)), F.try_sum("d")).alias("d"),
+        F.max("w").alias("w"),
     )
     # A graph with several values counts once per value in the mean weight.
-    return per_graph.groupBy(*CLUSTER).agg(
+    totals = per_graph.groupBy(*CLUSTER).agg(
         F.count(F.lit(1)).alias("n_sources"),
         F.sum("n").alias("n"),
-        F.sum("x").alias("sum_x"),
         F.when(F.count("d") == F.count(F.lit(1)), F.try_sum("d")).alias("sum_d"),
         (F.sum(F.col("w") * F.col("n")) / F.sum("n")).alias("base"),
     )
+    # Decimals of this size always fit together, and then no double is needed.
+    fits = F.col("d").isNotNull() & (F.abs("d") < F.lit(SURELY_SUMMED))
+    if numbers.where(~fits).isEmpty():
+        return totals.withColumn("sum_x", F.col("sum_d").cast("double"))
+    return totals.join(exact_sums(numbers), CLUSTER)
+
+
+#: With this many digits before the point, a decimal holds the sum of ten trillion numbers.
+SURELY_SUMMED = 10**15
+#: Numbers are summed as whole numbers of 10 to a multiple of this power.
+LIMB = 9
+
+
+def exact_sums(numbers: DataFrame) -> DataFrame:
+    """Per cluster the sum ``sum_x`` of the doubles ``x``, the same in any order.
+
+    The digits of a double are a whole number times a power of ten. Those of about the same power are added as
+    whole numbers; the few sums of a cluster, by falling power, make the double.
+    """
+    text = F.abs("x").cast("string")
+    mantissa, fraction = F.substring_index(text, "E", 1), F.substring_index(F.substring_index(text, "E", 1), ".", -1)
+    digits = F.replace(mantissa, F.lit("."), F.lit("")).cast("decimal(20,0)")
+    power = F.when(F.contains(text, F.lit("E")), F.substring_index(text, "E", -1).cast("int")).otherwise(F.lit(0)) - F.length(fraction)
+    limb = F.floor(power / F.lit(LIMB)).cast("int")
+    lifted = F.lit(1).cast("decimal(9,0)")
+    for k in range(1, LIMB):
+        lifted = F.when(F.col("_power") - F.col("_limb") * LIMB == k, F.lit(10**k).cast("decimal(9,0)")).otherwise(lifted)
+    whole = (F.col("_digits") * lifted).cast("decimal(29,0)") * F.signum("x").cast("decimal(1,0)")
+    parts = numbers.select(*CLUSTER, "x", digits.alias("_digits"), power.alias("_power"), limb.alias("_limb"))
+    sums = parts.groupBy(*CLUSTER, "_limb").agg(F.sum(whole.cast("decimal(28,0)")).alias("_sum"))
+    falling = F.sort_array(F.collect_list(F.struct("_limb", "_sum")), asc=False)
+
+    def added(total: Column, part: Column) -> Column:
+        return total + F.concat(part["_sum"].cast("string"), F.lit("E"), part["_limb"] * LIMB).cast("double")
+
+    return sums.groupBy(*CLUSTER).agg(F.aggregate(falling, F.lit(0.0), added).alias("sum_x"))
 
 
 def computed_number(
@@ -256,7 +285,6 @@ def resolve_avg(clusters: Clusters) -> Resolution:
     n, total = F.col("n").cast("decimal(12,0)"), F.col("sum_d").try_cast("decimal(28,10)")
     unit = F.lit("0.0000000001").cast("decimal(10,10)")
     exact = F.when(total % (n * unit) == 0, (total / n).try_cast("decimal(28,10)"))
-    # A sum of decimals does not depend on the order, so neither does this double.
     mean = F.coalesce(F.col("sum_d").cast("double"), F.col("sum_x")) / F.col("n")
     totals = materialize(number_totals(clusters), "totals")
     computed = computed_number(clusters, totals, exact, mean)

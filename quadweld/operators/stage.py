@@ -9,6 +9,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,8 +31,8 @@ def scratch_dir(spark: SparkSession) -> str:
     return spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
 
 
-# Folders of the runs that are open, innermost last.
-_RUNS: list[str] = []
+# Folder of the innermost run that is open, in this thread or task.
+_RUN: ContextVar[str | None] = ContextVar("run", default=None)
 
 
 def new_run(spark: SparkSession) -> str:
@@ -41,11 +42,11 @@ def new_run(spark: SparkSession) -> str:
 @contextmanager
 def writing_to(folder: str) -> Iterator[None]:
     """Copies made inside go to ``folder``, whose owner removes it."""
-    _RUNS.append(folder)
+    token = _RUN.set(folder)
     try:
         yield
     finally:
-        _RUNS.pop()
+        _RUN.reset(token)
 
 
 def file_system(spark: SparkSession, path: str):
@@ -66,7 +67,7 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     let Catalyst choose joins from real sizes.
     """
     spark = df.sparkSession
-    top = _RUNS[-1] if _RUNS else f"{scratch_dir(spark)}/quadweld"
+    top = _RUN.get() or f"{scratch_dir(spark)}/quadweld"
     path = f"{top}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

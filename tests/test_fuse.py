@@ -1,3 +1,6 @@
+import importlib
+from concurrent.futures import ThreadPoolExecutor
+
 import pytest
 
 from quadweld import FusionConfig, Strategy, fuse
@@ -263,3 +266,32 @@ def test_with_default_planning(spark):
     finally:
         for k, v in before.items():
             spark.conf.set(k, v)
+
+
+def test_two_runs_at_once_keep_their_tables_apart(spark):
+    def run(k):
+        rows = quads(spark, [(f"s{k}", "p", "lit", f"v{i}", "g") for i in range(20)])
+        with fuse([rows], config=FusionConfig(default=Strategy("BEST"))) as result:
+            return result.folder, {r["s"] for r in result.statements.collect()}
+
+    with ThreadPoolExecutor(2) as pool:
+        found = list(pool.map(run, range(4)))
+    assert [s for _, s in found] == [{f"s{k}"} for k in range(4)]
+    assert len({folder for folder, _ in found}) == 4
+
+
+def test_filters_drop_quads_before_terms_are_mapped(spark, monkeypatch):
+    kind = "http://www.w3.org/1999/02/22-rdf-syntax-ns#type"
+    rows = [("a2", kind, "C2", "g"), ("a1", "part", "b2", "g"), ("b1", "p", "lit", "1", "g"), ("a1", "p", "lit", "2", "g")]
+    rows += [(f"x{i}", "p", "lit", "3", "g") for i in range(50)] + [("x1", kind, "other", "g")]
+    links = quads(spark, [("a1", OWL_SAME_AS, "a2", "l"), ("b1", OWL_SAME_AS, "b2", "l"), ("C1", OWL_SAME_AS, "C2", "l"), ("part", OWL_SAME_AS, "apart", "l")])
+    config = FusionConfig(properties={"part": Strategy(NESTED)}, required_class="C1")
+    plan = importlib.import_module("quadweld.plans.fuse")
+    mapped = []
+    plain = plan.to_cluster_rows
+    monkeypatch.setattr(plan, "to_cluster_rows", lambda q, m: mapped.append(q.count()) or plain(q, m))
+    with fuse([quads(spark, rows)], links, config=config) as result:
+        assert {(r["s"], r["o"]) for r in result.statements.collect()} >= {("a1", "2"), ("b1", "1")}
+        assert {r["s"] for r in result.statements.collect()} == {"a1", "b1"}
+        assert result.loaded == (len(rows),)
+    assert mapped == [4]

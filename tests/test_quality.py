@@ -209,3 +209,36 @@ def test_quality_does_not_depend_on_partitions(spark):
     one = opposed_quality(value_stats(members.coalesce(1)), 4.0)
     many = opposed_quality(value_stats(members.repartition(9)), 4.0)
     assert as_list(one, *VALUE, "quality") == as_list(many, *VALUE, "quality")
+
+
+def test_long_texts_meet_by_their_pairs(spark):
+    draw = random.Random(3)
+    texts = ["".join(draw.choices("abcdefghé 漢", k=200_000)) for _ in range(4)]
+    rows = [("s", "p", "lit", t, f"g{i}", 0.5) for i, t in enumerate(texts)]
+    values = value_stats(member_table(spark, rows))
+    found = {r["o"]: r["quality"] for r in opposed_quality(values, 4.0).collect()}
+    mass = 4 * 0.5
+    for text in texts:
+        clash = sum(0.5 * apart(text, other) for other in texts if other != text)
+        assert found[text] == pytest.approx(0.5 * (1 - clash / mass), abs=2e-9)
+
+
+def test_pairs_that_many_texts_share_are_salted(spark, everything_heavy):
+    rows = [("s", "p", "lit", f"a{chr(97 + i % 26)}{i}x", f"g{i % 3}", 0.5) for i in range(40)] + [("t", "p", "lit", "ab", "g0", 1.0)]
+    values = value_stats(member_table(spark, rows))
+    got = {(r["res"], r["o"]): r["quality"] for r in opposed_quality(values, 4.0, heavy=[]).collect()}
+    mass = 40 * 0.5
+    for _, _, _, text, _, _ in rows[:-1]:
+        clash = sum(0.5 * apart(text, r[3]) for r in rows[:-1] if r[3] != text)
+        assert got["s", text] == pytest.approx(0.5 * (1 - clash / mass), abs=2e-9)
+
+
+@pytest.mark.parametrize(("a", "b"), [("", "a"), ("", ""), ("aé😀b", "aéxb"), ("abab", "baba"), ("x" * 300, "xy" * 100)])
+def test_distance_of_texts_of_any_characters(spark, a, b):
+    df = spark.createDataFrame([(a, b)], "a string, b string")
+    assert df.select(terms.text_distance(F.col("a"), F.col("b"))).first()[0] == pytest.approx(0.0 if a == b else apart(a, b), abs=1e-12)
+
+
+def test_distance_of_long_texts(spark):
+    df = spark.createDataFrame([("ab" * 100_000, "ba" * 100_000)], "a string, b string")
+    assert df.select(terms.text_distance(F.col("a"), F.col("b"))).first()[0] < 1e-6

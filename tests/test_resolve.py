@@ -1,3 +1,7 @@
+import math
+import random
+from fractions import Fraction
+
 import pytest
 
 from quadweld import FusionConfig, Strategy
@@ -7,6 +11,7 @@ from quadweld.operators.resolve import (
     REGISTRY,
     Clusters,
     Resolution,
+    exact_sums,
     register,
     resolve,
     source_lists,
@@ -176,3 +181,29 @@ def test_tiny_numbers_are_numbers(spark):
     assert objects(run(spark, rows, Strategy("MIN", agg_error=IGNORE))) == {("s", "1e-305")}
     (mean,) = objects(run(spark, rows, Strategy("AVG", SINGLEVALUED, IGNORE)))
     assert float(mean[1]) == pytest.approx(2e-305)
+
+
+@pytest.mark.parametrize("name", ["SUM", "AVG"])
+def test_sums_of_any_numbers_do_not_depend_on_the_order(spark, name):
+    draw = random.Random(6)
+    numbers = [f"{draw.choice('-+')}{draw.randrange(1, 10**15)}e{draw.randrange(-30, 30)}" for _ in range(300)] + ["1.5", "-7", "1E300", "-1E300"]
+    found = set()
+    for parts in (1, 4, 7):
+        draw.shuffle(numbers)
+        rows = [("s", "p", "lit", o, f"g{k}", 1.0) for k, o in enumerate(numbers)]
+        members = member_table(spark, rows).repartition(parts, "o")
+        config = FusionConfig(properties={"p": Strategy(name)})
+        (row,) = resolve(members, Rules.read(config.policy(spark)), 4.0).statements.collect()
+        found.add(row["o"])
+    (text,) = found
+    exact = sum(Fraction(o.replace("+", "")) for o in numbers) / (1 if name == "SUM" else len(numbers))
+    assert float(text) == pytest.approx(float(exact), rel=1e-12)
+
+
+def test_exact_sums_of_extreme_numbers(spark):
+    numbers = [1e300, -1e300, 1.5, -2.25, 1e-5, 5e-324, 123456789.123, 1e22, 0.1, 1e7, 9999999.999]
+    rows = [("r", "p", x) for x in numbers] + [("q", "p", 0.1)] * 10 + [("z", "p", -1e-320), ("n", "p", -0.001)]
+    df = spark.createDataFrame(rows, "res string, p string, x double").repartition(3)
+    found = {r["res"]: r["sum_x"] for r in exact_sums(df).collect()}
+    assert found.pop("r") == pytest.approx(math.fsum(numbers), rel=1e-15)
+    assert found == {"q": 1.0, "z": -1e-320, "n": -0.001}
