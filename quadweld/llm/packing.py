@@ -40,10 +40,10 @@ LENGTH = 4096
 END = 2
 TOKENIZER = "word_bpe_49k.json"
 
-#: Tokens of a length class; most patterns that are tried; words whose tokens are kept; tokens of a stretch of the row of cut rests.
+#: Tokens of a length class; most patterns that are tried; words and pieces whose tokens are kept; tokens of a stretch of the row of cut rests.
 STEP = 16
 ROUNDS = 4_000
-KEPT_WORDS = 200_000
+KEPT_WORDS, KEPT_PIECES = 100_000, 400_000
 STRETCH = 4 * LENGTH
 _ENOUGH = 1e-7
 
@@ -57,19 +57,52 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
-class _Words(dict):
-    """Tokens of words as bytes. The tokenizer never joins what white space parts, so the tokens of a text are those of its words."""
+class _Recent(dict):
+    """Values by key. ``turn`` forgets what was not asked for while the last ``most`` keys came in."""
 
-    def __init__(self, path: str):
+    def __init__(self, make, most: int):
         super().__init__()
+        self.make, self.most, self.before = make, most, {}
+
+    def __missing__(self, key: bytes) -> bytes:
+        value = self.before.get(key)
+        self[key] = value = self.make(key) if value is None else value
+        return value
+
+    def turn(self) -> None:
+        if len(self) > self.most:
+            self.before = dict(self)
+            self.clear()
+
+
+class _Words:
+    """Tokens of words as bytes.
+
+    The tokenizer never joins what white space parts, nor letters with other signs, nor two digits; so the tokens of a
+    text are those of its words, and those of a word are those of such pieces, of which a corpus has far fewer.
+    """
+
+    def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.pieces, self.words = _Recent(self._encoded, KEPT_PIECES), _Recent(self._joined, KEPT_WORDS)
 
-    def __missing__(self, word: bytes) -> bytes:
-        ids = self.tokenizer.encode(word.decode(), add_special_tokens=False).ids
-        value = self[word] = np.array(ids, "<u4").tobytes()
-        return value
+    def _encoded(self, piece: bytes) -> bytes:
+        return np.array(self.tokenizer.encode(piece.decode(), add_special_tokens=False).ids, "<u4").tobytes()
+
+    def _joined(self, word: bytes) -> bytes:
+        if word.isascii():
+            return b"".join(map(self.pieces.__getitem__, _PIECE_OF_WORD.findall(word.lower())))
+        # Beyond ASCII the tokenizer tells letters; only signs behind a letter are taken off here.
+        core = word.rstrip(_SIGNS)
+        if len(core) < len(word) and core.decode()[-1:].lower()[-1:].isalpha():
+            return self.pieces[core] + self.pieces[word[len(core) :]]
+        return self.pieces[word]
+
+    def turn(self) -> None:
+        self.pieces.turn()
+        self.words.turn()
 
 
 @lru_cache(maxsize=1)
@@ -77,6 +110,9 @@ def _words(path: str) -> _Words:
     return _Words(path)
 
 
+#: The pieces that the tokenizer's own rule makes of ASCII, contractions first; signs of ASCII.
+_PIECE_OF_WORD = re.compile(rb"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
+_SIGNS = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 _REST_OF_WORD = re.compile(rb"[^ \t-\r]*")
 
 
@@ -85,10 +121,9 @@ def tokens(text: bytes, words: _Words, at_once: int = 1 << 20) -> np.ndarray:
     parts, at = [], 0
     while at < len(text):
         end = _REST_OF_WORD.match(text, min(at + at_once, len(text))).end()
-        parts.append(b"".join(map(words.__getitem__, text[at:end].split())))
+        parts.append(b"".join(map(words.words.__getitem__, text[at:end].split())))
         at = end
-        if len(words) > KEPT_WORDS:
-            words.clear()
+        words.turn()
     parts.append(np.array([END], "<u4").tobytes())
     return np.frombuffer(b"".join(parts), "<u4")
 

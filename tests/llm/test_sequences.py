@@ -300,3 +300,15 @@ def test_stretches_of_a_text_change_no_token():
     whole = packing.tokens(text, words)
     assert all((packing.tokens(text, words, n) == whole).all() for n in (1, 2, 7))
     assert whole[:-1].tolist() == words.tokenizer.encode(text.decode(), add_special_tokens=False).ids
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.text("aB'sdrelvmt09.,!-_ \t\n\x1c\x1fÉéß\u0301İΣ…ǅ١«»\u00a0漢", max_size=14))
+def test_pieces_of_words_are_those_of_the_tokenizer(text):
+    words = _tokenizer()
+    assert packing.tokens(text.encode(), words)[:-1].tolist() == words.tokenizer.encode(text, add_special_tokens=False).ids
+
+
+@lru_cache(1)
+def _tokenizer():
+    return packing._Words(packing.tokenizer_path())
