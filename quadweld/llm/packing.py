@@ -89,7 +89,12 @@ class _Words:
         self.pieces, self.words = _Recent(self._encoded, KEPT_PIECES), _Recent(self._joined, KEPT_WORDS)
 
     def _encoded(self, piece: bytes) -> bytes:
-        return np.array(self.tokenizer.encode(piece.decode(), add_special_tokens=False).ids, "<u4").tobytes()
+        if piece.isalpha() and piece.islower() and piece.isascii():
+            # Small letters are what the tokenizer's own normalising and splitting would leave; only its merges are needed.
+            ids = [token.id for token in self.tokenizer.model.tokenize(piece.decode())]
+        else:
+            ids = self.tokenizer.encode(piece.decode(), add_special_tokens=False).ids
+        return np.array(ids, "<u4").tobytes()
 
     def _joined(self, word: bytes) -> bytes:
         if word.isascii():
