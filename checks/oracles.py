@@ -500,6 +500,17 @@ ORACLES |= {
         "WHERE c.s = v.s AND c.p = v.p AND c.o = v.o)"
     ),
     "e18_most_recent": first_by("o DESC", "p = 'http://ex/p/shipped'"),
+    "e18_concat": compose(
+        f"SELECT s, p, string_agg(DISTINCT o, ' ' ORDER BY o) AS o, count(DISTINCT g) AS n_sources, "
+        f"{six(steps('avg(w)'))} AS quality FROM plain GROUP BY s, p",
+        "plain",
+    ),
+    "e18_concat_parts": compose(
+        "SELECT s, p, \"start\" // 24 AS part, min(\"start\") AS \"start\", string_agg(o, '|' ORDER BY o) AS text FROM ("
+        "SELECT s, p, o, (sum(length(o) + 1) OVER (PARTITION BY s, p ORDER BY o ROWS UNBOUNDED PRECEDING) "
+        "- length(o) - 1)::bigint AS \"start\" FROM (SELECT DISTINCT s, p, o FROM plain)) GROUP BY s, p, \"start\" // 24",
+        "plain",
+    ),
     "e18_none": compose(
         f"SELECT s, p, o, n_sources, {six(steps('w_max'))} AS quality FROM vals",
         "plain",

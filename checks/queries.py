@@ -14,6 +14,7 @@ from quadweld.model import IGNORE, MANYVALUED, NESTED, QUALITY_PROPERTY, RETURN_
 from quadweld.operators import describe as describing
 from quadweld.operators import identity, sinks
 from quadweld.operators import policy as policies
+from quadweld.operators.fusers import concat_parts, concat_places
 from quadweld.operators.members import conflict_members, to_cluster_rows, with_nulls, without_nulls
 from quadweld.operators.resolve import (
     REGISTRY,
@@ -579,5 +580,15 @@ for _name, _params in (
     ("BEST_SOURCE", {}),
     ("MOST_RECENT", {}),
     ("NONE", {}),
+    ("CONCAT", {}),
 ):
     QUERIES[f"e18_{_name.lower()}"] = _fused_by(_name, **_params)
+
+
+@query
+def e18_concat_parts(spark, sf):
+    """Concatenations in pieces of small blocks."""
+    rows = materialize(members(spark, sf, claims(spark, sf), merged=False), "members")
+    strategy = Strategy("CONCAT", params={"separator": "|", "block": "24"})
+    clusters = Clusters(without_nulls(rows), rules_for(spark, **dict.fromkeys(EVERY, strategy)), AGREE)
+    return concat_parts(clusters, concat_places(clusters)).withColumnRenamed("res", "s")

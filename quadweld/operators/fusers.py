@@ -12,8 +12,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quadweld.functions.terms import as_decimal, as_seconds, quantise
+from quadweld.model import LITERAL
+from quadweld.operators import stage
+from quadweld.operators.members import MEMBER
 from quadweld.operators.quality import CLUSTER, VALUE, value_stats
 from quadweld.operators.resolve import (
+    STATEMENT,
     Clusters,
     Resolution,
     computed_number,
@@ -22,9 +26,10 @@ from quadweld.operators.resolve import (
     number,
     number_totals,
     register,
+    written,
 )
 from quadweld.operators.running import cumulate
-from quadweld.operators.stage import lookup
+from quadweld.operators.stage import grouped, heavy_keys, key_hash, keyed_lookup, lookup, materialize
 
 
 def _decided(clusters: Clusters, usable: Column, *order: Column) -> Resolution:
@@ -188,6 +193,75 @@ def resolve_best_source(clusters: Clusters) -> Resolution:
     return clusters.of_values(lookup(clusters.values, keys, VALUE, None, "left_semi"))
 
 
+#: Characters of a concatenation in one row, unless the parameter ``block`` says otherwise.
+CONCAT_BLOCK = 10_000
+
+
+def _parameter(clusters: Clusters, name: str, default: str) -> Column:
+    value = F.lit(default)
+    for given, has in clusters.parameter(name, default).items():
+        value = F.when(has, F.lit(given)).otherwise(value)
+    return value
+
+
+def concat_places(clusters: Clusters) -> DataFrame:
+    """Distinct texts of each cluster with the place that each takes in their concatenation.
+
+    Texts stand in rising order with the parameter ``separator`` (a space by default) between them. ``start``
+    counts the characters before a text, ``part`` the full blocks of ``block`` characters before that. Totals of heavy clusters go over sorted ranges.
+    """
+    size = F.length("o") + F.length(_parameter(clusters, "separator", " "))
+    texts = clusters.members.select(*CLUSTER, "o").distinct().withColumn("_size", size.cast("double"))
+    placed = cumulate(texts, CLUSTER, ["o"], "_size", "_upto", clusters.heavy_clusters)
+    start = (F.col("_upto") - F.col("_size")).cast("long")
+    block = _parameter(clusters, "block", str(CONCAT_BLOCK)).cast("long")
+    return placed.select(*CLUSTER, "o", start.alias("start"), F.floor(start / block).alias("part"))
+
+
+def concat_parts(clusters: Clusters, places: DataFrame) -> DataFrame:
+    """Consecutive pieces of each concatenation, keyed by cluster and ``part``; nothing is cut.
+
+    A piece holds the texts that start in one block, so its length is at most a block and one text. The whole is
+    the pieces by ``start`` with the separator between them.
+    """
+    texts = F.transform(F.sort_array(F.collect_list(F.struct("start", "o"))), lambda t: t["o"])
+    pieces = grouped(places, [*CLUSTER, "part"]).agg(F.min("start").alias("start"), texts.alias("_texts"))
+    separator = _parameter(clusters, "separator", " ")
+    return pieces.select(*CLUSTER, "part", "start", F.call_function("array_join", F.col("_texts"), separator).alias("text"))
+
+
+@register("CONCAT")
+def resolve_concat(clusters: Clusters) -> Resolution:
+    """The distinct texts of a cluster as one literal; beyond ``block`` characters as several, one per piece.
+
+    A piece has the mean weight of its members as quality, since nothing contradicts it, and their sources.
+    """
+    places = materialize(concat_places(clusters), "places")
+    text, piece = [*CLUSTER, "o"], [*CLUSTER, "part"]
+    often = heavy_keys(clusters.members, text) if clusters.large else []
+    backed = keyed_lookup(clusters.members, places, text, often, "inner")
+    graphs = materialize(
+        backed.groupBy(*piece, "g").agg(F.count(F.lit(1)).alias("n"), F.max("w").alias("w")), "graphs"
+    )
+    totals = graphs.groupBy(*piece).agg(
+        F.count(F.lit(1)).alias("n_sources"), quantise(F.sum(F.col("w") * F.col("n")) / F.sum("n")).alias("quality")
+    )
+    pieces = concat_parts(clusters, places).join(totals, piece)
+    nothing = F.lit("")
+    computed = pieces.select(
+        *CLUSTER, F.lit(LITERAL).alias("o_kind"), F.col("text").alias("o"), nothing.alias("o_dt"), nothing.alias("o_lang"),
+        "quality", "n_sources", "part",
+    )
+    computed = written(computed, "resolved")
+    often = heavy_keys(graphs, piece) if clusters.large else []
+    support = keyed_lookup(graphs.select(*piece, "g"), computed.select(*VALUE, "part"), piece, often, "inner")
+    heavy = []
+    if clusters.heavy_clusters:
+        large = computed.where(key_hash(CLUSTER).isin(clusters.heavy_clusters) & (F.col("n_sources") > stage.HEAVY_FLOOR))
+        heavy = [r["h"] for r in large.select(key_hash(VALUE).alias("h")).collect()]
+    return Resolution(computed.select(*STATEMENT), support.select(*MEMBER), heavy)
+
+
 @register("NONE")
 def resolve_none(clusters: Clusters) -> Resolution:
     """Every value with the best score of its sources; nothing is weighed up."""

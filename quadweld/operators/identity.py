@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,19 +32,23 @@ def preferred_uris(
     return uris.distinct()
 
 
-def _node_report(edges: DataFrame) -> tuple[bool, list[int]]:
-    """Whether the edges form stars already, and the nodes with very many edges.
+def _degrees(edges: DataFrame) -> DataFrame:
+    """Nodes with the number of edges up and down, and whether they are ``open``.
 
-    A star forest has no root that is also a child and no child with two roots. At
-    most ``2 / HEAVY_SHARE`` node hashes come back.
+    Edges form stars when no root is also a child and no child has two roots.
     """
     ends = edges.select(F.col("a").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).union(
         edges.select("b", F.lit(0), F.lit(1))
     )
     nodes = ends.groupBy("node").agg(F.sum("up").alias("up"), F.sum("down").alias("down"))
+    return nodes.withColumn("open", (F.col("up") > 1) | ((F.col("up") > 0) & (F.col("down") > 0)))
+
+
+def _node_report(nodes: DataFrame) -> tuple[float, list[int]]:
+    """Share of open nodes, and the nodes with very many edges, at most ``2 / HEAVY_SHARE`` hashes."""
     degree = F.col("up") + F.col("down")
     report = nodes.agg(
-        F.max((F.col("up") > 1) | ((F.col("up") > 0) & (F.col("down") > 0))).alias("open"),
+        F.avg(F.col("open").cast("int")).alias("open"),
         F.sum("up").alias("edges"),
         F.max(degree).alias("most"),
     ).first()
@@ -52,7 +57,25 @@ def _node_report(edges: DataFrame) -> tuple[bool, list[int]]:
     if (report["most"] or 0) > limit:
         rows = nodes.where(degree > limit).select(key_hash(["node"]).alias("h")).collect()
         heavy = [r["h"] for r in rows]
-    return bool(report["open"]), heavy
+    return report["open"] or 0.0, heavy
+
+
+# Finished stars leave the rounds once open nodes are at most this share of all.
+OPEN_SHARE = 0.25
+
+
+def _split_finished(edges: DataFrame, nodes: DataFrame, heavy: list[int]) -> tuple[DataFrame, DataFrame]:
+    """Edges of components that are stars, and all others.
+
+    A component is unfinished if its root is open or has an open child.
+    """
+    unfinished = nodes.where("open").select("node")
+    roots = edges.join(unfinished.withColumnRenamed("node", "a"), "a", "left_semi").select("b")
+    bad = materialize(roots.union(unfinished).distinct().withColumnRenamed("node", "b"), "open")
+    if is_small(bad):
+        bad, heavy = F.broadcast(bad), []
+    finished = lookup(edges, bad, ["b"], heavy, "left_anti")
+    return finished, lookup(edges, bad, ["b"], heavy, "left_semi").select(*edges.columns)
 
 
 def _link_to_least_neighbour(edges: DataFrame, heavy: list[int]) -> DataFrame:
@@ -82,7 +105,8 @@ def star_forest(links: DataFrame, max_rounds: int = MAX_ROUNDS) -> tuple[DataFra
     """Connected components as edges ``a`` (member) to ``b`` (least member).
 
     Alternates the two relinking steps until every component is a star; each round
-    is written to the shared folder, so lineage stays one round long.
+    is written to the shared folder, so lineage stays one round long. Components that are
+    stars are left out of further rounds, so a few long chains don't rewrite all the others.
     """
     edges = materialize(
         links.where("s <> o")
@@ -90,10 +114,18 @@ def star_forest(links: DataFrame, max_rounds: int = MAX_ROUNDS) -> tuple[DataFra
         .distinct(),
         "links",
     )
+    done: list[DataFrame] = []
+    hubs: set[int] = set()
     for _ in range(max_rounds):
-        unfinished, heavy = _node_report(edges)
+        nodes = _degrees(edges)
+        unfinished, heavy = _node_report(nodes)
+        hubs.update(heavy)
         if not unfinished:
-            return edges, heavy
+            return reduce(DataFrame.unionByName, [*done, edges]), sorted(hubs)
+        if unfinished <= OPEN_SHARE:
+            finished, rest = _split_finished(edges, nodes, heavy)
+            done.append(materialize(finished.select(*edges.columns), "stars"))
+            edges = materialize(rest, "links")
         relinked = _link_smaller_neighbours(_link_to_least_neighbour(edges, heavy), heavy)
         edges = materialize(relinked, "links")
     raise RuntimeError(f"links did not converge in {max_rounds} rounds")

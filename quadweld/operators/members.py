@@ -14,7 +14,7 @@ from quadweld.operators.quality import (
     opposed_quality,
     unopposed_quality,
 )
-from quadweld.operators.stage import lookup
+from quadweld.operators.stage import grouped, keyed_lookup
 
 MEMBER = [*VALUE, "g"]
 
@@ -69,19 +69,17 @@ def anchor_picks(
     smallest ordering struct per value, then per cluster.
     """
     anchors = sorted(rules.used("depends_on"))
-    claims = (
-        weighed.where(F.col("p").isin(anchors)).groupBy(*MEMBER, "w").agg(F.min("s").alias("s"))
-    )
-    values = claims.groupBy(*VALUE).agg(
+    claims = grouped(weighed.where(F.col("p").isin(anchors)), [*MEMBER, "w"]).agg(F.min("s").alias("s"))
+    values = grouped(claims.drop("_key"), VALUE).agg(
         F.count(F.lit(1)).alias("n_sources"),
         F.max("w").alias("w_max"),
         F.sum("w").alias("w_sum"),
         F.min(F.struct((-F.col("w")).alias("rank"), "g", "s")).alias("lead"),
     )
-    judged = judge_values(values, rules, agree, span)
+    judged = judge_values(values.drop("_key"), rules, agree, span)
     first = F.min(F.struct((-F.col("quality")).alias("rank"), F.col("lead"))).alias("first")
     return (
-        judged.groupBy(*CLUSTER)
+        grouped(judged, CLUSTER)
         .agg(first)
         .select(
             "res",
@@ -116,7 +114,7 @@ def follow_anchors(
     for name in sorted(rules.used("depends_on")):
         is_free = is_free & ~rules.having("depends_on", name)
     free = weighed.where(is_free)
-    met = lookup(bound, picks, BOUND, heavy)
+    met = keyed_lookup(bound, picks, BOUND, heavy)
     agrees: Column = (F.col("s") == F.col("_s")) & (F.col("g") == F.col("_g"))
     chosen = met.where(F.col("_s").isNull() | agrees).select(*weighed.columns)
     return free.unionByName(chosen)

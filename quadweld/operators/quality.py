@@ -192,9 +192,11 @@ def _scaled(rows: DataFrame, top: Column) -> DataFrame:
 
 def _clash_by_window(rows: DataFrame, classes: set[str]) -> DataFrame:
     """Clusters of bounded size: one shuffle by cluster, then running totals."""
-    cluster = Window.partitionBy(*CLUSTER)
-    same = Window.partitionBy(*CLUSTER, "cls")
     columns = [*rows.columns, "mass", "cmass", "inner"]
+    # Sorted by a hash first, see ``grouped``.
+    rows = rows.withColumn("_key", key_hash(CLUSTER))
+    cluster = Window.partitionBy("_key", *CLUSTER)
+    same = Window.partitionBy("_key", *CLUSTER, "cls")
     if classes & {"plus", "minus"}:
         rows = _scaled(rows, F.max("at").over(same))
     else:

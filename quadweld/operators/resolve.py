@@ -33,7 +33,7 @@ from quadweld.operators.lists import bounded_lists
 from quadweld.operators.members import MEMBER, judge_values, with_nulls, without_nulls
 from quadweld.operators.policy import Rules
 from quadweld.operators.quality import CLUSTER, VALUE, agreement_quality, value_stats
-from quadweld.operators.stage import heavy_keys, key_hash, lookup, materialize
+from quadweld.operators.stage import grouped, heavy_keys, key_hash, keyed_lookup, lookup, materialize
 
 STATEMENT = [*VALUE, "quality", "n_sources"]
 
@@ -93,14 +93,14 @@ class Clusters:
         The statements are written, so that support and lists don't choose again.
         """
         kept = written(chosen.select(*STATEMENT), "resolved")
-        support = lookup(self.members, kept.select(*VALUE), VALUE, self.heavy_values, "left_semi")
+        support = keyed_lookup(self.members, kept.select(*VALUE), VALUE, self.heavy_values, "left_semi")
         return Resolution(kept, support.select(*MEMBER), self.heavy_values)
 
     def of_clusters(self, computed: DataFrame, usable: Column) -> Resolution:
         """One computed statement per cluster, supported by its usable members."""
         computed = written(computed.select(*STATEMENT), "resolved")
         graphs = self.members.where(usable).select(*CLUSTER, "g").distinct()
-        support = lookup(
+        support = keyed_lookup(
             graphs, computed.select(*VALUE), CLUSTER, self.heavy_clusters, "inner"
         ).select(*MEMBER)
         heavy = []
@@ -153,7 +153,7 @@ def first_value(values: DataFrame, *order: Column) -> DataFrame:
     """
     ranks = [c.alias(f"r{i}") for i, c in enumerate(order)]
     rank = F.struct(*ranks, "o", "o_dt", "o_lang", "o_kind", "quality", "n_sources")
-    best = values.groupBy(*CLUSTER).agg(F.min(rank).alias("best"))
+    best = grouped(values, CLUSTER).agg(F.min(rank).alias("best"))
     return best.select(*CLUSTER, *[F.col(f"best.{c}").alias(c) for c in STATEMENT[2:]])
 
 
@@ -251,7 +251,7 @@ def computed_number(
             .groupBy(*CLUSTER, number().alias("x"))
             .agg(F.sum("w").alias("w"))
         )
-        gaps = lookup(
+        gaps = keyed_lookup(
             weights, result.select(*CLUSTER, "mid"), CLUSTER, clusters.heavy_clusters, "inner"
         )
         conflict = gaps.groupBy(*CLUSTER).agg(
@@ -367,7 +367,7 @@ def as_statements(df: DataFrame) -> DataFrame:
 
 def source_rows(resolution: Resolution) -> DataFrame:
     """Statements with one row per source graph ``g``."""
-    return lookup(resolution.support, resolution.statements, VALUE, resolution.heavy, "inner")
+    return keyed_lookup(resolution.support, resolution.statements, VALUE, resolution.heavy, "inner")
 
 
 def source_lists(resolution: Resolution, limit: int) -> DataFrame:
@@ -375,11 +375,13 @@ def source_lists(resolution: Resolution, limit: int) -> DataFrame:
 
     Takes the inside form. The join and the grouping share one partitioning.
     """
-    rows = source_rows(resolution)
+    rows = keyed_lookup(
+        resolution.support, resolution.statements, VALUE, resolution.heavy, "inner", keep=True
+    )
     lists = bounded_lists(
-        rows, resolution.statements.columns, "g", "sources", limit, size="n_sources"
+        rows, ["_key", *resolution.statements.columns], "g", "sources", limit, size="n_sources"
     )
-    return as_statements(lists)
+    return as_statements(lists.drop("_key"))
 
 
 def with_result_graph(statements: DataFrame, prefix: str, infix: str) -> DataFrame:

@@ -13,6 +13,7 @@ from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.group import GroupedData
 from pyspark.sql.types import MapType, StringType
 
 # Tables below this many rows cannot hold a key worth splitting.
@@ -77,6 +78,15 @@ def key_hash(keys: list[str]) -> Column:
     return F.xxhash64(*keys)
 
 
+def grouped(df: DataFrame, keys: list[str]) -> GroupedData:
+    """Rows grouped by ``keys``, with the hash of the keys in front of them as ``_key``.
+
+    Aggregates of texts, structs and lists sort their rows. Names begin alike, so a sort by the names compares
+    them to the end; the hash differs in its first bytes. The groups are the same.
+    """
+    return df.groupBy(key_hash(keys).alias("_key"), *keys)
+
+
 def heavy_keys(
     df: DataFrame,
     keys: list[str],
@@ -144,6 +154,62 @@ def lookup(
     return salted.join(copied, [*on, "_salt"], how).drop("_salt")
 
 
+def keyed_lookup(
+    fact: DataFrame,
+    dim: DataFrame,
+    on: list[str],
+    heavy: list[int] | None = None,
+    how: str = "left",
+    keep: bool = False,
+) -> DataFrame:
+    """``lookup`` by long names: the rows are sorted by the hash of the names first, see ``grouped``.
+
+    ``keep`` leaves the hash in the column ``_key``, so that a grouping by it and the names needs no new exchange.
+    """
+    if heavy:
+        met = lookup(fact, dim, on, heavy, how)
+        return met.withColumn("_key", key_hash(on)) if keep else met
+    fact, dim = (df.withColumn("_key", key_hash(on)) for df in (fact, dim))
+    met = fact.join(dim, ["_key", *on], how)
+    return met if keep else met.drop("_key")
+
+
+# A key whose rows make more than the square of this many pairs is dealt over a grid of such cells.
+CELL_ROWS = 4_096
+
+
+def grid_join(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
+    """Inner equi-join for keys that can be heavy on both sides; meant for written tables.
+
+    A key with l and r rows becomes ceil(l / CELL_ROWS) times ceil(r / CELL_ROWS) cells. A left row goes to all cells
+    of one line, a right row to all cells of one column, so each pair meets once, no cell makes more
+    than about CELL_ROWS squared pairs, and the copies are few beside the pairs. Other keys are one cell.
+    """
+    if left.count() + right.count() < HEAVY_FLOOR:
+        return left.join(right, on)
+    counts = [
+        df.groupBy(*on).agg(F.count(F.lit(1)).alias(name)) for df, name in ((left, "_lines"), (right, "_columns"))
+    ]
+    both = counts[0].join(counts[1], on)
+    # Two counts as doubles: their product may pass 64 bits.
+    pairs = F.col("_lines").cast("double") * F.col("_columns")
+    cells = {c: F.ceil(F.col(c) / F.lit(CELL_ROWS)) for c in ("_lines", "_columns")}
+    large = materialize(both.where(pairs > F.lit(float(CELL_ROWS) ** 2)).withColumns(cells), "grid")
+    if large.isEmpty():
+        return left.join(right, on)
+
+    def dealt(df: DataFrame, own: str, other: str) -> DataFrame:
+        fields = [f.name for f in df.schema if f.name not in on and not isinstance(f.dataType, MapType)] or on
+        place = F.pmod(F.xxhash64(*fields), F.coalesce(own, F.lit(1)))
+        every = F.sequence(F.lit(0), (F.coalesce(other, F.lit(1)) - 1).cast("int"))
+        met = attach(df, large, on)
+        return met.withColumn(f"{own}_at", place.cast("int")).withColumn(f"{other}_at", F.explode(every)).drop(own, other)
+
+    cell = ["_lines_at", "_columns_at"]
+    joined = dealt(left, "_lines", "_columns").join(dealt(right, "_columns", "_lines"), [*on, *cell])
+    return joined.drop(*cell)
+
+
 # A lookup table of at most this many rows and bytes of text may be broadcast.
 BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 64 << 20

@@ -30,4 +30,5 @@ def everything_heavy(monkeypatch):
     monkeypatch.setattr(stage, "HEAVY_FLOOR", 1)
     monkeypatch.setattr(stage, "HEAVY_SHARE", 0.05)
     monkeypatch.setattr(stage, "SALTS", 3)
+    monkeypatch.setattr(stage, "CELL_ROWS", 2)
     monkeypatch.setattr(stage, "BROADCAST_ROWS", -1)

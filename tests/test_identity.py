@@ -2,6 +2,7 @@ import random
 
 import pytest
 
+from quadweld.operators import stage
 from quadweld.operators.identity import (
     alternatives,
     canonical_map,
@@ -86,6 +87,16 @@ def test_components_match_union_find(spark, shape, heavy, request):
     assert as_set(forest, "a", "b") == expected_components(shape)
 
 
+def test_finished_stars_leave_the_rounds(spark, tmp_path):
+    pairs = [(f"p{i:03}", f"q{i:03}") for i in range(200)] + chain(30)
+    with stage.writing_to(str(tmp_path)):
+        forest, _ = star_forest(links(spark, pairs))
+        assert as_set(forest, "a", "b") == expected_components(pairs)
+    written = sorted(tmp_path.glob("links-*"), key=lambda p: p.stat().st_mtime)
+    counts = [spark.read.parquet(str(p)).count() for p in written]
+    assert counts[0] == 230 and max(counts[1:]) <= 60
+
+
 def test_too_few_rounds_is_an_error(spark):
     with pytest.raises(RuntimeError):
         star_forest(links(spark, chain(40)), max_rounds=1)

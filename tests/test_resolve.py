@@ -110,6 +110,8 @@ def test_exact_average_keeps_every_digit(spark):
         ("CHOOSE_SOURCE", {"source": "g1"}, {"10", "13"}),
         ("BEST_SOURCE", {}, {"10", "13"}),
         ("NONE", {}, {"10", "13", "oops"}),
+        ("CONCAT", {"separator": "; "}, {"10; 13; oops"}),
+        ("CONCAT", {"separator": "", "block": "4"}, {"1013", "oops"}),
     ],
 )
 def test_further_functions(spark, name, params, wanted, everything_heavy):
@@ -120,6 +122,22 @@ def test_further_functions(spark, name, params, wanted, everything_heavy):
     assert supported == wanted
 
 
+@pytest.mark.parametrize("large", [False, True])
+def test_concatenation_loses_no_text(spark, large, everything_heavy):
+    texts = ["", "a", "a ", "b" * 500, "c", "\u00fcber", "zz"] + [f"t{i:03}" for i in range(60)]
+    rows = [("s", "p", "lit", x, f"g{i % 7}", 0.5) for i, x in enumerate(texts)] + [("t", "p", "lit", "alone", "g", 1.0)]
+    found = run(spark, rows, Strategy("CONCAT", params={"separator": "+", "block": "100"}), large=large)
+    parts = [r for r in found.statements.collect() if r["res"] == "s"]
+    assert len(parts) > 3
+    assert "+".join(sorted(r["o"] for r in parts)) == "+".join(sorted(texts))
+    assert {r["quality"] for r in parts} == {0.5}
+    backed = {(r["o"], r["g"]) for r in found.support.where("res = 's'").collect()}
+    for r in parts:
+        graphs = {f"g{texts.index(t) % 7}" for t in r["o"].split("+")}
+        assert {g for o, g in backed if o == r["o"]} == graphs and r["n_sources"] == len(graphs)
+    assert ("t", "alone") in objects(found)
+
+
 def test_most_recent_date(spark):
     rows = [("s", "p", "lit", x, "g", 1.0) for x in ("2001-05-01", "2001-05-02T00:00:00Z", "soon")]
     found = run(spark, rows, Strategy("MOST_RECENT", agg_error=IGNORE))
