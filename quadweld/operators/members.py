@@ -34,9 +34,11 @@ def to_cluster_rows(quads: DataFrame, mapping: DataFrame | None) -> DataFrame:
     return rows if mapping is None else map_terms(rows, mapping, ("res", "p", "o"))
 
 
-def conflict_members(rows: DataFrame, keep_subject: bool = False) -> DataFrame:
-    """Distinct (value, graph) rows of every cluster, optionally per original subject."""
-    return rows.select(*MEMBER, *(["s"] if keep_subject else [])).distinct()
+def conflict_members(rows: DataFrame, per_subject: Column | None = None) -> DataFrame:
+    """Distinct (value, graph) rows of every cluster; where ``per_subject`` holds, per original subject ``s``."""
+    if per_subject is None:
+        return rows.select(*MEMBER).distinct()
+    return rows.select(*MEMBER, F.when(per_subject, F.col("s")).alias("s")).distinct()
 
 
 def judge_values(
@@ -93,6 +95,19 @@ def anchor_picks(
 BOUND = ["res", "depends_on"]
 
 
+def is_bound(rules: Rules) -> Column:
+    """Condition on ``p``: the property follows an anchor."""
+    found = F.lit(False)
+    for name in sorted(rules.used("depends_on")):
+        found = found | rules.having("depends_on", name)
+    return found
+
+
+def by_subject(rules: Rules) -> Column:
+    """Condition on ``p``: the original subject of its claims matters, as it is an anchor or follows one."""
+    return F.col("p").isin(sorted(rules.used("depends_on"))) | is_bound(rules)
+
+
 def bound_rows(weighed: DataFrame, rules: Rules) -> DataFrame:
     """Claims about properties that follow an anchor, and which anchor."""
     anchor = F.lit(None).cast("string")
@@ -104,17 +119,20 @@ def bound_rows(weighed: DataFrame, rules: Rules) -> DataFrame:
 def follow_anchors(
     weighed: DataFrame, rules: Rules, picks: DataFrame, heavy: list[int] | None = None
 ) -> DataFrame:
-    """Keep, for dependent properties, only the claims from the anchor's pick.
+    """Distinct claims about dependent properties, as far as they come from the anchor's pick.
 
     A resource without any anchor claim keeps all its claims. ``heavy`` are hashes of the
-    columns ``BOUND``. Which claims are bound shows in ``p``, so no policy is joined.
+    columns ``BOUND``. Which claims are bound shows in ``p``, so no policy is joined. The claims of a
+    pick have one subject and are distinct without it; only those without a pick meet again.
     """
-    bound = bound_rows(weighed, rules)
-    is_free = F.lit(True)
-    for name in sorted(rules.used("depends_on")):
-        is_free = is_free & ~rules.having("depends_on", name)
-    free = weighed.where(is_free)
-    met = keyed_lookup(bound, picks, BOUND, heavy)
+    met = keyed_lookup(bound_rows(weighed, rules), picks, BOUND, heavy)
     agrees: Column = (F.col("s") == F.col("_s")) & (F.col("g") == F.col("_g"))
-    chosen = met.where(F.col("_s").isNull() | agrees).select(*weighed.columns)
-    return free.unionByName(chosen)
+    columns = [*MEMBER, "w"]
+    return met.where(agrees).select(*columns).unionByName(met.where(F.col("_s").isNull()).select(*columns).distinct())
+
+
+def free_rows(weighed: DataFrame, rules: Rules) -> DataFrame:
+    """Distinct claims about properties that follow no anchor; an anchor that follows none is told apart by subject."""
+    free = weighed.where(~is_bound(rules)).select(*MEMBER, "w")
+    alone = F.col("p").isin(sorted(rules.used("depends_on")))
+    return free.where(~alone).unionByName(free.where(alone).distinct())
