@@ -1,8 +1,8 @@
 """WARC archives: a deterministic sharded writer and a reader.
 
-Records are range-sorted by page_id into shards of even id ranges; how many follows from the
-bytes at hand, so the same table gives the same files, byte for byte. A shard is written by one
-task as gzip members, one per record, into files that are rolled when their
+Records are range-sorted by page_id, payloads of one page_id by their digests, and cut into shards at
+running totals of their bytes, so shards are even however the ids lie, and the same table gives the same files, byte for
+byte. Only rows with equal page_id and payload are never parted. A shard is written by one task as gzip members, one per record, into files that are rolled when their
 compressed size reaches a limit. Headers, record ids and digests are made anew. Every
 attempt of a task writes under names of its own; the names go to a manifest table, then the files listed there
 are moved to their final names, and only the second manifest, written after the last move,
@@ -23,15 +23,18 @@ from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyarrow import fs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quadweld.llm.tables import materialize
+from quadweld.operators.running import running_totals
 from quadweld.operators.stage import scratch_dir
 
 MIN_REVISIT = 100
-#: Payload bytes that a shard is made for, and the least number of shards.
-SHARD_BYTES, MIN_SHARDS = 64 << 20, 64
+#: Payload bytes that a shard is made for, and the least and the largest number of shards; of very many bytes, shards are larger.
+SHARD_BYTES, MIN_SHARDS, MAX_SHARDS = 64 << 20, 64, 100_000
+#: What the headers of a record weigh beside its payload.
+HEAD_BYTES = 512
 ROLL_BYTES = 32 << 20
 DATE = "2020-01-01T00:00:00Z"
 READ_BYTES = 1 << 16
@@ -194,6 +197,30 @@ def revisits(digests: DataFrame) -> DataFrame:
     return met.where("page_id IS NULL OR page_id <> refers_to").select("page_id", "digest", "refers_to").distinct()
 
 
+def _place() -> Column:
+    """Text whose order is that of records: page_id, null last, then the digest."""
+    number = (F.col("page_id").cast("decimal(20,0)") + F.lit(str(1 << 63)).cast("decimal(20,0)")).cast("string")
+    return F.concat(F.coalesce(F.lpad(number, 20, "0"), F.lit("~")), F.substring("digest", 1, 16))
+
+
+def shard_firsts(digests: DataFrame, shard_bytes: int, min_shards: int) -> list[str]:
+    """The least place of each shard, in order: one short text a shard, at most ``MAX_SHARDS``."""
+    weighed = digests.select(_place().alias("place"), (F.col("size") + HEAD_BYTES).alias("weight"))
+    total = weighed.agg(F.sum("weight")).first()[0] or 0
+    shards = min(max(min_shards, -(-total // shard_bytes)), MAX_SHARDS)
+    upto = running_totals(weighed, [], ["place"], {"upto": "weight"}, {})
+    shard = F.floor((F.col("upto") - F.col("weight")) / max(1, -(-total // shards)))
+    return sorted({row["first"] for row in upto.groupBy(shard.alias("shard")).agg(F.min("place").alias("first")).collect()})
+
+
+def _shard(firsts: list[str]) -> Column:
+    """Number of the last shard that starts at or before a record, by bisection."""
+    bounds = F.split(F.lit(",".join(firsts)), ",")
+    steps = F.array(*[F.lit(1 << k) for k in reversed(range(len(firsts).bit_length()))])
+    passed = lambda at, step: F.when(F.get(bounds, at + step - 1) <= F.col("place"), at + step).otherwise(at)
+    return F.aggregate(steps, F.lit(0), passed) - 1
+
+
 def write_archive(
     pages: DataFrame,
     folder: str,
@@ -206,11 +233,7 @@ def write_archive(
     html = F.coalesce("html", F.lit(""))
     keyed = pages.select(F.col("page_id").cast("long").alias("page_id"), F.sha2(html, 256).alias("digest"), "url", "html")
     digests = materialize(keyed.select("page_id", "digest", F.octet_length(html).cast("long").alias("size")), "digests")
-    total = digests.agg(F.min("page_id").alias("low"), F.max("page_id").alias("high"), F.sum("size").alias("size")).first()
-    shards = max(min_shards, -(-(total["size"] or 0) // shard_bytes))
-    low = total["low"] or 0
-    width = max(1, -(-((total["high"] or 0) - low + 1) // shards))
-    shard = F.coalesce(F.expr(f"(page_id - {low}L) div {width}L"), F.lit(shards))
+    firsts = shard_firsts(digests, shard_bytes, min_shards) or ["~"]
     columns = ["page_id", "digest", "is_page", "url", "html", "refers_to"]
     rows = keyed.withColumns({"is_page": F.lit(True), "refers_to": F.lit(None).cast("long")}).select(*columns)
     notes = revisits(digests).withColumns(
@@ -219,8 +242,9 @@ def write_archive(
     # Payloads go through one exchange, together with the notes on them.
     dealt = (
         rows.unionByName(notes.select(*columns))
-        .select(shard.alias("shard"), *columns)
-        .repartition("shard")
+        .withColumn("place", _place())
+        .select(_shard(firsts).alias("shard"), *columns)
+        .repartitionById(len(firsts), F.col("shard"))
         .sortWithinPartitions("shard", "page_id", "digest", "is_page", "url")
     )
     opened(folder)[0].create_dir(opened(folder)[1], recursive=True)

@@ -4,6 +4,7 @@ import hashlib
 import uuid
 
 import pytest
+from pyspark.sql import functions as F
 
 from quadweld.llm import html_text, url_filters, warc
 
@@ -64,6 +65,24 @@ def test_the_same_pages_give_the_same_files(spark, folder):
     assert all(r[2] < 500 + 3_000 for r in made[0])
 
 
+def test_shards_are_even_however_the_ids_lie(spark, folder):
+    far = [2**63 - 1, -(2**63), None]
+    rows = [(k if k % 3 else None, f"u{k}", f"{k} " * (20 + k % 50)) for k in range(1, 400)] + [(k, "far", "far away") for k in far]
+    table = pages(spark, rows).withColumn("size", F.octet_length("html").cast("long")).withColumn("digest", F.sha2("html", 256))
+    firsts = warc.shard_firsts(table.select("page_id", "digest", "size"), 4_000, 3)
+    dealt = table.withColumn("place", warc._place()).withColumn("at", warc._shard(firsts))
+    held = [(r.at, r.low, r.high, r.weight) for r in dealt.groupBy("at").agg(F.min("place").alias("low"), F.max("place").alias("high"), F.sum(F.col("size") + warc.HEAD_BYTES).alias("weight")).orderBy("at").collect()]
+    assert [h[0] for h in held] == list(range(len(firsts))) and [h[1] for h in held] == firsts
+    assert all(a[2] < b[1] for a, b in zip(held, held[1:]))
+    weights = sorted(h[3] for h in held)
+    assert len(held) > 20 and weights[-1] <= 2 * weights[len(weights) // 2]
+    ids = [r.page_id for r in dealt.orderBy("place").collect()]
+    assert ids == sorted(ids, key=lambda i: (i is None, i or 0))
+    where = f"{folder}/{uuid.uuid4().hex}"
+    warc.write_archive(pages(spark, rows), where, shard_bytes=4_000, min_shards=3)
+    assert sorted(str(r.url) for r in warc.read_archive(spark, where).collect()) == sorted(r[1] for r in rows)
+
+
 def test_files_no_manifest_names_are_not_read(spark, folder):
     where = f"{folder}/{uuid.uuid4().hex}"
     warc.write_archive(pages(spark, PAGES[:3]), where)
