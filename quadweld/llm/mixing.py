@@ -6,28 +6,33 @@ the source's target; all copies are sorted by that virtual time, and the mix end
 the first copy with which its words would exceed the budget.
 
 Running totals never put a source into one task: digests are cut into buckets by their
-leading hex digits, a bucket holds about ``BUCKET_ROWS`` rows, and only bucket
-totals are carried on. The same holds for the global order, cut by virtual time. All sums are whole
+leading hex digits, a bucket holds about ``BUCKET_ROWS`` rows (rows of one doc_id are cut by a digest of
+the whole row), and only bucket totals are carried on. The same holds for the global order, cut by virtual time. All sums are whole
 numbers, so reruns agree.
 
 Null texts have size 0 and take part; a null source is a source of its own, last in
-order. Rows with equal doc_id, text size and source are told apart by a running number,
+order. Sources are taken to be few (thousands): one row of each goes through one window. Rows with equal doc_id, text size and source are told apart by a running number,
 so that repeated rows queue one after the other. An empty table gives an empty mix. Other
 columns are ignored.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quadweld.llm.tables import WORD, fresh, hex_digits, materialize
+from quadweld.operators.stage import attach
 
 #: Weights in the order of the sources, budget and largest number of passes.
 WEIGHTS = (5, 2, 1)
 BUDGET = (3, 2)
 PASSES = 2
 BUCKET_ROWS = 1_000
+#: A bucket of more than so many times its rows (one doc_id that many rows share) is dealt again, by a digest of the whole row.
+CROWDED = 8
 
 
 def source_targets(sizes: DataFrame, weights=WEIGHTS, budget=BUDGET, passes=PASSES) -> DataFrame:
@@ -82,6 +87,18 @@ def _before(df: DataFrame, group: list[str], bucket: str, size: str) -> DataFram
     )
 
 
+def _uncrowded(named: DataFrame) -> DataFrame:
+    """Buckets of many rows get further digits, of a digest of id, size and text; only rows equal in all of them stay together."""
+    held = named.groupBy("source_key", "bucket").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > CROWDED * BUCKET_ROWS)
+    digits = F.ceil(F.log(F.col("n") / BUCKET_ROWS) / math.log(16)).cast("int")
+    crowded = materialize(held.select("source_key", "bucket", digits.alias("digits")), "crowded")
+    if crowded.isEmpty():
+        return named
+    whole = F.md5(F.to_json(F.struct("doc_id", "size", "text_key")))
+    further = F.coalesce(F.substring(whole, F.lit(1), F.col("digits")), F.lit(""))
+    return attach(named, crowded, ["source_key", "bucket"]).withColumn("bucket", F.concat("bucket", further)).drop("digits")
+
+
 def queue(sizes: DataFrame, targets: DataFrame) -> DataFrame:
     """Documents with the words of their source up to and including them, in queue order."""
     rows = sizes.count()
@@ -90,8 +107,9 @@ def queue(sizes: DataFrame, targets: DataFrame) -> DataFrame:
         "bucket", F.substring("digest", 1, hex_digits(rows, BUCKET_ROWS))
     )
     named = keyed.withColumn("source_key", F.struct(F.col("source").isNull(), F.coalesce("source", F.lit(""))))
+    named = _uncrowded(named)
     before = _before(named, ["source_key"], "bucket", "size")
-    order = [F.col(c) for c in ("digest", "doc_id", "size", "text_key") if c in sizes.columns or c == "digest"]
+    order = [F.col(c) for c in ("digest", "doc_id", "size", "text_key")]
     # The place in the bucket tells equal rows apart.
     within = named.withColumn(
         "place", F.row_number().over(Window.partitionBy("source_key", "bucket").orderBy(*order))
@@ -120,7 +138,7 @@ def mixed_documents(docs: DataFrame, weights=WEIGHTS, budget=BUDGET, passes=PASS
     held, *made = fresh(rows.columns, "_key", "_size", "_copies", "_finish", "_taken")
     key = lambda size, text: F.md5(F.to_json(F.struct(F.col("doc_id").alias("d"), F.col("source").alias("s"), size.alias("n"), text.alias("t"))))
     taken = (
-        mix(docs, weights, budget, passes, by_text=True)
+        mix(docs, weights, budget, passes)
         .where("taken")
         .groupBy(key(F.col("size"), F.col("text_key")).alias(held))
         .agg(F.count(F.lit(1)).alias(made[1]), F.min("finish").alias(made[2]), F.sum("size").alias(made[3]))
@@ -131,21 +149,20 @@ def mixed_documents(docs: DataFrame, weights=WEIGHTS, budget=BUDGET, passes=PASS
 
 
 def _text_key() -> Column:
-    return F.coalesce(F.sha2(F.col("text").cast("binary"), 256), F.lit("none"))
+    return F.coalesce(F.substring(F.sha2(F.col("text").cast("binary"), 256), 1, 32), F.lit("none"))
 
 
 def _size_of(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def mix(docs: DataFrame, weights=WEIGHTS, budget=BUDGET, passes=PASSES, by_text: bool = False) -> DataFrame:
+def mix(docs: DataFrame, weights=WEIGHTS, budget=BUDGET, passes=PASSES) -> DataFrame:
     """One row per copy in the queues: doc_id, source, size, target, pass, finish, and whether the mix takes it.
 
-    With ``by_text`` also a digest of the text, which orders rows that are equal otherwise.
+    Also a digest of the text, which orders rows that are equal otherwise.
     """
-    text_key = [_text_key().alias("text_key")] if by_text else []
     sizes = materialize(
-        docs.select("doc_id", "source", _size_of(F.col("text")).alias("size"), *text_key),
+        docs.select("doc_id", "source", _size_of(F.col("text")).alias("size"), _text_key().alias("text_key")),
         "sizes",
     )
     targets = materialize(source_targets(sizes, weights, budget, passes), "targets")
@@ -180,7 +197,7 @@ def op9_mixing(docs: DataFrame) -> DataFrame:
     taken = F.sum(F.when(F.col("taken"), F.col("size")).otherwise(F.lit(0)))
     return (
         mix(docs)
-        .groupBy("digest", "doc_id", "source", "size", "place", "upto", "source_size", "target")
+        .groupBy("digest", "doc_id", "source", "size", "text_key", "place", "upto", "source_size", "target")
         .agg(taken.alias("taken"))
         .select("doc_id", "size", "source_size", "target", "taken")
     )

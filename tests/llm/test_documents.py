@@ -198,6 +198,31 @@ def test_mix_is_that_of_one_queue(spark):
     assert all(r.taken <= 2 * r.size for r in got)
 
 
+def test_many_rows_of_one_id_are_cut_by_their_texts(spark, monkeypatch):
+    rows = [(None, f"w{k % 70} " * (k % 7), None, "ab"[k % 2]) for k in range(300)] + [(k, "x y", None, "a") for k in range(40)]
+    table = docs(spark, rows)
+    whole = sum(r.taken for r in mixing.op9_mixing(table).collect())
+    monkeypatch.setattr(mixing, "BUCKET_ROWS", 4)
+    monkeypatch.setattr(mixing, "CROWDED", 2)
+    sizes = table.select("doc_id", "source", mixing._size_of(F.col("text")).alias("size"), mixing._text_key().alias("text_key"))
+    keyed = sizes.withColumns({"source_key": F.col("source"), "bucket": F.lit("0")})
+    n, distinct = max((r["n"], r["kinds"]) for r in mixing._uncrowded(keyed).groupBy("source_key", "bucket").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("text_key", "doc_id").alias("kinds")).collect())
+    assert n < 60 or distinct == 1
+    made = [sorted(map(str, mixing.op9_mixing(t).collect())) for t in (table, table.repartition(7))]
+    got = mixing.op9_mixing(table).collect()
+    assert made[0] == made[1] and len(got) == len(rows) and all(r.taken <= 2 * r.size for r in got)
+    assert abs(sum(r.taken for r in got) - whole) <= 2 * 12
+    queued = mixing.mix(table).where("pass = 0")
+    # Along the queue of a source every row adds its own words.
+    for source in "ab":
+        upto, seen = 0, 0
+        for r in sorted(queued.where(F.col("source") == source).collect(), key=lambda r: (r.upto, -r.size)):
+            upto += r.size
+            assert r.upto == upto
+            seen += 1
+        assert seen == sum(x[3] == source for x in rows)
+
+
 def test_mixed_documents(spark):
     rows = [(k, "w " * (k + 1), "en", "ab"[k % 2]) for k in range(20)] + [(None, "x y", None, None), (90, None, "en", "a")]
     mixed = mixing.mixed_documents(docs(spark, rows)).collect()
