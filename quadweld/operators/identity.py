@@ -5,13 +5,13 @@ from __future__ import annotations
 from collections.abc import Iterable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quadweld.model import BNODE, IRI, URI_SCHEMA
 from quadweld.operators import stage
 from quadweld.operators.lists import bounded_lists
-from quadweld.operators.stage import heavy_columns, is_small, key_hash, lookup, materialize
+from quadweld.operators.stage import attach, heavy_columns, is_small, key_hash, lookup, materialize
 
 MAX_ROUNDS = 60
 
@@ -156,17 +156,36 @@ def canonical_map(
     return materialize(mapped.where("uri <> canonical"), "mapping")
 
 
-def _map_column(
-    quads: DataFrame, mapping: DataFrame, column: str, heavy: list[int] | None
+def _term(column: str) -> Column:
+    """What the mapping may rename: a literal is no name."""
+    return F.when(F.col("o_kind").isin(IRI, BNODE), F.col("o")) if column == "o" else F.col(column)
+
+
+def _map_by_broadcast(quads: DataFrame, names: DataFrame, column: str) -> DataFrame:
+    names = F.broadcast(names.select(F.col("uri").alias("_o"), F.col("canonical").alias("_c")))
+    joined = quads.join(names, _term(column) == F.col("_o"), "left")
+    return joined.withColumn(column, F.coalesce("_c", column)).drop("_o", "_c")
+
+
+def _map_by_exchange(
+    quads: DataFrame, names: DataFrame, columns: list[str], heavy: dict[str, list[int]]
 ) -> DataFrame:
-    """One column mapped: by broadcast, or by shuffle if ``heavy`` keys are given."""
-    names = mapping.select(F.col("uri").alias(column), F.col("canonical").alias("_c"))
-    joined = (
-        lookup(quads, names, [column], heavy)
-        if heavy is not None
-        else quads.join(F.broadcast(names), [column], "left")
-    )
-    return joined.withColumn(column, F.coalesce("_c", column)).select(*quads.columns)
+    """Several columns in one exchange of the quads.
+
+    The distinct tuples of terms are mapped first, column by column; quads meet only those tuples that change, by
+    all their terms, so neither a hot subject nor a hot object brings its quads into one task.
+    """
+    keys = {c: f"_k_{c}" for c in columns}
+    keyed = quads.withColumns({k: F.coalesce(_term(c), F.lit("")) for c, k in keys.items()})
+    tuples = keyed.select(*keys.values()).distinct()
+    for c, k in keys.items():
+        renamed = names.select(F.col("uri").alias(k), F.col("canonical").alias(f"_c_{c}"))
+        tuples = lookup(tuples, renamed, [k], heavy[c])
+    changes = [F.col(f"_c_{c}") for c in columns]
+    changed = materialize(tuples.where(F.coalesce(*changes).isNotNull()), "tuples")
+    met = attach(keyed, changed, list(keys.values()))
+    mapped = {c: F.when(_term(c).isNotNull(), F.coalesce(f"_c_{c}", c)).otherwise(F.col(c)) for c in columns}
+    return met.withColumns(mapped).select(*quads.columns)
 
 
 def map_terms(
@@ -174,39 +193,28 @@ def map_terms(
 ) -> DataFrame:
     """Replace mapped URIs by their canonical URI; everything else stays.
 
-    A mapping of checked small size is broadcast. A large one is joined by shuffle:
-    predicates through their few distinct values, objects without the literals.
+    A mapping of checked small size is broadcast. Of a large one, what the quads use is looked up first, each distinct
+    term once. That dictionary is broadcast if it is small; beyond that the predicates still are, being
+    few, and the quads meet the other terms in one exchange, however large the mapping is.
     """
     columns = list(columns)
-    if is_small(mapping):
-        for column in columns:
-            if column == "o":
-                names = mapping.select(F.col("uri").alias("_o"), F.col("canonical").alias("_c"))
-                is_node = F.col("o_kind").isin(IRI, BNODE)
-                quads = (
-                    quads.join(
-                        F.broadcast(names), is_node & (F.col("o") == F.col("_o")), "left"
-                    )
-                    .withColumn("o", F.coalesce("_c", "o"))
-                    .drop("_o", "_c")
-                )
+    if not is_small(mapping):
+        terms = quads.select(F.explode(F.array(*[_term(c) for c in columns])).alias("uri"))
+        mapping = materialize(mapping.join(terms.where("uri IS NOT NULL").distinct(), "uri", "left_semi"), "dictionary")
+    if not is_small(mapping):
+        together = [c for c in columns if c != "p"]
+        if "p" in columns:
+            used = quads.select(F.col("p").alias("uri")).distinct()
+            renamed = materialize(mapping.join(used, "uri", "left_semi"), "predicates")
+            if is_small(renamed):
+                quads = _map_by_broadcast(quads, renamed, "p")
             else:
-                quads = _map_column(quads, mapping, column, None)
-        return quads
-    # All heavy terms come from one pass over the rows as they were given.
-    heavy = heavy_columns(quads, {c: [c] for c in columns})
-    if "p" in columns:
-        used = quads.select(F.col("p").alias("uri")).distinct()
-        renamed = materialize(mapping.join(used, "uri", "left_semi"), "predicates")
-    if "o" in columns:
-        nodes = quads.where(F.col("o_kind").isin(IRI, BNODE))
-        others = quads.where(~F.col("o_kind").isin(IRI, BNODE))
-        quads = _map_column(nodes, mapping, "o", heavy["o"]).unionByName(others)
+                together.append("p")
+        terms = quads.select(*[F.coalesce(_term(c), F.lit("")).alias(c) for c in together])
+        heavy = heavy_columns(terms, {c: [c] for c in together}) if together else {}
+        return _map_by_exchange(quads, mapping, together, heavy) if together else quads
     for column in columns:
-        if column == "p":
-            quads = _map_column(quads, renamed, "p", None if is_small(renamed) else heavy["p"])
-        elif column != "o":
-            quads = _map_column(quads, mapping, column, heavy[column])
+        quads = _map_by_broadcast(quads, mapping, column)
     return quads
 
 

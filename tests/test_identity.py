@@ -2,6 +2,7 @@ import random
 
 import pytest
 
+from quadweld.model import BNODE, IRI, LITERAL
 from quadweld.operators import stage
 from quadweld.operators.identity import (
     alternatives,
@@ -126,6 +127,30 @@ def test_terms_are_mapped_and_literals_are_not(spark, large, request):
     assert mapped.count() == rows.count()
 
 
+def test_quads_meet_the_terms_they_use_in_one_exchange(spark, monkeypatch):
+    """By what is small: the terms in use, else only the predicates among them, else nothing."""
+    pick = random.Random(11)
+    names = {f"n{i}": f"c{i % 40}" for i in range(300)} | {"p1": "p0", "": "never"}
+    mapping = spark.createDataFrame(list(names.items()), "uri string, canonical string").repartition(3)
+    given = [("n7" if i % 3 else f"n{i % 90}", f"p{i % 3}", pick.choice(["n5", f"n{i % 70}", f"x{i}"]), "g") for i in range(240)]
+    given += [("n1", "p1", LITERAL, "n1", f"g{i % 2}") for i in range(6)]
+    rows = quads(spark, given)
+    kinds = rows.select("s", "p", "o", "o_kind", "g").collect()
+    want = sorted(
+        (names.get(r.s, r.s), names.get(r.p, r.p), names.get(r.o, r.o) if r.o_kind in (IRI, BNODE) else r.o, r.g) for r in kinds
+    )
+    monkeypatch.setattr(stage, "HEAVY_FLOOR", 1)
+    monkeypatch.setattr(stage, "HEAVY_SHARE", 0.1)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    for limit, most in ((1_000, 0), (200, 0), (1, 2), (0, 2)):
+        monkeypatch.setattr(stage, "BROADCAST_ROWS", limit)
+        mapped = map_terms(rows, mapping).select("s", "p", "o", "g")
+        assert sorted(map(tuple, mapped.collect())) == want
+        plan = mapped._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == most
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_alternatives_hold_the_canonical_member(spark):
     mapping = canonical_map(links(spark, LINKS))
     assert as_set(cluster_members(mapping).where("canonical = 'area'"), "uri") == {
