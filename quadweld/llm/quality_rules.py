@@ -3,12 +3,14 @@
 Counts over whole texts give every document a vector of transformed statistics. For each
 language and source the determinant of a covariance over ``SUPPORT`` of the rows is made least by
 concentration steps: location and scatter of the rows kept, squared Mahalanobis distances
-of all rows, then the rows with the least distances are kept next. Documents far from what remains are
-rejected. DataFrame functions only.
+of all rows, then the rows with the least distances are kept next. Steps begin at three starts, the rows
+nearest to the medians by three measures of distance; after ``TRIAL_STEPS`` the start with the least determinant goes on, until no
+determinant falls. Documents far from what remains are rejected. DataFrame functions only.
 
 A step is one aggregation with partial sums over a written table of numbers. Statistics are whole
 numbers of thousandths, so sums are exact and reruns agree. The cut between kept and other rows falls between slices of distance, whose counts are
-summed; no group is sorted or brought together. Scatter gets a floor on its diagonal, so groups of few
+summed; no group is sorted or brought together. A whole slice is kept, so a few more rows than ``SUPPORT`` may be, and a step
+need not lower the determinant; then the estimate before it stands. Scatter gets a floor on its diagonal, so groups of few
 or equal rows are judged by distance to their own centre in floor units.
 
 A null text has no words; such a document fails the base rule and takes no part in the estimates.
@@ -24,8 +26,10 @@ from pyspark.sql import functions as F
 from quadweld.llm.tables import WORD, materialize, maybe_broadcast
 
 MIN_WORDS, MAX_REPEATED, SPAN = 20, 30, 8
-#: Share of a group's rows that the estimate rests on, and steps of concentration.
-SUPPORT, STEPS = 0.75, 6
+#: Share of a group's rows that the estimate rests on, steps of concentration from every start, and most steps from the best.
+SUPPORT, TRIAL_STEPS, STEPS = 0.75, 2, 12
+#: Fall of the logarithm of a determinant that is worth another step.
+FALL = 1e-6
 #: Squared distance beyond which a document is an outlier: the 1 - 1e-6 quantile of chi-square with five degrees, doubled for the smaller scatter of the kept rows.
 CUTOFF = 2 * 35.9
 #: Least standard deviation of a statistic, in thousandths.
@@ -133,6 +137,8 @@ def statistics(counted: DataFrame) -> DataFrame:
 
 
 _GROUP = ["lang", "source"]
+_START = ["group", "start"]
+_ESTIMATE = [*[f"m{i}" for i in _DIMS], *[f"l{i}{j}" for i in _DIMS for j in range(i + 1)]]
 
 
 def _named(group: list[str]) -> Column:
@@ -140,13 +146,13 @@ def _named(group: list[str]) -> Column:
 
 
 def _estimate(kept: DataFrame) -> DataFrame:
-    """Location and the lower triangle of the scatter's Cholesky factor, per group."""
+    """Location, the lower triangle of the scatter's Cholesky factor and the logarithm of its determinant, per group and start."""
     sums = {f"s{i}": F.sum(x).cast("decimal(38,0)") for i, x in enumerate(STATS)}
     sums |= {
         f"q{i}{j}": F.sum((F.col(STATS[i]) * F.col(STATS[j])).cast("decimal(20,0)")) for i in _DIMS for j in range(i + 1)
     }
-    per = kept.groupBy("group").agg(F.count(F.lit(1)).alias("n"), *[v.alias(k) for k, v in sums.items()])
-    per = per.select("group", "n", *[F.col(k).cast("double").alias(k) for k in sums])
+    per = kept.groupBy(*_START).agg(F.count(F.lit(1)).alias("n"), *[v.alias(k) for k, v in sums.items()])
+    per = per.select(*_START, "n", *[F.col(k).cast("double").alias(k) for k in sums])
     n = F.col("n")
     per = per.withColumns({f"m{i}": F.col(f"s{i}") / n for i in _DIMS})
     per = per.withColumns(
@@ -165,7 +171,8 @@ def _estimate(kept: DataFrame) -> DataFrame:
                 left = left - F.col(f"l{i}{k}") * F.col(f"l{j}{k}")
             # The floor keeps every pivot positive but for rounding.
             per = per.withColumn(f"l{i}{j}", F.sqrt(F.greatest(left, F.lit(1.0))) if i == j else left / F.col(f"l{j}{j}"))
-    return per.select("group", *[f"m{i}" for i in _DIMS], *[f"l{i}{j}" for i in _DIMS for j in range(i + 1)])
+    log_det = 2 * sum((F.log(f"l{i}{i}") for i in _DIMS[1:]), F.log("l00"))
+    return per.select(*_START, log_det.alias("log_det"), *_ESTIMATE)
 
 
 def _distance() -> Column:
@@ -179,50 +186,87 @@ def _distance() -> Column:
     return sum((v * v for v in z[1:]), z[0] * z[0])
 
 
-def distances(stats: DataFrame, support: float = SUPPORT, steps: int = STEPS) -> DataFrame:
-    """``stats`` with the squared distance ``d2`` to the robust centre of its group."""
-    rows = stats.withColumn("group", _named(_GROUP))
-    # The first centre is the middle of each statistic, in slices of its own: robust from the start.
+def _slice(distance: Column) -> Column:
+    return F.floor(F.log(distance + 0.01) * SLICES).cast("int")
+
+
+def _least_of(estimates: DataFrame, *keys: str) -> DataFrame:
+    """Per key the estimate with the least determinant."""
+    fields = [c for c in ("log_det", "start", *_ESTIMATE) if c not in keys]
+    best = estimates.groupBy(*keys).agg(F.min(F.struct(*fields)).alias("_best"))
+    return best.select(*keys, *[F.col(f"_best.{c}").alias(c) for c in fields])
+
+
+def _concentrated(rows: DataFrame, estimate: DataFrame, support: float) -> DataFrame:
+    """Estimates after one step from each of the given ones, or those given where the determinant doesn't fall."""
+    measured = rows.join(_per_group(estimate), "group").withColumn("slice", _slice(_distance()))
+    within = _per_group(materialize(_least(measured, support), "within"))
+    kept = measured.join(within, _START).where(F.col("slice") <= F.col("most"))
+    both = estimate.select(*_START, "log_det", *_ESTIMATE).unionByName(_estimate(kept))
+    return materialize(_least_of(both, *_START), "estimate")
+
+
+def _fell(before: DataFrame, after: DataFrame) -> bool:
+    old = before.select("group", F.col("log_det").alias("was"))
+    return not after.join(old, "group").where(F.col("log_det") < F.col("was") - FALL).isEmpty()
+
+
+def robust_estimates(rows: DataFrame, support: float = SUPPORT, trial_steps: int = TRIAL_STEPS, steps: int = STEPS) -> DataFrame:
+    """Per group of ``rows`` the estimate of the least determinant that was found."""
     estimate = materialize(_first(rows, support), "estimate")
+    for _ in range(trial_steps):
+        estimate = _concentrated(rows, estimate, support)
+    estimate = materialize(_least_of(estimate, "group"), "estimate")
     for _ in range(steps):
-        measured = rows.join(_per_group(estimate), "group").withColumn("d2", _distance())
-        sliced = measured.withColumn("slice", F.floor(F.log(F.col("d2") + 0.01) * SLICES).cast("int"))
-        within = _per_group(materialize(_least(sliced, "slice", support), "within"))
-        estimate = materialize(_estimate(sliced.join(within, "group").where(F.col("slice") <= F.col("most"))), "estimate")
-    columns = [*stats.columns, "d2"]
-    return rows.join(_per_group(estimate), "group").withColumn("d2", _distance()).select(*columns)
+        before, estimate = estimate, _concentrated(rows, estimate, support)
+        if not _fell(before, estimate):
+            break
+    return estimate
+
+
+def distances(stats: DataFrame) -> DataFrame:
+    """``stats`` with the squared distance ``d2`` to the robust centre of its group."""
+    rows = stats.withColumn("group", _named(_GROUP))
+    estimate = robust_estimates(rows)
+    return rows.join(_per_group(estimate), "group").withColumn("d2", _distance()).select(*stats.columns, "d2")
 
 
 def _per_group(table: DataFrame) -> DataFrame:
-    """A written table with one row per group, sent to every task if there are few groups.
+    """A written table with a row or three per group, sent to every task if there are few groups.
 
     Rows of a hot group then stay where they are; beyond the bound the join is a shuffle.
     """
     return maybe_broadcast(table, BROADCAST_GROUPS)
 
 
-def _least(rows: DataFrame, slice_column: str, support: float) -> DataFrame:
-    """Per group the slice with which ``support`` of the rows are reached. Slices are few, rows many."""
-    held = rows.groupBy("group", slice_column).agg(F.count(F.lit(1)).alias("n"))
-    along = Window.partitionBy("group").orderBy(slice_column)
-    total = F.sum("n").over(Window.partitionBy("group"))
+def _least(rows: DataFrame, support: float) -> DataFrame:
+    """Per group and start the slice with which ``support`` of the rows are reached. Slices are few, rows many."""
+    held = rows.groupBy(*_START, "slice").agg(F.count(F.lit(1)).alias("n"))
+    along = Window.partitionBy(*_START).orderBy("slice")
+    total = F.sum("n").over(Window.partitionBy(*_START))
     reached = held.withColumn("reached", F.sum("n").over(along) >= F.ceil(total * F.lit(support)))
-    return reached.where("reached").groupBy("group").agg(F.min(slice_column).alias("most"))
+    return reached.where("reached").groupBy(*_START).agg(F.min("slice").alias("most"))
 
 
 def _first(rows: DataFrame, support: float) -> DataFrame:
-    """Estimate from the rows nearest to the medians, each statistic on its own."""
+    """Estimates from the rows nearest to the medians: by plain distances added up, by scaled ones added up, and by the largest scaled one."""
     long = rows.select("group", F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.col(x).alias("x")) for i, x in enumerate(STATS)])).alias("v"))
     held = long.groupBy("group", F.col("v.i").alias("i"), F.floor(F.col("v.x") / 5).alias("bin")).agg(F.count(F.lit(1)).alias("n"))
     along = Window.partitionBy("group", "i").orderBy("bin")
-    half = F.sum("n").over(along) >= F.sum("n").over(Window.partitionBy("group", "i")) / 2
-    middles = held.withColumn("half", half).where("half").groupBy("group", "i").agg((F.min("bin") * 5).alias("x"))
-    centre = middles.groupBy("group").agg(*[F.max(F.when(F.col("i") == i, F.col("x"))).alias(f"m{i}") for i in _DIMS])
-    far = sum((F.abs(F.col(x) - F.col(f"m{i}")) for i, x in enumerate(STATS)), F.lit(0))
+    reached = F.sum("n").over(along) / F.sum("n").over(Window.partitionBy("group", "i"))
+    quarter = lambda q: F.min(F.when(F.col("reached") >= q / 4, F.col("bin"))) * 5
+    quarters = held.withColumn("reached", reached).groupBy("group", "i").agg(*[quarter(q).alias(f"q{q}") for q in (1, 2, 3)])
+    scale = F.greatest(F.col("q3") - F.col("q1"), F.lit(FLOOR))
+    of = lambda i, c: F.max(F.when(F.col("i") == i, c))
+    centre = quarters.groupBy("group").agg(*[of(i, F.col("q2")).alias(f"m{i}") for i in _DIMS], *[of(i, scale).alias(f"w{i}") for i in _DIMS])
     centre = _per_group(materialize(centre, "centre"))
-    placed = rows.join(centre, "group").withColumn("slice", F.floor(F.log(far + 1) * SLICES).cast("int"))
-    within = _per_group(materialize(_least(placed, "slice", support), "within"))
-    return _estimate(placed.join(within, "group").where(F.col("slice") <= F.col("most")))
+    plain = [F.abs(F.col(x) - F.col(f"m{i}")) for i, x in enumerate(STATS)]
+    scaled = [1_000 * d / F.col(f"w{i}") for i, d in enumerate(plain)]
+    far = (sum(plain[1:], plain[0]).cast("double"), sum(scaled[1:], scaled[0]), F.greatest(*scaled))
+    starts = F.array(*[F.struct(F.lit(k).alias("start"), _slice(d).alias("slice")) for k, d in enumerate(far)])
+    placed = rows.join(centre, "group").select("group", *STATS, F.inline(starts))
+    within = _per_group(materialize(_least(placed, support), "within"))
+    return _estimate(placed.join(within, _START).where(F.col("slice") <= F.col("most")))
 
 
 def judge(docs: DataFrame, cutoff: float = CUTOFF) -> DataFrame:

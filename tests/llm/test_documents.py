@@ -153,6 +153,27 @@ def test_counts_and_verdicts(spark):
     assert quality_rules.op8_quality_rules(docs(spark, [])).count() == 0
 
 
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_determinants_are_near_the_least_of_all_subsets(spark, seed):
+    rng = np.random.default_rng(seed)
+    clean = np.round(rng.normal(0, 1, (12, 5)) @ rng.normal(0, 200, (5, 5))).astype(int)
+    far = np.round(rng.normal(4_000, 100, (4, 5))).astype(int)
+    points = np.vstack([clean, far])
+    table = spark.createDataFrame([(g, *map(int, x)) for g in "ab" for x in points[:: 1 if g == "a" else -1]], "group string, x1 long, x2 long, x3 long, x4 long, x5 long")
+
+    def log_det(part):
+        return np.linalg.slogdet(np.cov(part.T, bias=True) + np.eye(5) * quality_rules.FLOOR**2)[1]
+
+    best = min(log_det(points[list(c)]) for c in itertools.combinations(range(16), 12))
+    found = quality_rules.robust_estimates(table).collect()
+    assert len(found) == 2 and found[0].log_det == pytest.approx(found[1].log_det)
+    for r in found:
+        assert best - 1e-6 <= r.log_det <= best + 0.5
+        assert abs(r.m0) < 1_500
+    first = quality_rules._first(table, quality_rules.SUPPORT).collect()
+    assert {r.start for r in first} == {0, 1, 2} and all(found[0].log_det <= r.log_det + 1e-9 for r in first)
+
+
 def slow_mix(rows):
     import hashlib
 
