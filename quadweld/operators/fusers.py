@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from quadweld.functions.terms import as_decimal, as_seconds, quantise
 from quadweld.model import LITERAL
 from quadweld.operators import stage
-from quadweld.operators.members import MEMBER
+from quadweld.operators.members import MEMBER, judge_values, without_nulls
 from quadweld.operators.quality import CLUSTER, VALUE, value_stats
 from quadweld.operators.resolve import (
     STATEMENT,
@@ -183,14 +183,23 @@ def resolve_choose_source(clusters: Clusters) -> Resolution:
 
 @register("BEST_SOURCE")
 def resolve_best_source(clusters: Clusters) -> Resolution:
-    """Values claimed by the best-scored graph of the cluster."""
-    best = clusters.members.groupBy(*CLUSTER).agg(
-        F.min(F.struct((-F.col("w")).alias("rank"), "g")).alias("_best")
-    )
-    graphs = best.select(*CLUSTER, F.col("_best.g").alias("_g"))
-    met = lookup(clusters.members, graphs, CLUSTER, clusters.heavy_clusters, "inner")
-    keys = met.where(F.col("g") == F.col("_g")).select(*VALUE).distinct()
-    return clusters.of_values(lookup(clusters.values, keys, VALUE, None, "left_semi"))
+    """Values claimed by the best-scored graph of the cluster.
+
+    A graph has one weight. So each value keeps the best graph that claims it, and the values whose best one is the cluster's stay.
+    """
+    lead = F.min(F.struct((-F.col("w")).alias("rank"), "g")).alias("_lead")
+    values = judge_values(value_stats(clusters.members, lead), clusters.rules, clusters.agree, clusters.span)
+    if clusters.heavy_clusters:
+        values = without_nulls(materialize(values.select(*STATEMENT, "_lead"), "leads"))
+        best = values.groupBy(*CLUSTER).agg(F.min("_lead").alias("_best"))
+        met = keyed_lookup(values, best, CLUSTER, clusters.heavy_clusters, "inner")
+    else:
+        met = values.withColumn("_key", key_hash(CLUSTER)).withColumn(
+            "_best", F.min("_lead").over(Window.partitionBy("_key", *CLUSTER))
+        )
+    # A term that is null in part equals none, and neither does a graph without a name.
+    same = (F.col("_lead.rank") == F.col("_best.rank")) & (F.col("_lead.g") == F.col("_best.g"))
+    return clusters.of_values(met.where(same).dropna(subset=VALUE))
 
 
 #: Characters of a concatenation in one row, unless the parameter ``block`` says otherwise.

@@ -8,11 +8,16 @@ from datetime import UTC, datetime
 import pytest
 from pyspark.sql import functions as F
 
+from quadweld import FusionConfig, Strategy
 from quadweld.functions import terms
+from quadweld.model import RETURN_ALL, SINGLEVALUED
+from quadweld.operators import resolve as resolving
+from quadweld.operators.members import conflict_members, to_cluster_rows
+from quadweld.operators.policy import Rules
 from quadweld.operators.quality import CLUSTER, VALUE, opposed_quality, value_quality, value_stats
 from quadweld.operators.scores import score_graphs, source_scores
 from quadweld.operators.stage import key_hash
-from tests.helpers import as_list, quads
+from tests.helpers import as_list, as_set, quads
 
 NUMBER = re.compile(r"[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?")
 
@@ -242,3 +247,23 @@ def test_distance_of_texts_of_any_characters(spark, a, b):
 def test_distance_of_long_texts(spark):
     df = spark.createDataFrame([("ab" * 100_000, "ba" * 100_000)], "a string, b string")
     assert df.select(terms.text_distance(F.col("a"), F.col("b"))).first()[0] < 1e-6
+
+
+@pytest.mark.parametrize("subjects", [40, 2])
+def test_members_of_even_resources_meet_in_one_exchange(spark, everything_heavy, subjects):
+    rows = [(f"s{i % subjects}", "p", "lit", str(i % 80), f"g{i % 3}") for i in range(160)] + [(None, "p", "lit", None, "g")] * 2
+    found = conflict_members(to_cluster_rows(quads(spark, rows), None))
+    assert Counter(map(tuple, found.collect())) == Counter({(s, p, k, o, "", "", g) for s, p, k, o, g in rows})
+    plan = value_stats(found.withColumn("w", F.lit(1.0)))._jdf.queryExecution().executedPlan().toString()
+    # Two subjects are too heavy for one task each, so their rows are dealt by all columns.
+    assert (plan.count("Exchange") == 1) == (subjects == 40)
+
+
+def test_only_properties_with_something_unusable_are_judged(spark, monkeypatch):
+    rows = [("s", p, "lit", x, g, 1.0) for p, x, g in (("p", "1", "a"), ("p", "2", "b"), ("q", "1", "a"), ("q", "n/a", "b"))]
+    seen, judge = [], resolving.judge_values
+    monkeypatch.setattr(resolving, "judge_values", lambda values, *a: seen.append(values) or judge(values, *a))
+    config = FusionConfig(default=Strategy("AVG", SINGLEVALUED, RETURN_ALL))
+    found = resolving.resolve(member_table(spark, rows), Rules.read(config.policy(spark)), 4.0)
+    assert as_set(found.statements, "p", "o") == {("p", "1.5"), ("q", "1"), ("q", "n/a")}
+    assert as_set(seen[0], "p") == {("q",)}

@@ -7,6 +7,7 @@ import pytest
 from quadweld import FusionConfig, Strategy
 from quadweld.model import IGNORE, NESTED, RETURN_ALL, SINGLEVALUED
 from quadweld.operators import fusers  # noqa: F401
+from quadweld.operators import resolve as resolving
 from quadweld.operators.resolve import (
     REGISTRY,
     Clusters,
@@ -122,6 +123,17 @@ def test_further_functions(spark, name, params, wanted, everything_heavy):
     assert supported == wanted
 
 
+def test_best_source_reads_its_members_once(spark, monkeypatch):
+    plans, write = [], resolving.materialize
+    monkeypatch.setattr(resolving, "materialize", lambda df, label: plans.append(df) or write(df, label))
+    rows = [*CLAIMS, ("u", "p", "lit", "1", None, 1.0), ("u", "p", "lit", "2", "g5", 0.5), ("v", "p", "lit", None, "g1", 1.0)]
+    found = run(spark, rows, Strategy("BEST_SOURCE"))
+    # A best graph without a name claims nothing, and a value without a text is none.
+    assert objects(found) == {("s", "10"), ("s", "13"), ("t", "none")}
+    plan = plans[-1]._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LogicalRDD [res") == 1
+
+
 @pytest.mark.parametrize("large", [False, True])
 def test_concatenation_loses_no_text(spark, large, everything_heavy):
     texts = ["", "a", "a ", "b" * 500, "c", "\u00fcber", "zz"] + [f"t{i:03}" for i in range(60)]
