@@ -21,8 +21,13 @@ Repeated rows come back as often as they came in. Other columns are ignored.
 similarity of 0.8 or more. Fingerprints of 256 bits tell such texts apart; they differ in about 39 bits at 0.8, and the radius is ``WIDE_RADIUS``.
 For it cells of shared bits would hold nearly everything, so the cells are bands of minima of the same shingle hashes:
 a pair of similarity 0.8 shares none of the bands with a chance of 6e-5. In each cell, tile against tile, a least spanning
-forest by the number of differing bits is grown, and its links, fewer than fingerprints in the cell, are checked on the texts. Whatever
-is nearer than some pair connects that pair in the forest, so what the check refuses are links that are too wide anyway.
+forest by the number of differing bits is grown, and its links, fewer than fingerprints in the cell, are checked on the texts.
+That joins large groups without a look at all their pairs, but bits are no measure of the similarity: a pair can lie beyond the radius, meet in no band,
+or hang on a link that the check refuses. An exact pass follows, over texts that are not yet joined. Under any order of the shingles two texts of
+similarity 0.8 share one of the first fifth of theirs, so the cells are those shingles, frequent ones last. Pairs in a cell are judged by
+their sizes, by the places of the shingle, and by parities of the shingles in 512 classes, which differ in no more classes than the sets differ in shingles;
+what that leaves, by parities in as many classes as the texts need.
+These bounds refuse no pair of the similarity; what they leave is checked on the texts. The components are those of both passes.
 Texts are told apart by 64 bits of a digest of their words.
 """
 
@@ -35,13 +40,13 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
-from quadweld.llm.tables import fresh, materialize, parts_of, tidy
+from quadweld.llm.tables import fresh, materialize, maybe_broadcast, parts_of, tidy
 from quadweld.operators.identity import star_forest
-from quadweld.operators.stage import heavy_keys, lookup
+from quadweld.operators.stage import BROADCAST_ROWS, heavy_keys, lookup
 
 SHINGLE, RADIUS, SEED = 4, 4, 42
 #: Fingerprints in a tile, and the side of a block of comparisons within it.
@@ -54,6 +59,10 @@ NEAR_SHINGLE, NEAR = 5, (4, 5)
 BANDS, DEPTH = 32, 6
 #: 64-bit words of a wide fingerprint, most differing bits of a candidate pair, fingerprints in a tile of a band.
 WIDE, WIDE_RADIUS, WIDE_TILE = 4, 56, 1_024
+#: Texts of the sample that shows which shingles are frequent, in how many of them such a shingle stands, and most of such shingles.
+SAMPLE, OFTEN, MOST = 20_000, 5, 100_000
+#: Classes of shingles whose parities are kept, as a power of two; pairs judged at once.
+PARITY_BITS, PAIRS = 9, 1 << 19
 
 _SHIFTS = np.arange(8, dtype=np.uint64)
 _LOW_BITS = np.uint64(0x0101010101010101)
@@ -270,22 +279,74 @@ def bands(hashes: np.ndarray, n_bands: int = BANDS, depth: int = DEPTH) -> np.nd
     return keys
 
 
-def _banded(docs: DataFrame, keep: list[str], width: int) -> DataFrame:
-    """The columns ``keep``, a digest of the words, and the bands of every row; none without words."""
+def frequent_shingles(docs: DataFrame, width: int) -> np.ndarray:
+    """Shingles that stand in many texts of a bounded sample, sorted.
+
+    They only come last in the order of shingles, so the sample decides on the work and on no link.
+    """
+    every = max(docs.count() // SAMPLE, 1)
+    texts = docs.select(F.xxhash64("text").alias("key"), "text").where(F.pmod("key", F.lit(every)) == 0)
+
+    def run(batches):
+        for batch in parts_of(batches, 1):
+            for text in batch.column(1).cast(pa.binary()):
+                joined = _joined(text.as_py())
+                found = np.unique(_shingles(joined, width)) if joined else np.zeros(0, np.uint64)
+                yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64))], names=["shingle"])
+
+    counts = texts.dropDuplicates(["key"]).mapInArrow(tidy(run), "shingle long").groupBy("shingle").count()
+    often = counts.where(F.col("count") >= OFTEN).orderBy(F.desc("count"), "shingle").limit(MOST)
+    return np.sort(np.array([r["shingle"] for r in often.collect()], np.int64).view(np.uint64))
+
+
+def prefix(hashes: np.ndarray, frequent: np.ndarray, share: tuple[int, int]) -> np.ndarray:
+    """The first shingles of a sorted set, frequent ones last; sets of that similarity have one of them in common."""
+    if len(frequent):
+        at = np.minimum(np.searchsorted(frequent, hashes), len(frequent) - 1)
+        often = frequent[at] == hashes
+        hashes = np.concatenate([hashes[~often], hashes[often]])
+    return hashes[: len(hashes) + 1 - -(-len(hashes) * share[0] // share[1])]
+
+
+def parities(hashes: np.ndarray) -> np.ndarray:
+    """Whether an odd number of the set is in each of the classes, of which there are twice as many as members or more, as 64-bit words."""
+    n = 1 << max(PARITY_BITS, (2 * len(hashes)).bit_length())
+    classes = (hashes & np.uint64(n - 1)).astype(np.int64)
+    return np.packbits((np.bincount(classes, minlength=n) & 1).astype(np.uint8)).view(np.int64)
+
+
+def folded(words: np.ndarray, n: int) -> np.ndarray:
+    """The parities of fewer classes."""
+    return np.bitwise_xor.reduce(words.reshape(-1, n), axis=0)
+
+
+def _banded(
+    docs: DataFrame, keep: list[str], width: int, share: tuple[int, int] = NEAR, frequent: np.ndarray | None = None
+) -> DataFrame:
+    """The columns ``keep``, a digest of the words, and the bands, number, prefix and parities, few and all, of the shingles of every row; none without words."""
     rows = docs.select(*keep, "text")
     n = len(keep)
+    frequent = np.zeros(0, np.uint64) if frequent is None else frequent
+    lists = ["bands", "prefix", "parities", "fine"]
 
     def run(batches):
         for batch in parts_of(batches, n):
-            nodes, keys = [], []
+            nodes, sizes, made = [], [], {c: [] for c in lists}
             for text in batch.column(n).cast(pa.binary()):
                 joined = _joined(text.as_py())
+                hashes = np.unique(_shingles(joined, width)) if joined else np.zeros(0, np.uint64)
                 nodes.append(xxhash.xxh3_64_intdigest(joined, SEED) if joined else 0)
-                keys.append(bands(np.unique(_shingles(joined, width))).view(np.int64) if joined else [])
-            made = [pa.array(np.array(nodes, np.uint64).view(np.int64)), pa.array(keys, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:n], *made], names=[*keep, "node", "bands"])
-
-    more = [StructField("node", LongType()), StructField("bands", ArrayType(LongType()))]
+                sizes.append(len(hashes))
+                made["bands"].append(bands(hashes).view(np.int64) if joined else [])
+                made["prefix"].append(prefix(hashes, frequent, share).view(np.int64) if joined else [])
+                made["fine"].append(parities(hashes))
+                made["parities"].append(folded(made["fine"][-1], 1 << PARITY_BITS - 6))
+            columns = [pa.array(np.array(nodes, np.uint64).view(np.int64)), pa.array(sizes, pa.int64())]
+            columns += [pa.array(made[c], pa.list_(pa.int64())) for c in lists]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:n], *columns], names=[*keep, "node", "size", *lists])
+
+    more = [StructField("node", LongType()), StructField("size", LongType())]
+    more += [StructField(c, ArrayType(LongType())) for c in lists]
     return rows.mapInArrow(tidy(run), StructType([*rows.schema.fields[:n], *more]))
 
 
@@ -385,17 +446,112 @@ def candidates(buckets: DataFrame, radius: int = WIDE_RADIUS, tile: int = WIDE_T
     return units.mapInArrow(tidy(run), "s long, o long").distinct()
 
 
+def possible_pairs(
+    lengths: np.ndarray, side: np.ndarray, wide: np.ndarray, share: tuple[int, int]
+) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the pairs that may have that similarity, in units of so many rows each.
+
+    The words of ``wide`` are parities, root, size of the set, and place of the shared shingle in its order. Pairs of one root are left out, and
+    those with too unlike sizes, too few shingles after the shared one, or more differing parities than shingles may differ. If
+    the shared shingle is the first that a pair of the similarity shares, none of this refuses it.
+    """
+    least, whole = share
+    words, (root, size, at) = wide[:, :-3], wide[:, -3:].view(np.int64).T
+    left = size - at
+    ends = np.cumsum(lengths)
+    mixed = np.repeat(np.add.reduceat(side, ends - lengths) > 0, lengths)
+    follow = np.repeat(ends, lengths) - 1 - np.arange(len(side))
+    found = []
+    for rows in np.split(np.arange(len(side)), np.flatnonzero(np.diff(np.cumsum(follow) // PAIRS)) + 1):
+        n = follow[rows]
+        p = np.repeat(rows, n)
+        q = p + 1 + np.arange(len(p)) - np.repeat(np.cumsum(n) - n, n)
+        fit = (root[p] != root[q]) & ~(mixed[p] & (side[p] == side[q]))
+        p, q = p[fit], q[fit]
+        both = size[p] + size[q]
+        fit = np.minimum(size[p], size[q]) * whole >= np.maximum(size[p], size[q]) * least
+        fit &= np.minimum(left[p], left[q]) * (least + whole) >= both * least
+        p, q, both = p[fit], q[fit], both[fit]
+        apart = np.bitwise_count(words[p] ^ words[q]).sum(axis=1, dtype=np.int64)
+        fit = apart * (least + whole) <= both * (whole - least)
+        found.append((p[fit], q[fit]))
+    return tuple(np.concatenate(x) for x in zip(*found, strict=True))
+
+
+def least_apart(a: np.ndarray, b: np.ndarray) -> int:
+    """By how many members two sets differ at least, from their parities."""
+    n = min(len(a), len(b))
+    # Bit counts of negative numbers are those of their absolute value.
+    return int(np.bitwise_count((folded(a, n) ^ folded(b, n)).view(np.uint64)).sum(dtype=np.int64))
+
+
+def _near(pairs: DataFrame, sets: DataFrame, share: tuple[int, int]) -> DataFrame:
+    """The pairs (s, o) that differ in no more parities than sets of that similarity may differ in shingles."""
+    one = lambda c: sets.select(F.col("node").alias(c), F.struct("size", "fine").alias(f"set_{c}"))
+    met = pairs.join(one("s"), "s").join(one("o"), "o").select("s", "o", "set_s", "set_o")
+    least, whole = share
+
+    def run(batches):
+        for batch in batches:
+            good = []
+            for a, b in zip(batch.column(2), batch.column(3), strict=True):
+                apart = least_apart(*(x["fine"].values.to_numpy() for x in (a, b)))
+                good.append(apart * (least + whole) <= (a["size"].as_py() + b["size"].as_py()) * (whole - least))
+            yield batch.select(["s", "o"]).filter(pa.array(good, pa.bool_()))
+
+    return met.mapInArrow(tidy(run), "s long, o long")
+
+
+def unjoined(marked: DataFrame, rooted: DataFrame, share: tuple[int, int], tile: int = WIDE_TILE) -> DataFrame:
+    """Pairs (s, o) of nodes of different roots, among them all of that similarity."""
+    first = [F.first(c).alias(c) for c in ("size", "prefix", "parities", "fine")]
+    sets = materialize(marked.groupBy("node").agg(*first).join(rooted.select("node", "root"), "node"), "sets")
+    rows = sets.select("node", "root", "size", F.posexplode("prefix").alias("at", "band"))
+    band = Window.partitionBy("band")
+    shared = rows.withColumns({"low": F.min("root").over(band), "high": F.max("root").over(band)}).where("low < high")
+    met = shared.join(sets.select("node", "parities"), "node")
+    words = F.concat("parities", F.array("root", "size", F.col("at").cast("long")))
+    buckets = materialize(met.select("node", "band", words.alias("wide")), "shared")
+
+    def run(batches):
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rows = batch.column(0).flatten()
+            node, side = (rows.field(c).to_numpy() for c in ("node", "side"))
+            wide = rows.field("wide").flatten().to_numpy().view(np.uint64).reshape(len(node), -1)
+            p, q = possible_pairs(batch.column(0).value_lengths().to_numpy().astype(np.int64), side, wide, share)
+            ends = np.unique(np.sort(np.stack([node[p], node[q]], axis=1), axis=1), axis=0)
+            yield pa.RecordBatch.from_arrays([pa.array(ends[:, 0].copy()), pa.array(ends[:, 1].copy())], names=["s", "o"])
+
+    pairs = _wide_units(buckets, tile).select("members").mapInArrow(tidy(run), "s long, o long").distinct()
+    return _near(materialize(pairs, "possible"), sets, share)
+
+
 def similar(keyed: DataFrame, marked: DataFrame, nodes: DataFrame, held: str, width: int, share: tuple[int, int]) -> DataFrame:
-    """``nodes`` with the root of their component: candidates of the bands, checked on the texts."""
+    """``nodes`` with the root of their component: candidates of the bands, then of the prefixes, checked on the texts."""
+
+    def packed(some: DataFrame) -> DataFrame:
+        wanted = some.select("node").distinct().join(nodes.select("node", F.col("first.key").alias(held)), "node")
+        wanted = maybe_broadcast(materialize(wanted, "wanted"), BROADCAST_ROWS)
+        return materialize(_packed_texts(keyed.join(wanted, held).dropDuplicates(["node"]), width), "texts")
+
     # One row for each text and band; equal texts are one node.
     bands_of = marked.groupBy("node").agg(F.first("bands").alias("bands"))
     buckets = materialize(bands_of.select("node", F.explode("bands").alias("band")), "bands")
     shared = buckets.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("band")
     left = materialize(buckets.join(shared, "band"), "buckets")
-    wanted = left.select("node").distinct().join(nodes.select("node", F.col("first.key").alias(held)), "node")
-    texts = materialize(_packed_texts(keyed.join(wanted, held).dropDuplicates(["node"]), width), "texts")
+    texts = packed(left)
     pairs = materialize(candidates(left.join(texts.select("node", "wide"), "node")), "pairs")
-    return _rooted(nodes, materialize(_alike(pairs, texts, width, share), "alike"), "node")
+    alike = materialize(_alike(pairs, texts, width, share), "alike")
+    rooted = _rooted(nodes, alike, "node")
+    # What the forests missed.
+    more = materialize(unjoined(marked, rooted, share), "unjoined")
+    if more.isEmpty():
+        return rooted
+    ends = more.select(F.explode(F.array("s", "o")).alias("node"))
+    late = materialize(_alike(more, packed(ends), width, share), "late")
+    return rooted if late.isEmpty() else _rooted(nodes, alike.unionByName(late), "node")
 
 
 def deduplicate(docs: DataFrame, width: int = NEAR_SHINGLE, share: tuple[int, int] = NEAR) -> DataFrame:
@@ -406,7 +562,8 @@ def deduplicate(docs: DataFrame, width: int = NEAR_SHINGLE, share: tuple[int, in
     """
     (held,) = fresh(docs.columns, "_key")
     keyed = docs.withColumn(held, _row_key(docs))
-    marked = materialize(_banded(keyed, ["doc_id", held], width), "marked")
+    frequent = frequent_shingles(docs, width)
+    marked = materialize(_banded(keyed, ["doc_id", held], width, share, frequent), "marked")
     # The least row of each text, then of each component; both by partial aggregates.
     order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", F.col(held).alias("key"))
     nodes = materialize(marked.groupBy("node").agg(F.min(order).alias("first")), "nodes")

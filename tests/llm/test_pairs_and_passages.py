@@ -275,3 +275,59 @@ def test_unlike_texts_of_one_template_give_few_candidates(spark):
     n = buckets.groupBy("band").count().where("count > 1").agg(F.sum("count")).first()[0] or 0
     assert simhash.candidates(buckets, tile=100).count() <= 20 * max(n, 1)
     assert len(simhash.deduplicate(docs).collect()) == len(rows)
+
+
+def test_pairs_that_the_fingerprints_hold_apart_are_linked(spark):
+    # Four shingles of five: similarity 0.8, but more differing bits than the radius.
+    draw, pairs = random.Random(5), []
+    while len(pairs) < 6:
+        words = [f"w{draw.randrange(10**6)}" for _ in range(9)]
+        texts = [" ".join(words[:8]), " ".join(words)]
+        wide = [simhash.wide_fingerprint(np.unique(simhash._shingles(t.encode(), 5))) for t in texts]
+        apart = sum(((a ^ b) & (2**64 - 1)).bit_count() for a, b in zip(*wide, strict=True))
+        if apart > simhash.WIDE_RADIUS:
+            pairs.append(texts)
+    rows = [(2 * k + j, t) for k, texts in enumerate(pairs) for j, t in enumerate(texts)]
+    kept = simhash.deduplicate(frame(spark, rows)).collect()
+    assert sorted(r.doc_id for r in kept) == [0, 2, 4, 6, 8, 10]
+
+
+def test_prefixes_and_bounds_keep_every_pair_of_the_similarity():
+    draw = np.random.default_rng(8)
+    pool = draw.integers(1 << 63, size=120, dtype=np.uint64) * np.uint64(2)
+    sets = []
+    for _ in range(40):
+        base = draw.choice(pool, size=draw.integers(1, 60), replace=False)
+        sets += [np.unique(np.concatenate([base[draw.random(len(base)) > f], draw.choice(pool, 2)])) for f in (0, 0.05, 0.15)]
+    frequent = np.sort(draw.choice(pool, 50, replace=False))
+    firsts = [simhash.prefix(x, frequent, (4, 5)).tolist() for x in sets]
+    words = [simhash.folded(simhash.parities(x), 8) for x in sets]
+    found = set()
+    for token in {t for f in firsts for t in f}:
+        here = [i for i, f in enumerate(firsts) if token in f]
+        wide = np.array([[*words[i], i, len(sets[i]), firsts[i].index(token)] for i in here], np.int64).view(np.uint64)
+        # One tile alone, and two tiles with their units.
+        cut = len(here) // 2
+        order = [*range(len(here)), *range(cut), *range(cut, len(here)), *range(len(here))]
+        side = np.array([0] * 2 * len(here) + [0] * cut + [1] * (len(here) - cut))
+        lengths = np.array([x for x in (len(here), cut, len(here) - cut, len(here)) if x])
+        p, q = simhash.possible_pairs(lengths, side, wide[order], (4, 5))
+        at = [here[k] for k in order]
+        found |= {(min(at[i], at[j]), max(at[i], at[j])) for i, j in zip(p, q, strict=True)}
+    alike = set()
+    for i in range(len(sets)):
+        for j in range(i + 1, len(sets)):
+            both = len(np.intersect1d(sets[i], sets[j]))
+            if both * 5 >= (len(sets[i]) + len(sets[j]) - both) * 4:
+                alike.add((i, j))
+    assert alike and alike <= found and len(found) < len(sets) * (len(sets) - 1) // 2
+
+
+def test_parities_bound_the_difference_of_sets():
+    draw = np.random.default_rng(9)
+    for size in (1, 30, 300, 3_000):
+        for drop in (0, 1, size // 10, size // 4):
+            a = np.unique(draw.integers(1 << 63, size=size, dtype=np.uint64) * np.uint64(2) + np.uint64(1))
+            b = np.unique(np.concatenate([a[drop:], draw.integers(1 << 63, size=drop, dtype=np.uint64)]))
+            apart = len(np.setxor1d(a, b))
+            assert apart / 2 - 1 <= simhash.least_apart(simhash.parities(a), simhash.parities(b)) <= apart
