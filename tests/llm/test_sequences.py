@@ -312,3 +312,27 @@ def test_pieces_of_words_are_those_of_the_tokenizer(text):
 @lru_cache(1)
 def _tokenizer():
     return packing._Words(packing.tokenizer_path())
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text([chr(c) for c in range(0xA1, 0x100)] + list("aZ'strevd9.- \t\x1c"), max_size=12))
+def test_western_letters_are_those_of_the_tokenizer(text):
+    words = _tokenizer()
+    assert packing.tokens(text.encode(), words)[:-1].tolist() == words.tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_western_letters_need_the_merges_of_the_tokenizer_alone():
+    words = packing._Words(packing.tokenizer_path())
+    text = "El Niño cantó. Größe, Été"
+    expected = words.tokenizer.encode(text, add_special_tokens=False).ids
+
+    class Only:
+        model, asked = words.tokenizer.model, []
+
+        def encode(self, piece, **options):
+            self.asked.append(piece)
+            return whole.encode(piece, **options)
+
+    whole, words.tokenizer = words.tokenizer, Only()
+    assert packing.tokens(text.encode(), words)[:-1].tolist() == expected
+    assert sorted(Only.asked) == [",", "."]
