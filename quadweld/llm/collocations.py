@@ -36,10 +36,13 @@ DROP_SHARE = (80, 100)
 FIRST = 2_000
 SCALE = 2_000_000
 
-#: Bytes of text whose words are held at once, words whose hashes are kept, bits of a filter.
+#: Bytes of text whose words are held at once, words whose hashes are kept, hashes that are counted at once, bits of a filter.
 SLICE = 4 << 20
 KEPT_WORDS = 200_000
+HELD_HASHES = 4 << 20
 SIEVE_BITS = 1 << 26
+#: Bits of a hash that are counted; all but the last 32 of them name its bucket.
+HASH_BITS = 44
 
 # All separators become a full stop, which no word can hold.
 _SEPARATOR = b"."
@@ -139,11 +142,17 @@ def _hashed(words: list[bytes], index: np.ndarray, langs: list[str], hashes: _Ha
     return Hashed(word, codes != 0, _mixed(word, after), (codes != 0) & (after != 0))
 
 
+def _places(hashed: np.ndarray) -> Iterator[np.ndarray]:
+    """The two bits of a filter that stand for a hash, by the part of it that is counted."""
+    counted = hashed & np.uint64((1 << HASH_BITS) - 1)
+    yield counted & np.uint64(SIEVE_BITS - 1)
+    yield (counted * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(32) & np.uint64(SIEVE_BITS - 1)
+
+
 def _frequent(hashed: np.ndarray, cells: np.ndarray) -> np.ndarray:
     """Which hashes a filter lets through: both of their places are set."""
     out = np.ones(len(hashed), bool)
-    for shift in (0, 32):
-        bit = (hashed >> np.uint64(shift)) & np.uint64(SIEVE_BITS - 1)
+    for bit in _places(hashed):
         out &= (cells[(bit >> np.uint64(6)).astype(np.int64)] >> (bit & np.uint64(63))) & np.uint64(1) != 0
     return out
 
@@ -154,37 +163,67 @@ def _pairs_of_frequent(hashed: Hashed, words: np.ndarray) -> np.ndarray:
     return hashed.is_pair & frequent & np.append(frequent[1:], False)
 
 
-def _count_hashes(word_filter=None):
-    """A function that counts hashes of words, or with their filter those of pairs of frequent words."""
+def _count_hashes(min_count: int, word_filter=None):
+    """A function that counts hashes of words, or with their filter those of pairs of frequent words.
+
+    A row has the sorted hashes of a bucket, 32 bits each, and their counts. Counts over ``min_count`` are as good as that.
+    """
+    narrow = np.min_scalar_type(max(1, min_count))
+
+    def counted(held: list[np.ndarray]) -> pa.RecordBatch:
+        found, n = np.unique(np.concatenate(held) & np.uint64((1 << HASH_BITS) - 1), return_counts=True)
+        of = found >> np.uint64(32)
+        first = np.flatnonzero(np.append(True, of[1:] != of[:-1])[: len(of)])
+        low, n = found.astype("<u4"), np.minimum(n, max(1, min_count)).astype(narrow)
+        columns = [[x.tobytes() for x in np.split(whole, first[1:])] if len(first) else [] for whole in (low, n)]
+        arrays = [pa.array(of[first].astype(np.int32)), *[pa.array(c, pa.binary()) for c in columns]]
+        return pa.RecordBatch.from_arrays(arrays, ["bucket", "hashes", "counts"])
 
     def apply(batches) -> Iterator[pa.RecordBatch]:
         hashes, cells = _Hashes(), word_filter and np.frombuffer(word_filter.value, np.uint64)
+        held, n = [], 0
         for words, index, langs in _stretches(batches):
             hashed = _hashed(words, index, langs, hashes)
             if cells is None:
                 chosen = hashed.word[hashed.is_word & (index >= 0)]
             else:
                 chosen = hashed.pair[_pairs_of_frequent(hashed, cells) & (index >= 0)]
-            found, n = np.unique(chosen, return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(n)], ["hash", "c"])
+            held.append(chosen)
+            n += len(chosen)
+            if n >= HELD_HASHES:
+                yield counted(held)
+                held, n = [], 0
+        if n:
+            yield counted(held)
+
+    return apply
+
+
+def _bits_of_frequent(min_count: int):
+    """A function that adds up the counts of a bucket and has the bits of the hashes that occur ``min_count`` times."""
+    narrow = np.min_scalar_type(max(1, min_count))
+
+    def apply(key: tuple[pa.Scalar], rows: pa.Table) -> pa.Table:
+        low, n = (
+            np.concatenate([np.frombuffer(x.as_buffer(), kind) for x in rows[name]]) for name, kind in (("hashes", "<u4"), ("counts", narrow))
+        )
+        order = np.argsort(low, kind="stable")
+        low = low[order]
+        first = np.flatnonzero(np.append(True, low[1:] != low[:-1]))
+        frequent = low[first][np.add.reduceat(n[order], first, dtype=np.int64) >= min_count].astype(np.uint64)
+        bits = np.concatenate([*_places(frequent | np.uint64(key[0].as_py() << 32))])
+        return pa.table({"bit": pa.array(bits.astype(np.int64))})
 
     return apply
 
 
 def _filter(docs: DataFrame, min_count: int, word_filter=None):
     """A broadcast filter of the hashes that occur ``min_count`` times; its size is fixed, whatever the corpus holds."""
-    most = SIEVE_BITS - 1
-    frequent = (
-        docs.mapInArrow(_count_hashes(word_filter), "hash long, c long")
-        .groupBy("hash")
-        .agg(F.sum("c").alias("c"))
-        .where(F.col("c") >= min_count)
-    )
-    places = F.array(F.col("hash").bitwiseAND(most), F.shiftrightunsigned("hash", 32).bitwiseAND(most))
+    counted = docs.mapInArrow(_count_hashes(min_count, word_filter), "bucket int, hashes binary, counts binary")
+    bits_of_frequent = counted.groupBy("bucket").applyInArrow(_bits_of_frequent(min_count), "bit long")
     # Bits are put together in the tasks: the driver gets a row for each 64 bits of the filter at most.
     cells = (
-        frequent.select(F.explode(places).alias("bit"))
-        .groupBy(F.shiftright("bit", 6).alias("cell"))
+        bits_of_frequent.groupBy(F.shiftright("bit", 6).alias("cell"))
         .agg(F.expr("bit_or(shiftleft(1L, cast(bit & 63 as int)))").alias("bits"))
         .toArrow()
     )
@@ -251,14 +290,19 @@ def _first(gram: str | Column, words: int | Column) -> Column:
 
 
 def flows(found: DataFrame, min_count: int = MIN_COUNT) -> DataFrame:
-    """Phrases of one to four words with their counts f, those of ``min_count``: records that begin with them, summed."""
-    begun = found.where("k > 0").select("lang", "gram", "k", "c", F.explode(F.sequence(F.lit(1), "k")).alias("words"))
+    """Phrases of one to four words with their counts f, those of ``min_count``: records that begin with them, summed.
+
+    Only a record of four words itself begins with a phrase of four.
+    """
+    whole = found.where(F.col("k") == LONGEST).select("lang", "gram", "k", F.col("c").alias("f"))
+    prefixes = F.sequence(F.lit(1), F.least("k", F.lit(LONGEST - 1)))
+    begun = found.where("k > 0").select("lang", "gram", "k", "c", F.explode(prefixes).alias("words"))
     summed = (
         begun.select("lang", F.when(F.col("words") == F.col("k"), F.col("gram")).otherwise(F.expr("substring_index(gram, ' ', words)")).alias("gram"), F.col("words").alias("k"), "c")
         .groupBy("lang", "gram", "k")
         .agg(F.sum("c").alias("f"))
     )
-    return materialize(summed.where(F.col("f") >= min_count), "flows")
+    return materialize(summed.unionByName(whole).where(F.col("f") >= min_count), "flows")
 
 
 def compacted(counts: DataFrame) -> tuple[DataFrame, DataFrame]:

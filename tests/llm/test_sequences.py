@@ -98,6 +98,38 @@ def test_long_texts_are_walked_in_slices(monkeypatch):
     assert found == expected
 
 
+def test_counted_hashes_are_few_bytes_and_lose_no_count(monkeypatch):
+    import pyarrow as pa
+    import pyarrow.compute
+
+    words = [f"w{i}" for i in range(100_000)]
+    batch = pa.record_batch([pa.array(["en"] * 3), pa.array([" ".join(words), " ".join(words[:500]), " ".join(words[:40])])], ["lang", "text"])
+    parts = list(collocations._count_hashes(3)([batch]))
+    assert sum(p.nbytes for p in parts) < 8 * len(words)
+
+    def bits(parts):
+        rows = pa.Table.from_batches(parts)
+        found = set()
+        for bucket in set(rows["bucket"].to_pylist()):
+            own = rows.filter(pa.compute.equal(rows["bucket"], bucket))
+            found |= set(collocations._bits_of_frequent(3)((pa.scalar(bucket),), own)["bit"].to_pylist())
+        return found
+
+    hashed = collocations._hashed([w.encode() for w in words], np.zeros(len(words), np.int64), ["en"], collocations._Hashes())
+    places = [set(x[:40].tolist()) for x in collocations._places(hashed.word)]
+    assert bits(parts) == places[0] | places[1]
+    monkeypatch.setattr(collocations, "HELD_HASHES", 1)
+    monkeypatch.setattr(collocations, "SLICE", 64)
+    assert bits(list(collocations._count_hashes(3)([batch.slice(1)] * 2))) == bits(list(collocations._count_hashes(3)([batch.slice(1)])) * 2)
+
+
+def test_phrases_of_four_are_the_records_themselves(spark):
+    rows = [("en", "a b c d", 4, 3), ("en", "a b c e", 4, 1), ("en", "a b c", 3, 1), ("en", "", 0, 9)]
+    found = spark.createDataFrame(rows, "lang string, gram string, k int, c long")
+    got = {(r.gram, r.k, r.f) for r in collocations.flows(found, 3).collect()}
+    assert got == {("a b c d", 4, 3), ("a b c", 3, 5), ("a b", 2, 5), ("a", 1, 5)}
+
+
 def test_scores_beyond_64_bits(spark):
     big = 40_000_000_000_000
     counts = spark.createDataFrame([("en", "a", 1, big + 3), ("en", "b", 1, big + 1), ("en", "a b", 2, big)], "lang string, gram string, k int, f long")
