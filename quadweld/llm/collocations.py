@@ -7,8 +7,9 @@ through which all flow goes from one edge to one other are compacted, so that a
 one path with one count.
 
 Only phrases of ``min_count`` matter, and no phrase counts more than the words and pairs in it. First passes therefore count
-hashes of words, then of pairs of frequent words, and pieces end wherever a pair is rare; rare words are counted together. The sets of
-frequent words and pairs are filters of fixed size: what they let through wrongly costs time, never exactness. All counts are
+hashes of words, then of pairs of frequent words, then of three words whose pairs are frequent. Pieces end wherever a pair is rare, and
+records before a third word that makes three rare; rare words are counted together. The sets of
+frequent words, pairs and threes are filters of fixed size: what they let through wrongly costs time, never exactness. All counts are
 those of whole records.
 
 Null texts are empty, a null language is ``und``; rows without words give nothing, equal rows count each time, other
@@ -163,8 +164,28 @@ def _pairs_of_frequent(hashed: Hashed, words: np.ndarray) -> np.ndarray:
     return hashed.is_pair & frequent & np.append(frequent[1:], False)
 
 
-def _count_hashes(min_count: int, word_filter=None):
-    """A function that counts hashes of words, or with their filter those of pairs of frequent words.
+def _frequent_pairs(hashed: Hashed, words: np.ndarray, pairs: np.ndarray) -> np.ndarray:
+    """Where a frequent pair begins."""
+    return _pairs_of_frequent(hashed, words) & _frequent(hashed.pair, pairs)
+
+
+def _threes(hashed: Hashed) -> np.ndarray:
+    """The hash of each word and the two next ones."""
+    return _mixed(hashed.pair, np.append(hashed.pair[1:], np.uint64(0)))
+
+
+def _chosen(hashed: Hashed, cells: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes to count, and where: of words; with the filter of words, of pairs of frequent words; with that of pairs too, of threes of frequent pairs."""
+    if not cells:
+        return hashed.word, hashed.is_word
+    if len(cells) == 1:
+        return hashed.pair, _pairs_of_frequent(hashed, cells[0])
+    follows = _frequent_pairs(hashed, *cells)
+    return _threes(hashed), follows & np.append(follows[1:], False)
+
+
+def _count_hashes(min_count: int, *filters):
+    """A function that counts hashes, see ``_chosen``.
 
     A row has the sorted hashes of a bucket, 32 bits each, and their counts. Counts over ``min_count`` are as good as that.
     """
@@ -180,16 +201,12 @@ def _count_hashes(min_count: int, word_filter=None):
         return pa.RecordBatch.from_arrays(arrays, ["bucket", "hashes", "counts"])
 
     def apply(batches) -> Iterator[pa.RecordBatch]:
-        hashes, cells = _Hashes(), word_filter and np.frombuffer(word_filter.value, np.uint64)
+        hashes, cells = _Hashes(), [np.frombuffer(x.value, np.uint64) for x in filters]
         held, n = [], 0
         for words, index, langs in _stretches(batches):
-            hashed = _hashed(words, index, langs, hashes)
-            if cells is None:
-                chosen = hashed.word[hashed.is_word & (index >= 0)]
-            else:
-                chosen = hashed.pair[_pairs_of_frequent(hashed, cells) & (index >= 0)]
-            held.append(chosen)
-            n += len(chosen)
+            found, where = _chosen(_hashed(words, index, langs, hashes), cells)
+            held.append(found[where & (index >= 0)])
+            n += len(held[-1])
             if n >= HELD_HASHES:
                 yield counted(held)
                 held, n = [], 0
@@ -217,9 +234,9 @@ def _bits_of_frequent(min_count: int):
     return apply
 
 
-def _filter(docs: DataFrame, min_count: int, word_filter=None):
+def _filter(docs: DataFrame, min_count: int, *filters):
     """A broadcast filter of the hashes that occur ``min_count`` times; its size is fixed, whatever the corpus holds."""
-    counted = docs.mapInArrow(_count_hashes(min_count, word_filter), "bucket int, hashes binary, counts binary")
+    counted = docs.mapInArrow(_count_hashes(min_count, *filters), "bucket int, hashes binary, counts binary")
     bits_of_frequent = counted.groupBy("bucket").applyInArrow(_bits_of_frequent(min_count), "bit long")
     # Bits are put together in the tasks: the driver gets a row for each 64 bits of the filter at most.
     cells = (
@@ -232,22 +249,28 @@ def _filter(docs: DataFrame, min_count: int, word_filter=None):
     return docs.sparkSession.sparkContext.broadcast(bits.tobytes())
 
 
-def _records(word_filter, pair_filter):
+def _records(word_filter, pair_filter, three_filter):
     """A function that counts the records of a partition, stretch by stretch."""
 
     def apply(batches) -> Iterator[pa.RecordBatch]:
-        of_words, of_pairs = (np.frombuffer(x.value, np.uint64) for x in (word_filter, pair_filter))
+        of_words, of_pairs, of_threes = (np.frombuffer(x.value, np.uint64) for x in (word_filter, pair_filter, three_filter))
         hashes = _Hashes()
         for words, index, langs in _stretches(batches):
             hashed = _hashed(words, index, langs, hashes)
-            follows = _pairs_of_frequent(hashed, of_words) & _frequent(hashed.pair, of_pairs)
-            yield from _counted(words, index, langs, follows, _frequent(hashed.word, of_words))
+            follows = _frequent_pairs(hashed, of_words, of_pairs)
+            threes = _frequent(_threes(hashed), of_threes)
+            yield from _counted(words, index, langs, follows, _frequent(hashed.word, of_words), threes)
 
     return apply
 
 
-def _counted(words: list[bytes], index: np.ndarray, langs: list[str], follows: np.ndarray, frequent: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """Records of a stretch with their counts, and rare words as records of none. Equal records are found by numbers, not by hashes."""
+def _counted(
+    words: list[bytes], index: np.ndarray, langs: list[str], follows: np.ndarray, frequent: np.ndarray, threes: np.ndarray | None = None
+) -> Iterator[pa.RecordBatch]:
+    """Records of a stretch with their counts, and rare words as records of none. Equal records are found by numbers, not by hashes.
+
+    A record goes on after ``follows``, and to a third or fourth word if the last three are among ``threes`` (none: all are).
+    """
     numbers = _Numbers()
     codes = np.fromiter(map(numbers.__getitem__, words), np.int64, len(words))
     started = (index >= 0) & (codes != 0)
@@ -259,6 +282,8 @@ def _counted(words: list[bytes], index: np.ndarray, langs: list[str], follows: n
         # What is told apart so far, and the next word.
         keys, first, ids = np.unique(ids << 32 | codes[at + length - 1], return_index=True, return_inverse=True)
         goes_on = follows[at + length - 1] if length < LONGEST else np.zeros(len(at), bool)
+        if threes is not None and 1 < length < LONGEST:
+            goes_on = goes_on & threes[at + length - 2]
         n = np.bincount(ids[~goes_on], minlength=len(keys))
         ending = np.flatnonzero(n)
         starts = at[first[ending]]
@@ -278,10 +303,11 @@ def records(docs: DataFrame, min_count: int = MIN_COUNT) -> DataFrame:
     texts = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.col("text"))
     words = _filter(texts, min_count)
     pairs = _filter(texts, min_count, words)
-    counted = texts.mapInArrow(_records(words, pairs), "lang string, gram string, k int, c long")
+    threes = _filter(texts, min_count, words, pairs)
+    counted = texts.mapInArrow(_records(words, pairs, threes), "lang string, gram string, k int, c long")
     written = materialize(counted.groupBy("lang", "gram", "k").agg(F.sum("c").alias("c")), "records")
-    words.destroy()
-    pairs.destroy()
+    for sieve in (words, pairs, threes):
+        sieve.destroy()
     return written
 
 

@@ -130,6 +130,15 @@ def test_phrases_of_four_are_the_records_themselves(spark):
     assert got == {("a b c d", 4, 3), ("a b c", 3, 5), ("a b", 2, 5), ("a", 1, 5)}
 
 
+def test_records_end_before_three_rare_words(spark):
+    texts = ["a b c d", "a b c e", "b c f", "a b", "a b g", "c d", "c d"]
+    docs = spark.createDataFrame([(i, text, "en", 1, "") for i, text in enumerate(texts)], DOCS)
+    got = {r.gram: r.c for r in collocations.records(docs, 3).collect()}
+    # Frequent: a b, b c, c d; no three words but those of ``a b c`` twice.
+    assert got == {"a b": 4, "b c": 3, "c d": 3, "c": 2, "b": 2, "d": 3, "": 3}
+    assert {r.gram: r.f for r in collocations.flows(collocations.records(docs, 3), 3).collect()} == {"a b": 4, "b c": 3, "c d": 3, "a": 4, "b": 5, "c": 5, "d": 3}
+
+
 def test_scores_beyond_64_bits(spark):
     big = 40_000_000_000_000
     counts = spark.createDataFrame([("en", "a", 1, big + 3), ("en", "b", 1, big + 1), ("en", "a b", 2, big)], "lang string, gram string, k int, f long")
