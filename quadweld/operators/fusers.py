@@ -188,7 +188,7 @@ def resolve_best_source(clusters: Clusters) -> Resolution:
     A graph has one weight. So each value keeps the best graph that claims it, and the values whose best one is the cluster's stay.
     """
     lead = F.min(F.struct((-F.col("w")).alias("rank"), "g")).alias("_lead")
-    values = judge_values(value_stats(clusters.members, lead), clusters.rules, clusters.agree, clusters.span)
+    values = judge_values(value_stats(clusters.members, lead), clusters.rules, clusters.agree, clusters.span, clusters.even)
     if clusters.heavy_clusters:
         values = without_nulls(materialize(values.select(*STATEMENT, "_lead"), "leads"))
         best = values.groupBy(*CLUSTER).agg(F.min("_lead").alias("_best"))

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from quadweld import FusionConfig, Strategy
 from quadweld.functions import terms
 from quadweld.model import RETURN_ALL, SINGLEVALUED
+from quadweld.operators import quality as judging
 from quadweld.operators import resolve as resolving
 from quadweld.operators.members import conflict_members, to_cluster_rows
 from quadweld.operators.policy import Rules
@@ -216,6 +217,16 @@ def test_quality_does_not_depend_on_partitions(spark):
     assert as_list(one, *VALUE, "quality") == as_list(many, *VALUE, "quality")
 
 
+def test_values_of_even_resources_are_judged_where_they_stand(spark, monkeypatch):
+    """One exchange, and no copy, from the members to the qualities; the same rows as by the written copy."""
+    values = value_stats(member_table(spark, random_members(5)).repartition(4, "res"))
+    written = as_list(opposed_quality(values, 4.0), *VALUE, "quality")
+    monkeypatch.setattr(judging, "materialize", None)
+    judged = opposed_quality(values, 4.0, even=True)
+    assert as_list(judged, *VALUE, "quality") == written
+    assert judged._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+
+
 def test_long_texts_meet_by_their_pairs(spark):
     draw = random.Random(3)
     texts = ["".join(draw.choices("abcdefghé 漢", k=200_000)) for _ in range(4)]
