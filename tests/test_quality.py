@@ -13,7 +13,7 @@ from quadweld.functions import terms
 from quadweld.model import RETURN_ALL, SINGLEVALUED
 from quadweld.operators import quality as judging
 from quadweld.operators import resolve as resolving
-from quadweld.operators.members import conflict_members, to_cluster_rows
+from quadweld.operators.members import conflict_members, dealt_members, to_cluster_rows
 from quadweld.operators.policy import Rules
 from quadweld.operators.quality import CLUSTER, VALUE, opposed_quality, value_quality, value_stats
 from quadweld.operators.scores import score_graphs, source_scores
@@ -270,6 +270,18 @@ def test_members_of_even_resources_meet_in_one_exchange(spark, everything_heavy,
     assert (plan.count("Exchange") == 1) == (subjects == 40)
 
 
+def test_rows_that_take_an_exchange_are_made_once(spark, everything_heavy, monkeypatch):
+    """However often the members are read, the rows come from one copy; the members are the same."""
+    rows = to_cluster_rows(quads(spark, [(f"s{i % 40}", "p", "lit", str(i % 80), f"g{i % 3}") for i in range(160)] + [(None, "p", "lit", None, "g")] * 2), None)
+    made = spark.sparkContext.accumulator(0)
+    seen = F.udf(lambda g: made.add(1) or g, "string").asNondeterministic()
+    plain, even = dealt_members(rows)
+    members, as_even = dealt_members(rows.withColumn("g", seen("g")), once=True)
+    assert Counter(map(tuple, members.collect())) == Counter(map(tuple, plain.collect()))
+    members.count()
+    assert (even, made.value) == (as_even, 162)
+
+
 def test_only_properties_with_something_unusable_are_judged(spark, monkeypatch):
     rows = [("s", p, "lit", x, g, 1.0) for p, x, g in (("p", "1", "a"), ("p", "2", "b"), ("q", "1", "a"), ("q", "n/a", "b"))]
     seen, judge = [], resolving.judge_values
