@@ -227,6 +227,14 @@ def test_values_of_even_resources_are_judged_where_they_stand(spark, monkeypatch
     assert judged._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
 
 
+@pytest.mark.parametrize("even", [False, True])
+def test_values_without_text_weigh_but_are_not_judged(spark, even):
+    rows = [("s", "p", "lit", o, f"g{i}", 0.5) for i, o in enumerate(("1", None, "a"))]
+    values = value_stats(member_table(spark, rows))
+    judged = {r["o"]: r["quality"] for r in opposed_quality(values, 4.0, even=even).collect()}
+    assert judged == pytest.approx({"1": 0.5 * (1 - 2 / 3), "a": 0.5 * (1 - 2 / 3)}, abs=1e-8)
+
+
 def test_long_texts_meet_by_their_pairs(spark):
     draw = random.Random(3)
     texts = ["".join(draw.choices("abcdefghé 漢", k=200_000)) for _ in range(4)]
