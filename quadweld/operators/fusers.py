@@ -245,6 +245,8 @@ def resolve_concat(clusters: Clusters) -> Resolution:
 
     A piece has the mean weight of its members as quality, since nothing contradicts it, and their sources.
     """
+    if clusters.even:
+        return _concat_in_place(clusters)
     places = materialize(concat_places(clusters), "places")
     text, piece = [*CLUSTER, "o"], [*CLUSTER, "part"]
     often = heavy_keys(clusters.members, text) if clusters.large else []
@@ -271,6 +273,42 @@ def resolve_concat(clusters: Clusters) -> Resolution:
     return Resolution(computed.select(*STATEMENT), support.select(*MEMBER), heavy)
 
 
+def _concat_in_place(clusters: Clusters) -> Resolution:
+    """``resolve_concat`` where no resource is too large for one task: members that lie by resource stay where they are.
+
+    Equal texts stand together in the order of a cluster, and the first of them counts; the places are those of ``concat_places``.
+    """
+    size = (F.length("o") + F.length(_parameter(clusters, "separator", " "))).cast("double")
+    rising = Window.partitionBy("_key", *CLUSTER).orderBy("o")
+    # A term that is null in part equals none.
+    rows = clusters.members.dropna(subset=[*CLUSTER, "o"]).withColumns({"_key": key_hash(CLUSTER), "_size": size})
+    rows = rows.withColumn("_first", ~F.col("o").eqNullSafe(F.lag("o").over(rising)))
+    upto = F.sum(F.when(F.col("_first"), F.col("_size"))).over(rising.rangeBetween(Window.unboundedPreceding, Window.currentRow))
+    rows = rows.withColumn("start", (upto - F.col("_size")).cast("long"))
+    block = _parameter(clusters, "block", str(CONCAT_BLOCK)).cast("long")
+    placed = rows.withColumn("part", F.floor(F.col("start") / block))
+    piece = [*CLUSTER, "part"]
+    graphs = placed.groupBy("_key", *piece, "g").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.max("w").alias("w"),
+        F.collect_list(F.when(F.col("_first"), F.struct("start", "o"))).alias("_texts"),
+    )
+    texts = F.transform(F.sort_array(F.flatten(F.collect_list("_texts"))), lambda t: t["o"])
+    pieces = graphs.groupBy("_key", *piece).agg(
+        F.count(F.lit(1)).alias("n_sources"),
+        quantise(F.sum(F.col("w") * F.col("n")) / F.sum("n")).alias("quality"),
+        texts.alias("_texts"),
+    )
+    nothing, separator = F.lit(""), _parameter(clusters, "separator", " ")
+    computed = pieces.select(
+        *CLUSTER, F.lit(LITERAL).alias("o_kind"), F.call_function("array_join", F.col("_texts"), separator).alias("o"),
+        nothing.alias("o_dt"), nothing.alias("o_lang"), "quality", "n_sources", "part",
+    )
+    computed = written(computed, "resolved")
+    support = keyed_lookup(placed.select(*piece, "g").distinct(), computed.select(*VALUE, "part"), piece, how="inner")
+    return Resolution(computed.select(*STATEMENT), support.select(*MEMBER))
+
+
 @register("NONE")
 def resolve_none(clusters: Clusters) -> Resolution:
     """Every value with the best score of its sources; nothing is weighed up."""

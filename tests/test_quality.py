@@ -17,7 +17,7 @@ from quadweld.operators.members import conflict_members, dealt_members, to_clust
 from quadweld.operators.policy import Rules
 from quadweld.operators.quality import CLUSTER, VALUE, opposed_quality, value_quality, value_stats
 from quadweld.operators.scores import score_graphs, source_scores
-from quadweld.operators.stage import key_hash
+from quadweld.operators.stage import key_hash, materialize
 from tests.helpers import as_list, as_set, quads
 
 NUMBER = re.compile(r"[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?")
@@ -290,6 +290,17 @@ def test_rows_that_take_an_exchange_are_made_once(spark, everything_heavy, monke
     assert (even, made.value) == (as_even, 162)
 
 
+def test_a_copy_stays_dealt(spark, everything_heavy):
+    """Groupings, windows and judging of members written by resource need no exchange; the rows are the same."""
+    rows = [(f"s{i % 40}", "p", "lit", str(i % 80), f"g{i % 3}") for i in range(160)]
+    found, tasks = dealt_members(to_cluster_rows(quads(spark, rows), None))
+    copy = materialize(found, "members", "res", tasks)
+    assert tasks > 1 and Counter(map(tuple, copy.collect())) == Counter(map(tuple, found.collect()))
+    values = opposed_quality(value_stats(copy.withColumn("w", F.lit(1.0))), 4.0, even=tasks)
+    assert values._jdf.queryExecution().executedPlan().toString().count("Exchange") == 0
+    assert spark.catalog.listTables() == []
+
+
 def test_only_properties_with_something_unusable_are_judged(spark, monkeypatch):
     rows = [("s", p, "lit", x, g, 1.0) for p, x, g in (("p", "1", "a"), ("p", "2", "b"), ("q", "1", "a"), ("q", "n/a", "b"))]
     seen, judge = [], resolving.judge_values

@@ -3,6 +3,7 @@ import random
 from fractions import Fraction
 
 import pytest
+from pyspark.sql import functions as F
 
 from quadweld import FusionConfig, Strategy
 from quadweld.model import IGNORE, NESTED, RETURN_ALL, SINGLEVALUED
@@ -19,6 +20,7 @@ from quadweld.operators.resolve import (
     with_result_graph,
 )
 from quadweld.operators.policy import Rules
+from tests.helpers import as_list
 from tests.test_quality import member_table
 
 CLAIMS = [
@@ -150,6 +152,20 @@ def test_concatenation_loses_no_text(spark, large, everything_heavy):
     assert ("t", "alone") in objects(found)
 
 
+def test_concatenation_reads_the_members_once(spark):
+    """Members that lie by resource are read once for the statements; those and their sources are the same."""
+    rows = [("s", "p", "lit", f"t{i % 30:03}", f"g{i % 7}", 0.1 * (i % 7)) for i in range(90)] + [(None, "p", "lit", "x", "g", 1.0), ("t", "p", "lit", None, "g", 1.0)]
+    made = spark.sparkContext.accumulator(0)
+    seen = F.udf(lambda g: made.add(1) or g, "string").asNondeterministic()
+    members = member_table(spark, rows)
+    rules = Rules.read(FusionConfig(properties={"p": Strategy("CONCAT", params={"block": "20"})}).policy(spark))
+    apart = REGISTRY["CONCAT"](Clusters(members, rules))
+    found = REGISTRY["CONCAT"](Clusters(members.withColumn("g", seen("g")), rules, even=1))
+    assert as_list(found.statements, *found.statements.columns) == as_list(apart.statements, *apart.statements.columns)
+    assert made.value == members.count()
+    assert as_list(found.support, *found.support.columns) == as_list(apart.support, *apart.support.columns)
+
+
 def test_most_recent_date(spark):
     rows = [("s", "p", "lit", x, "g", 1.0) for x in ("2001-05-01", "2001-05-02T00:00:00Z", "soon")]
     found = run(spark, rows, Strategy("MOST_RECENT", agg_error=IGNORE))
