@@ -13,7 +13,17 @@ from quadweld.functions import terms
 from quadweld.model import RETURN_ALL, SINGLEVALUED
 from quadweld.operators import quality as judging
 from quadweld.operators import resolve as resolving
-from quadweld.operators.members import conflict_members, dealt_members, to_cluster_rows
+from quadweld.operators.members import (
+    anchor_picks,
+    by_subject,
+    conflict_members,
+    dealt_members,
+    follow_anchors,
+    follow_in_place,
+    free_rows,
+    to_cluster_rows,
+    without_nulls,
+)
 from quadweld.operators.policy import Rules
 from quadweld.operators.quality import CLUSTER, VALUE, opposed_quality, value_quality, value_stats
 from quadweld.operators.scores import score_graphs, source_scores
@@ -301,6 +311,38 @@ def test_a_copy_stays_dealt(spark, everything_heavy):
     assert spark.catalog.listTables() == []
 
 
+def test_source_rows_of_a_dealt_copy_need_no_exchange(spark, everything_heavy):
+    rows = [(f"s{i % 40}", "p", "lit", str(i % 80), f"g{i % 3}") for i in range(160)] + [("s1", "p", "lit", None, "g")]
+    found, tasks = dealt_members(to_cluster_rows(quads(spark, rows), None))
+    copy = without_nulls(materialize(found, "members", "res", tasks)).withColumn("w", F.length("g") / F.lit(4.0))
+    rules = Rules.read(FusionConfig().policy(spark))
+    near = resolving.resolve(copy, rules, 4.0, even=tasks, near=True)
+    apart = resolving.resolve(copy, rules, 4.0)
+    columns = [*VALUE, "g", "quality", "n_sources"]
+    assert as_set(resolving.source_rows(near), *columns) == as_set(resolving.source_rows(apart), *columns)
+    assert as_set(near.statements, *VALUE, "quality") == as_set(apart.statements, *VALUE, "quality")
+    assert resolving.source_rows(near)._jdf.queryExecution().executedPlan().toString().count("Exchange") == 0
+
+
+def test_anchors_are_followed_in_place(spark, everything_heavy):
+    """Claims and picks that lie by resource meet without an exchange; the members are those of the other way."""
+    rows = [(f"{'ab'[i % 2]}{i % 80 // 2}", f"p{i % 7 % 3}", "lit", str(i % 5), f"g{i % 3}") for i in range(480)]
+    rows += [("a1", None, "lit", "1", "g"), ("a2", "p1", "lit", None, None), ("c", "p1", "lit", "1", "g0"), ("c", "p1", "lit", "1", None)]
+    mapping = spark.createDataFrame([(f"b{i}", f"a{i}") for i in range(40)], "uri string, canonical string")
+    config = FusionConfig(properties={p: Strategy(cardinality=SINGLEVALUED, depends_on="p0") for p in ("p0", "p1")})
+    rules = Rules.read(config.policy(spark))
+    found, tasks = dealt_members(to_cluster_rows(quads(spark, rows), mapping), by_subject(rules))
+    weighed = without_nulls(materialize(found.withColumn("w", F.lit(1.0)), "members", "res", tasks))
+    picks = materialize(anchor_picks(weighed, rules, 4.0, even=tasks), "picks", "res", tasks)
+    assert tasks > 1 and as_set(picks, "res", "_s", "_g") == as_set(anchor_picks(weighed, rules, 4.0), "res", "_s", "_g")
+    columns = [*VALUE, "g", "w"]
+    apart = free_rows(weighed, rules).unionByName(follow_anchors(weighed, rules, picks))
+    met = follow_in_place(weighed, rules, picks)
+    assert Counter(map(tuple, met.select(*columns).collect())) == Counter(map(tuple, apart.select(*columns).collect()))
+    # A few picks may be broadcast.
+    assert "Exchange hash" not in met._jdf.queryExecution().executedPlan().toString()
+
+
 def test_only_properties_with_something_unusable_are_judged(spark, monkeypatch):
     rows = [("s", p, "lit", x, g, 1.0) for p, x, g in (("p", "1", "a"), ("p", "2", "b"), ("q", "1", "a"), ("q", "n/a", "b"))]
     seen, judge = [], resolving.judge_values
